@@ -1,0 +1,7 @@
+"""Streaming.
+
+The workload this library reproduces refreshes every model as a daily full
+batch; it has no streams, watermarks, windows over event time or stateful
+operators. Nothing is implemented here on purpose: a refresh is a batch run of
+``mercadia.plans.pipeline.run_pipeline``.
+"""
