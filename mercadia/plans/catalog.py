@@ -177,7 +177,8 @@ QUERIES: dict[str, Callable[[Ctx], DataFrame]] = {
         c.m["stg_order_payments"].groupBy("payment_type").agg(F.sum("payment_amount").alias("amount")),
         "payment_type", "amount"),
     "cohort_retention": lambda c: gr.cohort_retention(
-        c.m["stg_orders"].where(F.col("purchased_at").isNotNull()), "customer_id", "purchased_at", (1, 2, 3, 6, 12)),
+        c.m["int_orders_enriched"].where(F.col("purchased_at").isNotNull()), "customer_unique_id", "purchased_at",
+        (1, 2, 3, 6, 12)),
     "segment_by_recency": lambda c: c.m["int_customer_metrics"].select(
         "customer_unique_id", gr.segment_by_recency(
             "total_orders", F.datediff(F.lit("2001-09-01").cast("date"), F.col("last_order_at").cast("date")))
