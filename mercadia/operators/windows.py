@@ -85,16 +85,19 @@ def pareto(df: DataFrame, key: str, measure: str, scale: int = 2, tie_break: str
            share: str = "share_pct", cumulative: str = "cumulative_pct", rank: str | None = None) -> DataFrame:
     """Share of the grand total and running (Pareto) share, largest first.
 
-    The grand total is a scalar subquery evaluated once, not a window over the
-    whole set. The running sum orders by measure desc, then ``tie_break``
-    (default: ``key``) so equal measures get a deterministic cumulative value.
+    For inputs of catalogue size (one row per category): the grand total is one
+    whole-set window aggregate computed once, next to the running sum, over rows
+    that are already aggregated, so the upstream join is not evaluated a second
+    time. The running sum orders by measure desc (nulls first), then
+    ``tie_break`` (default: ``key``) so equal measures get a deterministic
+    cumulative value.
     """
-    total = df.agg(F.sum(measure)).scalar()
-    order = [Key(measure, True), Key(tie_break or key)]
+    order = [Key(measure, True, True), Key(tie_break or key)]
     out = running_total(df, order, {measure: "_running"})
-    out = (out.withColumn(share, ratio(F.col(measure), total, scale, factor=100))
-              .withColumn(cumulative, ratio(F.col("_running"), total, scale, factor=100))
-              .drop("_running"))
+    out = out.withColumn("_total", F.sum(measure).over(Window.partitionBy()))
+    out = (out.withColumn(share, ratio(F.col(measure), F.col("_total"), scale, factor=100))
+              .withColumn(cumulative, ratio(F.col("_running"), F.col("_total"), scale, factor=100))
+              .drop("_running", "_total"))
     if rank:
         out = out.withColumn(rank, F.rank().over(Window.orderBy(F.col(measure).desc())))
     return out

@@ -5,6 +5,7 @@ across engines."""
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,7 @@ from ..operators import quality as dq
 from ..operators.windows import Key, global_window, pareto, period_over_period, running_total
 from ..functions.exprs import pg_initcap, safe_pct
 from ..session import configure
-from ..sources.binding import load_bound_tables
+from ..sources.binding import TEST_TABLES, load_bound_tables
 from . import dashboards as db
 from . import intermediate as im
 from . import marts as mt
@@ -36,13 +37,31 @@ def canonical(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
+_SOURCES: dict[tuple, dict[str, DataFrame]] = {}
+
+
+def bound_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Bound source DataFrames, built once per (session, folder, file versions).
+
+    Only logical plans are kept (no data): building them costs thousands of
+    driver↔JVM calls, which would otherwise be paid again by every query.
+    """
+    stamp = tuple(os.stat(os.path.join(sf_dir, f"{n}.parquet")).st_mtime_ns for n in TEST_TABLES
+                  if os.path.exists(os.path.join(sf_dir, f"{n}.parquet")))
+    key = (spark.sparkContext.applicationId, id(spark), os.path.abspath(sf_dir), stamp)
+    if key not in _SOURCES:
+        _SOURCES.clear()
+        _SOURCES[key] = load_bound_tables(spark, sf_dir)
+    return _SOURCES[key]
+
+
 class Ctx:
     """Bound sources and lazily built models for one (session, sf_dir)."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         configure(spark)
         self.spark = spark
-        self.src = load_bound_tables(spark, sf_dir)
+        self.src = bound_sources(spark, sf_dir)
         self._models = None
 
     @property

@@ -11,12 +11,13 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import elapsed_days, interval_days, money, ratio
 from ..operators.grouping import segment_by_recency, top_k
 from ..operators.windows import Key, period_over_period
+from ..session import ensure_checkpoint_dir
 from .reports import _items_with_category, _open, _payments_per_order
 
 
@@ -71,6 +72,10 @@ def ds_customer_segments(o: DataFrame, c: DataFrame, p: DataFrame, recent: int =
         F.count_distinct("order_id").alias("total_orders"),
         F.round(F.sum("_paid"), 2).alias("total_spend"),
         F.max("order_purchase_timestamp").alias("last_order_at"))
+    # Two passes over the summary (its max, then each row): checkpoint it once so
+    # the joins beneath are not evaluated twice.
+    ensure_checkpoint_dir(cs.sparkSession)
+    cs = cs.checkpoint(eager=True)
     max_date = cs.agg(F.max("last_order_at")).scalar()
     days = interval_days(max_date, F.col("last_order_at"))
     return cs.select("customer_unique_id", "customer_state", "total_orders", "total_spend", "last_order_at",
@@ -122,9 +127,11 @@ def chart_top_categories(ds: DataFrame, k: int = 10) -> DataFrame:
 
 
 def chart_order_status(o: DataFrame) -> DataFrame:
+    """Orders per status and share of all orders. One row per status (a handful),
+    so the total is a window over the grouped rows, not a second scan."""
     s = o.groupBy("order_status").agg(F.count(F.lit(1)).alias("order_count"))
-    total = o.agg(F.count(F.lit(1))).scalar()
-    return s.withColumn("share_pct", ratio("order_count", total, 2, factor=100))
+    total = F.sum("order_count").over(Window.partitionBy())
+    return s.withColumn("share_pct", ratio(F.col("order_count"), total, 2, factor=100))
 
 
 def chart_payment_mix(ds: DataFrame) -> DataFrame:

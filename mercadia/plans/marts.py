@@ -46,14 +46,20 @@ def mart_customer_segments(customer_metrics: DataFrame, oe: DataFrame, recent: i
                            tiles: int = 4) -> DataFrame:
     """Recency segment per person against the latest non-canceled purchase, and
     spend quartile (NTILE over the whole customer base, distributed; ties in
-    spend → customer id)."""
-    ref = oe.where(F.col("order_status") != "canceled").agg(F.max("purchased_at")).scalar()
-    cm = (customer_metrics.withColumn("reference_date_used", ref)
+    spend → customer id).
+
+    The reference instant is the latest non-canceled purchase; every such
+    purchase is some person's ``last_order_at`` in ``customer_metrics`` (same
+    filter), so it is read from the already checkpointed quartile output instead
+    of re-evaluating the order model.
+    """
+    cm = global_window(customer_metrics, [Key("total_spend", True, True)], ["customer_unique_id"],
+                       ntile=("spend_quartile", tiles))
+    ref = cm.agg(F.max("last_order_at")).scalar()
+    cm = (cm.withColumn("reference_date_used", ref)
           .withColumn("days_since_last_order", interval_days(F.col("reference_date_used"), F.col("last_order_at"))))
     cm = cm.withColumn("customer_segment",
                        segment_by_recency("total_orders", "days_since_last_order", recent, lapsed, "unknown"))
-    cm = global_window(cm, [Key("total_spend", True, True)], ["customer_unique_id"],
-                       ntile=("spend_quartile", tiles))
     tier = F.lit(None).cast("string")
     for q, label in VALUE_TIERS.items():
         tier = F.when(F.col("spend_quartile") == q, label).otherwise(tier)

@@ -9,12 +9,17 @@ from pyspark.sql import SparkSession
 
 # Settings every model assumes: UTC wall clock (timestamps are zone-less), ANSI
 # arithmetic, adaptive execution with skew-join splitting and partition coalescing.
+# Broadcast joins only for relations estimated (statically, or measured at run
+# time by AQE) under 1 MB: the code-list dimensions (translations, nations).
+# Anything that grows with the data is shuffle-joined.
 REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "1MB",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "1MB",
 }
 
 

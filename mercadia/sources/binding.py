@@ -157,7 +157,9 @@ def bind_products(part: DataFrame) -> DataFrame:
 
 
 def bind_translation(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(TRANSLATED, SOURCE_SCHEMAS["product_category_name_translation"])
+    """A local relation (planned in the JVM, with exact size statistics)."""
+    rows = ", ".join("('{}', '{}')".format(pt, en) for pt, en in TRANSLATED)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(product_category_name, product_category_name_english)")
 
 
 def bind_sellers(supplier: DataFrame) -> DataFrame:
