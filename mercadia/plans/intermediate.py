@@ -79,23 +79,53 @@ def customer_preferred_state(base: DataFrame) -> DataFrame:
     return best.select("customer_unique_id", F.col("customer_state").alias("preferred_state"))
 
 
+def _sum_if(cond, c) -> F.Column:
+    return F.sum(F.when(cond, F.col(c) if isinstance(c, str) else c))
+
+
+def _mode_if(cond, value: str, count: str) -> F.Column:
+    """Value with the highest count among rows where ``cond``; ties → value
+    ascending, NULL last (``min_by`` skips rows whose ordering is NULL)."""
+    v = F.col(value)
+    return F.min_by(v, F.when(cond, F.struct((-F.col(count)).alias("c"), v.isNull().alias("n"), v.alias("v"))))
+
+
 def int_customer_metrics(oe: DataFrame, excluded=("canceled",)) -> DataFrame:
+    """Lifetime metrics per person in one pass over the orders.
+
+    A single grouping-sets aggregation emits one row per (person, order) with
+    that order's partial sums, and one row per (person, state) with its row
+    count; one per-person aggregation then combines them. Distinct orders are
+    the count of (person, order) rows, so no DISTINCT aggregate, no second
+    scan of the order model and no join back for the preferred state.
+    """
     base = oe.where(_not_excluded("order_status", excluded) & F.col("purchased_at").isNotNull())
-    per = base.groupBy("customer_unique_id").agg(
-        F.count_distinct("order_id").alias("total_orders"),
-        F.round(F.sum("total_payment"), 2).alias("total_spend"),
-        avg_exact("total_payment", 2).alias("avg_order_value"),
-        F.min("purchased_at").alias("first_order_at"),
-        F.max("purchased_at").alias("last_order_at"),
-        avg_exact("avg_review_score", 2).alias("avg_review_score"))
+    keys = ["customer_unique_id", "order_id", "customer_state"]
+    g = base.groupingSets([["customer_unique_id", "order_id"], ["customer_unique_id", "customer_state"]], *keys).agg(
+        F.grouping_id().alias("_gid"),
+        F.count(F.lit(1)).alias("_rows"),
+        F.sum("total_payment").alias("_pay"), F.count("total_payment").alias("_npay"),
+        F.min("purchased_at").alias("_first"), F.max("purchased_at").alias("_last"),
+        F.sum(F.col("avg_review_score").cast("decimal(20,4)")).alias("_rev"),
+        F.count("avg_review_score").alias("_nrev"))
+    per_order, per_state = F.col("_gid") == 1, F.col("_gid") == 2
+    per = g.groupBy("customer_unique_id").agg(
+        F.count(F.when(per_order, 1)).alias("total_orders"),
+        _sum_if(per_order, "_pay").alias("_pay"), _sum_if(per_order, "_npay").alias("_npay"),
+        F.min(F.when(per_order, F.col("_first"))).alias("first_order_at"),
+        F.max(F.when(per_order, F.col("_last"))).alias("last_order_at"),
+        _sum_if(per_order, "_rev").alias("_rev"), _sum_if(per_order, "_nrev").alias("_nrev"),
+        _mode_if(per_state, "customer_state", "_rows").alias("preferred_state"))
     life = interval_days("last_order_at", "first_order_at")
-    per = per.select(
-        "customer_unique_id", "total_orders", "total_spend", "avg_order_value",
+    return per.select(
+        "customer_unique_id", "total_orders",
+        F.round("_pay", 2).alias("total_spend"),
+        F.round(F.col("_pay") / F.nullif(F.col("_npay"), F.lit(0)), 2).alias("avg_order_value"),
         "first_order_at", "last_order_at",
         life.alias("customer_lifetime_days"),
         F.when(F.col("total_orders") > 1, ratio(life, F.col("total_orders") - 1, 0)).alias("avg_days_between_orders"),
-        "avg_review_score")
-    return per.join(customer_preferred_state(base), "customer_unique_id", "left")
+        F.round(F.col("_rev") / F.nullif(F.col("_nrev"), F.lit(0)), 2).alias("avg_review_score"),
+        "preferred_state")
 
 
 def seller_top_category(base: DataFrame) -> DataFrame:
@@ -121,25 +151,51 @@ def _items_of_open_orders(stg_order_items: DataFrame, stg_products: DataFrame, o
 
 def int_seller_metrics(stg_order_items: DataFrame, stg_products: DataFrame, oe: DataFrame,
                        excluded=("canceled",)) -> DataFrame:
+    """Per-seller volume, revenue, satisfaction and delivery metrics, and the
+    seller's top category, from one pass over the item rows.
+
+    One grouping-sets aggregation emits (seller, order) rows with the order's
+    partial sums and (seller, category) rows with category revenue; a single
+    per-seller aggregation combines them (distinct orders = number of (seller,
+    order) rows). The item ⋈ order ⋈ product join is evaluated once.
+    """
     base = _items_of_open_orders(stg_order_items, stg_products, oe, excluded)
     late = F.col("is_late_delivery")
-    per = base.groupBy("seller_id").agg(
-        F.count_distinct("order_id").alias("total_orders"),
-        F.count(F.lit(1)).alias("total_items_sold"),
-        F.sum("item_price").alias("_rev"),
-        avg_exact("item_price", 2).alias("avg_item_price"),
-        avg_exact("avg_review_score", 2).alias("avg_review_score"),
-        F.count(F.when(F.col("has_low_score"), 1)).alias("low_score_orders"),
-        F.count(F.when(late, 1)).alias("late_delivery_count"),
-        avg_exact(F.when(late, F.col("delivery_delay_days")), 1).alias("avg_days_late"))
-    per = per.select(
+    # category is NULL only for items whose product is unknown: they count for
+    # the seller but cannot be its top category (the original joins products)
+    cat = F.when(F.col("_has_product"), F.col("category_name_en"))
+    base = base.withColumn("_cat", cat)
+    keys = ["seller_id", "order_id", "_cat"]
+    g = base.groupingSets([["seller_id", "order_id"], ["seller_id", "_cat"]], *keys).agg(
+        F.grouping_id().alias("_gid"),
+        F.count(F.lit(1)).alias("_items"),
+        F.sum("item_price").alias("_rev"), F.count("item_price").alias("_nprice"),
+        F.sum(F.col("avg_review_score").cast("decimal(20,4)")).alias("_revw"), F.count("avg_review_score").alias("_nrevw"),
+        F.count(F.when(F.col("has_low_score"), 1)).alias("_low"),
+        F.count(F.when(late, 1)).alias("_late"),
+        F.sum(F.when(late, F.col("delivery_delay_days").cast("decimal(20,4)"))).alias("_late_days"),
+        F.count(F.when(late, F.col("delivery_delay_days"))).alias("_nlate_days"))
+    per_order = F.col("_gid") == 1
+    per_cat = (F.col("_gid") == 2) & F.col("_cat").isNotNull()
+    per = g.groupBy("seller_id").agg(
+        F.count(F.when(per_order, 1)).alias("total_orders"),
+        _sum_if(per_order, "_items").alias("total_items_sold"),
+        _sum_if(per_order, "_rev").alias("_rev"), _sum_if(per_order, "_nprice").alias("_nprice"),
+        _sum_if(per_order, "_revw").alias("_revw"), _sum_if(per_order, "_nrevw").alias("_nrevw"),
+        _sum_if(per_order, "_low").alias("low_score_orders"),
+        _sum_if(per_order, "_late").alias("late_delivery_count"),
+        _sum_if(per_order, "_late_days").alias("_late_days"), _sum_if(per_order, "_nlate_days").alias("_nlate_days"),
+        F.min_by(F.col("_cat"), F.when(per_cat, F.struct((-F.col("_rev")).alias("r"), F.col("_cat").alias("c"))))
+         .alias("top_category"))
+    return per.select(
         "seller_id", "total_orders", "total_items_sold",
-        F.round("_rev", 2).alias("total_revenue"), "avg_item_price",
+        F.round("_rev", 2).alias("total_revenue"),
+        F.round(F.col("_rev") / F.nullif(F.col("_nprice"), F.lit(0)), 2).alias("avg_item_price"),
         ratio("_rev", "total_orders", 2).alias("avg_revenue_per_order"),
-        "avg_review_score", "low_score_orders",
+        F.round(F.col("_revw") / F.nullif(F.col("_nrevw"), F.lit(0)), 2).alias("avg_review_score"),
+        "low_score_orders",
         ratio("low_score_orders", "total_orders", 1, factor=100).alias("low_score_rate_pct"),
         "late_delivery_count",
         ratio("late_delivery_count", "total_orders", 1, factor=100).alias("late_delivery_rate_pct"),
-        "avg_days_late")
-    top = seller_top_category(base.where(F.col("_has_product")))
-    return per.join(top, "seller_id", "left")
+        F.round(F.col("_late_days") / F.nullif(F.col("_nlate_days"), F.lit(0)), 1).alias("avg_days_late"),
+        "top_category")
