@@ -15,17 +15,32 @@ def mart_monthly_revenue(oe: DataFrame, excluded=("canceled", "unavailable")) ->
     """One row per calendar month present; MoM against the previous present
     month; YTD running sums restart each year. Month grain is bounded by the
     calendar, so its windows run in a single small task."""
-    base = oe.where(_not_excluded("order_status", excluded) & F.col("purchased_at").isNotNull())
-    late = F.count(F.when(F.col("is_late_delivery"), 1))
-    m = base.groupBy(month_start("purchased_at").alias("month")).agg(
-        F.count_distinct("order_id").alias("total_orders"),
-        F.count_distinct("customer_unique_id").alias("unique_customers"),
-        F.round(F.sum("total_payment"), 2).alias("total_revenue"),
-        avg_exact("total_payment", 2).alias("avg_order_value"),
-        F.round(F.sum("total_items_price"), 2).alias("total_items_revenue"),
-        F.round(F.sum("total_freight"), 2).alias("total_freight_revenue"),
-        late.alias("late_delivery_count"),
-        avg_exact("avg_review_score", 2).alias("avg_review_score"))
+    base = (oe.where(_not_excluded("order_status", excluded) & F.col("purchased_at").isNotNull())
+              .withColumn("month", month_start("purchased_at")))
+    # One grouping-sets pass: (month, order) rows carry the order's partial sums,
+    # (month, person) rows mark a distinct customer; per month, distinct counts
+    # are row counts (no DISTINCT aggregate, one pass over the orders).
+    keys = ["month", "order_id", "customer_unique_id"]
+    g = base.groupingSets([["month", "order_id"], ["month", "customer_unique_id"]], *keys).agg(
+        F.grouping_id().alias("_gid"),
+        F.sum("total_payment").alias("_pay"), F.count("total_payment").alias("_npay"),
+        F.sum("total_items_price").alias("_items"), F.sum("total_freight").alias("_freight"),
+        F.count(F.when(F.col("is_late_delivery"), 1)).alias("_late"),
+        F.sum(F.col("avg_review_score").cast("decimal(20,4)")).alias("_rev"), F.count("avg_review_score").alias("_nrev"))
+    per_order, per_person = F.col("_gid") == 1, F.col("_gid") == 2
+
+    def s_(c):
+        return F.sum(F.when(per_order, F.col(c)))
+
+    m = g.groupBy("month").agg(
+        F.count(F.when(per_order, 1)).alias("total_orders"),
+        F.count(F.when(per_person & F.col("customer_unique_id").isNotNull(), 1)).alias("unique_customers"),
+        F.round(s_("_pay"), 2).alias("total_revenue"),
+        F.round(s_("_pay") / F.nullif(s_("_npay"), F.lit(0)), 2).alias("avg_order_value"),
+        F.round(s_("_items"), 2).alias("total_items_revenue"),
+        F.round(s_("_freight"), 2).alias("total_freight_revenue"),
+        s_("_late").alias("late_delivery_count"),
+        F.round(s_("_rev") / F.nullif(s_("_nrev"), F.lit(0)), 2).alias("avg_review_score"))
     m = m.withColumn("late_delivery_rate_pct", ratio("late_delivery_count", "total_orders", 1, factor=100))
     m = period_over_period(m, ["month"], ["total_revenue", "total_orders"],
                            prev_names={"total_revenue": "prev_month_revenue", "total_orders": "prev_month_orders"},

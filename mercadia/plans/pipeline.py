@@ -17,7 +17,7 @@ from ..sources.readers import publish
 from ..sources.schemas import SOURCE_TABLES
 from . import intermediate as im
 from . import marts as mt
-from .staging import stage_all
+from . import staging as stg
 
 # (name, layer, materialisation, upstream models) in dependency order
 MODEL_GRAPH = [
@@ -58,8 +58,14 @@ def build_models(src: dict[str, DataFrame], enriched: DataFrame | None = None) -
     """All twelve models as lazily built DataFrames (nothing is written).
 
     ``enriched`` replaces ``int_orders_enriched`` with an already materialised copy."""
-    st = stage_all(src)
-    builders = {name: (lambda _m, df=df: df) for name, df in st.items()}
+    builders = {
+        "stg_orders": lambda m: stg.stg_orders(src["orders"]),
+        "stg_customers": lambda m: stg.stg_customers(src["customers"]),
+        "stg_order_items": lambda m: stg.stg_order_items(src["order_items"]),
+        "stg_order_payments": lambda m: stg.stg_order_payments(src["order_payments"]),
+        "stg_order_reviews": lambda m: stg.stg_order_reviews(src["order_reviews"]),
+        "stg_products": lambda m: stg.stg_products(src["products"], src["product_category_name_translation"]),
+    }
     builders.update({
         "int_orders_enriched": (lambda m: enriched) if enriched is not None else (lambda m: im.int_orders_enriched(
             m["stg_orders"], m["stg_customers"], m["stg_order_items"], m["stg_order_payments"],

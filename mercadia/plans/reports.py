@@ -147,19 +147,30 @@ def _b_finish(cs: DataFrame) -> DataFrame:
 def b_category_analytics(o: DataFrame, i: DataFrame, p: DataFrame, pr: DataFrame, t: DataFrame) -> DataFrame:
     """Category analytics over delivered orders in one join pass (the optimised
     form). Item price sums count once per payment row, payment sums once per
-    item row, and the late-days average is weighted the same way."""
+    item row, and the late-days average is weighted the same way.
+
+    Two-level aggregation instead of DISTINCT aggregates: first per (category,
+    order) — the join already hash-partitions rows by order, so this level needs
+    no exchange — then per category, where distinct orders are just rows.
+    """
     items = _items_with_category(i, pr, t, translated_only=False)
     pay = _payments_per_order(p)
     j = items.join(_delivered_orders(o), "order_id").join(pay, "order_id")
-    n = F.col("_n_pay")
-    late_w = F.when(F.col("_late"), n)
-    cs = j.groupBy("category").agg(
-        F.count_distinct("order_id").alias("total_orders"),
-        F.sum(money("price") * n).alias("_rev"),
-        F.sum("_cc").alias("_cc"),
-        F.sum("_boleto").alias("_boleto"),
-        F.count_distinct(F.when(F.col("_late"), F.col("order_id"))).alias("late_count"),
-        F.round(F.sum(F.col("_late_days") * late_w) / F.nullif(F.sum(late_w), F.lit(0)), 1).alias("avg_days_late"))
+    per_order = j.groupBy("category", "order_id").agg(
+        F.count(F.lit(1)).alias("_n_items"), F.sum(money("price")).alias("_price"),
+        # order attributes, constant within the order
+        F.max("_n_pay").alias("_n_pay"), F.max("_cc").alias("_cc"), F.max("_boleto").alias("_boleto"),
+        F.max("_late").alias("_late"), F.max("_late_days").alias("_late_days"))
+    rows = F.col("_n_items") * F.col("_n_pay")           # joined rows of this order in this category
+    late_rows = F.when(F.col("_late"), rows)
+    cs = per_order.groupBy("category").agg(
+        F.count(F.lit(1)).alias("total_orders"),
+        F.sum(F.col("_price") * F.col("_n_pay")).alias("_rev"),
+        F.sum(F.col("_cc") * F.col("_n_items")).alias("_cc"),
+        F.sum(F.col("_boleto") * F.col("_n_items")).alias("_boleto"),
+        F.count(F.when(F.col("_late"), 1)).alias("late_count"),
+        F.round(F.sum(F.col("_late_days") * late_rows) / F.nullif(F.sum(late_rows), F.lit(0)), 1)
+         .alias("avg_days_late"))
     return _b_finish(cs)
 
 
