@@ -2,9 +2,9 @@
 
 ``ds_order_enriched`` groups the seven-table join (items × payments × reviews
 per order) to order × category. As in the reports, payments and reviews are
-reduced to one row per order first; each item row carries its order's payment
-and review multiplicities, which reproduces the sums of the full join without
-building it.
+reduced to one row per order and items to one row per (order, category) first;
+each row carries the multiplicities of the other sides, which reproduces the
+sums of the full join without building it.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from ..functions.exprs import elapsed_days, interval_days, money, ratio
 from ..operators.grouping import segment_by_recency, top_k
 from ..operators.windows import Key, period_over_period
 from ..session import ensure_checkpoint_dir
-from .reports import _items_with_category, _open, _payments_per_order
+from .reports import _items_with_category, _open, _payments_per_order, _per_order_category
 
 
 def _month(ts) -> F.Column:
@@ -28,7 +28,7 @@ def _month(ts) -> F.Column:
 
 def ds_order_enriched(o: DataFrame, c: DataFrame, i: DataFrame, pr: DataFrame, t: DataFrame, p: DataFrame,
                       r: DataFrame, excluded=("canceled",)) -> DataFrame:
-    items = _items_with_category(i, pr, t, translated_only=False)
+    per_oc = _per_order_category(_items_with_category(i, pr, t, translated_only=False))
     pay = _payments_per_order(p)
     rev = r.groupBy("order_id").agg(F.count(F.lit(1)).alias("_n_rev"),
                                     F.sum(F.col("review_score").cast("decimal(20,0)")).alias("_score_sum"),
@@ -41,20 +41,22 @@ def ds_order_enriched(o: DataFrame, c: DataFrame, i: DataFrame, pr: DataFrame, t
         F.coalesce(d > e, F.lit(False)).alias("is_late"),
         elapsed_days(d, e, 1).alias("delay_days"))
     cust = c.select("customer_id", "customer_unique_id", "customer_state", "customer_city")
-    j = (items.join(orders.join(cust, "customer_id"), "order_id")
-              .join(pay, "order_id", "left").join(rev, "order_id", "left"))
+    order_level = (orders.join(cust, "customer_id")
+                         .join(pay, "order_id", "left").join(rev, "order_id", "left"))
+    j = per_oc.join(order_level, "order_id")
+    n = F.col("_n_items")                                       # item rows of this order in this category
     wp = F.greatest(F.coalesce("_n_pay", F.lit(0)), F.lit(1))   # rows each item meets on the payment side
     wr = F.greatest(F.coalesce("_n_rev", F.lit(0)), F.lit(1))   # … and on the review side
     keys = ["order_id", "order_status", "order_month", "ordered_at", "delivered_at", "estimated_at",
             "customer_unique_id", "customer_state", "customer_city", "category", "is_late", "delay_days"]
     g = j.groupBy(*keys).agg(
-        F.sum(money("price") * wp * wr).alias("items_revenue"),
-        F.sum(money("freight_value") * wp * wr).alias("freight_revenue"),
-        F.sum(F.col("_paid") * wr).alias("total_payment"),
-        F.sum(F.col("_cc") * wr).alias("credit_card_payment"),
-        F.sum(F.col("_boleto") * wr).alias("boleto_payment"),
-        F.sum(F.col("_other") * wr).alias("other_payment"),
-        F.round(F.sum(F.col("_score_sum") * wp) / F.nullif(F.sum(F.col("_score_n") * wp), F.lit(0)), 1)
+        F.sum(F.col("_price") * (wp * wr)).alias("items_revenue"),
+        F.sum(F.col("_freight") * (wp * wr)).alias("freight_revenue"),
+        F.sum(F.col("_paid") * (n * wr)).alias("total_payment"),
+        F.sum(F.col("_cc") * (n * wr)).alias("credit_card_payment"),
+        F.sum(F.col("_boleto") * (n * wr)).alias("boleto_payment"),
+        F.sum(F.col("_other") * (n * wr)).alias("other_payment"),
+        F.round(F.sum(F.col("_score_sum") * (n * wp)) / F.nullif(F.sum(F.col("_score_n") * (n * wp)), F.lit(0)), 1)
          .alias("avg_review_score"))
     return g.select(*keys[:10], "items_revenue", "freight_revenue", "total_payment", "credit_card_payment",
                     "boleto_payment", "other_payment", "is_late", "delay_days", "avg_review_score")

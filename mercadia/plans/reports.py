@@ -46,6 +46,18 @@ def _items_with_category(i: DataFrame, pr: DataFrame, t: DataFrame, translated_o
              .join(prod.select("product_id", cat.alias("category")), "product_id"))
 
 
+def _per_order_category(items: DataFrame) -> DataFrame:
+    """Item rows reduced to one row per (order, category) before they meet any
+    order-level table: item count, non-null item ids and money sums.
+
+    Combined map-side, so an order holding a third of all items reaches the
+    order joins as at most one row per category — no task receives it whole.
+    """
+    return items.groupBy("order_id", "category").agg(
+        F.count(F.lit(1)).alias("_n_items"), F.count("order_item_id").alias("_n_ids"),
+        F.sum(money("price")).alias("_price"), F.sum(money("freight_value")).alias("_freight"))
+
+
 # ---------------------------------------------------------------- A1
 
 
@@ -80,13 +92,13 @@ def a2_top_categories(o: DataFrame, i: DataFrame, p: DataFrame, pr: DataFrame, t
                       excluded=("canceled",)) -> DataFrame:
     """Translated categories by payment revenue (payments counted once per
     item of their order, as the five-way join does); top k."""
-    items = _items_with_category(i, pr, t, translated_only=True)
-    pay = _payments_per_order(p)
-    j = items.join(_open(o, excluded).select("order_id"), "order_id").join(pay, "order_id")
+    per_oc = _per_order_category(_items_with_category(i, pr, t, translated_only=True))
+    orders = _open(o, excluded).select("order_id").join(_payments_per_order(p), "order_id")
+    j = per_oc.join(orders, "order_id")
     agg = j.groupBy("category").agg(
-        F.count_distinct("order_id").alias("distinct_orders"),
-        F.sum(F.when(F.col("order_item_id").isNotNull(), F.col("_n_pay"))).alias("total_items_sold"),
-        F.sum("_paid").alias("_rev"))
+        F.count(F.lit(1)).alias("distinct_orders"),
+        F.sum(F.col("_n_ids") * F.col("_n_pay")).alias("total_items_sold"),
+        F.sum(F.col("_paid") * F.col("_n_items")).alias("_rev"))
     out = agg.select("category", "distinct_orders", F.coalesce("total_items_sold", F.lit(0)).alias("total_items_sold"),
                      F.round("_rev", 2).alias("total_revenue"),
                      ratio("_rev", "distinct_orders", 2).alias("avg_order_value"))
@@ -149,18 +161,13 @@ def b_category_analytics(o: DataFrame, i: DataFrame, p: DataFrame, pr: DataFrame
     form). Item price sums count once per payment row, payment sums once per
     item row, and the late-days average is weighted the same way.
 
-    Two-level aggregation instead of DISTINCT aggregates: first per (category,
-    order) — the join already hash-partitions rows by order, so this level needs
-    no exchange — then per category, where distinct orders are just rows.
+    Items are reduced per (order, category) before the order join, so per
+    category the distinct orders are just rows (no DISTINCT aggregate) and a
+    hot order never reaches one task whole.
     """
-    items = _items_with_category(i, pr, t, translated_only=False)
-    pay = _payments_per_order(p)
-    j = items.join(_delivered_orders(o), "order_id").join(pay, "order_id")
-    per_order = j.groupBy("category", "order_id").agg(
-        F.count(F.lit(1)).alias("_n_items"), F.sum(money("price")).alias("_price"),
-        # order attributes, constant within the order
-        F.max("_n_pay").alias("_n_pay"), F.max("_cc").alias("_cc"), F.max("_boleto").alias("_boleto"),
-        F.max("_late").alias("_late"), F.max("_late_days").alias("_late_days"))
+    per_oc = _per_order_category(_items_with_category(i, pr, t, translated_only=False))
+    orders = _delivered_orders(o).join(_payments_per_order(p), "order_id")
+    per_order = per_oc.join(orders, "order_id")
     rows = F.col("_n_items") * F.col("_n_pay")           # joined rows of this order in this category
     late_rows = F.when(F.col("_late"), rows)
     cs = per_order.groupBy("category").agg(

@@ -18,6 +18,9 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a skewed join partition even when the operator above reuses the
+    # join's partitioning (it then re-shuffles after a map-side partial aggregate)
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.autoBroadcastJoinThreshold": "1MB",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "1MB",
 }

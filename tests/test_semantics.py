@@ -229,3 +229,38 @@ def test_customer_segments_dashboard_catch_all(spark):
     p = make(spark, "order_payments", [_pay("1", "1.00"), _pay("2", "2.00"), _pay("3", "3.00")])
     got = dict(rows(db.ds_customer_segments(o, c, p), "customer_unique_id", "segment"))
     assert got == {"u1": "at_risk", "u2": "new"}
+
+
+def test_hot_order_matches_brute_force_join(spark):
+    """One order holds a third of all item rows; report B must equal the literal
+    five-way join (with its fan-out) evaluated by Spark SQL."""
+    n_orders, n_items = 300, 3000
+    o = make(spark, "orders", [_order(str(k), dt(2017, 1, 1), delivered=dt(2017, 1, 5 + k % 20),
+                                      estimated=dt(2017, 1, 15)) for k in range(n_orders)])
+    i = make(spark, "order_items", [
+        {"order_id": "0" if j < n_items // 3 else str(j % n_orders), "order_item_id": j, "product_id": f"p{j % 40}",
+         "price": 1.0 + j % 7, "freight_value": 1.0} for j in range(n_items)])
+    p = make(spark, "order_payments", [_pay(str(k), f"{5 + k % 9}.00", s, "boleto" if (k + s) % 3 == 0 else "credit_card")
+                                       for k in range(n_orders) for s in range(1, 1 + k % 3 + 1)])
+    pr = make(spark, "products", [{"product_id": f"p{j}", "product_category_name": ["cama", "mesa", "x"][j % 3]}
+                                  for j in range(40)])
+    t = make(spark, "product_category_name_translation", TR)
+    for name, df in {"o": o, "i": i, "p": p, "pr": pr, "t": t}.items():
+        df.createOrReplaceTempView(f"hot_{name}")
+    brute = spark.sql("""
+        SELECT COALESCE(t.product_category_name_english, 'uncategorized') AS category,
+               COUNT(DISTINCT oi.order_id) AS total_orders,
+               ROUND(SUM(CAST(oi.price AS DECIMAL(18,2))), 2) AS total_revenue,
+               ROUND(SUM(op.payment_value) FILTER (WHERE op.payment_type = 'credit_card'), 2) AS credit_card_revenue,
+               ROUND(SUM(op.payment_value) FILTER (WHERE op.payment_type = 'boleto'), 2) AS boleto_revenue,
+               COUNT(DISTINCT CASE WHEN o.order_delivered_customer_date > o.order_estimated_delivery_date
+                                   THEN o.order_id END) AS late_count
+        FROM hot_pr p LEFT JOIN hot_t t ON t.product_category_name = p.product_category_name
+        JOIN hot_i oi ON oi.product_id = p.product_id
+        JOIN hot_o o ON o.order_id = oi.order_id
+        JOIN hot_p op ON op.order_id = oi.order_id
+        WHERE o.order_delivered_customer_date IS NOT NULL
+        GROUP BY 1""")
+    cols = ["category", "total_orders", "total_revenue", "credit_card_revenue", "boleto_revenue", "late_count"]
+    ours = rp.b_category_analytics(o, i, p, pr, t).select(*cols)
+    assert sorted(map(tuple, ours.collect())) == sorted(map(tuple, brute.collect()))
