@@ -57,7 +57,8 @@ class _LazyModels(dict):
 def build_models(src: dict[str, DataFrame], enriched: DataFrame | None = None) -> dict[str, DataFrame]:
     """All twelve models as lazily built DataFrames (nothing is written).
 
-    ``enriched`` replaces ``int_orders_enriched`` with an already materialised copy."""
+    ``enriched`` replaces ``int_orders_enriched`` with an already materialised
+    copy (a DataFrame, or a zero-argument callable producing one on first use)."""
     builders = {
         "stg_orders": lambda m: stg.stg_orders(src["orders"]),
         "stg_customers": lambda m: stg.stg_customers(src["customers"]),
@@ -67,7 +68,8 @@ def build_models(src: dict[str, DataFrame], enriched: DataFrame | None = None) -
         "stg_products": lambda m: stg.stg_products(src["products"], src["product_category_name_translation"]),
     }
     builders.update({
-        "int_orders_enriched": (lambda m: enriched) if enriched is not None else (lambda m: im.int_orders_enriched(
+        "int_orders_enriched": (lambda m: enriched() if callable(enriched) else enriched) if enriched is not None
+        else (lambda m: im.int_orders_enriched(
             m["stg_orders"], m["stg_customers"], m["stg_order_items"], m["stg_order_payments"],
             m["stg_order_reviews"])),
         "int_customer_metrics": lambda m: im.int_customer_metrics(m["int_orders_enriched"]),

@@ -77,9 +77,56 @@ def test_dimension_lookups_are_broadcast_and_fact_joins_are_not(spark):
     assert "BroadcastHashJoin" in plan                      # translation: a code list
     spark.conf.set("spark.sql.adaptive.enabled", "false")   # static plan: size estimates only
     try:
-        df = E.queries()["int_orders_enriched"](spark, "/root/testdata/sf0.1")
+        from mercadia.plans.catalog import bound_sources
+        from mercadia.plans.pipeline import build_models
+        df = build_models(bound_sources(spark, "/root/testdata/sf0.1"))["int_orders_enriched"]
         static = df._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert "SortMergeJoin" in static
     assert F is not None
+
+
+def test_hot_order_join_is_split_by_adaptive_execution(spark, tmp_dir):
+    """Pipeline path: items meet the *materialised* order model in a two-way
+    join, so AQE splits an order holding a third of the items across tasks."""
+    from datetime import datetime as dt
+
+    from mercadia.plans import intermediate as im
+    from mercadia.plans import staging as st
+    from tests.conftest import make
+    n = 3000
+    o = make(spark, "orders", [{"order_id": str(k), "customer_id": str(k), "order_status": "delivered",
+                                "order_purchase_timestamp": dt(2017, 1, 1),
+                                "order_delivered_customer_date": dt(2017, 1, 5 + k % 20),
+                                "order_estimated_delivery_date": dt(2017, 1, 15)} for k in range(n)])
+    c = make(spark, "customers", [{"customer_id": str(k), "customer_unique_id": f"u{k % 500}"} for k in range(n)])
+    i = make(spark, "order_items", [{"order_id": "0" if j < 20000 else str(j % n), "order_item_id": j,
+                                     "product_id": f"p{j % 50}", "seller_id": f"s{j % 30}", "price": 1.0 + j % 7,
+                                     "freight_value": 1.0} for j in range(60000)])
+    pr = make(spark, "products", [{"product_id": f"p{j}", "product_category_name": "cama"} for j in range(50)])
+    t = make(spark, "product_category_name_translation",
+             [{"product_category_name": "cama", "product_category_name_english": "bed"}])
+    items, prods = st.stg_order_items(i), st.stg_products(pr, t)
+    oe = im.int_orders_enriched(st.stg_orders(o), st.stg_customers(c), items,
+                                st.stg_order_payments(make(spark, "order_payments", [])),
+                                st.stg_order_reviews(make(spark, "order_reviews", [])))
+    oe.write.parquet(f"{tmp_dir}/oe")
+    oe_t = spark.read.parquet(f"{tmp_dir}/oe")
+    expected = sorted(map(tuple, im.int_seller_metrics(items, prods, oe).collect()))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        df = im.int_seller_metrics(items, prods, oe_t)
+        got = sorted(map(tuple, df.collect()))
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert "SortMergeJoin(skew=true)" in plan
+    assert got == expected
