@@ -24,7 +24,8 @@ from . import dashboards as db
 from . import intermediate as im
 from . import marts as mt
 from . import reports as rp
-from .pipeline import build_models, table_row_counts
+from ..sources.readers import publish, read_csv_table
+from .pipeline import build_models, run_pipeline, table_row_counts
 
 
 def canonical(df: DataFrame) -> DataFrame:
@@ -131,6 +132,32 @@ ORDER_STATUSES = ["delivered", "shipped", "processing", "invoiced", "approved",
 PAYMENT_TYPES = ["credit_card", "boleto", "voucher", "debit_card", "not_defined"]
 
 
+def _scratch(c, name: str) -> str:
+    """A fresh folder for a round trip, inside the shared ``spark.checkpoint.dir``."""
+    return f"{ensure_checkpoint_dir(c.spark).rstrip('/')}/mercadia-io/{uuid.uuid4().hex}/{name}"
+
+
+def _csv_round_trip(c):
+    """Bound orders written as CSV (header, one file per table as in the source
+    export) and read back with the declared schema."""
+    path = _scratch(c, "orders.csv")
+    (c.src["orders"].write.option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
+     .csv(path))
+    return read_csv_table(c.spark, path, "orders")
+
+
+def _write_replace_round_trip(c):
+    path = _scratch(c, "order_payments")
+    write_replace(c.src["order_items"], path)        # an older version of the target (another table) …
+    write_replace(c.src["order_payments"], path)     # … is dropped and replaced, not appended to
+    return c.spark.read.parquet(path)
+
+
+def _pipeline_mart(c):
+    built = run_pipeline(c.src, materialise_root=_scratch(c, "models"), select=["mart_monthly_revenue"])
+    return built["mart_monthly_revenue"]
+
+
 def _items_revenue_by_product(c):
     """Item revenue per product over the whole item table (operator input)."""
     return (c.m["stg_order_items"].groupBy("product_id")
@@ -141,6 +168,12 @@ QUERIES: dict[str, Callable[[Ctx], DataFrame]] = {
     # sources
     "table_row_counts": lambda c: table_row_counts(c.src),
     "read_parquet_table": lambda c: c.src["order_payments"],
+    "read_csv_table": _csv_round_trip,
+    "write_table_replace": _write_replace_round_trip,
+    "materialise_view": lambda c: publish(c.m["stg_products"], "stg_products", "view"),
+    "materialise_table": lambda c: publish(c.m["mart_monthly_revenue"], "mart_monthly_revenue", "table",
+                                           path=_scratch(c, "mart_monthly_revenue")),
+    "model_graph": _pipeline_mart,
     # reports
     "a1_monthly_revenue": _a1,
     "a1_peak_month": lambda c: rp.a1_peak_month(_a1(c)),
