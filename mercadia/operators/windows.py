@@ -154,27 +154,28 @@ def global_window(df: DataFrame, order: list, tie_break: list, partition_by: lis
     tie_key = F.struct(*([F.col(p) for p in part] + [F.col(k.name) for k in okeys]))
 
     ranged = (df.repartitionByRange(n, *sort)
-                .withColumn("_pid", F.spark_partition_id())
-                .withColumn("_g", group_key)
-                .withColumn("_t", tie_key)
+                .select("*", F.spark_partition_id().alias("_pid"), group_key.alias("_g"), tie_key.alias("_t"))
                 .repartitionByRange(n, "_pid"))
     w = Window.partitionBy("_pid").orderBy(*sort)
     wcum = w.rowsBetween(Window.unboundedPreceding, 0)
-    pos = F.row_number().over(w)
-    local = ranged.withColumn("_pos", pos)
-    local = (local.withColumn("_new_g", F.coalesce(~F.lag("_g").over(w).eqNullSafe(F.col("_g")), F.lit(True)))
-                  .withColumn("_new_t", F.coalesce(~F.lag("_t").over(w).eqNullSafe(F.col("_t")), F.lit(True))))
-    for m in running:
-        local = local.withColumn(f"_cum_{m}", F.sum(m).over(wcum))
-    local = (local.withColumn("_gstart", F.last(F.when(F.col("_new_g"), F.col("_pos")), True).over(wcum))
-                  .withColumn("_tstart", F.last(F.when(F.col("_new_t"), F.col("_pos")), True).over(wcum)))
-    for m in running:
-        base = F.last(F.when(F.col("_new_g"), F.col(f"_cum_{m}") - F.col(m)), True).over(wcum)
-        local = local.withColumn(f"_run_{m}", F.col(f"_cum_{m}") - base)
-    local = (local.withColumn("_rn_in_g", F.col("_pos") - F.col("_gstart") + 1)
-                  .withColumn("_rank_in_g", F.col("_tstart") - F.col("_gstart") + 1)
-                  .withColumn("_rn_in_t", F.col("_pos") - F.col("_tstart") + 1)
-                  .drop("_new_g", "_new_t", *[f"_cum_{m}" for m in running]))
+    # layer 1: position, group/tie starts flags, running sums within the range
+    local = ranged.select(
+        "*", F.row_number().over(w).alias("_pos"),
+        F.coalesce(~F.lag("_g").over(w).eqNullSafe(F.col("_g")), F.lit(True)).alias("_new_g"),
+        F.coalesce(~F.lag("_t").over(w).eqNullSafe(F.col("_t")), F.lit(True)).alias("_new_t"),
+        *[F.sum(m).over(wcum).alias(f"_cum_{m}") for m in running])
+    # layer 2: where the current group / tie started, and the running sum before the group
+    local = local.select(
+        "*", F.last(F.when(F.col("_new_g"), F.col("_pos")), True).over(wcum).alias("_gstart"),
+        F.last(F.when(F.col("_new_t"), F.col("_pos")), True).over(wcum).alias("_tstart"),
+        *[F.last(F.when(F.col("_new_g"), F.col(f"_cum_{m}") - F.col(m)), True).over(wcum).alias(f"_base_{m}")
+          for m in running])
+    keep = [c for c in local.columns if c not in ("_new_g", "_new_t") and not c.startswith(("_cum_", "_base_"))]
+    local = local.select(
+        *keep, (F.col("_pos") - F.col("_gstart") + 1).alias("_rn_in_g"),
+        (F.col("_tstart") - F.col("_gstart") + 1).alias("_rank_in_g"),
+        (F.col("_pos") - F.col("_tstart") + 1).alias("_rn_in_t"),
+        *[(F.col(f"_cum_{m}") - F.col(f"_base_{m}")).alias(f"_run_{m}") for m in running])
     local = local.checkpoint(eager=True)
 
     last_aggs = [F.max_by(F.col(f"_run_{m}"), F.col("_pos")).alias(f"_last_run_{m}") for m in running]
@@ -189,17 +190,17 @@ def global_window(df: DataFrame, order: list, tie_break: list, partition_by: lis
         *last_aggs)
     # The summary has one row per non-empty range: a single-task window over it is bounded by n.
     ws = Window.orderBy("_pid")
-    isl_g = F.sum(F.coalesce((~F.lag("_g_last").over(ws).eqNullSafe(F.col("_g_last"))).cast("int"), F.lit(1))).over(
-        ws.rowsBetween(Window.unboundedPreceding, 0))
-    isl_t = F.sum(F.coalesce((~F.lag("_t_last").over(ws).eqNullSafe(F.col("_t_last"))).cast("int"), F.lit(1))).over(
-        ws.rowsBetween(Window.unboundedPreceding, 0))
-    s = summary.withColumn("_isl_g", isl_g).withColumn("_isl_t", isl_t)
+    upto = ws.rowsBetween(Window.unboundedPreceding, 0)
+    s = summary.select(
+        "*", F.sum(F.coalesce((~F.lag("_g_last").over(ws).eqNullSafe(F.col("_g_last"))).cast("int"), F.lit(1)))
+        .over(upto).alias("_isl_g"),
+        F.sum(F.coalesce((~F.lag("_t_last").over(ws).eqNullSafe(F.col("_t_last"))).cast("int"), F.lit(1)))
+        .over(upto).alias("_isl_t"))
     wg = Window.partitionBy("_isl_g").orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0)
     wt = Window.partitionBy("_isl_t").orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0)
-    s = s.withColumn("_chain_g_cnt", F.sum("_last_g_cnt").over(wg)).withColumn(
-        "_chain_t_cnt", F.sum("_last_t_cnt").over(wt))
-    for m in running:
-        s = s.withColumn(f"_chain_run_{m}", F.sum(f"_last_run_{m}").over(wg))
+    s = s.select("*", F.sum("_last_g_cnt").over(wg).alias("_chain_g_cnt"),
+                 F.sum("_last_t_cnt").over(wt).alias("_chain_t_cnt"),
+                 *[F.sum(f"_last_run_{m}").over(wg).alias(f"_chain_run_{m}") for m in running])
     cont_g = F.lag("_g_last").over(ws).eqNullSafe(F.col("_g_first"))
     cont_t = F.lag("_t_last").over(ws).eqNullSafe(F.col("_t_first"))
     offs = s.select(
@@ -215,15 +216,15 @@ def global_window(df: DataFrame, order: list, tie_break: list, partition_by: lis
     in_first_t = F.col("_t").eqNullSafe(F.col("_t_first"))
     g_off = F.when(in_first_g, F.col("_off_g")).otherwise(0)
     rn = F.col("_rn_in_g") + g_off
+    new_cols = []
     if rank:
-        out = out.withColumn(rank, (F.col("_rank_in_g") + g_off
-                                    - F.when(in_first_t, F.col("_off_t")).otherwise(0)).cast("bigint"))
+        new_cols.append((F.col("_rank_in_g") + g_off
+                         - F.when(in_first_t, F.col("_off_t")).otherwise(0)).cast("bigint").alias(rank))
     if row_number:
-        out = out.withColumn(row_number, rn.cast("bigint"))
+        new_cols.append(rn.cast("bigint").alias(row_number))
     if ntile:
         name, tiles = ntile
-        out = out.withColumn(name, ntile_of(rn, F.col("_total"), tiles).cast("bigint"))
+        new_cols.append(ntile_of(rn, F.col("_total"), tiles).cast("bigint").alias(name))
     for m, name in running.items():
-        out = out.withColumn(name, F.col(f"_run_{m}") + F.when(in_first_g, F.col(f"_off_run_{m}")).otherwise(0))
-    added = [c for c in [rank, row_number, ntile[0] if ntile else None, *running.values()] if c]
-    return out.select(*df.columns, *added)
+        new_cols.append((F.col(f"_run_{m}") + F.when(in_first_g, F.col(f"_off_run_{m}")).otherwise(0)).alias(name))
+    return out.select(*df.columns, *new_cols)
