@@ -95,10 +95,15 @@ def a2_top_categories(o: DataFrame, i: DataFrame, p: DataFrame, pr: DataFrame, t
     per_oc = _per_order_category(_items_with_category(i, pr, t, translated_only=True))
     orders = _open(o, excluded).select("order_id").join(_payments_per_order(p), "order_id")
     j = per_oc.join(orders, "order_id")
-    agg = j.groupBy("category").agg(
-        F.count(F.lit(1)).alias("distinct_orders"),
-        F.sum(F.col("_n_ids") * F.col("_n_pay")).alias("total_items_sold"),
+    # per (category, order) again — on the join's own order_id partitioning, so
+    # no exchange — which keeps the counts exact even if an order row repeats
+    per_order = j.groupBy("category", "order_id").agg(
+        F.sum(F.col("_n_ids") * F.col("_n_pay")).alias("_items_sold"),
         F.sum(F.col("_paid") * F.col("_n_items")).alias("_rev"))
+    agg = per_order.groupBy("category").agg(
+        F.count(F.lit(1)).alias("distinct_orders"),
+        F.sum("_items_sold").alias("total_items_sold"),
+        F.sum("_rev").alias("_rev"))
     out = agg.select("category", "distinct_orders", F.coalesce("total_items_sold", F.lit(0)).alias("total_items_sold"),
                      F.round("_rev", 2).alias("total_revenue"),
                      ratio("_rev", "distinct_orders", 2).alias("avg_order_value"))
@@ -167,17 +172,23 @@ def b_category_analytics(o: DataFrame, i: DataFrame, p: DataFrame, pr: DataFrame
     """
     per_oc = _per_order_category(_items_with_category(i, pr, t, translated_only=False))
     orders = _delivered_orders(o).join(_payments_per_order(p), "order_id")
-    per_order = per_oc.join(orders, "order_id")
+    j = per_oc.join(orders, "order_id")
     rows = F.col("_n_items") * F.col("_n_pay")           # joined rows of this order in this category
     late_rows = F.when(F.col("_late"), rows)
-    cs = per_order.groupBy("category").agg(
-        F.count(F.lit(1)).alias("total_orders"),
+    # per (category, order) on the join's own order_id partitioning (no exchange);
+    # exact even if an order row repeats
+    per_order = j.groupBy("category", "order_id").agg(
         F.sum(F.col("_price") * F.col("_n_pay")).alias("_rev"),
         F.sum(F.col("_cc") * F.col("_n_items")).alias("_cc"),
         F.sum(F.col("_boleto") * F.col("_n_items")).alias("_boleto"),
+        F.max("_late").alias("_late"),
+        F.sum(F.col("_late_days") * late_rows).alias("_late_day_rows"),
+        F.sum(late_rows).alias("_late_rows"))
+    cs = per_order.groupBy("category").agg(
+        F.count(F.lit(1)).alias("total_orders"),
+        F.sum("_rev").alias("_rev"), F.sum("_cc").alias("_cc"), F.sum("_boleto").alias("_boleto"),
         F.count(F.when(F.col("_late"), 1)).alias("late_count"),
-        F.round(F.sum(F.col("_late_days") * late_rows) / F.nullif(F.sum(late_rows), F.lit(0)), 1)
-         .alias("avg_days_late"))
+        F.round(F.sum("_late_day_rows") / F.nullif(F.sum("_late_rows"), F.lit(0)), 1).alias("avg_days_late"))
     return _b_finish(cs)
 
 

@@ -264,3 +264,20 @@ def test_hot_order_matches_brute_force_join(spark):
     cols = ["category", "total_orders", "total_revenue", "credit_card_revenue", "boleto_revenue", "late_count"]
     ours = rp.b_category_analytics(o, i, p, pr, t).select(*cols)
     assert sorted(map(tuple, ours.collect())) == sorted(map(tuple, brute.collect()))
+
+
+def test_repeated_order_row_keeps_distinct_counts(spark):
+    """An order row that appears twice multiplies sums (as the join does) but
+    is still one distinct order."""
+    row = _order("1", dt(2017, 1, 1), delivered=dt(2017, 1, 20), estimated=dt(2017, 1, 10))
+    o = make(spark, "orders", [row, row])
+    i = make(spark, "order_items", [{"order_id": "1", "order_item_id": 1, "product_id": "p1", "price": 10.0,
+                                     "freight_value": 1.0}])
+    p = make(spark, "order_payments", [_pay("1", "10.00")])
+    pr = make(spark, "products", [{"product_id": "p1", "product_category_name": "cama"}])
+    t = make(spark, "product_category_name_translation", TR)
+    b = rp.b_category_analytics(o, i, p, pr, t).collect()[0]
+    assert (b.total_orders, b.late_count, b.total_revenue, b.credit_card_revenue) == (1, 1, Decimal("20.00"),
+                                                                                     Decimal("20.00"))
+    a2 = rp.a2_top_categories(o, i, p, pr, t).collect()[0]
+    assert (a2.distinct_orders, a2.total_items_sold, a2.total_revenue) == (1, 2, Decimal("20.00"))
