@@ -8,6 +8,7 @@ from __future__ import annotations
 import os
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -123,7 +124,6 @@ def _dq_not_null(c):
     rules = [("orders", ["order_id"]), ("order_items", ["order_id", "product_id", "price"]),
              ("order_payments", ["order_id", "payment_value"]), ("order_reviews", ["order_id", "review_score"]),
              ("customers", ["customer_id"]), ("products", ["product_id"])]
-    from functools import reduce
     return reduce(DataFrame.unionByName, [dq.dq_not_null(s[t], cols, t) for t, cols in rules])
 
 
@@ -132,6 +132,16 @@ ORDER_STATUSES = ["delivered", "shipped", "processing", "invoiced", "approved",
 PAYMENT_TYPES = ["credit_card", "boleto", "voucher", "debit_card", "not_defined"]
 
 
+def _dq_accepted(c):
+    """Values outside the documented code lists → ``table, key, column, value``."""
+    checks = [("order_payments", "payment_type", PAYMENT_TYPES), ("orders", "order_status", ORDER_STATUSES)]
+    return reduce(DataFrame.unionByName, [
+        dq.dq_accepted_values(c.src[t], col, values, ["order_id"]).select(
+            F.lit(t).alias("table"), F.col("order_id").alias("key"), F.lit(col).alias("column"),
+            F.col(col).alias("value"))
+        for t, col, values in checks])
+
+
 def _scratch(c, name: str) -> str:
     """A fresh folder for a round trip, inside the shared ``spark.checkpoint.dir``."""
     return f"{ensure_checkpoint_dir(c.spark).rstrip('/')}/mercadia-io/{uuid.uuid4().hex}/{name}"
@@ -227,11 +237,7 @@ QUERIES: dict[str, Callable[[Ctx], DataFrame]] = {
     # data quality
     "dq_unique_grain": lambda c: dq.dq_unique_grain(c.m["stg_order_items"], ["order_id", "item_sequence"]),
     "dq_not_null": _dq_not_null,
-    "dq_accepted_values": lambda c: dq.dq_accepted_values(c.src["order_payments"], "payment_type", PAYMENT_TYPES,
-                                                          ["order_id", "payment_sequential"]).unionByName(
-        dq.dq_accepted_values(c.src["orders"], "order_status", ORDER_STATUSES, ["order_id"])
-        .withColumnRenamed("order_status", "payment_type").withColumn("payment_sequential", F.lit(None).cast("int"))
-        .select("order_id", "payment_sequential", "payment_type")),
+    "dq_accepted_values": _dq_accepted,
     "dq_range": lambda c: dq.dq_range(c.m["stg_order_reviews"], "score", 1, 5, ["review_id"]),
     "dq_relationship": lambda c: dq.dq_relationship(c.m["stg_order_items"], c.m["stg_products"], "product_id",
                                                     keep=["order_id", "item_sequence"]),
