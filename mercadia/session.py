@@ -69,3 +69,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         conf_dir = tempfile.mkdtemp(prefix="mercadia-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(conf_dir)
     return conf_dir
+
+
+def recommended_conf(input_bytes: int, target_partition_bytes: int = 256 << 20, min_partitions: int = 200,
+                     max_partitions: int = 100_000) -> dict[str, str]:
+    """Sizing for a cluster run over ``input_bytes`` of compressed input.
+
+    Shuffle partitions start at about one per ``target_partition_bytes`` of
+    input (AQE then coalesces the small ones), scan splits and AQE's advisory
+    size use the same target, so a task's share of any stage stays bounded as
+    the data grows; skewed partitions above the target are split by AQE.
+    """
+    n = max(min_partitions, min(max_partitions, -(-int(input_bytes) // target_partition_bytes)))
+    size = str(target_partition_bytes)
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }

@@ -93,3 +93,10 @@ def test_quality_checks(spark):
     assert [r.s for r in dq.dq_range(df, "s", 1, 5).collect()] == [9]
     parent = spark.createDataFrame([("1",)], "k string")
     assert sorted(r.k for r in dq.dq_relationship(df, parent, "k").collect()) == ["2"]
+
+
+def test_recommended_conf_scales_with_input():
+    from mercadia.session import recommended_conf
+    assert recommended_conf(10 << 30)["spark.sql.shuffle.partitions"] == "200"          # floor
+    assert recommended_conf(100 << 40)["spark.sql.shuffle.partitions"] == "100000"      # 100 TB → capped
+    assert recommended_conf(1 << 40)["spark.sql.shuffle.partitions"] == "4096"          # 1 TB / 256 MB
