@@ -100,3 +100,33 @@ def test_recommended_conf_scales_with_input():
     assert recommended_conf(10 << 30)["spark.sql.shuffle.partitions"] == "200"          # floor
     assert recommended_conf(100 << 40)["spark.sql.shuffle.partitions"] == "100000"      # 100 TB → capped
     assert recommended_conf(1 << 40)["spark.sql.shuffle.partitions"] == "4096"          # 1 TB / 256 MB
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_rows = st.lists(st.tuples(st.sampled_from(["a", "b", "c", None]), st.one_of(st.none(), st.integers(-3, 3)),
+                           st.integers(-5, 5)), min_size=0, max_size=120)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=_rows, n=st.integers(1, 9), partitioned=st.booleans(), desc=st.booleans(), nulls_first=st.booleans())
+def test_global_window_property(spark, rows, n, partitioned, desc, nulls_first):
+    df = spark.createDataFrame([(i, g, v, m) for i, (g, v, m) in enumerate(rows)], "id long, g string, v int, m int")
+    key = Key("v", desc, nulls_first)
+    part = ["g"] if partitioned else None
+    out = global_window(df, [key], ["id"], partition_by=part, rank="rk", row_number="rn",
+                        ntile=None if partitioned else ("nt", 3), running={"m": "run"}, num_partitions=n)
+    w = Window.orderBy(key.sort())
+    w2 = Window.orderBy(key.sort(), F.col("id"))
+    if part:
+        w, w2 = w.partitionBy(*part), w2.partitionBy(*part)
+    ref = (df.withColumn("rk", F.rank().over(w)).withColumn("rn", F.row_number().over(w2))
+             .withColumn("run", F.sum("m").over(w2.rowsBetween(Window.unboundedPreceding, 0))))
+    cols = ["id", "rk", "rn", "run"]
+    if not part:
+        ref = ref.withColumn("nt", F.ntile(3).over(w2))
+        cols.append("nt")
+    got = sorted(tuple(r) for r in out.select(*cols).collect())
+    exp = sorted(tuple(r) for r in ref.select(*cols).collect())
+    assert got == exp
