@@ -23,7 +23,6 @@ from ..sources.readers import write_replace
 from ..sources.binding import TEST_TABLES, load_bound_tables
 from . import dashboards as db
 from . import intermediate as im
-from . import marts as mt
 from . import reports as rp
 from ..sources.readers import publish, read_csv_table
 from .pipeline import build_models, run_pipeline, table_row_counts
