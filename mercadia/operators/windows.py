@@ -138,7 +138,8 @@ def global_window(df: DataFrame, order: list, tie_break: list, partition_by: lis
        its first tie that precede it; it is broadcast back.
 
     ``rank`` orders by ``order`` only (ties share a rank); ``row_number``,
-    ``ntile`` and ``running`` order by ``order`` then ``tie_break``.
+    ``ntile`` and ``running`` order by ``order`` then ``tie_break``. The number
+    of ranges defaults to the shuffle width, capped at four task waves.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
@@ -147,7 +148,10 @@ def global_window(df: DataFrame, order: list, tie_break: list, partition_by: lis
     if ntile and part:
         raise ValueError("ntile is supported for whole-set windows only")
     running = dict(running or {})
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # ranges: the shuffle width, but at most a few waves of tasks (AQE cannot
+    # coalesce a range repartition with an explicit count)
+    n = num_partitions or max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                                     4 * spark.sparkContext.defaultParallelism))
     sort = [F.col(p).asc_nulls_first() for p in part] + [k.sort() for k in okeys + tkeys]
 
     group_key = F.struct(*[F.col(p) for p in part]) if part else F.struct(F.lit(0).alias("g"))
