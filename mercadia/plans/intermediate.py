@@ -3,6 +3,8 @@
 Each child table is aggregated to order grain *before* it meets the orders, so
 the joins never fan out and every join input is already hash-partitioned by
 ``order_id`` (the aggregates' own shuffle), which Spark reuses for the joins.
+Person and seller metrics are single grouping-sets passes (see below), so no
+join result is evaluated twice.
 """
 
 from __future__ import annotations

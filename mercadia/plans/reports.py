@@ -3,9 +3,10 @@
 The reports join items with payments per order, and the fan-out of that join
 is part of their answer (a category's payment sum counts each payment once per
 item of the order). Rather than materialising items × payments, payments are
-first reduced to one row per order (count and sums), and each item row then
-carries its order's multiplicity: the same numbers, with join inputs no larger
-than the item table.
+reduced to one row per order (count and sums) and items to one row per (order,
+category); each row then carries the other side's multiplicity. Same numbers,
+join inputs no larger than the item table, and a hot order reaches the order
+joins as at most one row per category.
 """
 
 from __future__ import annotations
