@@ -130,3 +130,19 @@ def test_global_window_property(spark, rows, n, partitioned, desc, nulls_first):
     got = sorted(tuple(r) for r in out.select(*cols).collect())
     exp = sorted(tuple(r) for r in ref.select(*cols).collect())
     assert got == exp
+
+
+_kv = st.lists(st.tuples(st.sampled_from(["k1", "k2", "k3"]), st.one_of(st.none(), st.integers(-2, 2)),
+                         st.one_of(st.none(), st.sampled_from(["x", "y", "z"])), st.integers(0, 10**6)),
+               min_size=1, max_size=60)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=_kv, desc=st.booleans(), nf=st.booleans())
+def test_top_row_per_key_property(spark, rows, desc, nf):
+    df = spark.createDataFrame(rows, "k string, n int, s string, id long")
+    order = [Key("n", desc, nf), Key("s", False, False), Key("id")]
+    got = sorted(tuple(r) for r in gr.top_row_per_key(df, ["k"], order).collect())
+    w = Window.partitionBy("k").orderBy(*[x.sort() for x in order])
+    exp = sorted(tuple(r) for r in df.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r").collect())
+    assert got == exp
