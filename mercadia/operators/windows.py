@@ -123,7 +123,7 @@ def ntile_of(rn: Column, n: Column, tiles: int) -> Column:
 def global_window(df: DataFrame, order: list, tie_break: list, partition_by: list[str] | None = None,
                   rank: str | None = None, row_number: str | None = None,
                   ntile: tuple[str, int] | None = None, running: dict[str, str] | None = None,
-                  num_partitions: int | None = None) -> DataFrame:
+                  group_sum: dict[str, str] | None = None, num_partitions: int | None = None) -> DataFrame:
     """RANK / ROW_NUMBER / NTILE / running SUM over a large input without
     funnelling it through one task.
 
@@ -138,7 +138,9 @@ def global_window(df: DataFrame, order: list, tie_break: list, partition_by: lis
        its first tie that precede it; it is broadcast back.
 
     ``rank`` orders by ``order`` only (ties share a rank); ``row_number``,
-    ``ntile`` and ``running`` order by ``order`` then ``tie_break``. The number
+    ``ntile`` and ``running`` order by ``order`` then ``tie_break``;
+    ``group_sum`` gives every row the total of a measure over its whole
+    partition group (SUM() OVER (PARTITION BY …)), also when the group spans ranges. The number
     of ranges defaults to the shuffle width, capped at four task waves.
     """
     spark = df.sparkSession
@@ -148,6 +150,9 @@ def global_window(df: DataFrame, order: list, tie_break: list, partition_by: lis
     if ntile and part:
         raise ValueError("ntile is supported for whole-set windows only")
     running = dict(running or {})
+    group_sum = dict(group_sum or {})
+    for m in group_sum:
+        running.setdefault(m, f"_gs_run_{m}")
     # ranges: the shuffle width, but at most a few waves of tasks (AQE cannot
     # coalesce a range repartition with an explicit count)
     n = num_partitions or max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")),
@@ -167,6 +172,7 @@ def global_window(df: DataFrame, order: list, tie_break: list, partition_by: lis
         "*", F.row_number().over(w).alias("_pos"),
         F.coalesce(~F.lag("_g").over(w).eqNullSafe(F.col("_g")), F.lit(True)).alias("_new_g"),
         F.coalesce(~F.lag("_t").over(w).eqNullSafe(F.col("_t")), F.lit(True)).alias("_new_t"),
+        F.coalesce(~F.lead("_g").over(w).eqNullSafe(F.col("_g")), F.lit(True)).alias("_end_g"),
         *[F.sum(m).over(wcum).alias(f"_cum_{m}") for m in running])
     # layer 2: where the current group / tie started, and the running sum before the group
     local = local.select(
@@ -180,9 +186,17 @@ def global_window(df: DataFrame, order: list, tie_break: list, partition_by: lis
         (F.col("_tstart") - F.col("_gstart") + 1).alias("_rank_in_g"),
         (F.col("_pos") - F.col("_tstart") + 1).alias("_rn_in_t"),
         *[(F.col(f"_cum_{m}") - F.col(f"_base_{m}")).alias(f"_run_{m}") for m in running])
+    if group_sum:
+        # the group's sum inside this range = its running sum at the group's last row here
+        wfwd = w.rowsBetween(0, Window.unboundedFollowing)
+        local = local.select(
+            "*", *[F.first(F.when(F.col("_end_g"), F.col(f"_run_{m}")), True).over(wfwd).alias(f"_gloc_{m}")
+                   for m in group_sum])
+    local = local.drop("_end_g")
     local = local.checkpoint(eager=True)
 
     last_aggs = [F.max_by(F.col(f"_run_{m}"), F.col("_pos")).alias(f"_last_run_{m}") for m in running]
+    last_aggs += [F.min_by(F.col(f"_gloc_{m}"), F.col("_pos")).alias(f"_first_gsum_{m}") for m in group_sum]
     summary = local.groupBy("_pid").agg(
         F.count(F.lit(1)).alias("_cnt"),
         F.min_by("_g", "_pos").alias("_g_first"),
@@ -205,6 +219,15 @@ def global_window(df: DataFrame, order: list, tie_break: list, partition_by: lis
     s = s.select("*", F.sum("_last_g_cnt").over(wg).alias("_chain_g_cnt"),
                  F.sum("_last_t_cnt").over(wt).alias("_chain_t_cnt"),
                  *[F.sum(f"_last_run_{m}").over(wg).alias(f"_chain_run_{m}") for m in running])
+    if group_sum:
+        # rows of a range's last group that lie in later ranges: a run of
+        # following ranges starting with that group (reverse islands on _g_first)
+        wr = Window.orderBy(F.col("_pid").desc())
+        s = s.select("*", F.sum(F.coalesce((~F.lag("_g_first").over(wr).eqNullSafe(F.col("_g_first"))).cast("int"),
+                                           F.lit(1))).over(wr.rowsBetween(Window.unboundedPreceding, 0))
+                     .alias("_isl_f"))
+        wf = Window.partitionBy("_isl_f").orderBy(F.col("_pid").desc()).rowsBetween(Window.unboundedPreceding, 0)
+        s = s.select("*", *[F.sum(f"_first_gsum_{m}").over(wf).alias(f"_chain_f_{m}") for m in group_sum])
     cont_g = F.lag("_g_last").over(ws).eqNullSafe(F.col("_g_first"))
     cont_t = F.lag("_t_last").over(ws).eqNullSafe(F.col("_t_first"))
     offs = s.select(
@@ -213,7 +236,10 @@ def global_window(df: DataFrame, order: list, tie_break: list, partition_by: lis
         F.when(cont_t, F.lag("_chain_t_cnt").over(ws)).otherwise(0).alias("_off_t"),
         F.sum("_cnt").over(Window.partitionBy()).alias("_total"),
         *[F.when(cont_g, F.lag(f"_chain_run_{m}").over(ws)).otherwise(0).alias(f"_off_run_{m}")
-          for m in running])
+          for m in running],
+        *[F.when(F.lead("_g_first").over(ws).eqNullSafe(F.col("_g_last")), F.lead(f"_chain_f_{m}").over(ws))
+          .otherwise(0).alias(f"_after_{m}") for m in group_sum],
+        "_g_last")
 
     out = local.join(F.broadcast(offs), "_pid")
     in_first_g = F.col("_g").eqNullSafe(F.col("_g_first"))
@@ -230,5 +256,11 @@ def global_window(df: DataFrame, order: list, tie_break: list, partition_by: lis
         name, tiles = ntile
         new_cols.append(ntile_of(rn, F.col("_total"), tiles).cast("bigint").alias(name))
     for m, name in running.items():
+        if name.startswith("_gs_run_"):
+            continue
         new_cols.append((F.col(f"_run_{m}") + F.when(in_first_g, F.col(f"_off_run_{m}")).otherwise(0)).alias(name))
+    in_last_g = F.col("_g").eqNullSafe(F.col("_g_last"))
+    for m, name in group_sum.items():
+        new_cols.append((F.col(f"_gloc_{m}") + F.when(in_first_g, F.col(f"_off_run_{m}")).otherwise(0)
+                         + F.when(in_last_g, F.col(f"_after_{m}")).otherwise(0)).alias(name))
     return out.select(*df.columns, *new_cols)

@@ -102,15 +102,12 @@ def mart_product_performance(stg_order_items: DataFrame, stg_products: DataFrame
             .withColumn("late_delivery_rate_pct", ratio("late_delivery_count", "total_orders", 1, factor=100)))
     ps = ps.withColumn("_quality", F.col("avg_review_score") * F.col("total_revenue"))
     ps = global_window(ps, [Key("total_revenue", True, True)], ["product_id"], rank="revenue_rank")
-    # Category totals from the checkpointed ranking output (the product
-    # aggregate is not evaluated again); one row per category, joined back by
-    # the planner's measured-size choice (broadcast when small, else shuffle).
-    ct = ps.groupBy("category").agg(F.sum("total_revenue").alias("category_total_revenue"))
-    ps = ps.join(ct, "category")
+    # per-category rank and the category's total revenue in the same distributed
+    # pass (no separate category aggregate joined back, no single-task window)
+    ps = global_window(ps, [Key("total_revenue", True, True)], ["product_id"], partition_by=["category"],
+                       rank="category_revenue_rank", group_sum={"total_revenue": "category_total_revenue"})
     ps = ps.withColumn("category_revenue_share_pct",
                        ratio("total_revenue", "category_total_revenue", 2, factor=100))
-    ps = global_window(ps, [Key("total_revenue", True, True)], ["product_id"], partition_by=["category"],
-                       rank="category_revenue_rank")
     ps = global_window(ps, [Key("_quality", True, False)], ["product_id"], rank="quality_adjusted_rank")
     return ps.select("product_id", "category", "total_orders", "units_sold", "total_revenue", "avg_unit_price",
                      "total_freight", "avg_review_score", "low_score_order_count", "low_score_rate_pct",

@@ -116,14 +116,17 @@ def test_global_window_property(spark, rows, n, partitioned, desc, nulls_first):
     key = Key("v", desc, nulls_first)
     part = ["g"] if partitioned else None
     out = global_window(df, [key], ["id"], partition_by=part, rank="rk", row_number="rn",
-                        ntile=None if partitioned else ("nt", 3), running={"m": "run"}, num_partitions=n)
+                        ntile=None if partitioned else ("nt", 3), running={"m": "run"},
+                        group_sum={"m": "tot"}, num_partitions=n)
     w = Window.orderBy(key.sort())
     w2 = Window.orderBy(key.sort(), F.col("id"))
+    wall = Window.partitionBy(*(part or []))
     if part:
         w, w2 = w.partitionBy(*part), w2.partitionBy(*part)
     ref = (df.withColumn("rk", F.rank().over(w)).withColumn("rn", F.row_number().over(w2))
-             .withColumn("run", F.sum("m").over(w2.rowsBetween(Window.unboundedPreceding, 0))))
-    cols = ["id", "rk", "rn", "run"]
+             .withColumn("run", F.sum("m").over(w2.rowsBetween(Window.unboundedPreceding, 0)))
+             .withColumn("tot", F.sum("m").over(wall)))
+    cols = ["id", "rk", "rn", "run", "tot"]
     if not part:
         ref = ref.withColumn("nt", F.ntile(3).over(w2))
         cols.append("nt")
