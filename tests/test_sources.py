@@ -101,3 +101,23 @@ def test_reports_from_csv_sources_match_parquet_bound(spark, tmp_dir):
     x = rp.b_category_analytics(*[csv[n] for n in names])
     y = rp.b_category_analytics(*[src[n] for n in names])
     assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0
+
+
+def test_report_invariants_on_bound_data(spark):
+    import __spark_entry__ as E
+    q = E.queries()
+    b = q["b_category_analytics"](spark, SF)
+    assert b.agg(F.max("cumulative_revenue_pct")).first()[0] == 100.0
+    assert abs(b.agg(F.sum("revenue_share_pct")).first()[0] - 100.0) < 0.05 * b.count()
+    seg = q["mart_customer_segments"](spark, SF)
+    sizes = [r["count"] for r in seg.groupBy("spend_quartile").count().collect()]
+    assert len(sizes) == 4 and max(sizes) - min(sizes) <= 1
+    pp = q["mart_product_performance"](spark, SF)
+    # walking products in rank order, revenue never increases (neighbour check on a small test table)
+    from pyspark.sql import Window
+    w = Window.orderBy("revenue_rank", "product_id")
+    bad = pp.withColumn("_prev", F.lag("total_revenue").over(w)).where(F.col("_prev") < F.col("total_revenue"))
+    assert bad.count() == 0
+    # category shares add up to 100 per category (up to rounding)
+    sums = pp.groupBy("category").agg(F.sum("category_revenue_share_pct").alias("s"), F.count(F.lit(1)).alias("n"))
+    assert sums.where(F.abs(F.col("s") - 100) > 0.005 * F.col("n")).count() == 0
