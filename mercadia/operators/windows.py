@@ -124,8 +124,8 @@ def global_window(df: DataFrame, order: list, tie_break: list, partition_by: lis
                   rank: str | None = None, row_number: str | None = None,
                   ntile: tuple[str, int] | None = None, running: dict[str, str] | None = None,
                   group_sum: dict[str, str] | None = None, num_partitions: int | None = None) -> DataFrame:
-    """RANK / ROW_NUMBER / NTILE / running SUM over a large input without
-    funnelling it through one task.
+    """RANK / ROW_NUMBER / NTILE / running SUM / whole-group SUM over a large
+    input without funnelling it through one task.
 
     1. Range-partition on (partition keys, order keys, tie-break). The
        tie-break makes the sort key unique, so even a group or a tie holding a
@@ -134,14 +134,16 @@ def global_window(df: DataFrame, order: list, tie_break: list, partition_by: lis
        (one sort per range), then checkpoint so every later pass sees the same
        ranges (range bounds are sampled).
     3. A summary of one row per range (bounded by the number of ranges) gives
-       each range the rows/sums of its group that precede it, and the rows of
-       its first tie that precede it; it is broadcast back.
+       each range the rows/sums of its first group that precede it, the rows of
+       its first tie that precede it and the sums of its last group that
+       follow it; it is broadcast back.
 
     ``rank`` orders by ``order`` only (ties share a rank); ``row_number``,
     ``ntile`` and ``running`` order by ``order`` then ``tie_break``;
     ``group_sum`` gives every row the total of a measure over its whole
-    partition group (SUM() OVER (PARTITION BY …)), also when the group spans ranges. The number
-    of ranges defaults to the shuffle width, capped at four task waves.
+    partition group (SUM() OVER (PARTITION BY …)), also when the group spans
+    ranges. The number of ranges defaults to the shuffle width, capped at four
+    task waves.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
