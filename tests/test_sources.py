@@ -121,3 +121,13 @@ def test_report_invariants_on_bound_data(spark):
     # category shares add up to 100 per category (up to rounding)
     sums = pp.groupBy("category").agg(F.sum("category_revenue_share_pct").alias("s"), F.count(F.lit(1)).alias("n"))
     assert sums.where(F.abs(F.col("s") - 100) > 0.005 * F.col("n")).count() == 0
+
+
+def test_full_pipeline_matches_named_queries(spark, tmp_dir):
+    import __spark_entry__ as E
+    built = run_pipeline(bound_sources(spark, SF), materialise_root=tmp_dir)
+    assert list(built) == [n for n, *_ in MODEL_GRAPH]
+    q = E.queries()
+    for name in ["int_seller_metrics", "mart_customer_segments", "mart_product_performance"]:
+        a, b = canonical(built[name]), q[name](spark, SF)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
