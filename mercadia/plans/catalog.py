@@ -194,6 +194,7 @@ QUERIES: dict[str, Callable[[Ctx], DataFrame]] = {
     "b_category_analytics": _b,
     "b_category_analytics_original": _b_orig,
     "b_top20_late": lambda c: rp.b_top20_late(_b(c)),
+    "b_top20_revenue": lambda c: rp.b_top20_late(_b(c), by="revenue_rank"),
     # staging
     "stg_orders": lambda c: c.m["stg_orders"],
     "stg_customers": lambda c: c.m["stg_customers"],
