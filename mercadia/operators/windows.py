@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import ratio
-from ..session import ensure_checkpoint_dir
+from ..session import cut_lineage, ensure_checkpoint_dir
 
 
 @dataclass(frozen=True)
@@ -131,8 +131,9 @@ def global_window(df: DataFrame, order: list, tie_break: list, partition_by: lis
        tie-break makes the sort key unique, so even a group or a tie holding a
        third of all rows is cut into evenly sized ranges.
     2. Inside each range: position, group start, tie start and running sums
-       (one sort per range), then checkpoint so every later pass sees the same
-       ranges (range bounds are sampled).
+       (one sort per range), then written once as a table in the shared
+       checkpoint folder, so every later pass sees the same ranges (range bounds
+       are sampled) and the summary pass reads only the columns it needs.
     3. A summary of one row per range (bounded by the number of ranges) gives
        each range the rows/sums of its first group that precede it, the rows of
        its first tie that precede it and the sums of its last group that
@@ -194,8 +195,7 @@ def global_window(df: DataFrame, order: list, tie_break: list, partition_by: lis
         local = local.select(
             "*", *[F.first(F.when(F.col("_end_g"), F.col(f"_run_{m}")), True).over(wfwd).alias(f"_gloc_{m}")
                    for m in group_sum])
-    local = local.drop("_end_g")
-    local = local.checkpoint(eager=True)
+    local = cut_lineage(local.drop("_end_g"), "global_window")
 
     last_aggs = [F.max_by(F.col(f"_run_{m}"), F.col("_pos")).alias(f"_last_run_{m}") for m in running]
     last_aggs += [F.min_by(F.col(f"_gloc_{m}"), F.col("_pos")).alias(f"_first_gsum_{m}") for m in group_sum]

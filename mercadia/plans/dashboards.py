@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.exprs import elapsed_days, interval_days, money, ratio
 from ..operators.grouping import segment_by_recency, top_k
 from ..operators.windows import Key, period_over_period
-from ..session import ensure_checkpoint_dir
+from ..session import cut_lineage
 from .reports import _items_with_category, _open, _payments_per_order, _per_order_category
 
 
@@ -74,10 +74,9 @@ def ds_customer_segments(o: DataFrame, c: DataFrame, p: DataFrame, recent: int =
         F.count_distinct("order_id").alias("total_orders"),
         F.round(F.sum("_paid"), 2).alias("total_spend"),
         F.max("order_purchase_timestamp").alias("last_order_at"))
-    # Two passes over the summary (its max, then each row): checkpoint it once so
-    # the joins beneath are not evaluated twice.
-    ensure_checkpoint_dir(cs.sparkSession)
-    cs = cs.checkpoint(eager=True)
+    # Two passes over the summary (its max, then each row): write it once to the
+    # shared checkpoint folder so the joins beneath are not evaluated twice.
+    cs = cut_lineage(cs, "ds_customer_summary")
     max_date = cs.agg(F.max("last_order_at")).scalar()
     days = interval_days(max_date, F.col("last_order_at"))
     return cs.select("customer_unique_id", "customer_state", "total_orders", "total_spend", "last_order_at",

@@ -88,3 +88,18 @@ def recommended_conf(input_bytes: int, target_partition_bytes: int = 256 << 20,
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
     }
+
+
+def shared_table_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder for an intermediate table inside the shared checkpoint folder."""
+    import uuid
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/mercadia-tables/{uuid.uuid4().hex}/{name}"
+
+
+def cut_lineage(df, name: str):
+    """Write ``df`` as a Parquet table into the shared checkpoint folder and read
+    it back: later passes see exactly these rows (also after an executor loss),
+    read only the columns they need, and do not re-run the upstream plan."""
+    path = shared_table_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
