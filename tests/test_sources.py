@@ -131,3 +131,12 @@ def test_full_pipeline_matches_named_queries(spark, tmp_dir):
     for name in ["int_seller_metrics", "mart_customer_segments", "mart_product_performance"]:
         a, b = canonical(built[name]), q[name](spark, SF)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
+
+
+def test_cut_lineage_writes_into_the_checkpoint_folder(spark):
+    from mercadia.session import cut_lineage, ensure_checkpoint_dir
+    df = spark.range(100).select((F.col("id") % 7).alias("k"), F.struct(F.col("id").alias("x")).alias("s"))
+    out = cut_lineage(df, "probe")
+    files = out.inputFiles()
+    assert files and all(ensure_checkpoint_dir(spark).rstrip("/") in f for f in files)
+    assert out.exceptAll(df).count() == 0 and df.exceptAll(out).count() == 0
