@@ -8,9 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mercadia.llm.bpe import encoding_digests
 from mercadia.llm.chat import ROTATE_SQL, rotate_perspectives
 from mercadia.llm.common import table
+from mercadia.llm.packing import pack_documents
 from mercadia.llm.rendezvous import shard_records
+from mercadia.llm.token_counts import count_tokens
 from mercadia.llm.topk import TOP_K_SQL, top_k_inner_product
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -21,6 +24,18 @@ def op1_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k_inner_product(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
 
 
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), BYTE_BPE, capacity=2048)
+
+
+def op5_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoding_digests(table(spark, sf_dir, "documents"), BYTE_BPE)
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(table(spark, sf_dir, "documents"), BYTE_BPE, limit=512)
+
+
 def op7_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rotate_perspectives(table(spark, sf_dir, "conversations"))
 
@@ -36,6 +51,9 @@ def op9_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_top_k": op1_exact_top_k,
+    "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_bpe_encode_decode": op5_bpe_encode_decode,
+    "op6_token_counts": op6_token_counts,
     "op7_chat_rotation": op7_chat_rotation,
     "op9_rendezvous_sharding": op9_rendezvous_sharding,
 }

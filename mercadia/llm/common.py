@@ -8,8 +8,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: Rows of an Arrow batch that a task turns into Python objects at a time.
-SLICE_ROWS = 512
+#: Rows and bytes of an Arrow batch that a task turns into Python objects at a time.
+SLICE_ROWS, SLICE_BYTES = 512, 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,11 +23,17 @@ def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
-def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
-    """The batches in short zero-copy slices, so that a task holds few rows as Python objects."""
+def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches in short zero-copy slices, so that a task holds few rows as Python
+    objects; a slice has one row at least, however long."""
     for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
+        at = 0
+        while at < batch.num_rows:
+            part = batch.slice(at, rows)
+            while part.num_rows > 1 and part.nbytes > size:
+                part = part.slice(0, part.num_rows // 2)
+            at += part.num_rows
+            yield part
 
 
 def numbered(df: DataFrame, keys: list[str], salt: list[Column], order: list[Column], out: str,
