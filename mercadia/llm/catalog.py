@@ -12,6 +12,7 @@ from mercadia.llm.bpe import encoding_digests
 from mercadia.llm.chat import ROTATE_SQL, rotate_perspectives
 from mercadia.llm.common import table
 from mercadia.llm.packing import pack_documents
+from mercadia.llm.perplexity import perplexity_quality
 from mercadia.llm.rendezvous import shard_records
 from mercadia.llm.token_counts import count_tokens
 from mercadia.llm.topk import TOP_K_SQL, top_k_inner_product
@@ -49,6 +50,11 @@ def op9_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
+def op10_perplexity_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perplexity_quality(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "log_perplexity")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_top_k": op1_exact_top_k,
     "op4_best_fit_packing": op4_best_fit_packing,
@@ -56,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_token_counts": op6_token_counts,
     "op7_chat_rotation": op7_chat_rotation,
     "op9_rendezvous_sharding": op9_rendezvous_sharding,
+    "op10_perplexity_quality": op10_perplexity_quality,
 }
 
 ORACLES: dict[str, str] = {"op1_exact_top_k": TOP_K_SQL, "op7_chat_rotation": ROTATE_SQL}
