@@ -14,6 +14,7 @@ from mercadia.llm.common import table
 from mercadia.llm.packing import pack_documents
 from mercadia.llm.perplexity import perplexity_quality
 from mercadia.llm.rendezvous import shard_records
+from mercadia.llm.suffix_dedup import dedup_digests
 from mercadia.llm.token_counts import count_tokens
 from mercadia.llm.topk import TOP_K_SQL, top_k_inner_product
 
@@ -25,6 +26,10 @@ def op1_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k_inner_product(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
 
 
+def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_digests(table(spark, sf_dir, "documents"), length=100)
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), BYTE_BPE, capacity=2048)
 
@@ -57,6 +62,7 @@ def op10_perplexity_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_top_k": op1_exact_top_k,
+    "op3_suffix_array_dedup": op3_suffix_array_dedup,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_bpe_encode_decode": op5_bpe_encode_decode,
     "op6_token_counts": op6_token_counts,
