@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from mercadia.llm.bpe import encoding_digests
 from mercadia.llm.chat import ROTATE_SQL, rotate_perspectives
 from mercadia.llm.common import table
+from mercadia.llm.jaccard_join import jaccard_components
 from mercadia.llm.packing import pack_documents
 from mercadia.llm.perplexity import perplexity_quality
 from mercadia.llm.rendezvous import shard_records
@@ -46,6 +47,10 @@ def op7_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rotate_perspectives(table(spark, sf_dir, "conversations"))
 
 
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
 def op9_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.col("text").cast("binary")
     docs = table(spark, sf_dir, "documents").select(
@@ -67,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_bpe_encode_decode": op5_bpe_encode_decode,
     "op6_token_counts": op6_token_counts,
     "op7_chat_rotation": op7_chat_rotation,
+    "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_rendezvous_sharding": op9_rendezvous_sharding,
     "op10_perplexity_quality": op10_perplexity_quality,
 }
