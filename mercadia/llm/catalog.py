@@ -14,6 +14,7 @@ from mercadia.llm.common import table
 from mercadia.llm.jaccard_join import jaccard_components
 from mercadia.llm.packing import pack_documents
 from mercadia.llm.perplexity import perplexity_quality
+from mercadia.llm.pii_crf import personal_data
 from mercadia.llm.rendezvous import shard_records
 from mercadia.llm.suffix_dedup import dedup_digests
 from mercadia.llm.token_counts import count_tokens
@@ -27,6 +28,10 @@ def op1_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k_inner_product(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
 
 
+def op2_skip_chain_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
 def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_digests(table(spark, sf_dir, "documents"), length=100)
 
@@ -67,6 +72,7 @@ def op10_perplexity_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_top_k": op1_exact_top_k,
+    "op2_skip_chain_pii": op2_skip_chain_pii,
     "op3_suffix_array_dedup": op3_suffix_array_dedup,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_bpe_encode_decode": op5_bpe_encode_decode,
