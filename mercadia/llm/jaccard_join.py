@@ -131,7 +131,8 @@ def first_shingles(shingles: np.ndarray, percent: int, common: np.ndarray, bucke
             is_common = common[np.minimum(np.searchsorted(common, keys), len(common) - 1)] == keys
         rare = keys[~is_common]
         if len(rare) >= need or upto == len(shingles):
-            return np.concatenate([rare, keys[is_common]])[:need]
+            out = np.concatenate([rare, keys[is_common]])[:need]
+            return out if len(np.unique(out)) == len(out) else np.unique(out)
         upto = len(shingles)
 
 
@@ -155,16 +156,6 @@ def _texts(batches, name: str = "text") -> Iterator[tuple[pa.RecordBatch, list[b
         yield part, part.column(name).to_pylist()
 
 
-def _describe(words: int):
-    """(_doc, _class, n) of each text."""
-    def describe(batches):
-        for part, texts in _texts(batches):
-            sets = shingle_sets(texts, words)
-            yield pa.RecordBatch.from_arrays([part.column("_doc"), pa.array([set_class(s) for s in sets], pa.int64()),
-                                              pa.array([len(s) for s in sets], pa.int64())], ["_doc", "_class", "n"])
-    return describe
-
-
 def _deal_first(words: int, percent: int, buckets: int):
     """Keys of the first shingles by hash, and by bucket: a row's data are the lower halves."""
     def deal(batches):
@@ -199,97 +190,106 @@ def _count_first(batches):
         yield pa.RecordBatch.from_arrays([pa.array((np.int64(bucket) << 32) | low.astype(np.int64)), pa.array(n.astype(np.int64))], ["key", "n"])
 
 
-_ENTRY = np.dtype([("low", "<u4"), ("salt", "<u2"), ("size", "<u4"), ("cls", "<i8")])
+def _describe(words: int, percent: int, buckets: int, held_common):
+    """(_doc, _class, n, first) of each text: its class, the size of its set, the keys of its first shingles."""
+    def describe(batches):
+        common, _ = held_common.value
+        for part, texts in _texts(batches):
+            sets = shingle_sets(texts, words)
+            first = [first_shingles(s, percent, common, buckets).astype(np.int64) for s in sets]
+            ends = np.concatenate([[0], np.cumsum([len(f) for f in first])]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [part.column("_doc"), pa.array([set_class(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(first), pa.int64()))], ["_doc", "_class", "n", "first"])
+    return describe
+
+
+_ENTRY = (("low", np.dtype("<u4")), ("step", np.dtype("<u1")), ("cls", np.dtype("<i8")))
 
 
-def _deal_regions(words: int, percent: int, buckets: int, held_common):
-    """Each class's entries in its regions, by bucket. A region under a very frequent
-    shingle is cut into parts by class; its entries carry the part as salt."""
+def _size_step(n: np.ndarray, percent: int) -> np.ndarray:
+    """Number of a size on a scale whose step is the widest ratio of linked sizes: linked sizes are a step apart at most."""
+    if percent >= 100:
+        return np.zeros(len(n), np.uint8)
+    return np.minimum(255, np.log(np.maximum(n, 1)) / np.log(100 / percent)).astype(np.uint8)
+
+
+def _deal_regions(percent: int, buckets: int, held_common):
+    """Each class's entries in its regions, by bucket, as columns one after the other. A
+    region under a very frequent shingle is cut into parts by class, which go to
+    buckets of their own (part number in the upper half)."""
     def deal(batches):
         common, parts = held_common.value
-        held: list[tuple[np.ndarray, int, int]] = []
+        seen: set[int] = set()
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         size = 0
 
         def flush():
-            key = np.concatenate([h[0] for h in held])
-            n = [len(h[0]) for h in held]
-            cls, count = np.repeat(np.array([h[1] for h in held], np.int64), n), np.repeat(np.array([h[2] for h in held], np.int64), n)
-            salt = np.zeros(len(key), np.uint64)
+            key, cls, step = (np.concatenate([h[i] for h in held]) for i in range(3))
+            bucket = (key >> np.uint64(32)).astype(np.int64)
             if len(common):
                 at = np.minimum(np.searchsorted(common, key), len(common) - 1)
-                of = np.where(common[at] == key, parts[at], 1).astype(np.uint64)
-                salt = _mixed(cls.astype(np.uint64)) % of
-            bucket = (key >> np.uint64(32)).astype(np.int64)
-            moved = salt > 0  # further parts go to other buckets than the first
-            bucket[moved] = (_mixed(key[moved] + salt[moved]) % np.uint64(buckets)).astype(np.int64) + buckets * (1 + bucket[moved])
-            entry = np.zeros(len(key), _ENTRY)
-            entry["low"], entry["salt"], entry["size"], entry["cls"] = key & _LOW, salt, count, cls
+                of = np.where(common[at] == key, parts[at], 1)
+                part = 1 + (_mixed(cls.astype(np.uint64)) % of.astype(np.uint64)).astype(np.int64)
+                bucket = np.where(of > 1, (part << 32) | bucket, bucket)
             o = np.argsort(bucket, kind="stable")
-            entry, bucket = entry[o], bucket[o]
-            runs = list(_by_bucket(bucket))
+            columns = [c[o].astype(t) for c, (_, t) in zip((key & _LOW, step, cls), _ENTRY, strict=True)]
+            runs = list(_by_bucket(bucket[o]))
             yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in runs], pa.int64()),
-                                              pa.array([_columns(entry[at]) for _, at in runs], pa.binary())], ["bucket", "data"])
-
-        for _, texts in _texts(batches):
-            seen = {set_class(s): s for s in shingle_sets(texts, words) if len(s)}
-            for cls, s in seen.items():
-                held.append((first_shingles(s, percent, common, buckets), cls, len(s)))
-                size += len(held[-1][0])
+                                              pa.array([b"".join(c[at].tobytes() for c in columns) for _, at in runs], pa.binary())], ["bucket", "data"])
+
+        for part in slices(batches):
+            cls, n = (part.column(c).to_numpy() for c in ("_class", "n"))
+            first = part.column("first")
+            keys, count = first.flatten().to_numpy().astype(np.uint64), first.value_lengths().to_numpy()
+            new = np.array([not (c in seen or seen.add(c)) for c in cls.tolist()], bool)  # copies near each other count once
+            mine = np.repeat(new, count)
+            held.append((keys[mine], np.repeat(cls, count)[mine], np.repeat(_size_step(n, percent), count)[mine]))
+            size += int(mine.sum())
             if size >= BATCH_ENTRIES:
                 yield from flush()
-                held, size = [], 0
-        if held:
+                held, size, seen = [], 0, set()
+        if size:
             yield from flush()
     return deal
 
 
-def _columns(entries: np.ndarray) -> bytes:
-    """Entries column by column, which compresses better."""
-    return b"".join(np.ascontiguousarray(entries[n]).tobytes() for n in entries.dtype.names)
+def _entries(data: bytes) -> list[np.ndarray]:
+    n, at, out = len(data) // sum(t.itemsize for _, t in _ENTRY), 0, []
+    for _, t in _ENTRY:
+        out.append(np.frombuffer(data, t, n, at))
+        at += n * t.itemsize
+    return out
 
 
-def _entries(data: bytes) -> np.ndarray:
-    n = len(data) // _ENTRY.itemsize
-    out, at = np.zeros(n, _ENTRY), 0
-    for name in _ENTRY.names:
-        out[name] = np.frombuffer(data, _ENTRY[name], n, at)
-        at += n * _ENTRY[name].itemsize
-    return out
+_MEMBERS = "region long, cls long, step int, pivot long, pivot_step int, members long"
 
 
-_MEMBERS = "region long, cls long, size long, pivot long, pivot_size long"
-
-
-def _form_regions(buckets: int):
-    """Members of each region with more than one class, and the pivot of their part: its
-    smallest class. Parts of a larger region are told even with a single member."""
-    def form(batches):
-        by: dict[int, list[np.ndarray]] = {}
-        for batch in batches:
-            for bucket, data in zip(batch.column("bucket").to_pylist(), batch.column("data").to_pylist(), strict=True):
-                by.setdefault(bucket, []).append(_entries(data))
-        for bucket in list(by):
-            e = np.concatenate(by.pop(bucket))
-            home = bucket if bucket < buckets else bucket // buckets - 1
-            region = (np.int64(home) << 32) | e["low"].astype(np.int64)
-            o = np.lexsort((e["cls"], e["salt"], region))
-            e, region = e[o], region[o]
-            new = np.ones(len(e), bool)
-            new[1:] = (np.diff(region) != 0) | (np.diff(e["salt"].astype(np.int64)) != 0)
-            once = new.copy()
-            once[1:] |= np.diff(e["cls"]) != 0
-            e, region, new = e[once], region[once], new[once]
-            first = np.flatnonzero(new)
-            size = np.diff(np.concatenate([first, [len(e)]]))
-            lead = np.repeat(first, size)
-            split = np.full(len(e), bucket >= buckets)
-            keep = (np.repeat(size, size) > 1) | split
-            for at in np.array_split(np.flatnonzero(keep), max(1, keep.sum() // 100_000)):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(region[at]), pa.array(e["cls"][at]), pa.array(e["size"][at].astype(np.int64)), pa.array(e["cls"][lead[at]]),
-                     pa.array(e["size"][lead[at]].astype(np.int64))],
-                    ["region", "cls", "size", "pivot", "pivot_size"])
-    return form
+def _form_regions(batches):
+    """Members of each region with more than one class, and the pivot: the smallest class.
+    A part of a region has a pivot of its own and is told even with one member."""
+    by: dict[int, list] = {}
+    for batch in batches:
+        for bucket, data in zip(batch.column("bucket").to_pylist(), batch.column("data").to_pylist(), strict=True):
+            by.setdefault(bucket, []).append(_entries(data))
+    for bucket in list(by):
+        low, step, cls = (np.concatenate(c) for c in zip(*by.pop(bucket), strict=True))
+        o = np.lexsort((cls, low))
+        low, step, cls = low[o], step[o], cls[o]
+        once = np.ones(len(o), bool)
+        once[1:] = (low[1:] != low[:-1]) | (cls[1:] != cls[:-1])
+        low, step, cls = low[once], step[once], cls[once]
+        first = np.flatnonzero(np.concatenate([[True], low[1:] != low[:-1]]))
+        size = np.diff(np.concatenate([first, [len(low)]]))
+        lead, size = np.repeat(first, size), np.repeat(size, size)
+        region = ((bucket & 0xFFFFFFFF) << 32) | low.astype(np.int64)
+        part = bucket >> 32
+        keep = np.flatnonzero((size > 1) | (part > 0))
+        for at in np.array_split(keep, max(1, len(keep) // 100_000)):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(region[at]), pa.array(cls[at]), pa.array(step[at].astype(np.int32)), pa.array(cls[lead[at]]),
+                 pa.array(step[lead[at]].astype(np.int32)), pa.array(np.where(part > 0, 1 << 40, size[at]).astype(np.int64))],
+                ["region", "cls", "step", "pivot", "pivot_step", "members"])
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -312,38 +312,65 @@ def connected_components(edges: DataFrame) -> DataFrame:
         label = label.select("node", "label")
 
 
-class _Sets:
-    """Shingle sets of the classes that are compared, and the pairs' similarity."""
-
-    def __init__(self, texts: DataFrame, members: DataFrame, needed: DataFrame, words: int):
-        reps = members.groupBy("_class").agg(F.min("_doc").alias("_doc")).join(needed, "_class", "left_semi").select("_doc")
-        reps = cut_lineage(reps, "representatives")
-        if reps.count() <= BROADCAST_IDS:  # a checked size; beyond, the texts are shuffled to the ids
-            reps = F.broadcast(reps)
+class _Compare:
+    """Decides pairs of classes: first by their first shingles, then by their whole sets."""
+
+    def __init__(self, texts: DataFrame, described: DataFrame, words: int, percent: int):
+        self.texts, self.described, self.words, self.percent = texts, described, words, percent
+        self.reps = cut_lineage(described.where("n > 0").groupBy(F.col("_class").alias("cls")).agg(F.min("_doc").alias("_doc")), "representatives")
+
+    @staticmethod
+    def _picked(big: DataFrame, few: DataFrame, on: list[str]) -> DataFrame:
+        """Inner join of documents with some of them: few of a checked size are broadcast, more are shuffled."""
+        few = cut_lineage(few, "picked")
+        return big.join(F.broadcast(few) if few.count() <= BROADCAST_IDS else few, on)
+
+    def possible(self, pairs: DataFrame) -> DataFrame:
+        """(a, b, alike) of those distinct pairs (a, b) that can be linked by what their first shingles share.
+
+        With n members of which p come first, and a needed overlap o: of the set whose
+        first shingles end sooner, those that the other has are among the other's
+        first, and so are o - (n - p) at least."""
+        pairs = cut_lineage(pairs, "pairs")
+        needed = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
+        first = cut_lineage(self._picked(self.described.select("_doc", F.col("_class").alias("cls"), "n", "first"),
+                                         self.reps.join(needed, "cls"), ["_doc", "cls"]).dropDuplicates(["cls"]), "first_shingles")
+        side = lambda c: first.select(F.col("cls").alias(c), F.col("n").alias(f"n_{c}"), F.col("first").alias(f"first_{c}"))
+        both = pairs.join(side("a"), "a").join(side("b"), "b").where(
+            F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * self.percent)
+        overlap = F.ceil((F.col("n_a") + F.col("n_b")) * self.percent / F.lit(100 + self.percent))
+        least = F.least(*[overlap - F.col(f"n_{c}") + F.size(f"first_{c}") for c in "ab"])
+        alike = F.size(F.array_intersect("first_a", "first_b"))
+        return both.select("a", "b", alike.alias("alike"), least.alias("least")).where("alike >= least").select("a", "b", "alike")
+
+    def _sets(self, few: DataFrame, *more: str) -> DataFrame:
+        """(cls, shingles, more): the sets of the classes in ``few``, from a text of each."""
+        words = self.words
 
         def gather(batches):
-            for _, own in _texts(batches):
+            for part, own in _texts(batches):
                 sets = shingle_sets(own, words)
                 ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
                 values = pa.array(np.concatenate(sets).astype(np.int64), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array([set_class(s) for s in sets], pa.int64()),
-                                                  pa.ListArray.from_arrays(pa.array(ends), values)], ["cls", "shingles"])
-        own = texts.join(reps, "_doc", "left_semi").mapInArrow(gather, "cls long, shingles array<long>")
-        self.table = cut_lineage(own, "shingle_sets")
+                yield pa.RecordBatch.from_arrays([pa.array([set_class(s) for s in sets], pa.int64()), pa.ListArray.from_arrays(pa.array(ends), values),
+                                                  *(part.column(c) for c in ("cls", *more))], ["own", "shingles", "cls", *more])
+        types = "".join(f", {c} array<long>" for c in more)
+        return (self._picked(self.texts, self.reps.join(few, "cls"), ["_doc"]).select("text", "cls", *more)
+                .mapInArrow(gather, "own long, shingles array<long>, cls long" + types)
+                .where("own = cls").drop("own"))  # another text of the same id is no member of the class
 
     def similar(self, pairs: DataFrame) -> DataFrame:
-        """(a, b, shared, total) of distinct class pairs (a, b): sizes of intersection and union."""
-        side = lambda c, s: self.table.select(F.col("cls").alias(c), F.col("shingles").alias(s))
-        return (pairs.select("a", "b").join(side("a", "x"), "a").join(side("b", "y"), "b")
+        """(a, b, shared, total) of pairs of classes (a, b): sizes of intersection and union. A set
+        moves once for each of its pairs as ``a``, to its partner ``b``."""
+        pairs = cut_lineage(pairs.select("a", "b"), "pairs")
+        x = self._sets(pairs.groupBy(F.col("a").alias("cls")).agg(F.collect_set("b").alias("others")), "others")
+        x = x.select(F.col("cls").alias("a"), F.col("shingles").alias("x"), F.explode("others").alias("b"))
+        y = self._sets(pairs.select(F.col("b").alias("cls")).distinct()).select(F.col("cls").alias("b"), F.col("shingles").alias("y"))
+        return (x.join(y, "b")
                 .select("a", "b", (F.size("x") + F.size("y")).alias("both"), F.size(F.array_intersect("x", "y")).alias("shared"))
                 .select("a", "b", "shared", (F.col("both") - F.col("shared")).alias("total")))
 
 
-def _comparable(a: str, b: str, percent: int):
-    """Sizes under which two sets can be linked at all."""
-    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
-
-
 def jaccard_components(docs: DataFrame, words: int, percent: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id.
 
@@ -362,29 +389,30 @@ def jaccard_components(docs: DataFrame, words: int, percent: int, id_col: str =
     buckets = max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
     texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias("_doc"), text.alias("text"))
-    members = cut_lineage(texts.mapInArrow(_describe(words), "_doc long, _class long, n long"), "classes")
 
     # shingles that stand first in many documents
     first = texts.mapInArrow(_deal_first(words, percent, buckets), _DEALT).repartition(buckets, "bucket")
     common = (first.mapInArrow(_count_first, "key long, n long").orderBy(F.col("n").desc(), "key").limit(COMMON_KEPT)
-              .toPandas().sort_values("key"))
+              .toArrow().to_pandas().sort_values("key"))
     held = spark.sparkContext.broadcast((common["key"].to_numpy(np.uint64), -(-common["n"].to_numpy(np.int64) // PART_MEMBERS)))
 
-    dealt = texts.mapInArrow(_deal_regions(words, percent, buckets, held), "bucket long, data binary")
-    regions = cut_lineage(dealt.repartition(buckets, "bucket").mapInArrow(_form_regions(buckets), _MEMBERS), "regions")
-
-    rank = F.when(F.col("a") < F.col("b"), F.struct(F.col("a"), F.col("b"))).otherwise(F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
-    pair = lambda df: df.select(rank.alias("_p")).select("_p.a", "_p.b").distinct()
-    stars = regions.where("cls <> pivot").where(_comparable("size", "pivot_size", percent))
-    # the pivot that a class shares most regions with decides first
-    votes = stars.groupBy("cls", "pivot").agg(F.count(F.lit(1)).alias("n"))
-    best = votes.groupBy("cls").agg(F.max_by("pivot", F.struct("n", F.col("pivot"))).alias("pivot"))
-    wanted = cut_lineage(votes.select("cls", "pivot"), "stars")
-    needed = regions.select(F.col("cls").alias("_class")).distinct()
-    sets = _Sets(texts, members, needed, words)
-    links_of = lambda df: df.where(F.col("shared") * 100 >= F.col("total") * percent).select("a", "b")
-
-    links = cut_lineage(links_of(sets.similar(pair(best.select(F.col("cls").alias("a"), F.col("pivot").alias("b"))))), "links")
+    described = cut_lineage(texts.mapInArrow(_describe(words, percent, buckets, held),
+                                             "_doc long, _class long, n long, first array<long>"), "described")
+    dealt = described.where("n > 0").select("_class", "n", "first").mapInArrow(_deal_regions(percent, buckets, held), "bucket long, data binary")
+    regions = cut_lineage(dealt.repartition(buckets, "bucket").mapInArrow(_form_regions, _MEMBERS), "regions")
+
+    compare = _Compare(texts, described, words, percent)
+    linked = lambda df: df.where(F.col("shared") * 100 >= F.col("total") * percent).select("a", "b")
+    in_order = lambda df: df.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    near_size = lambda x, y: F.abs(F.col(x) - F.col(y)) <= 1
+
+    # members against the pivots of their regions; the pivot that is most alike decides first.
+    # A pair is (member, pivot): the member's set moves to its pivot's.
+    stars = (regions.where("cls <> pivot").where(near_size("step", "pivot_step"))
+             .select(F.col("cls").alias("a"), F.col("pivot").alias("b")).distinct())
+    stars = cut_lineage(compare.possible(stars), "stars")
+    best = cut_lineage(stars.groupBy("a").agg(F.max_by("b", F.struct("alike", "b")).alias("b")), "best")
+    links = cut_lineage(linked(compare.similar(best)), "links")
     label = connected_components(links)
 
     def labelled(df: DataFrame, *cols: str) -> DataFrame:
@@ -395,33 +423,36 @@ def jaccard_components(docs: DataFrame, words: int, percent: int, id_col: str =
         return df
 
     # the other pivots, where the components differ so far
-    rest = labelled(wanted, "cls", "pivot").where("of_cls <> of_pivot").select(F.col("cls").alias("a"), F.col("pivot").alias("b"))
-    done = best.select(F.col("cls").alias("a"), F.col("pivot").alias("b"))
-    more = cut_lineage(links_of(sets.similar(pair(rest.join(done, ["a", "b"], "left_anti")))), "links")
-    links = links.unionByName(more)
+    rest = labelled(stars.select("a", "b").join(best, ["a", "b"], "left_anti"), "a", "b").where("of_a <> of_b")
+    links = links.unionByName(cut_lineage(linked(compare.similar(rest)), "links"))
     label = connected_components(links)
 
-    open_regions, n_pivots = regions.select("region", "cls", "size"), PIVOTS
+    # what the pivots left open; regions of two are decided
+    open_regions, n_pivots = regions.where("members > 2").select("region", "cls", "step"), PIVOTS
     while True:
         # a region with one component is decided
         own = labelled(open_regions, "cls")
         mixed = (own.groupBy("region").agg(F.min("of_cls").alias("lo"), F.max("of_cls").alias("hi"), F.count(F.lit(1)).alias("members"))
                  .where("lo <> hi").select("region", "members"))
         own = cut_lineage(own.join(mixed, "region"), "open_regions")
-        if not own.limit(1).count():
+        if own.isEmpty():
             break
         small, large = own.where(F.col("members") <= LEAF_MEMBERS), own.where(F.col("members") > LEAF_MEMBERS)
-        x, y = (small.select("region", F.col("cls").alias(c), F.col("of_cls").alias(f"of_{c}"), F.col("size").alias(f"size_{c}")) for c in "ab")
-        leaf = (x.join(y, "region").where("a < b AND of_a <> of_b").where(_comparable("size_a", "size_b", percent)).select("a", "b").distinct())
+        x, y = (small.select("region", F.col("cls").alias(c), F.col("of_cls").alias(f"of_{c}"), F.col("step").alias(f"step_{c}")) for c in "ab")
+        leaf = x.join(y, "region").where("a < b AND of_a <> of_b").where(near_size("step_a", "step_b")).select("a", "b").distinct()
+        links = links.unionByName(cut_lineage(linked(compare.similar(compare.possible(leaf))), "links"))
+        if large.isEmpty():
+            label = connected_components(links)
+            break
         pivots = _pivots(large, n_pivots)
-        star = (large.join(pivots, "region").where("cls <> pivot").select("region", "cls", "size", "pivot"))
-        near = cut_lineage(sets.similar(pair(leaf.unionByName(star.select(F.col("cls").alias("a"), F.col("pivot").alias("b"))))), "distances")
-        links = links.unionByName(links_of(near))
+        star = large.join(pivots, "region").where("cls <> pivot").select("region", "cls", "step", "pivot")
+        near = cut_lineage(compare.similar(in_order(star.select(F.col("cls").alias("a"), F.col("pivot").alias("b")))), "distances")
+        links = links.unionByName(linked(near))
         label = connected_components(links)
         open_regions = cut_lineage(_cells(star, pivots, near, percent), "cells")
         n_pivots *= 4  # where cells do not part the members, few rounds have to do
 
-    groups = (members.join(label.select(F.col("node").alias("_class"), "label"), "_class", "left")
+    groups = (described.select("_doc", "_class", "n").join(label.select(F.col("node").alias("_class"), "label"), "_class", "left")
               .withColumn("_group", F.coalesce("label", "_class")))
     known = lambda c: F.when(F.col(c) != _NO_ID, F.col(c))
     least = groups.where("n > 0").groupBy("_group").agg(F.min("_doc").alias("_least"))
@@ -437,7 +468,7 @@ def _pivots(large: DataFrame, n: int) -> DataFrame:
 
 
 def _cells(star: DataFrame, pivots: DataFrame, near: DataFrame, percent: int) -> DataFrame:
-    """(region, cls, size): members of large regions in the cells of the pivots, which have
+    """(region, cls, step): members of large regions in the cells of the pivots, which have
     been compared with all members and leave.
 
     With r the distance of a link and m the distance to the nearest pivot, two linked
@@ -451,14 +482,14 @@ def _cells(star: DataFrame, pivots: DataFrame, near: DataFrame, percent: int) ->
     dist = dist.unionByName(dist.select(F.col("b").alias("a"), F.col("a").alias("b"), "d"))
     d = star.join(dist.select(F.col("a").alias("cls"), F.col("b").alias("pivot"), "d"), ["cls", "pivot"])
     d = d.join(pivots.select("region", F.col("pivot").alias("cls")), ["region", "cls"], "left_anti")
-    least = d.groupBy("region", "cls", "size").agg(F.min("d").alias("m"))
+    least = d.groupBy("region", "cls", "step").agg(F.min("d").alias("m"))
     window = (F.col("m") <= far + r + slack) & (F.col("d") <= F.col("m") + 2 * r + slack) & (F.col("d") < 1)
     cells = (d.join(least.select("region", "cls", "m"), ["region", "cls"]).where(window)
-             .select("region", F.xxhash64("region", "pivot").alias("cell"), "cls", "size")
+             .select("region", F.xxhash64("region", "pivot").alias("cell"), "cls", "step")
              .unionByName(least.where(F.col("m") >= far - slack)
-                          .select("region", F.xxhash64("region", F.lit("far")).alias("cell"), "cls", "size")))
+                          .select("region", F.xxhash64("region", F.lit("far")).alias("cell"), "cls", "step")))
     parted = (cells.groupBy("region").agg(F.count(F.lit(1)).alias("copies"))
               .join(least.groupBy("region").agg(F.count(F.lit(1)).alias("members")), "region")
               .where("copies <= 2 * members").select("region"))
-    return (cells.join(parted, "region", "left_semi").select(F.col("cell").alias("region"), "cls", "size")
-            .unionByName(least.join(parted, "region", "left_anti").select("region", "cls", "size")))
+    return (cells.join(parted, "region", "left_semi").select(F.col("cell").alias("region"), "cls", "step")
+            .unionByName(least.join(parted, "region", "left_anti").select("region", "cls", "step")))
