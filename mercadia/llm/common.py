@@ -16,6 +16,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession, size: int = 16 << 20) -> None:
+    """Lower the session's bound on the bytes of an Arrow batch to ``size``: several copies
+    of a batch are in a task's memory at once, and rows here can be long."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.set(key, str(size))
+
+
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id long, text string) of a document table; a null text is empty.
     Other columns are left behind, so none can clash with an operator's own."""

@@ -13,8 +13,8 @@ each against its levels (sorted arrays without a common stretch), and keeps what
 is new as a level of its own, merging levels of like size, so that there are
 logarithmically many. A stretch that is met again is a repeat as a whole, but for
 its first place. Stretches that share only a gram may share some of their windows:
-those windows go, each an entry by itself, through a second family of the same
-kind. Together this covers every window.
+comparing the contexts of the gram bounds which, and those windows go, each an entry
+by itself, through a second family of the same kind. Together this covers every window.
 """
 
 from __future__ import annotations
@@ -23,15 +23,22 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from mercadia.llm.common import slices, small_batches
 from mercadia.session import cut_lineage
 
 LENGTH, GRAM = 100, 32
 #: Bytes of text hashed at a time; entries a task gathers before it deals them out.
-CHUNK_BYTES, BATCH_ENTRIES = 1 << 20, 1_000_000
+CHUNK_BYTES, BATCH_ENTRIES = 1 << 20, 400_000
+#: A gram with more stretches than this in one batch is frequent: its bucket hears of it by two
+#: of them, and their windows are asked at once.
+FREQUENT_GRAM = 64
+#: Bytes between the places, before and after a gram, up to which its contexts are told apart.
+CONTEXT_STEP = 12
 _PLACES = 1 << 23
 
 _RNG = np.random.default_rng(20_240_611)
@@ -39,7 +46,7 @@ _GRAM_BYTES, _TEXT_BYTES, _TEXT_BYTES_2 = (_RNG.integers(0, 1 << 64, 256, np.uin
 _GRAM_BASE, _TEXT_BASE, _TEXT_BASE_2 = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95, 0xAF251AF3B0F025B5
 _WORD = 1 << 64
 # Order of columns of an entry: two fingerprints; place (document, its text's tag, start); further windows after start.
-_FIELDS = (("gram", "<u8"), ("stretch", "<u8"), ("doc", "<i8"), ("tag", "<u4"), ("start", "<u4"), ("more", "<u4"))
+_FIELDS = (("gram", "<u8"), ("stretch", "<u8"), ("doc", "<i8"), ("tag", "<u4"), ("start", "<u4"), ("more", "<u2"))
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -189,23 +196,37 @@ class IndexFamily:
 
 
 _DEALT = "bucket int, data binary"
+# What a dealt row holds, by the bucket's number: entries of a bucket; from here on repeats and
+# windows to ask that are known already and only pass through, spread by document.
+_REPEATS, _ASKED = 1 << 28, 1 << 29
 
 
-def _deal(entries: Entries, repeats: list[Entries], buckets: int) -> Iterator[pa.RecordBatch]:
-    """Entries by bucket, and known repeats in buckets of their own (negative numbers)."""
+def _dealt(parts: list[tuple[int, np.ndarray, object]]) -> pa.RecordBatch:
+    """(first number, bucket of each entry, entries with ``take`` and ``packed``) as rows."""
     rows: list[tuple[int, bytes]] = []
+    for base, bucket, entries in parts:
+        o = np.argsort(bucket, kind="stable")
+        entries, bucket = entries.take(o), bucket[o]
+        cuts = np.flatnonzero(np.diff(bucket)) + 1
+        for a, b in zip([0, *cuts], [*cuts, len(bucket)], strict=True):
+            if b > a:
+                rows.append((base + int(bucket[a]), entries.take(slice(a, b)).packed()))
+    return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["bucket", "data"])
+
+
+def _deal(entries: Entries, repeats: list[Entries], buckets: int, frequent: int | None = None) -> Iterator[pa.RecordBatch]:
+    """Entries by gram; what is known already by document."""
+    number = lambda p, by: (_mixed(p[by].astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
     known = Entries.joined(repeats)
-    for part, by, sign in ((entries, "gram", 1), (known, "doc", -1)):
-        if part.size:
-            bucket = (_mixed(part[by].astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
-            o = np.argsort(bucket, kind="stable")
-            part, bucket = part.take(o), bucket[o]
-            cuts = np.flatnonzero(np.diff(bucket)) + 1
-            for a, b in zip([0, *cuts], [*cuts, len(bucket)], strict=True):
-                number = int(bucket[a])
-                rows.append((number if sign > 0 else -1 - number, part.take(slice(a, b)).packed()))
-    if rows:
-        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["bucket", "data"])
+    parts = [(_REPEATS, number(known, "doc"), known)]
+    if frequent is not None and entries.size:
+        entries = entries.take(np.argsort(entries["gram"], kind="stable"))
+        first = np.flatnonzero(np.concatenate([[True], entries["gram"][1:] != entries["gram"][:-1]]))
+        size = np.diff(np.concatenate([first, [entries.size]]))
+        at_once = (np.arange(entries.size) - np.repeat(first, size) >= 2) & np.repeat(size > frequent, size)
+        asked, entries = entries.take(at_once), entries.take(~at_once)
+        parts.append((_ASKED, number(asked, "doc"), asked))
+    yield _dealt([*parts, (0, number(entries, "gram"), entries)])
 
 
 def _chunks(texts: Iterator[tuple[int, int, bytes]], length: int) -> Iterator[list[tuple[int, int, int, bytes]]]:
@@ -233,6 +254,8 @@ def _rows(batches, names: tuple[str, ...]) -> Iterator[tuple]:
 
 
 def _index_texts(length: int, gram: int, buckets: int):
+    frequent = FREQUENT_GRAM
+
     def index(batches):
         family, repeats, new = IndexFamily(), [], 0
         for held in _chunks(_rows(batches, ("_doc", "_tag", "_bytes")), length):
@@ -245,57 +268,180 @@ def _index_texts(length: int, gram: int, buckets: int):
             repeats.append(family.add(Entries.of(g, whole, doc[which], tag[which], start - (ends - size)[which] + base[which], more)))
             new += len(start)
             if new >= BATCH_ENTRIES:
-                yield from _deal(family.all(), repeats, buckets)
+                yield from _deal(family.all(), repeats, buckets, frequent)
                 family, repeats, new = IndexFamily(), [], 0
-        yield from _deal(family.all(), repeats, buckets)
+        yield from _deal(family.all(), repeats, buckets, frequent)
     return index
 
 
+def _listed(part: pa.RecordBatch, name: str) -> list[np.ndarray]:
+    """The lists of a column as arrays; none of a null."""
+    column = part.column(name)
+    values, ends = column.flatten().to_numpy(zero_copy_only=False), np.cumsum(column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+    return np.split(values, ends[:-1]) if len(ends) else []
+
+
+def _asked(batches) -> Iterator[tuple[int, int, bytes, np.ndarray]]:
+    """Document, tag, text and asked stretches (start, further windows) of each text."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 64):
+            part = batch.slice(at, 64)
+            for doc, tag, text, asked in zip(*(part.column(n).to_pylist() for n in ("_doc", "_tag", "_bytes")), _listed(part, "asked"), strict=True):
+                for chunk in np.array_split(asked, max(1, len(asked) // 4096)):
+                    if len(chunk):
+                        yield doc, tag, text, np.stack([chunk >> _MORE_BITS, chunk & ((1 << _MORE_BITS) - 1)], axis=1)
+
+
+class Contexts(dict):
+    """What stands before and after a gram: its place in windows, and hashes of its contexts by width."""
+
+    def __init__(self, gram, place, ahead, hashes):
+        super().__init__(gram=gram, place=place, ahead=ahead, hashes=hashes)
+
+    def take(self, at) -> Contexts:
+        return Contexts(*(c[at] for c in self.values()))
+
+    def packed(self) -> bytes:
+        return b"".join(np.ascontiguousarray(c).tobytes() for c in self.values())
+
+    @classmethod
+    def unpacked(cls, data: bytes, width: int) -> Contexts:
+        n = len(data) // (8 + 20 + 2 + 4 * width)
+        at, out = 0, []
+        for t, shape in (("<u8", (n,)), (_PLACE, (n,)), ("<u2", (n,)), ("<u4", (n, width))):
+            size = int(np.prod(shape))
+            out.append(np.frombuffer(data, t, size, at).reshape(shape))
+            at += size * np.dtype(t).itemsize
+        return cls(*out)
+
+
+_PLACE = np.dtype([("doc", "<i8"), ("tag", "<u4"), ("start", "<u4"), ("more", "<u4")])
+
+
+def _context_widths(length: int, gram: int) -> np.ndarray:
+    return np.arange(CONTEXT_STEP, length - gram + 1, CONTEXT_STEP)
+
+
+def _index_contexts(length: int, gram: int, buckets: int):
+    """Contexts of the grams of asked stretches. A width beyond the stretch has hash 0."""
+    widths = _context_widths(length, gram)
+
+    def index(batches):
+        held, size = [], 0
+        for doc, tag, text, ask in _asked(batches):
+            start, more = ask.T
+            span = more + length
+            flat = np.frombuffer(b"".join(text[s:s + n] for s, n in zip(start.tolist(), span.tolist(), strict=True)), np.uint8)
+            lead = np.cumsum(span) - span
+            # the anchor is in every window: the least gram of those that all of them hold
+            h = gram_hashes(flat, gram)
+            first, count = lead + more, length - gram + 1 - more
+            within = np.repeat(first - (np.cumsum(count) - count), count) + np.arange(count.sum())
+            least = (h[within] & ~np.uint64(_PLACES - 1)) | within.astype(np.uint64)
+            anchor = (np.minimum.reduceat(least, np.cumsum(count) - count) & np.uint64(_PLACES - 1)).astype(np.int64)
+            whole = StretchHash(flat, _TEXT_BYTES_2, _TEXT_BASE_2)
+            before, after = anchor - lead, lead + span - anchor - gram
+            cols = []
+            for w in widths:
+                cols.append(np.where(before >= w, whole.of(np.maximum(anchor - w, 0), anchor + gram) | np.uint64(1), np.uint64(0)))
+            for w in widths:
+                cols.append(np.where(after >= w, whole.of(anchor, np.minimum(anchor + gram + w, len(flat))) | np.uint64(1), np.uint64(0)))
+            place = np.zeros(len(ask), _PLACE)
+            place["doc"], place["tag"], place["start"], place["more"] = doc, tag, start, more
+            held.append(Contexts(h[anchor], place, before.astype("<u2"), np.stack(cols, axis=1).astype("<u4")))
+            size += len(ask)
+            if size >= BATCH_ENTRIES // 4:
+                both = Contexts(*(np.concatenate([c[n] for c in held]) for n in ("gram", "place", "ahead", "hashes")))
+                yield _dealt([(0, (both["gram"] % np.uint64(buckets)).astype(np.int64), both)])
+                held, size = [], 0
+        if held:
+            both = Contexts(*(np.concatenate([c[n] for c in held]) for n in ("gram", "place", "ahead", "hashes")))
+            yield _dealt([(0, (both["gram"] % np.uint64(buckets)).astype(np.int64), both)])
+    return index
+
+
+def _bound_contexts(length: int, gram: int):
+    """The windows of each stretch that another one with its gram can have too."""
+    widths = _context_widths(length, gram)
+    room = length - gram
+
+    def bound(batches):
+        by: dict[int, list[Contexts]] = {}
+        for bucket, data in _rows(batches, ("bucket", "data")):
+            by.setdefault(bucket, []).append(Contexts.unpacked(data, 2 * len(widths)))
+        for bucket in list(by):
+            parts = by.pop(bucket)
+            gram_of, place, ahead, hashes = (np.concatenate([c[n] for c in parts]) for n in ("gram", "place", "ahead", "hashes"))
+            reach = []
+            for side in range(2):
+                most = np.full(len(gram_of), widths[0] - 1 if len(widths) else room)
+                for i, w in enumerate(widths):
+                    h = hashes[:, side * len(widths) + i].astype(np.uint64)
+                    both = _mixed(gram_of + h * np.uint64(_GRAM_BASE))
+                    _, inverse, count = np.unique(both, return_inverse=True, return_counts=True)
+                    shared = (h > 0) & (count[inverse] > 1)
+                    most[shared] = widths[i + 1] - 1 if i + 1 < len(widths) else room
+                reach.append(most)
+            # a window has `left` bytes before the gram and room - left after it
+            left_most = np.minimum(ahead.astype(np.int64), reach[0])
+            left_least = np.maximum(ahead.astype(np.int64) - place["more"], room - reach[1])
+            some = left_most >= left_least
+            start = (place["start"].astype(np.int64) + ahead - left_most)[some]
+            more = (left_most - left_least)[some]
+            yield pa.RecordBatch.from_arrays([pa.array(place["doc"][some]), pa.array(place["tag"][some].astype(np.int64)), pa.array(start), pa.array(more),
+                                              pa.array(np.full(len(start), _ASK_WINDOWS, np.int32))], ["_doc", "_tag", "start", "more", "kind"])
+    return bound
+
+
 def _index_windows(length: int, buckets: int):
     """The single windows of the asked stretches of a text as entries."""
+    frequent = None
+
     def index(batches):
         family, repeats, new = IndexFamily(), [], 0
-        for doc, tag, text, asked in _rows(batches, ("_doc", "_tag", "_bytes", "asked")):
-            ask = np.array([(a["start"], a["more"]) for a in asked], np.int64)
-            for chunk in np.array_split(ask, max(1, len(ask) // 4096)):
-                n = chunk[:, 1] + 1
-                buffer = b"".join(text[s:s + m + length] for s, m in chunk.tolist())
-                flat = np.frombuffer(buffer, np.uint8)
-                lead = np.cumsum(chunk[:, 1] + length) - (chunk[:, 1] + length)
-                step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                at, start = np.repeat(lead, n) + step, np.repeat(chunk[:, 0], n) + step
-                one = StretchHash(flat, _TEXT_BYTES, _TEXT_BASE).of(at, at + length)
-                two = StretchHash(flat, _TEXT_BYTES_2, _TEXT_BASE_2).of(at, at + length)
-                place = np.full(len(at), doc, np.int64), np.full(len(at), tag, np.int64)
-                repeats.append(family.add(Entries.of(two, one, *place, start, np.zeros(len(at)))))
-                new += len(at)
-                if new >= BATCH_ENTRIES:
-                    yield from _deal(family.all(), repeats, buckets)
-                    family, repeats, new = IndexFamily(), [], 0
-        yield from _deal(family.all(), repeats, buckets)
+        for doc, tag, text, ask in _asked(batches):
+            n = ask[:, 1] + 1
+            flat = np.frombuffer(b"".join(text[s:s + m + length] for s, m in ask.tolist()), np.uint8)
+            lead = np.cumsum(ask[:, 1] + length) - (ask[:, 1] + length)
+            step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            at, start = np.repeat(lead, n) + step, np.repeat(ask[:, 0], n) + step
+            one = StretchHash(flat, _TEXT_BYTES, _TEXT_BASE).of(at, at + length)
+            two = StretchHash(flat, _TEXT_BYTES_2, _TEXT_BASE_2).of(at, at + length)
+            place = np.full(len(at), doc, np.int64), np.full(len(at), tag, np.int64)
+            repeats.append(family.add(Entries.of(two, one, *place, start, np.zeros(len(at)))))
+            new += len(at)
+            if new >= BATCH_ENTRIES:
+                yield from _deal(family.all(), repeats, buckets, frequent)
+                family, repeats, new = IndexFamily(), [], 0
+        yield from _deal(family.all(), repeats, buckets, frequent)
     return index
 
 
-_FOUND = "_doc long, _tag long, start long, more long, ask boolean"
+# Kinds of what is found: a repeat; a stretch whose contexts, one whose windows have to be compared.
+_FOUND, _REPEAT, _ASK_CONTEXT, _ASK_WINDOWS = "_doc long, _tag long, start long, more long, kind int", 0, 1, 2
 
 
 def _merge_scan(batches):
     """Buckets of entries to repeats and, where stretches share only a gram, stretches to ask."""
-    def told(e: Entries, ask: bool) -> Iterator[pa.RecordBatch]:
+    def told(e: Entries, kind: int) -> Iterator[pa.RecordBatch]:
         for at in range(0, e.size, 100_000):
             p = e.take(slice(at, at + 100_000))
             yield pa.RecordBatch.from_arrays([pa.array(p[n].astype(np.int64)) for n in ("doc", "tag", "start", "more")]
-                                             + [pa.array(np.full(p.size, ask))], ["_doc", "_tag", "start", "more", "ask"])
+                                             + [pa.array(np.full(p.size, kind, np.int32))], ["_doc", "_tag", "start", "more", "kind"])
 
     families: dict[int, IndexFamily] = {}
     for bucket, data in _rows(batches, ("bucket", "data")):
         entries = Entries.unpacked(data)
-        yield from told(entries if bucket < 0 else families.setdefault(bucket, IndexFamily()).add(entries), False)
+        if bucket >= _REPEATS:
+            yield from told(entries, _ASK_WINDOWS if bucket >= _ASKED else _REPEAT)
+        else:
+            yield from told(families.setdefault(bucket, IndexFamily()).add(entries), _REPEAT)
     for bucket in list(families):
         e = families.pop(bucket).all()
         e = e.take(np.argsort(e["gram"], kind="stable"))
         same = e["gram"][1:] == e["gram"][:-1]
-        yield from told(e.take(np.concatenate([same, [False]]) | np.concatenate([[False], same])), True)
+        if e.size:
+            yield from told(e.take(np.concatenate([same, [False]]) | np.concatenate([[False], same])), _ASK_CONTEXT)
 
 
 def _identified(docs: DataFrame, id_col: str, text_col: str, *more: str) -> DataFrame:
@@ -305,32 +451,43 @@ def _identified(docs: DataFrame, id_col: str, text_col: str, *more: str) -> Data
                        F.crc32(text).alias("_tag"), text.alias("_bytes"), *[F.col(f"`{c}`") for c in more])
 
 
+_MORE_BITS = 16
+
+
 def _by_text(found: DataFrame, name: str) -> DataFrame:
-    return found.groupBy("_doc", "_tag").agg(F.collect_list(F.struct("start", "more")).alias(name))
+    """(_doc, _tag, name): the stretches of each text, each as one number: start, then further windows."""
+    both = F.shiftleft(F.col("start"), _MORE_BITS).bitwiseOR(F.col("more"))
+    return found.groupBy("_doc", "_tag").agg(F.collect_list(both).alias(name))
 
 
 def _repeats(texts: DataFrame, length: int, gram: int) -> DataFrame:
-    """(_doc, _tag, removed): the repeated windows of each text that has some, as (start, further windows)."""
+    """(_doc, _tag, removed): the repeated windows of each text that has some, as _by_text gives them."""
+    if not gram < length <= 1 << _MORE_BITS or gram & (gram - 1):
+        raise ValueError("gram: a power of two below length; length: 65536 at most")
     spark = texts.sparkSession
+    small_batches(spark)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     slim = texts.select("_doc", "_tag", "_bytes")
     dealt = slim.where(F.length("_bytes") >= length).mapInArrow(_index_texts(length, gram, buckets), _DEALT)
     found = cut_lineage(dealt.repartition(buckets, "bucket").mapInArrow(_merge_scan, _FOUND), "stretches")
-    asked = (slim.join(_by_text(found.where("ask"), "asked"), ["_doc", "_tag"])
-             .mapInArrow(_index_windows(length, buckets), _DEALT)
+    kind = lambda df, k: df.where(F.col("kind") == k)
+    asking = lambda df: slim.join(_by_text(df, "asked"), ["_doc", "_tag"])
+    narrowed = (asking(kind(found, _ASK_CONTEXT)).mapInArrow(_index_contexts(length, gram, buckets), _DEALT)
+                .repartition(buckets, "bucket").mapInArrow(_bound_contexts(length, gram), _FOUND))
+    asked = (asking(kind(found, _ASK_WINDOWS).unionByName(narrowed)).mapInArrow(_index_windows(length, buckets), _DEALT)
              .repartition(buckets, "bucket").mapInArrow(_merge_scan, _FOUND))
-    return _by_text(found.unionByName(asked).where("NOT ask"), "removed")
+    return _by_text(kind(found.unionByName(asked), _REPEAT), "removed")
 
 
-def _spans(removed: list[dict] | None, length: int) -> list[tuple[int, int]]:
+def _spans(removed: np.ndarray | None, length: int) -> list[tuple[int, int]]:
     """The maximal runs of bytes that the repeated windows cover."""
-    out: list[list[int]] = []
-    for start, end in sorted((r["start"], r["start"] + r["more"] + length) for r in removed or ()):
-        if out and start <= out[-1][1]:
-            out[-1][1] = max(end, out[-1][1])
-        else:
-            out.append([start, end])
-    return [(a, b) for a, b in out]
+    if removed is None or not len(removed):
+        return []
+    removed = np.sort(np.asarray(removed, np.int64))
+    start = removed >> _MORE_BITS
+    end = np.maximum.accumulate(start + (removed & ((1 << _MORE_BITS) - 1)) + length)
+    first = np.concatenate([[True], start[1:] > end[:-1]])
+    return list(zip(start[first].tolist(), end[np.concatenate([first[1:], [True]])].tolist(), strict=True))
 
 
 def _kept(text: bytes, spans: list[tuple[int, int]]) -> bytes:
@@ -358,11 +515,12 @@ def dedup_digests(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_co
     def digest(batches):
         for batch in batches:
             cols = {k: [] for k in ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")}
-            for doc, text, removed in _rows([batch], ("_doc", "_bytes", "removed")):
-                spans = _spans(removed, length)
-                for k, v in (("doc_id", doc if doc != -(1 << 63) else None), ("n_bytes", len(text)), ("n_removed", sum(b - a for a, b in spans)),
-                             ("n_spans", len(spans)), ("kept_sha256", hashlib.sha256(_kept(text, spans)).hexdigest())):
-                    cols[k].append(v)
+            for part in slices([batch], 64):
+                for doc, text, removed in zip(part.column("_doc").to_pylist(), part.column("_bytes").to_pylist(), _listed(part, "removed"), strict=True):
+                    spans = _spans(removed, length)
+                    for k, v in (("doc_id", doc if doc != -(1 << 63) else None), ("n_bytes", len(text)), ("n_removed", sum(b - a for a, b in spans)),
+                                 ("n_spans", len(spans)), ("kept_sha256", hashlib.sha256(_kept(text, spans)).hexdigest())):
+                        cols[k].append(v)
             yield pa.RecordBatch.from_arrays([pa.array(v, pa.string() if k == "kept_sha256" else pa.int64()) for k, v in cols.items()], list(cols))
 
     return (texts.join(_repeats(texts, length, gram), ["_doc", "_tag"], "left").select("_doc", "_bytes", "removed")
@@ -380,7 +538,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_c
     texts = _identified(own, "_c0", "_c1", *names.values())
 
     @F.pandas_udf("string")
-    def cut(text, removed):  # both Series, of bytes and of lists of windows
+    def cut(text: pd.Series, removed: pd.Series) -> pd.Series:
         return text.combine(removed, lambda t, r: _kept(bytes(t), _spans(r, length)).decode("utf-8", "ignore"))
 
     joined = texts.join(_repeats(texts, length, gram), ["_doc", "_tag"], "left")
