@@ -41,8 +41,10 @@ COMMON_OVER, COMMON_KEPT = 48, 1_000_000
 PART_MEMBERS = 200_000
 #: Regions with so many members are joined pair by pair; larger ones get so many pivots first.
 LEAF_MEMBERS, PIVOTS = 24, 8
-#: Rows of document ids that may be broadcast to pick the documents to compare.
+#: Rows of document ids that may be broadcast to pick the documents to compare; more are shuffled.
 BROADCAST_IDS = 500_000
+#: Sets that others are compared with go around in bundles of about so many.
+BUNDLE = 32
 CHUNK_BYTES, BATCH_ENTRIES = 1 << 20, 1_000_000
 
 _WORD_TABLE = np.random.default_rng(20_240_615).integers(0, 1 << 64, 256, np.uint64)
@@ -300,23 +302,25 @@ def connected_components(edges: DataFrame) -> DataFrame:
     both = cut_lineage(both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
     label = cut_lineage(both.groupBy("a").agg(F.min("b").alias("m"))
                         .select(F.col("a").alias("node"), F.least("a", "m").alias("label")), "labels")
-    while True:
+
+    def spread(label: DataFrame) -> DataFrame:
         near = (both.join(label.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node"))
                 .agg(F.min("label").alias("near")))
-        spread = label.join(near, "node").select("node", "label", F.least("label", "near").alias("now"))
+        least = label.join(near, "node").select("node", "was", F.least("label", "near").alias("now"))
         up = label.select(F.col("node").alias("now"), F.col("label").alias("up"))
-        label = cut_lineage(spread.join(up, "now").select("node", F.least("now", "up").alias("label"),
-                                                          (F.least("now", "up") < F.col("label")).alias("moved")), "labels")
-        if not label.where("moved").limit(1).count():
+        return least.join(up, "now").select("node", "was", F.least("now", "up").alias("label"))
+
+    while True:
+        label = cut_lineage(spread(spread(label.select("node", "label", F.col("label").alias("was")))), "labels")
+        if label.where("label < was").isEmpty():
             return label.select("node", "label")
-        label = label.select("node", "label")
 
 
 class _Compare:
     """Decides pairs of classes: first by their first shingles, then by their whole sets."""
 
     def __init__(self, texts: DataFrame, described: DataFrame, words: int, percent: int):
-        self.texts, self.described, self.words, self.percent = texts, described, words, percent
+        self.texts, self.described, self.words, self.percent, self.held = texts, described, words, percent, None
         self.reps = cut_lineage(described.where("n > 0").groupBy(F.col("_class").alias("cls")).agg(F.min("_doc").alias("_doc")), "representatives")
 
     @staticmethod
@@ -343,8 +347,8 @@ class _Compare:
         alike = F.size(F.array_intersect("first_a", "first_b"))
         return both.select("a", "b", alike.alias("alike"), least.alias("least")).where("alike >= least").select("a", "b", "alike")
 
-    def _sets(self, few: DataFrame, *more: str) -> DataFrame:
-        """(cls, shingles, more): the sets of the classes in ``few``, from a text of each."""
+    def _gathered(self, few: DataFrame) -> DataFrame:
+        """(cls, shingles): the sets of the classes in ``few``, from a text of each."""
         words = self.words
 
         def gather(batches):
@@ -353,22 +357,35 @@ class _Compare:
                 ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
                 values = pa.array(np.concatenate(sets).astype(np.int64), pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array([set_class(s) for s in sets], pa.int64()), pa.ListArray.from_arrays(pa.array(ends), values),
-                                                  *(part.column(c) for c in ("cls", *more))], ["own", "shingles", "cls", *more])
-        types = "".join(f", {c} array<long>" for c in more)
-        return (self._picked(self.texts, self.reps.join(few, "cls"), ["_doc"]).select("text", "cls", *more)
-                .mapInArrow(gather, "own long, shingles array<long>, cls long" + types)
+                                                  part.column("cls")], ["own", "shingles", "cls"])
+        return (self._picked(self.texts, self.reps.join(few, "cls"), ["_doc"]).select("text", "cls")
+                .mapInArrow(gather, "own long, shingles array<long>, cls long")
                 .where("own = cls").drop("own"))  # another text of the same id is no member of the class
 
+    def hold(self, few: DataFrame) -> None:
+        """Write the sets of the classes in ``few``, which are to be compared several times."""
+        self.held = cut_lineage(self._gathered(few), "shingle_sets")
+
     def similar(self, pairs: DataFrame) -> DataFrame:
-        """(a, b, shared, total) of pairs of classes (a, b): sizes of intersection and union. A set
-        moves once for each of its pairs as ``a``, to its partner ``b``."""
-        pairs = cut_lineage(pairs.select("a", "b"), "pairs")
-        x = self._sets(pairs.groupBy(F.col("a").alias("cls")).agg(F.collect_set("b").alias("others")), "others")
-        x = x.select(F.col("cls").alias("a"), F.col("shingles").alias("x"), F.explode("others").alias("b"))
-        y = self._sets(pairs.select(F.col("b").alias("cls")).distinct()).select(F.col("cls").alias("b"), F.col("shingles").alias("y"))
-        return (x.join(y, "b")
-                .select("a", "b", (F.size("x") + F.size("y")).alias("both"), F.size(F.array_intersect("x", "y")).alias("shared"))
-                .select("a", "b", "shared", (F.col("both") - F.col("shared")).alias("total")))
+        """(a, b, shared, total) of pairs of classes (a, b): sizes of intersection and union.
+
+        Classes near each other have mostly the same partners. Those with the same least
+        partner form a group, whose partners' sets travel as one row for BUNDLE of them;
+        a set of ``a`` moves once for each such bundle, not for each pair."""
+        pairs = pairs.select("a", "b")
+        group = pairs.groupBy("a").agg(F.min("b").alias("k"))
+        pairs = pairs.join(group, "a")
+        size = pairs.groupBy("k").agg(F.approx_count_distinct("b").alias("n"))
+        pairs = cut_lineage(pairs.join(size, "k").select(
+            "a", "b", "k", F.pmod(F.xxhash64("b"), F.ceil(F.col("n") / F.lit(BUNDLE))).alias("part")), "pairs")
+        asked = pairs.groupBy(F.col("a").alias("cls"), "k", "part").agg(F.collect_set("b").alias("others"))
+        asking = pairs.select(F.col("b").alias("cls"), "k", "part").distinct()
+        x, y = ((self._gathered(side.select("cls").distinct()) if self.held is None else self.held).join(side, "cls") for side in (asked, asking))
+        bundles = (y.groupBy("k", "part").agg(F.collect_list(F.struct(F.col("cls").alias("b"), F.col("shingles").alias("y"))).alias("bundle")))
+        found = F.transform(F.filter("bundle", lambda o: F.array_contains("others", o["b"])), lambda o: F.struct(
+            o["b"].alias("b"), (F.size("shingles") + F.size(o["y"])).alias("both"), F.size(F.array_intersect("shingles", o["y"])).alias("shared")))
+        return (x.join(bundles, ["k", "part"]).select(F.col("cls").alias("a"), F.explode(found).alias("f"))
+                .select("a", "f.b", "f.shared", (F.col("f.both") - F.col("f.shared")).alias("total")))
 
 
 def jaccard_components(docs: DataFrame, words: int, percent: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -403,7 +420,6 @@ def jaccard_components(docs: DataFrame, words: int, percent: int, id_col: str =
 
     compare = _Compare(texts, described, words, percent)
     linked = lambda df: df.where(F.col("shared") * 100 >= F.col("total") * percent).select("a", "b")
-    in_order = lambda df: df.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     near_size = lambda x, y: F.abs(F.col(x) - F.col(y)) <= 1
 
     # members against the pivots of their regions; the pivot that is most alike decides first.
@@ -440,13 +456,13 @@ def jaccard_components(docs: DataFrame, words: int, percent: int, id_col: str =
         small, large = own.where(F.col("members") <= LEAF_MEMBERS), own.where(F.col("members") > LEAF_MEMBERS)
         x, y = (small.select("region", F.col("cls").alias(c), F.col("of_cls").alias(f"of_{c}"), F.col("step").alias(f"step_{c}")) for c in "ab")
         leaf = x.join(y, "region").where("a < b AND of_a <> of_b").where(near_size("step_a", "step_b")).select("a", "b").distinct()
-        links = links.unionByName(cut_lineage(linked(compare.similar(compare.possible(leaf))), "links"))
-        if large.isEmpty():
-            label = connected_components(links)
-            break
-        pivots = _pivots(large, n_pivots)
+        pivots = cut_lineage(_pivots(large, n_pivots), "pivots")
         star = large.join(pivots, "region").where("cls <> pivot").select("region", "cls", "step", "pivot")
-        near = cut_lineage(compare.similar(in_order(star.select(F.col("cls").alias("a"), F.col("pivot").alias("b")))), "distances")
+        pairs = compare.possible(leaf).select("a", "b").unionByName(star.select(F.col("cls").alias("a"), F.col("pivot").alias("b")))
+        pairs = cut_lineage(pairs.distinct(), "pairs")
+        if compare.held is None:  # later pairs are among the members of the same large regions
+            compare.hold(pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct())
+        near = cut_lineage(compare.similar(pairs), "distances")
         links = links.unionByName(linked(near))
         label = connected_components(links)
         open_regions = cut_lineage(_cells(star, pivots, near, percent), "cells")
