@@ -22,10 +22,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from mercadia.llm.common import id_text, slices
-from mercadia.llm.vocabulary import Memo, Vocabulary, vocabulary
+from mercadia.llm.vocabulary import Memo, Vocabulary, memo_of_units, vocabulary
 
-#: Pre-tokens whose ids a worker keeps, and pairs whose compatibility it keeps.
-MEMO_ENTRIES, PAIR_ENTRIES = 250_000, 1_000_000
+#: Pre-tokens, and units of text, whose ids a worker keeps, and pairs whose compatibility it keeps.
+MEMO_ENTRIES, PAIR_ENTRIES = 200_000, 1_000_000
 
 
 class Encoder:
@@ -128,7 +128,8 @@ class Decoder:
 def coder(path: str) -> tuple[Vocabulary, Memo, Decoder]:
     """Automaton, tables and memo of a vocabulary, built once in each Python worker."""
     voc = vocabulary(path)
-    return voc, Memo(Encoder(voc).encode_pretokens, MEMO_ENTRIES), Decoder(voc)
+    of_pretokens = Memo(Encoder(voc).encode_pretokens, MEMO_ENTRIES)
+    return voc, memo_of_units(voc, of_pretokens, lambda ids: tuple(itertools.chain.from_iterable(ids)), MEMO_ENTRIES), Decoder(voc)
 
 
 def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -143,7 +144,7 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
     def encode(batches):
         voc, memo, _ = coder(path)
         for part in slices(batches):
-            split = [voc.pretokens(t) for t in part.column(1).to_pylist()]
+            split = [voc.units(t) for t in part.column(1).to_pylist()]
             memo.cover(split)
             ids = [np.fromiter(itertools.chain.from_iterable(map(memo.__getitem__, s)), np.int32) for s in split]
             offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
@@ -169,7 +170,7 @@ def encoding_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
         voc, memo, dec = coder(path)
         decimal = [str(i) for i in range(len(voc.token_bytes))]
         for part in slices(batches):
-            split = [voc.pretokens(t) for t in part.column(1).to_pylist()]
+            split = [voc.units(t) for t in part.column(1).to_pylist()]
             memo.cover(split)
             n, ids_hex, text_hex = [], [], []
             for s in split:

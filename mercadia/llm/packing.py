@@ -28,8 +28,8 @@ from mercadia.llm.common import id_text, numbered, slices
 from mercadia.llm.vocabulary import Memo, Vocabulary, vocabulary
 from mercadia.session import cut_lineage
 
-#: Pre-tokens whose ids a worker keeps, and pre-tokens given to the library at a time.
-MEMO_ENTRIES, FILL_ROWS = 300_000, 4096
+#: Units of text whose ids a worker keeps, and units given to the library at a time.
+MEMO_ENTRIES, FILL_ROWS = 350_000, 1024
 
 
 class SequencePlan:
@@ -124,11 +124,24 @@ def _ids(path: str) -> tuple[Vocabulary, Memo]:
     library.no_truncation()
     library.no_padding()
 
-    def fill(pretokens: list[str]):
-        for at in range(0, len(pretokens), FILL_ROWS):
-            for e in library.encode_batch_fast(pretokens[at:at + FILL_ROWS], add_special_tokens=False):
-                yield np.array(e.ids, "<u4").tobytes()
-    return vocabulary(path), Memo(fill, MEMO_ENTRIES)
+    voc = vocabulary(path)
+    mark = next(iter(voc.specials), None)
+
+    def encoded(texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def fill(units: list):
+        for at in range(0, len(units), FILL_ROWS):
+            texts = [voc.unit_text(u) for u in units[at:at + FILL_ROWS]]
+            if mark is None or not voc.specials.keys().isdisjoint(texts):
+                yield from (np.array(ids, "<u4").tobytes() for ids in encoded(texts))
+                continue
+            # one call for many units: a special token between two keeps their ids apart
+            ids = np.array(encoded([mark.join(texts)])[0], "<u4")
+            cuts = [-1, *np.flatnonzero(ids == voc.specials[mark]).tolist(), len(ids)]
+            data = ids.tobytes()
+            yield from (data[4 * (a + 1):4 * b] for a, b in zip(cuts, cuts[1:], strict=False))
+    return voc, Memo(fill, MEMO_ENTRIES)
 
 
 def token_pieces(docs: DataFrame, path: str, capacity: int, end_id: int = 0, keep_ids: bool = False,
@@ -143,7 +156,7 @@ def token_pieces(docs: DataFrame, path: str, capacity: int, end_id: int = 0, kee
         voc, memo = _ids(path)
         end = np.array([end_id], "<u4").tobytes()
         for part in slices(batches):
-            split = [voc.pretokens(t) for t in part.column(1).to_pylist()]
+            split = [voc.units(t) for t in part.column(1).to_pylist()]
             memo.cover(split)
             rows, crc, kept = [], [], []
             for doc, s in enumerate(split):

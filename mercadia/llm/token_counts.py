@@ -16,10 +16,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from mercadia.llm.common import id_text, slices
-from mercadia.llm.vocabulary import Memo, Vocabulary, vocabulary
+from mercadia.llm.vocabulary import Memo, Vocabulary, memo_of_units, vocabulary
 
-#: Pre-tokens whose count a worker keeps, and bytes of pre-tokens merged at a time.
-MEMO_ENTRIES, MERGE_BYTES = 400_000, 4 << 20
+#: Pre-tokens, and units of text, whose count a worker keeps, and bytes of pre-tokens merged at a time.
+MEMO_ENTRIES, MERGE_BYTES = 300_000, 4 << 20
 
 
 class RankMerger:
@@ -102,7 +102,7 @@ class RankMerger:
 @functools.lru_cache(maxsize=2)
 def counter(path: str) -> tuple[Vocabulary, Memo]:
     voc = vocabulary(path)
-    return voc, Memo(RankMerger(voc).count_pretokens, MEMO_ENTRIES)
+    return voc, memo_of_units(voc, Memo(RankMerger(voc).count_pretokens, MEMO_ENTRIES), sum, MEMO_ENTRIES)
 
 
 def count_tokens(docs: DataFrame, path: str, limit: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -117,7 +117,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int, id_col: str = "doc_id",
         voc, memo = counter(path)
         for part in slices(batches):
             texts = part.column(1).to_pylist()
-            split = [voc.pretokens(t) for t in texts]
+            split = [voc.units(t) for t in texts]
             memo.cover(split)
             n = [sum(map(memo.__getitem__, s)) for s in split]
             yield pa.RecordBatch.from_arrays(

@@ -48,6 +48,8 @@ class Vocabulary:
         pairs = (m.split(" ") if isinstance(m, str) else m for m in model["merges"])
         both = ((bytes(chars[c] for c in a), bytes(chars[c] for c in b)) for a, b in pairs)
         self.merges = [(ids[a], ids[b], ids[a + b]) for a, b in both]
+        self._spaces = [c for c in regex.findall(r"\s", "".join(map(chr, range(0x110000)))) if c != " "]
+        self._gaps = regex.compile(r"(?<=\S) (?=\S)").split
         self.byte_ids = [ids[bytes([b])] for b in range(256)]
         self._split = regex.compile(self.PATTERN).findall
         # letters and numbers of a later Unicode version than the tokenizers library's are neither, to it
@@ -79,6 +81,32 @@ class Vocabulary:
         parts = (([p] if p in self.specials else split(p)) for p in self._special.split(text) if p)
         return list(itertools.chain.from_iterable(parts))
 
+    def units(self, text: str) -> list:
+        """The text cut before each single space between other characters. Pre-tokens never
+        span such a cut, as a space goes with what follows it: a unit's pre-tokens are those
+        of the text. A string stands for itself with a space before it, a 1-tuple for its
+        string as it is (at the start, or a special token)."""
+        if self._special is not None and self._special.search(text):
+            parts = self._special.split(text)
+            return list(itertools.chain.from_iterable([(p,)] if p in self.specials else self._units(p) for p in parts if p))
+        return self._units(text)
+
+    def _units(self, text: str) -> list:
+        if not text:
+            return []
+        odd = text[0] == " " or text[-1] == " " or "  " in text or any(
+            c in text and (c + " " in text or " " + c in text) for c in self._spaces)
+        units = self._gaps(text) if odd else text.split(" ")
+        units[0] = (units[0],)
+        return units
+
+    def unit_text(self, unit: str | tuple[str]) -> str:
+        return unit[0] if isinstance(unit, tuple) else " " + unit
+
+    def unit_pretokens(self, unit: str | tuple[str]) -> list[str]:
+        text = self.unit_text(unit)
+        return [text] if text in self.specials else self._splitter(text)(text)
+
 
 @functools.lru_cache(maxsize=2)
 def vocabulary(path: str) -> Vocabulary:
@@ -87,15 +115,15 @@ def vocabulary(path: str) -> Vocabulary:
 
 
 class Memo(dict):
-    """Results by pre-token, of bounded size: what the last slice used is kept when it is full."""
+    """Results by unit or pre-token, of bounded size: what the last slice used is kept when it is full."""
 
-    def __init__(self, fill: Callable[[list[str]], Iterable], entries: int):
+    def __init__(self, fill: Callable[[list], Iterable], entries: int):
         super().__init__()
         self.fill, self.entries = fill, entries
 
-    def cover(self, pretokens: Iterable[list[str]]) -> None:
-        """Make sure that every pre-token of a slice of texts has its result."""
-        seen = set().union(*pretokens)
+    def cover(self, texts: Iterable[list]) -> None:
+        """Make sure that everything in a slice of cut texts has its result."""
+        seen = set().union(*texts)
         unseen = [p for p in seen if p not in self]
         if len(self) + len(unseen) > self.entries:
             kept = {p: self[p] for p in seen if p in self}
@@ -103,3 +131,14 @@ class Memo(dict):
             self.update(kept)
         if unseen:
             self.update(zip(unseen, self.fill(unseen), strict=True))
+
+
+def memo_of_units(voc: Vocabulary, of_pretokens: Memo, combine: Callable[[Iterable], object], entries: int, rows: int = 4096) -> Memo:
+    """Results of units, combined from those of their pre-tokens."""
+    def fill(units: list):
+        for at in range(0, len(units), rows):
+            split = [voc.unit_pretokens(u) for u in units[at:at + rows]]
+            of_pretokens.cover(split)
+            for s in split:
+                yield combine(map(of_pretokens.__getitem__, s))
+    return Memo(fill, entries)
