@@ -1,6 +1,98 @@
-STAGES = []
+"""From raw documents to packed training sequences, in five stages.
+
+Each stage takes the documents that the one before kept, as a table read back from
+Parquet, and returns documents with the same columns; the last returns the packed
+pieces. A stage's decisions cover all its input.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from mercadia.llm.jaccard_join import jaccard_components
+from mercadia.llm.packing import pack_documents
+from mercadia.llm.perplexity import perplexity_quality
+from mercadia.llm.pii_crf import redact
+from mercadia.llm.suffix_dedup import remove_repeats
+from mercadia.session import cut_lineage
+
+#: Rows of a decision table that may be broadcast to the documents; a larger one is shuffled with them.
+BROADCAST_ROWS = 1_000_000
+SEQUENCE_TOKENS = 2048
+
+
+def _small(decisions: DataFrame) -> DataFrame:
+    """A decision table, written once, and marked for broadcast if its checked size allows."""
+    decisions = cut_lineage(decisions, "decisions")
+    return F.broadcast(decisions) if decisions.count() <= BROADCAST_ROWS else decisions
+
+
+def _with_length(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else docs
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the quality rules. The rules judge text and language, so rows of
+    one doc_id with the same text and language share their fate; null texts go."""
+    key = ["_id", "_lang", "_crc"]
+    rejected = _small(perplexity_quality(docs).where(~F.col("kept"))
+                      .select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"), F.col("text_crc32").alias("_crc")).distinct())
+    crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
+    same = F.col("doc_id").eqNullSafe(F.col(key[0])) & F.col("lang").eqNullSafe(F.col(key[1])) & (crc == F.col(key[2]))
+    return docs.join(rejected, same, "left_anti")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of similar ones: that with the least doc_id. Shingles
+    of five words, similarity 0.8. Documents without words link with nothing and stay,
+    as do those without an id whose component has no other. Of rows that share a
+    doc_id one stays: the first by a hash of its text."""
+    found = cut_lineage(jaccard_components(docs, words=5, percent=80), "components")
+    gone = _small(found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct())
+    kept = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+    repeated = _small(found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("doc_id"))
+    if repeated.isEmpty():
+        return kept
+    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
+    one = (kept.join(repeated, "doc_id", "left_semi").withColumn("_row", F.row_number().over(first))
+           .where("_row = 1").select(*docs.columns))
+    return kept.join(repeated, "doc_id", "left_anti").unionByName(one)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages of 100 bytes or more that an earlier one has."""
+    return _with_length(remove_repeats(docs, length=100))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with emails, addresses, card and phone numbers replaced by their kind."""
+    return _with_length(redact(docs))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The token pieces of all documents, packed into sequences."""
+    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), SEQUENCE_TOKENS)
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality_rules", quality),
+    ("ngram_jaccard_join", near_duplicates),
+    ("suffix_array_dedup", repeated_passages),
+    ("skip_chain_pii", personal_data),
+    ("best_fit_packing", packing),
+]
+
+# No stage but the similarity join can be put in SQL; tests compare with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages over ``documents`` of ``sf_dir``, each written to the shared folder and read again."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = cut_lineage(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
