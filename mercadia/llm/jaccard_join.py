@@ -8,8 +8,9 @@ on its own.
 Level 0 has the one-shingle sets as pivots. A document is nearest to those of its
 own shingles (all others are at distance 1), and a document within distance r of it
 lacks at most r of them: so it is enough to enter the regions of its first
-floor(r * n) + 1 shingles in one order common to all documents. In that order the
-shingles that stand first in many documents come last, which keeps regions small.
+floor(r * n) + 1 shingles in one order common to all documents. In that order
+shingles that stand first in many documents come last, the most frequent at the very
+end, which keeps regions small.
 
 Level 1 takes a document of each region as the pivot of its Voronoi cell and
 computes the members' distances to it. Members within r are linked through it and
@@ -34,13 +35,13 @@ from mercadia.llm.common import slices
 from mercadia.llm.suffix_dedup import StretchHash
 from mercadia.session import cut_lineage
 
-#: Shingles that come late in the common order: those that stand first in more documents
-#: than COMMON_OVER; COMMON_KEPT of them at most (the most frequent), which bounds the broadcast.
-COMMON_OVER, COMMON_KEPT = 48, 1_000_000
+#: Shingles that come late in the common order, by frequency: those that stand first in more
+#: documents than COMMON_OVER; COMMON_KEPT of them at most (the most frequent), which bounds the broadcast.
+COMMON_OVER, COMMON_KEPT = 3, 2_000_000
 #: Members of one part of a region that stands under a very frequent shingle.
 PART_MEMBERS = 200_000
 #: Regions with so many members are joined pair by pair; larger ones get so many pivots first.
-LEAF_MEMBERS, PIVOTS = 24, 8
+LEAF_MEMBERS, PIVOTS = 64, 16
 #: Rows of document ids that may be broadcast to pick the documents to compare; more are shuffled.
 BROADCAST_IDS = 500_000
 #: Sets that others are compared with go around in bundles of about so many.
@@ -121,20 +122,21 @@ def _keys(shingles: np.ndarray, buckets: int) -> np.ndarray:
     return ((shingles >> np.uint64(32)) % np.uint64(buckets) << np.uint64(32)) | (shingles & _LOW)
 
 
-def first_shingles(shingles: np.ndarray, percent: int, common: np.ndarray, buckets: int) -> np.ndarray:
+def first_shingles(shingles: np.ndarray, percent: int, common: np.ndarray, often: np.ndarray, buckets: int) -> np.ndarray:
     """Keys of the shingles one of which any set linked to this one has: its first
-    n - ceil(n * percent / 100) + 1 by (in ``common``, hash)."""
+    n - ceil(n * percent / 100) + 1 in the order of (frequency among the ``common`` keys
+    of which ``often`` has the counts, hash)."""
     need = len(shingles) - _least_shared(len(shingles), percent) + 1 if len(shingles) else 0
-    upto, rare = min(2 * need, len(shingles)), shingles[:0]
+    upto = min(2 * need, len(shingles))
     while True:
         keys = _keys(shingles[:upto], buckets)
-        is_common = np.zeros(upto, bool)
+        count = np.zeros(upto, np.int64)
         if len(common):
-            is_common = common[np.minimum(np.searchsorted(common, keys), len(common) - 1)] == keys
-        rare = keys[~is_common]
-        if len(rare) >= need or upto == len(shingles):
-            out = np.concatenate([rare, keys[is_common]])[:need]
-            return out if len(np.unique(out)) == len(out) else np.unique(out)
+            at = np.minimum(np.searchsorted(common, keys), len(common) - 1)
+            count = np.where(common[at] == keys, often[at], 0)
+        if upto == len(shingles) or (count == 0).sum() >= need:
+            first = keys[np.argsort(count, kind="stable")][:need]
+            return first if len(np.unique(first)) == len(first) else np.unique(first)
         upto = len(shingles)
 
 
@@ -162,7 +164,7 @@ def _deal_first(words: int, percent: int, buckets: int):
     """Keys of the first shingles by hash, and by bucket: a row's data are the lower halves."""
     def deal(batches):
         held, size = [], 0
-        none = np.zeros(0, np.uint64)
+        none = np.zeros(0, np.uint64), np.zeros(0, np.int64)
 
         def flush():
             keys = np.sort(np.concatenate(held))
@@ -170,7 +172,7 @@ def _deal_first(words: int, percent: int, buckets: int):
 
         for _, texts in _texts(batches):
             seen = {set_class(s): s for s in shingle_sets(texts, words) if len(s)}
-            held += [first_shingles(s, percent, none, buckets) for s in seen.values()]
+            held += [first_shingles(s, percent, *none, buckets) for s in seen.values()]
             size += sum(map(len, held[-len(seen):])) if seen else 0
             if size >= BATCH_ENTRIES:
                 yield from flush()
@@ -195,10 +197,10 @@ def _count_first(batches):
 def _describe(words: int, percent: int, buckets: int, held_common):
     """(_doc, _class, n, first) of each text: its class, the size of its set, the keys of its first shingles."""
     def describe(batches):
-        common, _ = held_common.value
+        common, often = held_common.value
         for part, texts in _texts(batches):
             sets = shingle_sets(texts, words)
-            first = [first_shingles(s, percent, common, buckets).astype(np.int64) for s in sets]
+            first = [first_shingles(s, percent, common, often, buckets).astype(np.int64) for s in sets]
             ends = np.concatenate([[0], np.cumsum([len(f) for f in first])]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [part.column("_doc"), pa.array([set_class(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
@@ -221,7 +223,7 @@ def _deal_regions(percent: int, buckets: int, held_common):
     region under a very frequent shingle is cut into parts by class, which go to
     buckets of their own (part number in the upper half)."""
     def deal(batches):
-        common, parts = held_common.value
+        common, often = held_common.value
         seen: set[int] = set()
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         size = 0
@@ -231,7 +233,7 @@ def _deal_regions(percent: int, buckets: int, held_common):
             bucket = (key >> np.uint64(32)).astype(np.int64)
             if len(common):
                 at = np.minimum(np.searchsorted(common, key), len(common) - 1)
-                of = np.where(common[at] == key, parts[at], 1)
+                of = np.where(common[at] == key, -(-often[at] // PART_MEMBERS), 1)
                 part = 1 + (_mixed(cls.astype(np.uint64)) % of.astype(np.uint64)).astype(np.int64)
                 bucket = np.where(of > 1, (part << 32) | bucket, bucket)
             o = np.argsort(bucket, kind="stable")
@@ -409,9 +411,11 @@ def jaccard_components(docs: DataFrame, words: int, percent: int, id_col: str =
 
     # shingles that stand first in many documents
     first = texts.mapInArrow(_deal_first(words, percent, buckets), _DEALT).repartition(buckets, "bucket")
-    common = (first.mapInArrow(_count_first, "key long, n long").orderBy(F.col("n").desc(), "key").limit(COMMON_KEPT)
-              .toArrow().to_pandas().sort_values("key"))
-    held = spark.sparkContext.broadcast((common["key"].to_numpy(np.uint64), -(-common["n"].to_numpy(np.int64) // PART_MEMBERS)))
+    common = cut_lineage(first.mapInArrow(_count_first, "key long, n long"), "common")
+    steps = [COMMON_OVER, *(1 << i for i in range(2, 60))]
+    sizes = common.agg(*[F.count(F.when(F.col("n") > s, 1)).alias(f"s{s}") for s in steps]).first()
+    common = common.where(F.col("n") > next(s for s in steps if sizes[f"s{s}"] <= COMMON_KEPT)).toArrow().sort_by("key")
+    held = spark.sparkContext.broadcast((common["key"].to_numpy().astype(np.uint64), common["n"].to_numpy()))
 
     described = cut_lineage(texts.mapInArrow(_describe(words, percent, buckets, held),
                                              "_doc long, _class long, n long, first array<long>"), "described")
