@@ -17,20 +17,20 @@ import bisect
 import functools
 import os
 import zlib
+from collections.abc import Callable
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from mercadia.llm.common import id_text, numbered, slices
-from mercadia.llm.vocabulary import Memo, Vocabulary, vocabulary
+from mercadia.llm.vocabulary import vocabulary
 from mercadia.session import cut_lineage
 
-#: Units of text whose ids a worker keeps, and units given to the library at a time.
-MEMO_ENTRIES, FILL_ROWS = 350_000, 1024
-
 
 class SequencePlan:
     """runs: (length, first rank, end rank, pieces per sequence, first sequence, offset)."""
@@ -118,30 +118,22 @@ def plan_sequences(counts: dict[int, int], capacity: int) -> SequencePlan:
 
 
 @functools.lru_cache(maxsize=2)
-def _ids(path: str) -> tuple[Vocabulary, Memo]:
+def text_ids(path: str) -> Callable[[str], np.ndarray]:
+    """Ids of a text, special tokens' texts in it included, as the tokenizers library gives them.
+
+    Where ids stand in the order of the merges, a vocabulary is a table of ranks, which
+    tiktoken encodes several times as fast; the library itself does the others."""
+    voc = vocabulary(path)
+    made = [c for _, _, c in voc.merges]
+    if all(a < b for a, b in zip(made, made[1:], strict=False)) and max(voc.byte_ids) < min(made):
+        ranks = {b: i for b, i in voc.ids.items()}
+        encoding = tiktoken.Encoding("ranks", pat_str=voc.PATTERN, mergeable_ranks=ranks, special_tokens=voc.specials)
+        return lambda text: encoding.encode_to_numpy(text, allowed_special="all")
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     library = Tokenizer.from_file(path)
     library.no_truncation()
     library.no_padding()
-
-    voc = vocabulary(path)
-    mark = next(iter(voc.specials), None)
-
-    def encoded(texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in library.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def fill(units: list):
-        for at in range(0, len(units), FILL_ROWS):
-            texts = [voc.unit_text(u) for u in units[at:at + FILL_ROWS]]
-            if mark is None or not voc.specials.keys().isdisjoint(texts):
-                yield from (np.array(ids, "<u4").tobytes() for ids in encoded(texts))
-                continue
-            # one call for many units: a special token between two keeps their ids apart
-            ids = np.array(encoded([mark.join(texts)])[0], "<u4")
-            cuts = [-1, *np.flatnonzero(ids == voc.specials[mark]).tolist(), len(ids)]
-            data = ids.tobytes()
-            yield from (data[4 * (a + 1):4 * b] for a, b in zip(cuts, cuts[1:], strict=False))
-    return voc, Memo(fill, MEMO_ENTRIES)
+    return lambda text: np.array(library.encode(text, add_special_tokens=False).ids, "<u4")
 
 
 def token_pieces(docs: DataFrame, path: str, capacity: int, end_id: int = 0, keep_ids: bool = False,
@@ -153,14 +145,12 @@ def token_pieces(docs: DataFrame, path: str, capacity: int, end_id: int = 0, kee
     has what is left over. A null or empty text has ``end_id`` alone.
     """
     def cut(batches):
-        voc, memo = _ids(path)
+        encode = text_ids(path)
         end = np.array([end_id], "<u4").tobytes()
         for part in slices(batches):
-            split = [voc.units(t) for t in part.column(1).to_pylist()]
-            memo.cover(split)
             rows, crc, kept = [], [], []
-            for doc, s in enumerate(split):
-                ids = b"".join(map(memo.__getitem__, s)) + end
+            for doc, text in enumerate(part.column(1).to_pylist()):
+                ids = encode(text).astype("<u4").tobytes() + end
                 n = len(ids) // 4
                 at, size = 0, n % capacity or capacity
                 piece = 0
@@ -196,7 +186,6 @@ def pack_pieces(pieces: DataFrame, capacity: int) -> DataFrame:
             counts.update(zip(pdf["length"].tolist(), pdf["n"].tolist(), strict=True))
         if counts and not 1 <= min(counts) <= max(counts) <= capacity:
             raise ValueError(f"piece lengths must be 1 to {capacity}")
-        import pandas as pd
         yield pd.DataFrame(plan_sequences(counts, capacity).runs,
                            columns=["length", "rank_from", "rank_to", "each", "sequence_from", "offset_from"])
 

@@ -82,9 +82,10 @@ class Vocabulary:
         return list(itertools.chain.from_iterable(parts))
 
     def units(self, text: str) -> list:
-        """The text cut before each single space between other characters. Pre-tokens never
-        span such a cut, as a space goes with what follows it: a unit's pre-tokens are those
-        of the text. A string stands for itself with a space before it, a 1-tuple for its
+        """The text cut before each single space or line end between other characters.
+        Pre-tokens never span such a cut, as a space goes with what follows it and a line
+        end stands alone: a unit's pre-tokens are those of the text. A string stands for
+        itself, with a space before it unless it starts with the line end; a 1-tuple for its
         string as it is (at the start, or a special token)."""
         if self._special is not None and self._special.search(text):
             parts = self._special.split(text)
@@ -94,14 +95,19 @@ class Vocabulary:
     def _units(self, text: str) -> list:
         if not text:
             return []
-        odd = text[0] == " " or text[-1] == " " or "  " in text or any(
-            c in text and (c + " " in text or " " + c in text) for c in self._spaces)
-        units = self._gaps(text) if odd else text.split(" ")
+        ends = text[0] + text[-1]
+        spaces = [c for c in self._spaces if c in text]
+        if " " in ends or "  " in text or any(c + " " in text or " " + c in text for c in spaces):
+            units = self._gaps(text)
+        elif "\n" in spaces and "\n" not in ends and not any(c + "\n" in text or "\n" + c in text for c in spaces):
+            units = text.replace("\n", " \n").split(" ")
+        else:
+            units = text.split(" ")
         units[0] = (units[0],)
         return units
 
     def unit_text(self, unit: str | tuple[str]) -> str:
-        return unit[0] if isinstance(unit, tuple) else " " + unit
+        return unit[0] if isinstance(unit, tuple) else unit if unit[:1] == "\n" else " " + unit
 
     def unit_pretokens(self, unit: str | tuple[str]) -> list[str]:
         text = self.unit_text(unit)
