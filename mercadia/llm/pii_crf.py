@@ -44,7 +44,7 @@ LEAST_DIGITS, MOST_DIGITS = 7, 19
 #: alone make up for the refusal at most, a skip edge does more.
 REFUSED, MOST = -6.0, {"node": 4.0, "chain": 0.5, "same": 6.0, "similar": 6.0}
 #: Counts before any are seen: of a label, and of equal and unequal labels at a skip's ends.
-PRIOR, PRIOR_SAME, PRIOR_OTHER = 0.5, 20.0, {"same": 0.005, "similar": 0.02}
+PRIOR, PRIOR_SAME, PRIOR_OTHER = 0.5, 20.0, 0.005
 ROUNDS, DAMPING, SETTLED = 40, 0.3, 1e-4
 
 _AT_WORD = re.compile(r"[^\s@]+@[^\s@]+")
@@ -183,7 +183,7 @@ class Field:
             self.node[shape] = w + np.where(np.arange(labels) == OTHER, 0.0, REFUSED)
         self.edge = {}
         for kind, n in tables.items():
-            n = n + (PRIOR if kind == "chain" else PRIOR_OTHER[kind] + PRIOR_SAME * np.eye(labels))
+            n = n + (PRIOR if kind == "chain" else PRIOR_OTHER + PRIOR_SAME * np.eye(labels))
             joint, one = n / n.sum(), n.sum(axis=1) / n.sum()
             self.edge[kind] = np.clip(np.log(joint / np.outer(one, one)), -MOST[kind], MOST[kind])
 

@@ -348,7 +348,7 @@ def _index_contexts(length: int, gram: int, buckets: int):
                 cols.append(np.where(after >= w, whole.of(anchor, np.minimum(anchor + gram + w, len(flat))) | np.uint64(1), np.uint64(0)))
             place = np.zeros(len(ask), _PLACE)
             place["doc"], place["tag"], place["start"], place["more"] = doc, tag, start, more
-            held.append(Contexts(h[anchor], place, before.astype("<u2"), np.array(cols, np.uint64).reshape(2 * len(widths), -1).T.astype("<u4")))
+            held.append(Contexts(h[anchor], place, before.astype("<u2"), np.array(cols, np.uint64).reshape(2 * len(widths), len(ask)).T.astype("<u4")))
             size += len(ask)
             if size >= BATCH_ENTRIES // 4:
                 both = Contexts(*(np.concatenate([c[n] for c in held]) for n in ("gram", "place", "ahead", "hashes")))
