@@ -12,12 +12,14 @@ floor(r * n) + 1 shingles in one order common to all documents. In that order
 shingles that stand first in many documents come last, the most frequent at the very
 end, which keeps regions small.
 
-Level 1 takes a document of each region as the pivot of its Voronoi cell and
-computes the members' distances to it. Members within r are linked through it and
-need no comparison among themselves. A region that then still has several
-components is joined recursively: more pivots, cells with triangle-inequality
-windows, and in small cells the pairs of different components themselves. Every
-distance that decides a link is computed on whole sets, so the result is exact.
+Level 1 takes the member of each region whose shingle stands first as a pivot, and
+computes the members' distances to it. Members within r are linked through it and need
+no comparison among themselves. Level 2 joins the regions that then still have several
+components: the linked members of a pivot are its Voronoi cell; a member of another
+component is compared with the pivot, goes into the cell if it is within 2 r of it
+(the triangle inequality's window), and meets those members there whose distances to
+the pivot differ from its own by r at most. Every distance that decides a link is
+computed on whole sets, so the result is exact.
 
 Equal sets are one class; a class is compared, its documents are not.
 """
@@ -28,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mercadia.llm.common import slices
@@ -40,8 +42,6 @@ from mercadia.session import cut_lineage
 COMMON_OVER, COMMON_KEPT = 3, 2_000_000
 #: Members of one part of a region that stands under a very frequent shingle.
 PART_MEMBERS = 200_000
-#: Regions with so many members are joined pair by pair; larger ones get so many pivots first.
-LEAF_MEMBERS, PIVOTS = 64, 16
 #: Rows of document ids that may be broadcast to pick the documents to compare; more are shuffled.
 BROADCAST_IDS = 500_000
 #: Sets that others are compared with go around in bundles of about so many.
@@ -136,7 +136,8 @@ def first_shingles(shingles: np.ndarray, percent: int, common: np.ndarray, often
             count = np.where(common[at] == keys, often[at], 0)
         if upto == len(shingles) or (count == 0).sum() >= need:
             first = keys[np.argsort(count, kind="stable")][:need]
-            return first if len(np.unique(first)) == len(first) else np.unique(first)
+            _, once = np.unique(first, return_index=True)
+            return first if len(once) == len(first) else first[np.sort(once)]
         upto = len(shingles)
 
 
@@ -208,28 +209,23 @@ def _describe(words: int, percent: int, buckets: int, held_common):
     return describe
 
 
-_ENTRY = (("low", np.dtype("<u4")), ("step", np.dtype("<u1")), ("cls", np.dtype("<i8")))
+# An entry of a class in a region: the rest of the shingle's key, the set's size, the place of
+# the shingle in the set's order, and the class.
+_ENTRY = (("low", np.dtype("<u4")), ("n", np.dtype("<u4")), ("place", np.dtype("<u4")), ("cls", np.dtype("<i8")))
 
 
-def _size_step(n: np.ndarray, percent: int) -> np.ndarray:
-    """Number of a size on a scale whose step is the widest ratio of linked sizes: linked sizes are a step apart at most."""
-    if percent >= 100:
-        return np.zeros(len(n), np.uint8)
-    return np.minimum(255, np.log(np.maximum(n, 1)) / np.log(100 / percent)).astype(np.uint8)
-
-
-def _deal_regions(percent: int, buckets: int, held_common):
+def _deal_regions(buckets: int, held_common):
     """Each class's entries in its regions, by bucket, as columns one after the other. A
     region under a very frequent shingle is cut into parts by class, which go to
     buckets of their own (part number in the upper half)."""
     def deal(batches):
         common, often = held_common.value
         seen: set[int] = set()
-        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, ...]] = []
         size = 0
 
         def flush():
-            key, cls, step = (np.concatenate([h[i] for h in held]) for i in range(3))
+            key, n, place, cls = (np.concatenate([h[i] for h in held]) for i in range(4))
             bucket = (key >> np.uint64(32)).astype(np.int64)
             if len(common):
                 at = np.minimum(np.searchsorted(common, key), len(common) - 1)
@@ -237,7 +233,7 @@ def _deal_regions(percent: int, buckets: int, held_common):
                 part = 1 + (_mixed(cls.astype(np.uint64)) % of.astype(np.uint64)).astype(np.int64)
                 bucket = np.where(of > 1, (part << 32) | bucket, bucket)
             o = np.argsort(bucket, kind="stable")
-            columns = [c[o].astype(t) for c, (_, t) in zip((key & _LOW, step, cls), _ENTRY, strict=True)]
+            columns = [c[o].astype(t) for c, (_, t) in zip((key & _LOW, n, place, cls), _ENTRY, strict=True)]
             runs = list(_by_bucket(bucket[o]))
             yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in runs], pa.int64()),
                                               pa.array([b"".join(c[at].tobytes() for c in columns) for _, at in runs], pa.binary())], ["bucket", "data"])
@@ -248,7 +244,8 @@ def _deal_regions(percent: int, buckets: int, held_common):
             keys, count = first.flatten().to_numpy().astype(np.uint64), first.value_lengths().to_numpy()
             new = np.array([not (c in seen or seen.add(c)) for c in cls.tolist()], bool)  # copies near each other count once
             mine = np.repeat(new, count)
-            held.append((keys[mine], np.repeat(cls, count)[mine], np.repeat(_size_step(n, percent), count)[mine]))
+            place = np.arange(len(keys)) - np.repeat(np.cumsum(count) - count, count)
+            held.append((keys[mine], np.repeat(n, count)[mine], place[mine], np.repeat(cls, count)[mine]))
             size += int(mine.sum())
             if size >= BATCH_ENTRIES:
                 yield from flush()
@@ -266,34 +263,67 @@ def _entries(data: bytes) -> list[np.ndarray]:
     return out
 
 
-_MEMBERS = "region long, cls long, step int, pivot long, pivot_step int, members long"
+_MEMBERS = "region long, cls long, n long, tail long, pivot long, pivot_n long, pivot_tail long, members long"
 
 
-def _form_regions(batches):
-    """Members of each region with more than one class, and the pivot: the smallest class.
-    A part of a region has a pivot of its own and is told even with one member."""
-    by: dict[int, list] = {}
-    for batch in batches:
-        for bucket, data in zip(batch.column("bucket").to_pylist(), batch.column("data").to_pylist(), strict=True):
-            by.setdefault(bucket, []).append(_entries(data))
-    for bucket in list(by):
-        low, step, cls = (np.concatenate(c) for c in zip(*by.pop(bucket), strict=True))
-        o = np.lexsort((cls, low))
-        low, step, cls = low[o], step[o], cls[o]
-        once = np.ones(len(o), bool)
-        once[1:] = (low[1:] != low[:-1]) | (cls[1:] != cls[:-1])
-        low, step, cls = low[once], step[once], cls[once]
-        first = np.flatnonzero(np.concatenate([[True], low[1:] != low[:-1]]))
-        size = np.diff(np.concatenate([first, [len(low)]]))
-        lead, size = np.repeat(first, size), np.repeat(size, size)
-        region = ((bucket & 0xFFFFFFFF) << 32) | low.astype(np.int64)
-        part = bucket >> 32
-        keep = np.flatnonzero((size > 1) | (part > 0))
-        for at in np.array_split(keep, max(1, len(keep) // 100_000)):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(region[at]), pa.array(cls[at]), pa.array(step[at].astype(np.int32)), pa.array(cls[lead[at]]),
-                 pa.array(step[lead[at]].astype(np.int32)), pa.array(np.where(part > 0, 1 << 40, size[at]).astype(np.int64))],
-                ["region", "cls", "step", "pivot", "pivot_step", "members"])
+def _form_regions(percent: int):
+    """Members of each region with more than one class, and the pivot: the member whose shingle
+    stands first, so that it has most in common with the others.
+
+    ``tail`` is how many shingles a member has from the region's on. A pair is to be
+    decided in the region of the first shingle that it shares, where both tails must
+    hold the overlap that a link needs; members that no other fits in this way are left
+    out. A part of a region has a pivot of its own and is told even with one member.
+    """
+    def form(batches):
+        by: dict[int, list] = {}
+        for batch in batches:
+            for bucket, data in zip(batch.column("bucket").to_pylist(), batch.column("data").to_pylist(), strict=True):
+                by.setdefault(bucket, []).append(_entries(data))
+        for bucket in list(by):
+            low, n, place, cls = (np.concatenate(c) for c in zip(*by.pop(bucket), strict=True))
+            n, place = n.astype(np.int64), place.astype(np.int64)
+            o = np.lexsort((cls, low))
+            once = np.ones(len(o), bool)
+            once[1:] = (low[o][1:] != low[o][:-1]) | (cls[o][1:] != cls[o][:-1])
+            low, n, place, cls = (c[o][once] for c in (low, n, place, cls))
+            part = bucket >> 32
+            if not part:
+                fits = _fitting(low, n, n - place, percent)
+                low, n, place, cls = (c[fits] for c in (low, n, place, cls))
+            o = np.lexsort((cls, place / np.maximum(n, 1), low))
+            low, n, place, cls = (c[o] for c in (low, n, place, cls))
+            if not len(low):
+                continue
+            first = np.flatnonzero(np.concatenate([[True], low[1:] != low[:-1]]))
+            size = np.diff(np.concatenate([first, [len(low)]]))
+            lead, size = np.repeat(first, size), np.repeat(size, size)
+            region = ((bucket & 0xFFFFFFFF) << 32) | low.astype(np.int64)
+            keep = np.flatnonzero((size > 1) | (part > 0))
+            for at in np.array_split(keep, max(1, len(keep) // 100_000)):
+                to = lead[at]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c) for c in (region[at], cls[at], n[at], (n - place)[at], cls[to], n[to], (n - place)[to],
+                                           np.where(part > 0, 1 << 40, size[at]).astype(np.int64))],
+                    ["region", "cls", "n", "tail", "pivot", "pivot_n", "pivot_tail", "members"])
+    return form
+
+
+def _fitting(low: np.ndarray, n: np.ndarray, tail: np.ndarray, percent: int) -> np.ndarray:
+    """Members (sorted by ``low``) for whom the sizes and tails of some other in the region leave room for a link."""
+    most = tail * (100 + percent) // percent - n  # the largest partner that this tail allows
+    if not len(low):
+        return np.zeros(0, bool)
+    first = np.flatnonzero(np.concatenate([[True], low[1:] != low[:-1]]))
+    size = np.diff(np.concatenate([first, [len(low)]]))
+
+    def least_other(value: np.ndarray) -> np.ndarray:
+        o = np.lexsort((value, low))
+        own, second = value[o][first], value[o][np.minimum(first + 1, first + size - 1)]
+        out = np.repeat(own, size)
+        out[o[first]] = second
+        return out
+    return (np.repeat(size, size) > 1) & (least_other(n) <= most) & (-least_other(-most) >= n)
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -322,7 +352,7 @@ class _Compare:
     """Decides pairs of classes: first by their first shingles, then by their whole sets."""
 
     def __init__(self, texts: DataFrame, described: DataFrame, words: int, percent: int):
-        self.texts, self.described, self.words, self.percent, self.held = texts, described, words, percent, None
+        self.texts, self.described, self.words, self.percent = texts, described, words, percent
         self.reps = cut_lineage(described.where("n > 0").groupBy(F.col("_class").alias("cls")).agg(F.min("_doc").alias("_doc")), "representatives")
 
     @staticmethod
@@ -364,10 +394,6 @@ class _Compare:
                 .mapInArrow(gather, "own long, shingles array<long>, cls long")
                 .where("own = cls").drop("own"))  # another text of the same id is no member of the class
 
-    def hold(self, few: DataFrame) -> None:
-        """Write the sets of the classes in ``few``, which are to be compared several times."""
-        self.held = cut_lineage(self._gathered(few), "shingle_sets")
-
     def similar(self, pairs: DataFrame) -> DataFrame:
         """(a, b, shared, total) of pairs of classes (a, b): sizes of intersection and union.
 
@@ -382,7 +408,7 @@ class _Compare:
             "a", "b", "k", F.pmod(F.xxhash64("b"), F.ceil(F.col("n") / F.lit(BUNDLE))).alias("part")), "pairs")
         asked = pairs.groupBy(F.col("a").alias("cls"), "k", "part").agg(F.collect_set("b").alias("others"))
         asking = pairs.select(F.col("b").alias("cls"), "k", "part").distinct()
-        x, y = ((self._gathered(side.select("cls").distinct()) if self.held is None else self.held).join(side, "cls") for side in (asked, asking))
+        x, y = (self._gathered(side.select("cls").distinct()).join(side, "cls") for side in (asked, asking))
         bundles = (y.groupBy("k", "part").agg(F.collect_list(F.struct(F.col("cls").alias("b"), F.col("shingles").alias("y"))).alias("bundle")))
         found = F.transform(F.filter("bundle", lambda o: F.array_contains("others", o["b"])), lambda o: F.struct(
             o["b"].alias("b"), (F.size("shingles") + F.size(o["y"])).alias("both"), F.size(F.array_intersect("shingles", o["y"])).alias("shared")))
@@ -419,21 +445,25 @@ def jaccard_components(docs: DataFrame, words: int, percent: int, id_col: str =
 
     described = cut_lineage(texts.mapInArrow(_describe(words, percent, buckets, held),
                                              "_doc long, _class long, n long, first array<long>"), "described")
-    dealt = described.where("n > 0").select("_class", "n", "first").mapInArrow(_deal_regions(percent, buckets, held), "bucket long, data binary")
-    regions = cut_lineage(dealt.repartition(buckets, "bucket").mapInArrow(_form_regions, _MEMBERS), "regions")
+    dealt = described.where("n > 0").select("_class", "n", "first").mapInArrow(_deal_regions(buckets, held), "bucket long, data binary")
+    regions = cut_lineage(dealt.repartition(buckets, "bucket").mapInArrow(_form_regions(percent), _MEMBERS), "regions")
 
+    to_col = lambda c: F.col(c) if isinstance(c, str) else c
     compare = _Compare(texts, described, words, percent)
     linked = lambda df: df.where(F.col("shared") * 100 >= F.col("total") * percent).select("a", "b")
-    near_size = lambda x, y: F.abs(F.col(x) - F.col(y)) <= 1
+
+    def fit(n_a, tail_a, n_b, tail_b) -> Column:
+        """Whether both tails hold the overlap that two sets need to be linked."""
+        return F.least(to_col(tail_a), to_col(tail_b)) * (100 + percent) >= (to_col(n_a) + to_col(n_b)) * percent
 
     # members against the pivots of their regions; the pivot that is most alike decides first.
     # A pair is (member, pivot): the member's set moves to its pivot's.
-    stars = (regions.where("cls <> pivot").where(near_size("step", "pivot_step"))
+    stars = (regions.where("cls <> pivot").where(fit("n", "tail", "pivot_n", "pivot_tail"))
              .select(F.col("cls").alias("a"), F.col("pivot").alias("b")).distinct())
     stars = cut_lineage(compare.possible(stars), "stars")
     best = cut_lineage(stars.groupBy("a").agg(F.max_by("b", F.struct("alike", "b")).alias("b")), "best")
-    links = cut_lineage(linked(compare.similar(best)), "links")
-    label = connected_components(links)
+    near = cut_lineage(compare.similar(best), "distances")
+    label = connected_components(linked(near))
 
     def labelled(df: DataFrame, *cols: str) -> DataFrame:
         """With the component of each class column as ``of_<column>``."""
@@ -444,33 +474,53 @@ def jaccard_components(docs: DataFrame, words: int, percent: int, id_col: str =
 
     # the other pivots, where the components differ so far
     rest = labelled(stars.select("a", "b").join(best, ["a", "b"], "left_anti"), "a", "b").where("of_a <> of_b")
-    links = links.unionByName(cut_lineage(linked(compare.similar(rest)), "links"))
-    label = connected_components(links)
-
-    # what the pivots left open; regions of two are decided
-    open_regions, n_pivots = regions.where("members > 2").select("region", "cls", "step"), PIVOTS
-    while True:
-        # a region with one component is decided
-        own = labelled(open_regions, "cls")
-        mixed = (own.groupBy("region").agg(F.min("of_cls").alias("lo"), F.max("of_cls").alias("hi"), F.count(F.lit(1)).alias("members"))
-                 .where("lo <> hi").select("region", "members"))
-        own = cut_lineage(own.join(mixed, "region"), "open_regions")
-        if own.isEmpty():
-            break
-        small, large = own.where(F.col("members") <= LEAF_MEMBERS), own.where(F.col("members") > LEAF_MEMBERS)
-        x, y = (small.select("region", F.col("cls").alias(c), F.col("of_cls").alias(f"of_{c}"), F.col("step").alias(f"step_{c}")) for c in "ab")
-        leaf = x.join(y, "region").where("a < b AND of_a <> of_b").where(near_size("step_a", "step_b")).select("a", "b").distinct()
-        pivots = cut_lineage(_pivots(large, n_pivots), "pivots")
-        star = large.join(pivots, "region").where("cls <> pivot").select("region", "cls", "step", "pivot")
-        pairs = compare.possible(leaf).select("a", "b").unionByName(star.select(F.col("cls").alias("a"), F.col("pivot").alias("b")))
-        pairs = cut_lineage(pairs.distinct(), "pairs")
-        if compare.held is None:  # later pairs are among the members of the same large regions
-            compare.hold(pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct())
-        near = cut_lineage(compare.similar(pairs), "distances")
-        links = links.unionByName(linked(near))
-        label = connected_components(links)
-        open_regions = cut_lineage(_cells(star, pivots, near, percent), "cells")
-        n_pivots *= 4  # where cells do not part the members, few rounds have to do
+    near = near.unionByName(cut_lineage(compare.similar(rest), "distances"))
+    label = connected_components(linked(near))
+
+    # what the pivots left open: members of regions of several components (regions of two are decided),
+    # each in the Voronoi cell of the nearest pivot it is linked to, or in a cell of its own
+    distance = 1 - F.col("shared") / F.col("total")
+    cell = (near.where(F.col("shared") * 100 >= F.col("total") * percent).groupBy(F.col("a").alias("cls"))
+            .agg(F.min(F.struct(distance.alias("d"), F.col("b").alias("pivot"))).alias("m")).select("cls", "m.d", "m.pivot"))
+    centres = cell.select(F.col("pivot").alias("centre"), F.lit(False).alias("alone")).distinct()
+    size = label.groupBy(F.col("label").alias("of_cls")).agg(F.count(F.lit(1)).alias("size"))
+    own = labelled(regions.where("members > 2").select("region", "cls", "n", "tail"), "cls")
+    mixed = (own.groupBy("region").agg(F.min("of_cls").alias("lo"), F.max("of_cls").alias("hi"), F.count(F.lit(1)).alias("members"))
+             .where("lo <> hi").select("region", "members"))
+    own = (own.join(mixed, "region").join(size, "of_cls", "left").join(cell, "cls", "left")
+           .select("region", "cls", "n", "tail", "members", "of_cls", F.coalesce("size", F.lit(1)).alias("size"),
+                   F.coalesce("pivot", "cls").alias("centre"), F.coalesce("d", F.lit(0.0)).alias("d"))
+           .join(centres, "centre", "left").withColumn("alone", F.coalesce("alone", F.lit(True))))
+    own = cut_lineage(own, "open_regions")
+
+    # a member against the centres of the larger components in its regions. A region's centres
+    # come in bundles, so that a member meets each centre once whatever regions they share.
+    heads = (own.groupBy("region", "centre", "alone", "of_cls", "size", "members").agg(F.max("tail").alias("tail"), F.min("n").alias("n"))
+             .groupBy("region", F.pmod(F.xxhash64("centre"), F.ceil(F.col("members") / F.lit(BUNDLE))).alias("part"))
+             .agg(F.collect_list(F.struct("centre", "alone", "of_cls", "size", "tail", "n")).alias("heads")))
+    met = F.transform(F.filter("heads", lambda o: (F.struct(o["size"], o["of_cls"]) > F.struct(F.col("size"), F.col("of_cls")))
+                               & fit("n", "tail", o["n"], o["tail"])), lambda o: F.struct(o["centre"].alias("centre"), o["alone"].alias("alone")))
+    met = (own.join(heads, "region").select("cls", met.alias("met")).where(F.size("met") > 0)
+           .groupBy("cls").agg(F.array_distinct(F.flatten(F.collect_list("met"))).alias("met"))
+           .select("cls", F.explode("met").alias("m")).select(F.col("cls").alias("a"), F.col("m.centre").alias("b"), "m.alone"))
+    met = cut_lineage(met, "met")
+    found = cut_lineage(compare.similar(met.where(~F.col("alone"))), "distances")
+    near = near.unionByName(found)
+    label = connected_components(linked(near))
+
+    # windows: a member can only be linked to those of a cell whose centre is within 2 r of it, and
+    # whose distances from the centre differ from its own by r at most
+    r, slack = 1 - percent / 100, 1e-9
+    inside = own.select(F.col("centre").alias("b"), F.col("cls").alias("x"), F.col("d").alias("dx"), F.col("n").alias("nx")).distinct()
+    sizes = own.select(F.col("cls").alias("a"), "n").distinct()
+    windows = (labelled(found.select("a", "b", distance.alias("d")).where(F.col("d") <= 2 * r + slack), "a", "b").where("of_a <> of_b")
+               .join(sizes, "a").join(inside, "b")
+               .where((F.abs(F.col("d") - F.col("dx")) <= r + slack) & (F.col("a") != F.col("x"))
+                      & (F.least("n", "nx") * 100 >= F.greatest("n", "nx") * percent))
+               .select("a", F.col("x").alias("b")))
+    pairs = labelled(windows.unionByName(met.where("alone").select("a", "b")).distinct(), "a", "b").where("of_a <> of_b")
+    near = near.unionByName(cut_lineage(compare.similar(compare.possible(pairs.select("a", "b"))), "distances"))
+    label = connected_components(linked(near))
 
     groups = (described.select("_doc", "_class", "n").join(label.select(F.col("node").alias("_class"), "label"), "_class", "left")
               .withColumn("_group", F.coalesce("label", "_class")))
@@ -479,37 +529,3 @@ def jaccard_components(docs: DataFrame, words: int, percent: int, id_col: str =
     return (groups.join(least, "_group", "left")
             .select(known("_doc").alias("doc_id"), F.col("n").alias("n_shingles"),
                     F.when(F.col("n") > 0, known("_least")).otherwise(known("_doc")).alias("component_id")))
-
-
-def _pivots(large: DataFrame, n: int) -> DataFrame:
-    """(region, pivot): up to ``n`` members of each region, the least of each slice of its classes."""
-    return (large.groupBy("region", F.pmod(F.xxhash64("cls"), F.lit(n)).alias("_slice")).agg(F.min("cls").alias("pivot"))
-            .select("region", "pivot"))
-
-
-def _cells(star: DataFrame, pivots: DataFrame, near: DataFrame, percent: int) -> DataFrame:
-    """(region, cls, step): members of large regions in the cells of the pivots, which have
-    been compared with all members and leave.
-
-    With r the distance of a link and m the distance to the nearest pivot, two linked
-    members have m within r of each other. Both at ``far`` or beyond meet in the region's
-    far cell; otherwise both are within far + r, and one's nearest pivot is within the
-    other's m + 2r, where that one's copy goes. Where the copies would be more than
-    twice the members, cells do not part them, and they stay together.
-    """
-    r, far, slack = 1 - percent / 100, 0.5, 1e-9
-    dist = near.select("a", "b", (1 - F.col("shared") / F.col("total")).alias("d"))
-    dist = dist.unionByName(dist.select(F.col("b").alias("a"), F.col("a").alias("b"), "d"))
-    d = star.join(dist.select(F.col("a").alias("cls"), F.col("b").alias("pivot"), "d"), ["cls", "pivot"])
-    d = d.join(pivots.select("region", F.col("pivot").alias("cls")), ["region", "cls"], "left_anti")
-    least = d.groupBy("region", "cls", "step").agg(F.min("d").alias("m"))
-    window = (F.col("m") <= far + r + slack) & (F.col("d") <= F.col("m") + 2 * r + slack) & (F.col("d") < 1)
-    cells = (d.join(least.select("region", "cls", "m"), ["region", "cls"]).where(window)
-             .select("region", F.xxhash64("region", "pivot").alias("cell"), "cls", "step")
-             .unionByName(least.where(F.col("m") >= far - slack)
-                          .select("region", F.xxhash64("region", F.lit("far")).alias("cell"), "cls", "step")))
-    parted = (cells.groupBy("region").agg(F.count(F.lit(1)).alias("copies"))
-              .join(least.groupBy("region").agg(F.count(F.lit(1)).alias("members")), "region")
-              .where("copies <= 2 * members").select("region"))
-    return (cells.join(parted, "region", "left_semi").select(F.col("cell").alias("region"), "cls", "step")
-            .unionByName(least.join(parted, "region", "left_anti").select("region", "cls", "step")))

@@ -150,8 +150,6 @@ def test_jaccard_against_brute_force(docs_of, odd_texts, words, percent):
 
 def test_jaccard_recursion(docs_of, monkeypatch):
     """Many members to a region, few to a leaf: pivots, cells and windows decide."""
-    monkeypatch.setattr(jaccard_join, "LEAF_MEMBERS", 3)
-    monkeypatch.setattr(jaccard_join, "PIVOTS", 2)
     monkeypatch.setattr(jaccard_join, "BUNDLE", 2)
     monkeypatch.setattr(jaccard_join, "BROADCAST_IDS", 0)
     rnd = random.Random(8)
