@@ -33,20 +33,23 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mercadia.llm.common import slices
+from mercadia.llm.common import slices, small_batches
 from mercadia.llm.suffix_dedup import StretchHash
 from mercadia.session import cut_lineage
 
 #: Shingles that come late in the common order, by frequency: those that stand first in more
 #: documents than COMMON_OVER; COMMON_KEPT of them at most (the most frequent), which bounds the broadcast.
-COMMON_OVER, COMMON_KEPT = 3, 2_000_000
+COMMON_OVER, COMMON_KEPT = 3, 1_000_000
 #: Members of one part of a region that stands under a very frequent shingle.
 PART_MEMBERS = 200_000
 #: Rows of document ids that may be broadcast to pick the documents to compare; more are shuffled.
 BROADCAST_IDS = 500_000
 #: Sets that others are compared with go around in bundles of about so many.
 BUNDLE = 32
-CHUNK_BYTES, BATCH_ENTRIES = 1 << 20, 1_000_000
+#: Rows of members of open regions, and shingles of their sets, that are joined in place, as a
+#: broadcast; more are shuffled to their cells.
+LEAF_ROWS, LEAF_SHINGLES = 400_000, 2_500_000
+CHUNK_BYTES, BATCH_ENTRIES = 1 << 20, 300_000
 
 _WORD_TABLE = np.random.default_rng(20_240_615).integers(0, 1 << 64, 256, np.uint64)
 _WORD_BASE, _SHINGLE_BASE = 0xD1342543DE82EF95, 0x9E3779B97F4A7C15
@@ -431,6 +434,7 @@ def jaccard_components(docs: DataFrame, words: int, percent: int, id_col: str =
     hashes. Runs jobs; intermediate tables are written to the shared folder.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     buckets = max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
     texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias("_doc"), text.alias("text"))
@@ -465,34 +469,144 @@ def jaccard_components(docs: DataFrame, words: int, percent: int, id_col: str =
     near = cut_lineage(compare.similar(best), "distances")
     label = connected_components(linked(near))
 
-    def labelled(df: DataFrame, *cols: str) -> DataFrame:
-        """With the component of each class column as ``of_<column>``."""
-        for c in cols:
-            own = label.select(F.col("node").alias(c), F.col("label").alias("_l"))
-            df = df.join(own, c, "left").withColumn(f"of_{c}", F.coalesce("_l", c)).drop("_l")
-        return df
-
     # the other pivots, where the components differ so far
-    rest = labelled(stars.select("a", "b").join(best, ["a", "b"], "left_anti"), "a", "b").where("of_a <> of_b")
+    rest = labelled(label, stars.select("a", "b").join(best, ["a", "b"], "left_anti"), "a", "b").where("of_a <> of_b")
     near = near.unionByName(cut_lineage(compare.similar(rest), "distances"))
     label = connected_components(linked(near))
 
     # what the pivots left open: members of regions of several components (regions of two are decided),
     # each in the Voronoi cell of the nearest pivot it is linked to, or in a cell of its own
     distance = 1 - F.col("shared") / F.col("total")
-    cell = (near.where(F.col("shared") * 100 >= F.col("total") * percent).groupBy(F.col("a").alias("cls"))
-            .agg(F.min(F.struct(distance.alias("d"), F.col("b").alias("pivot"))).alias("m")).select("cls", "m.d", "m.pivot"))
-    centres = cell.select(F.col("pivot").alias("centre"), F.lit(False).alias("alone")).distinct()
-    size = label.groupBy(F.col("label").alias("of_cls")).agg(F.count(F.lit(1)).alias("size"))
-    own = labelled(regions.where("members > 2").select("region", "cls", "n", "tail"), "cls")
-    mixed = (own.groupBy("region").agg(F.min("of_cls").alias("lo"), F.max("of_cls").alias("hi"), F.count(F.lit(1)).alias("members"))
-             .where("lo <> hi").select("region", "members"))
-    own = (own.join(mixed, "region").join(size, "of_cls", "left").join(cell, "cls", "left")
-           .select("region", "cls", "n", "tail", "members", "of_cls", F.coalesce("size", F.lit(1)).alias("size"),
-                   F.coalesce("pivot", "cls").alias("centre"), F.coalesce("d", F.lit(0.0)).alias("d"))
-           .join(centres, "centre", "left").withColumn("alone", F.coalesce("alone", F.lit(True))))
-    own = cut_lineage(own, "open_regions")
 
+    def left_open() -> DataFrame:
+        cell = (near.where(F.col("shared") * 100 >= F.col("total") * percent).groupBy(F.col("a").alias("cls"))
+                .agg(F.min(F.struct(distance.alias("d"), F.col("b").alias("pivot"))).alias("m")).select("cls", "m.d", "m.pivot"))
+        centres = cell.select(F.col("pivot").alias("centre"), F.lit(False).alias("alone")).distinct()
+        size = label.groupBy(F.col("label").alias("of_cls")).agg(F.count(F.lit(1)).alias("size"))
+        own = labelled(label, regions.where("members > 2").select("region", "cls", "n", "tail"), "cls")
+        mixed = (own.groupBy("region").agg(F.min("of_cls").alias("lo"), F.max("of_cls").alias("hi"), F.count(F.lit(1)).alias("members"))
+                 .where("lo <> hi").select("region", "members"))
+        own = (own.join(mixed, "region").join(size, "of_cls", "left").join(cell, "cls", "left")
+               .select("region", "cls", "n", "tail", "members", "of_cls", F.coalesce("size", F.lit(1)).alias("size"),
+                       F.coalesce("pivot", "cls").alias("centre"), F.coalesce("d", F.lit(0.0)).alias("d"))
+               .join(centres, "centre", "left").withColumn("alone", F.coalesce("alone", F.lit(True))))
+        return cut_lineage(own, "open_regions")
+
+    own = left_open()
+    leaf = _leaf_join(compare, own, percent)
+    if leaf is not None:
+        label = connected_components(linked(near).unionByName(cut_lineage(leaf, "links")))
+    else:
+        label = _window_join(compare, own, near, linked, fit, percent)
+
+    groups = (described.select("_doc", "_class", "n").join(label.select(F.col("node").alias("_class"), "label"), "_class", "left")
+              .withColumn("_group", F.coalesce("label", "_class")))
+    known = lambda c: F.when(F.col(c) != _NO_ID, F.col(c))
+    least = groups.where("n > 0").groupBy("_group").agg(F.min("_doc").alias("_least"))
+    return (groups.join(least, "_group", "left")
+            .select(known("_doc").alias("doc_id"), F.col("n").alias("n_shingles"),
+                    F.when(F.col("n") > 0, known("_least")).otherwise(known("_doc")).alias("component_id")))
+
+
+def labelled(label: DataFrame, df: DataFrame, *cols: str) -> DataFrame:
+    """``df`` with the component of each class column as ``of_<column>``."""
+    for c in cols:
+        own = label.select(F.col("node").alias(c), F.col("label").alias("_l"))
+        df = df.join(own, c, "left").withColumn(f"of_{c}", F.coalesce("_l", c)).drop("_l")
+    return df
+
+
+def _leaf_join(compare: _Compare, own: DataFrame, percent: int) -> DataFrame | None:
+    """Links (a, b) between components of the open regions, enough to join all that are linked;
+    None where the members and their sets are too large to be broadcast.
+
+    Every task has all open members and takes some of them as ``a``: each meets the
+    members of its regions in other components whose sizes and tails fit, by arrays."""
+    n_rows = own.count()
+    if n_rows > LEAF_ROWS:
+        return None
+    classes = own.select("cls", "n").distinct()
+    if classes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] > LEAF_SHINGLES:
+        return None
+    spark = own.sparkSession
+    rows = own.select("region", "cls", "n", "tail", "of_cls").toArrow()
+    sets = compare._gathered(classes.select("cls")).dropDuplicates(["cls"]).toArrow()
+    held = spark.sparkContext.broadcast(_Leaf(rows, sets, percent))
+
+    def join(batches):
+        leaf = held.value
+        for batch in batches:
+            a, b = leaf.links(batch.column("id").to_numpy())
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+    tasks = max(1, min(len(sets), spark.sparkContext.defaultParallelism * 2))
+    return spark.range(0, len(sets), 1, tasks).mapInArrow(join, "a long, b long")
+
+
+class _Leaf:
+    """Open members by region, their sets as numbers of shingles, and who links with whom."""
+
+    def __init__(self, rows: pa.Table, sets: pa.Table, percent: int):
+        self.percent = percent
+        self.cls = sets["cls"].to_numpy()
+        o = np.argsort(self.cls)
+        self.cls = self.cls[o]
+        lists = sets["shingles"].combine_chunks()
+        size = lists.value_lengths().to_numpy() if len(lists) else np.zeros(0, np.int64)
+        start = np.cumsum(size) - size
+        flat = lists.flatten().to_numpy() if len(lists) else np.zeros(0, np.int64)
+        flat = np.concatenate([flat[start[i]:start[i] + size[i]] for i in o]) if len(o) else flat
+        self.size = size[o].astype(np.int64)
+        self.start = np.cumsum(self.size) - self.size
+        vocabulary, self.flat = np.unique(flat, return_inverse=True)
+        self.flat, self.width = self.flat.astype(np.int32), len(vocabulary)
+        region, cls, n, tail, of = (rows[c].to_numpy() for c in ("region", "cls", "n", "tail", "of_cls"))
+        o = np.argsort(region, kind="stable")
+        self.member, self.n, self.tail = np.searchsorted(self.cls, cls[o]), n[o], tail[o]
+        self.of = np.zeros(len(self.cls), np.int64)
+        self.of[self.member] = of[o]
+        edge = np.flatnonzero(np.concatenate([[True], np.diff(region[o]) != 0, [True]])) if len(o) else np.zeros(1, np.int64)
+        self.from_, self.to = np.repeat(edge[:-1], np.diff(edge)), np.repeat(edge[1:], np.diff(edge))
+        by = np.argsort(self.member, kind="stable")
+        self.places, self.first = by, np.searchsorted(self.member[by], np.arange(len(self.cls) + 1))
+
+    def links(self, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Links of the members ``some`` that join what they have not joined yet."""
+        parent: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while (up := parent.get(x, x)) != x:
+                parent[x] = x = parent.get(up, up)
+            return x
+        out = []
+        mark = np.zeros(self.width, bool)
+        for a in some.tolist():
+            met = []
+            for p in self.places[self.first[a]:self.first[a + 1]].tolist():
+                at = slice(self.from_[p], self.to[p])
+                fits = np.minimum(self.tail[at], self.tail[p]) * (100 + self.percent) >= (self.n[at] + self.n[p]) * self.percent
+                met.append(self.member[at][fits])
+            met = np.unique(np.concatenate(met)) if met else np.zeros(0, np.int64)
+            met = met[(met > a) & (self.of[met] != self.of[a])]
+            if not len(met):
+                continue
+            own = self.flat[self.start[a]:self.start[a] + self.size[a]]
+            mark[own] = True
+            size = self.size[met]
+            ends = np.cumsum(size)
+            place = np.repeat(self.start[met] - (ends - size), size) + np.arange(ends[-1])
+            shared = np.add.reduceat(mark[self.flat[place]].astype(np.int64), ends - size)
+            mark[own] = False
+            for b in met[shared * 100 >= (size + len(own) - shared) * self.percent].tolist():
+                x, y = find(int(self.of[a])), find(int(self.of[b]))
+                if x != y:
+                    parent[max(x, y)] = min(x, y)
+                    out.append((self.cls[a], self.cls[b]))
+        a, b = np.array(out, np.int64).reshape(-1, 2).T
+        return a, b
+
+
+def _window_join(compare: _Compare, own: DataFrame, near: DataFrame, linked, fit, percent: int) -> DataFrame:
+    """Components after joining the open regions by Voronoi cells and windows, shuffled."""
     # a member against the centres of the larger components in its regions. A region's centres
     # come in bundles, so that a member meets each centre once whatever regions they share.
     heads = (own.groupBy("region", "centre", "alone", "of_cls", "size", "members").agg(F.max("tail").alias("tail"), F.min("n").alias("n"))
@@ -507,25 +621,18 @@ def jaccard_components(docs: DataFrame, words: int, percent: int, id_col: str =
     found = cut_lineage(compare.similar(met.where(~F.col("alone"))), "distances")
     near = near.unionByName(found)
     label = connected_components(linked(near))
+    distance = 1 - F.col("shared") / F.col("total")
 
     # windows: a member can only be linked to those of a cell whose centre is within 2 r of it, and
     # whose distances from the centre differ from its own by r at most
     r, slack = 1 - percent / 100, 1e-9
     inside = own.select(F.col("centre").alias("b"), F.col("cls").alias("x"), F.col("d").alias("dx"), F.col("n").alias("nx")).distinct()
     sizes = own.select(F.col("cls").alias("a"), "n").distinct()
-    windows = (labelled(found.select("a", "b", distance.alias("d")).where(F.col("d") <= 2 * r + slack), "a", "b").where("of_a <> of_b")
+    windows = (labelled(label, found.select("a", "b", distance.alias("d")).where(F.col("d") <= 2 * r + slack), "a", "b").where("of_a <> of_b")
                .join(sizes, "a").join(inside, "b")
                .where((F.abs(F.col("d") - F.col("dx")) <= r + slack) & (F.col("a") != F.col("x"))
                       & (F.least("n", "nx") * 100 >= F.greatest("n", "nx") * percent))
                .select("a", F.col("x").alias("b")))
-    pairs = labelled(windows.unionByName(met.where("alone").select("a", "b")).distinct(), "a", "b").where("of_a <> of_b")
+    pairs = labelled(label, windows.unionByName(met.where("alone").select("a", "b")).distinct(), "a", "b").where("of_a <> of_b")
     near = near.unionByName(cut_lineage(compare.similar(compare.possible(pairs.select("a", "b"))), "distances"))
-    label = connected_components(linked(near))
-
-    groups = (described.select("_doc", "_class", "n").join(label.select(F.col("node").alias("_class"), "label"), "_class", "left")
-              .withColumn("_group", F.coalesce("label", "_class")))
-    known = lambda c: F.when(F.col(c) != _NO_ID, F.col(c))
-    least = groups.where("n > 0").groupBy("_group").agg(F.min("_doc").alias("_least"))
-    return (groups.join(least, "_group", "left")
-            .select(known("_doc").alias("doc_id"), F.col("n").alias("n_shingles"),
-                    F.when(F.col("n") > 0, known("_least")).otherwise(known("_doc")).alias("component_id")))
+    return connected_components(linked(near))

@@ -152,6 +152,7 @@ def test_jaccard_recursion(docs_of, monkeypatch):
     """Many members to a region, few to a leaf: pivots, cells and windows decide."""
     monkeypatch.setattr(jaccard_join, "BUNDLE", 2)
     monkeypatch.setattr(jaccard_join, "BROADCAST_IDS", 0)
+    monkeypatch.setattr(jaccard_join, "LEAF_ROWS", 0)
     rnd = random.Random(8)
     base = [f"w{i}" for i in range(40)]
     own = {}
