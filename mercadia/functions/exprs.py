@@ -13,7 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MONEY = "decimal(18,2)"
-_WIDE = "decimal(20,2)"
+RAW = "decimal(28,8)"       # a source amount as it came
 _MICROS_PER_DAY = 86_400_000_000
 
 
@@ -30,22 +30,34 @@ def round_to(c, scale: int) -> Column:
     """ROUND(x::numeric, scale) for a double or decimal input.
 
     A double goes through decimal(28,8) first (its shortest decimal form for the
-    values sources carry), so the rounding itself is decimal HALF_UP.
+    values sources carry), so the rounding itself is decimal HALF_UP. Digits after
+    the eighth are rounded before; values of 10**20 and more raise.
     """
     c = _c(c)
     return F.round(c.cast("decimal(28,8)"), scale)
 
 
+def exact(c) -> Column:
+    """A source amount as decimal(28,8), not rounded to cents: sums add raw amounts
+    and round once, at the end."""
+    return _c(c).cast(RAW)
+
+
+def times(total, n) -> Column:
+    """A raw total counted ``n`` times, exactly: totals below 10**18, ``n`` below 10**10."""
+    return _c(total).cast("decimal(26,8)") * _c(n).cast("decimal(10,0)")
+
+
 def ratio(num, den, scale: int, factor: int = 1) -> Column:
-    """ROUND(num * factor / NULLIF(den, 0), scale) in exact decimal arithmetic.
+    """ROUND(num * factor / NULLIF(den, 0), scale) in decimal arithmetic.
 
-    Both operands are widened to decimal(20,s) so the quotient keeps ≥14
-    fractional digits before the final rounding (no double rounding in practice).
+    Operands keep eight fractional digits (as ``exact`` amounts have) and sixteen
+    integer ones; more overflow, which raises. The quotient has ten or more
+    fractional digits before the final rounding. NULL where an operand is NULL or
+    the denominator is 0.
     """
-    n = _c(num)
-    d = _c(den)
-    n_dec = n.cast("decimal(20,2)") if factor == 1 else n.cast("decimal(20,2)") * F.lit(Decimal(factor))
-    return F.round(n_dec / F.nullif(d.cast("decimal(20,2)"), F.lit(0)), scale)
+    n, d = (_c(x).cast("decimal(24,8)") for x in (num, den))
+    return F.round((n if factor == 1 else n * F.lit(Decimal(factor))) / F.nullif(d, F.lit(0)), scale)
 
 
 def safe_pct(num, den, scale: int = 2) -> Column:

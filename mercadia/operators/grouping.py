@@ -5,36 +5,18 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.exprs import month_index
 from .windows import _keys
 
-_NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
-
-
 def top_row_per_key(df: DataFrame, keys: list[str], order: list) -> DataFrame:
     """DISTINCT ON (keys) … ORDER BY keys, order: one row per key.
 
-    When every descending key is numeric the choice is an aggregate,
-    ``min_by(row, sort-struct)``, which combines map-side: a key holding a third
-    of all rows never lands whole in one task. Otherwise it falls back to
-    ``row_number() = 1`` over a window partitioned by the keys.
+    ``row_number() = 1`` over the keys. Spark plans it with a limit of one row per
+    key and task below the exchange, so a key holding a third of all rows reaches
+    its final task as one row from each.
     """
-    okeys = _keys(order)
-    types = dict((f.name, f.dataType) for f in df.schema.fields)
-    payload = [c for c in df.columns if c not in keys]
-    if all((not k.descending) or isinstance(types[k.name], _NUMERIC) for k in okeys):
-        fields = []
-        for i, k in enumerate(okeys):
-            c = F.col(k.name)
-            nf = (not k.descending) if k.nulls_first is None else k.nulls_first
-            fields.append((c.isNotNull() if nf else c.isNull()).alias(f"n{i}"))
-            fields.append((-c if k.descending else c).alias(f"v{i}"))
-        best = F.min_by(F.struct(*[F.col(c) for c in payload]), F.struct(*fields))
-        return df.groupBy(*keys).agg(best.alias("_best")).select(*keys, *[F.col(f"_best.{c}").alias(c)
-                                                                             for c in payload])
-    w = Window.partitionBy(*keys).orderBy(*[k.sort() for k in okeys])
+    w = Window.partitionBy(*keys).orderBy(*[k.sort() for k in _keys(order)])
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
@@ -67,9 +49,10 @@ def cohort_retention(activity: DataFrame, person: str, ts: str, offsets=(1, 2, 3
     One shuffle by person: the set of active month indexes per person is
     bounded by the calendar span (not by order volume) and is built map-side
     first, so a person with a third of all orders is still a small set. A
-    second, tiny shuffle groups by cohort month.
+    second, tiny shuffle groups by cohort month. Activity of a NULL person counts
+    nowhere.
     """
-    per_person = (activity.select(F.col(person).alias("_p"), month_index(F.col(ts)).alias("_m"))
+    per_person = (activity.where(F.col(person).isNotNull()).select(F.col(person).alias("_p"), month_index(F.col(ts)).alias("_m"))
                   .groupBy("_p").agg(F.array_sort(F.collect_set("_m")).alias("_months")))
     first = F.col("_months")[0]
     flags = [F.array_contains("_months", first + k).cast("int").alias(f"_r{k}") for k in offsets]

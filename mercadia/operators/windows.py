@@ -143,8 +143,8 @@ def global_window(df: DataFrame, order: list, tie_break: list, partition_by: lis
     ``ntile`` and ``running`` order by ``order`` then ``tie_break``;
     ``group_sum`` gives every row the total of a measure over its whole
     partition group (SUM() OVER (PARTITION BY …)), also when the group spans
-    ranges. The number of ranges defaults to the shuffle width, capped at four
-    task waves.
+    ranges. NULL measures are skipped, as SUM does. The number of ranges defaults to
+    the shuffle width.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
@@ -154,12 +154,19 @@ def global_window(df: DataFrame, order: list, tie_break: list, partition_by: lis
         raise ValueError("ntile is supported for whole-set windows only")
     running = dict(running or {})
     group_sum = dict(group_sum or {})
-    for m in group_sum:
-        running.setdefault(m, f"_gs_run_{m}")
-    # ranges: the shuffle width, but at most a few waves of tasks (AQE cannot
-    # coalesce a range repartition with an explicit count)
-    n = num_partitions or max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                                     4 * spark.sparkContext.defaultParallelism))
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # A measure runs as its value with NULL as 0, and as a count of its non-NULL
+    # rows: like SUM, a total is NULL until a row has a value.
+    types = dict(df.dtypes)
+    measures = list(dict.fromkeys([*running, *group_sum]))
+    values = {m: f"_v{i}" for i, m in enumerate(measures)}
+    counts = {m: f"_k{i}" for i, m in enumerate(measures)}
+    columns = df.columns
+    df = df.select("*", *[F.coalesce(F.col(m), F.lit(0).cast(types[m])).alias(values[m]) for m in measures],
+                   *[F.col(m).isNotNull().cast("bigint").alias(counts[m]) for m in measures])
+    asked_running, asked_group = running, group_sum
+    running = [x for m in measures for x in (values[m], counts[m])]
+    group_sum = [x for m in asked_group for x in (values[m], counts[m])]
     sort = [F.col(p).asc_nulls_first() for p in part] + [k.sort() for k in okeys + tkeys]
 
     group_key = F.struct(*[F.col(p) for p in part]) if part else F.struct(F.lit(0).alias("g"))
@@ -257,12 +264,15 @@ def global_window(df: DataFrame, order: list, tie_break: list, partition_by: lis
     if ntile:
         name, tiles = ntile
         new_cols.append(ntile_of(rn, F.col("_total"), tiles).cast("bigint").alias(name))
-    for m, name in running.items():
-        if name.startswith("_gs_run_"):
-            continue
-        new_cols.append((F.col(f"_run_{m}") + F.when(in_first_g, F.col(f"_off_run_{m}")).otherwise(0)).alias(name))
     in_last_g = F.col("_g").eqNullSafe(F.col("_g_last"))
-    for m, name in group_sum.items():
-        new_cols.append((F.col(f"_gloc_{m}") + F.when(in_first_g, F.col(f"_off_run_{m}")).otherwise(0)
-                         + F.when(in_last_g, F.col(f"_after_{m}")).otherwise(0)).alias(name))
-    return out.select(*df.columns, *new_cols)
+
+    def upto(x):
+        return F.col(f"_run_{x}") + F.when(in_first_g, F.col(f"_off_run_{x}")).otherwise(0)
+
+    def whole(x):
+        return (F.col(f"_gloc_{x}") + F.when(in_first_g, F.col(f"_off_run_{x}")).otherwise(0)
+                + F.when(in_last_g, F.col(f"_after_{x}")).otherwise(0))
+
+    for total, asked in ((upto, asked_running), (whole, asked_group)):
+        new_cols += [F.when(total(counts[m]) > 0, total(values[m])).alias(name) for m, name in asked.items()]
+    return out.select(*columns, *new_cols)

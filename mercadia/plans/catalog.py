@@ -5,9 +5,9 @@ across engines."""
 
 from __future__ import annotations
 
-import os
 import uuid
 from collections.abc import Callable
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,11 +20,11 @@ from ..operators.windows import Key, global_window, pareto, period_over_period,
 from ..functions.exprs import pg_initcap, safe_pct
 from ..session import configure, ensure_checkpoint_dir
 from ..sources.readers import write_replace
-from ..sources.binding import TEST_TABLES, load_bound_tables
+from ..sources.binding import load_bound_tables
 from . import dashboards as db
 from . import intermediate as im
 from . import reports as rp
-from ..sources.readers import publish, read_csv_table
+from ..sources.readers import publish, read_csv_table, read_parquet_table
 from .pipeline import build_models, run_pipeline, table_row_counts
 
 
@@ -40,40 +40,10 @@ def canonical(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-_SOURCES: dict[tuple, dict[str, DataFrame]] = {}
-
-
 def bound_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Bound source DataFrames, built once per (session, folder, file versions).
-
-    Only logical plans are kept (no data): building them costs thousands of
-    driver↔JVM calls, which would otherwise be paid again by every query.
-    """
-    stamp = tuple(os.stat(os.path.join(sf_dir, f"{n}.parquet")).st_mtime_ns for n in TEST_TABLES
-                  if os.path.exists(os.path.join(sf_dir, f"{n}.parquet")))
-    key = (spark.sparkContext.applicationId, id(spark), os.path.abspath(sf_dir), stamp)
-    if key not in _SOURCES:
-        _SOURCES.clear()
-        _SOURCES[key] = load_bound_tables(spark, sf_dir)
-    return _SOURCES[key]
-
-
-_TABLES: dict[tuple, DataFrame] = {}
-
-
-def materialised_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``int_orders_enriched`` written once per session as a Parquet table in
-    the shared folder named by ``spark.checkpoint.dir`` and read back, as the
-    pipeline materialises it for its six consumers. Consumers then join item
-    rows to a plain scan: a two-way join between shuffle stages, which
-    adaptive execution can split when one order is hot."""
-    key = (spark.sparkContext.applicationId, id(spark), os.path.abspath(sf_dir))
-    if key not in _TABLES:
-        _TABLES.clear()
-        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/mercadia-tables/{uuid.uuid4().hex}/int_orders_enriched"
-        write_replace(build_models(bound_sources(spark, sf_dir))["int_orders_enriched"], path)
-        _TABLES[key] = spark.read.parquet(path)
-    return _TABLES[key]
+    """Bound source DataFrames, built anew for each call: nothing outlives a query, so a
+    rewritten file is seen by the next one, wherever it is stored."""
+    return load_bound_tables(spark, sf_dir)
 
 
 class Ctx:
@@ -89,7 +59,7 @@ class Ctx:
     @property
     def m(self) -> dict[str, DataFrame]:
         if self._models is None:
-            self._models = build_models(self.src, enriched=lambda: materialised_orders(self.spark, self.sf_dir))
+            self._models = build_models(self.src)
         return self._models
 
     def raw(self, *names):
@@ -118,27 +88,77 @@ def _dcs(c): return db.ds_customer_segments(*c.raw("orders", "customers", "order
 def _kpi(c): return db.ds_kpi_metrics(*c.raw("orders", "order_payments"))
 
 
+def _union(frames):
+    return reduce(DataFrame.unionByName, frames)
+
+
+def _key(*cols) -> F.Column:
+    return F.concat_ws("|", *[F.col(x).cast("string") for x in cols])
+
+
 def _dq_not_null(c):
     s = c.src
     rules = [("orders", ["order_id"]), ("order_items", ["order_id", "product_id", "price"]),
              ("order_payments", ["order_id", "payment_value"]), ("order_reviews", ["order_id", "review_score"]),
              ("customers", ["customer_id"]), ("products", ["product_id"])]
-    return reduce(DataFrame.unionByName, [dq.dq_not_null(s[t], cols, t) for t, cols in rules])
+    return _union([dq.dq_not_null(s[t], cols, t) for t, cols in rules])
 
 
 # fixed accepted values
 ORDER_STATUSES = ["delivered", "shipped", "processing", "invoiced", "approved", "created", "unavailable", "canceled"]
 PAYMENT_TYPES = ["credit_card", "boleto", "voucher", "debit_card", "not_defined"]
+SEGMENTS = ["new", "returning", "at_risk", "churned"]
+# fixed grains of the models
+GRAINS = {"int_orders_enriched": ["order_id"], "int_customer_metrics": ["customer_unique_id"], "int_seller_metrics": ["seller_id"],
+          "mart_monthly_revenue": ["month"], "mart_customer_segments": ["customer_unique_id"], "mart_product_performance": ["product_id"],
+          "stg_order_items": ["order_id", "item_sequence"]}
+
+
+# Every stated rule on the models and sources, and each kind of rule once on an input
+# derived from a source so that a known part of its rows breaks it.
+
+def _dq_unique_grain(c):
+    """Repeated keys → ``table, key, row_count``; payments do not have one row an order."""
+    inputs = [(t, c.m[t], key) for t, key in GRAINS.items()] + [("stg_order_payments by order", c.m["stg_order_payments"], ["order_id"])]
+    return _union([dq.dq_unique_grain(df, key).select(F.lit(t).alias("table"), _key(*key).alias("key"), "row_count") for t, df, key in inputs])
 
 
 def _dq_accepted(c):
     """Values outside the documented code lists → ``table, key, column, value``."""
-    checks = [("order_payments", "payment_type", PAYMENT_TYPES), ("orders", "order_status", ORDER_STATUSES)]
-    return reduce(DataFrame.unionByName, [
-        dq.dq_accepted_values(c.src[t], col, values, ["order_id"]).select(
-            F.lit(t).alias("table"), F.col("order_id").alias("key"), F.lit(col).alias("column"),
-            F.col(col).alias("value"))
-        for t, col, values in checks])
+    orders = c.src["orders"]
+    upper = orders.withColumn("order_status", F.when(F.col("order_id").endswith("77"), F.upper("order_status")).otherwise(F.col("order_status")))
+    checks = [("order_payments", c.src["order_payments"], "order_id", "payment_type", PAYMENT_TYPES),
+              ("orders", orders, "order_id", "order_status", ORDER_STATUSES),
+              ("mart_customer_segments", c.m["mart_customer_segments"], "customer_unique_id", "customer_segment", SEGMENTS),
+              ("orders with upper case", upper, "order_id", "order_status", ORDER_STATUSES)]
+    return _union([dq.dq_accepted_values(df, col, values, [key]).select(
+        F.lit(t).alias("table"), F.col(key).alias("key"), F.lit(col).alias("column"), F.col(col).alias("value"))
+        for t, df, key, col, values in checks])
+
+
+def _dq_range(c):
+    """Values outside their range → ``table, key, column, value``."""
+    payments = c.m["stg_order_payments"]
+    checks = [("stg_order_reviews", c.m["stg_order_reviews"], ["review_id"], "score", 1, 5),
+              ("stg_order_payments", payments, ["order_id", "payment_seq"], "payment_amount", 0, None),
+              ("stg_order_payments less 1000", payments.withColumn("payment_amount", F.col("payment_amount") - 1000),
+               ["order_id", "payment_seq"], "payment_amount", 0, None)]
+    return _union([dq.dq_range(df, col, lo, hi, key).select(
+        F.lit(t).alias("table"), _key(*key).alias("key"), F.lit(col).alias("column"), F.col(col).cast("double").alias("value"))
+        for t, df, key, col, lo, hi in checks])
+
+
+def _dq_relationship(c):
+    """Child rows without a parent → ``relation, key, value``."""
+    s, m = c.src, c.m
+    checks = [("orders.customer_id", s["orders"], s["customers"], "customer_id", ["order_id"]),
+              ("order_items.order_id", s["order_items"], s["orders"], "order_id", ["order_id", "order_item_id"]),
+              ("order_payments.order_id", s["order_payments"], s["orders"], "order_id", ["order_id", "payment_sequential"]),
+              ("stg_order_items.product_id", m["stg_order_items"], m["stg_products"], "product_id", ["order_id", "item_sequence"]),
+              ("order_items.order_id without some orders", s["order_items"], s["orders"].where(~F.col("order_id").endswith("99")),
+               "order_id", ["order_id", "order_item_id"])]
+    return _union([dq.dq_relationship(child, parent, key, keep=[x for x in keep if x != key]).select(
+        F.lit(name).alias("relation"), _key(*keep).alias("key"), F.col(key).alias("value")) for name, child, parent, key, keep in checks])
 
 
 def _scratch(c, name: str) -> str:
@@ -162,9 +182,42 @@ def _write_replace_round_trip(c):
     return c.spark.read.parquet(path)
 
 
-def _pipeline_mart(c):
-    built = run_pipeline(c.src, materialise_root=_scratch(c, "models"), select=["mart_monthly_revenue"])
-    return built["mart_monthly_revenue"]
+def _pipeline_marts(c):
+    """All three marts of one run of the whole graph, as ``mart, key, orders, revenue``."""
+    built = run_pipeline(c.src, materialise_root=_scratch(c, "models"))
+    return _union([built[mart].select(F.lit(mart).alias("mart"), F.col(key).cast("string").alias("key"), F.col("total_orders").alias("orders"),
+                                      F.col(revenue).cast("double").alias("revenue"))
+                   for mart, key, revenue in (("mart_monthly_revenue", "month", "total_revenue"),
+                                              ("mart_customer_segments", "customer_unique_id", "total_spend"),
+                                              ("mart_product_performance", "product_id", "total_revenue"))])
+
+
+def _parquet_round_trip(c):
+    path = _scratch(c, "source")
+    write_replace(c.src["order_payments"], f"{path}/order_payments.parquet")
+    return read_parquet_table(c.spark, f"{path}/order_payments.parquet")
+
+
+def _sub_cent(c):
+    """Payments per installments in thousandths of the amount: sub-cent measures."""
+    return (c.m["stg_order_payments"].where("installments IS NOT NULL").groupBy("installments")
+            .agg((F.sum("payment_amount").cast("decimal(18,2)") * F.lit(Decimal("0.00001"))).cast("decimal(28,8)").alias("amount")))
+
+
+def _segments_by_recency(c):
+    """Against the latest order of all people."""
+    people = c.m["int_customer_metrics"]
+    latest = people.agg(F.max("last_order_at").cast("date").alias("_latest"))
+    return people.crossJoin(F.broadcast(latest)).select("customer_unique_id", gr.segment_by_recency(
+        "total_orders", F.datediff("_latest", F.col("last_order_at").cast("date"))).alias("segment"))
+
+
+def _global_window_nulls(c):
+    """Measures with NULLs: items' freight per product, NULL where it is below 500."""
+    per = c.m["stg_order_items"].groupBy("product_id").agg(F.sum("freight_cost").alias("f"), F.count(F.lit(1)).alias("items"))
+    per = per.select("product_id", "items", F.when(F.col("f") >= 500, F.col("f")).alias("freight"))
+    return global_window(per, [Key("freight", True, False)], ["product_id"], partition_by=["items"], rank="rank", row_number="row_number",
+                         running={"freight": "running_freight"}, group_sum={"freight": "items_freight"})
 
 
 def _items_revenue_by_product(c):
@@ -176,13 +229,13 @@ def _items_revenue_by_product(c):
 QUERIES: dict[str, Callable[[Ctx], DataFrame]] = {
     # sources
     "table_row_counts": lambda c: table_row_counts(c.src),
-    "read_parquet_table": lambda c: c.src["order_payments"],
+    "read_parquet_table": _parquet_round_trip,
     "read_csv_table": _csv_round_trip,
     "write_table_replace": _write_replace_round_trip,
     "materialise_view": lambda c: publish(c.m["stg_products"], "stg_products", "view"),
     "materialise_table": lambda c: publish(c.m["mart_monthly_revenue"], "mart_monthly_revenue", "table",
                                            path=_scratch(c, "mart_monthly_revenue")),
-    "model_graph": _pipeline_mart,
+    "model_graph": _pipeline_marts,
     # reports
     "a1_monthly_revenue": _a1,
     "a1_peak_month": lambda c: rp.a1_peak_month(_a1(c)),
@@ -234,13 +287,21 @@ QUERIES: dict[str, Callable[[Ctx], DataFrame]] = {
     "chart_segment_mix": lambda c: db.chart_segment_mix(_dcs(c)),
     "dashboard_filters": lambda c: db.dashboard_filters(_ds(c), date_range=("1996-01-01", "2000-01-01"),
                                                         status=["delivered", "shipped"]),
+    "chart_revenue_trend_category": lambda c: db.chart("revenue_trend", _ds(c), category=["Promo", "Economy"]),
+    "chart_orders_by_state_state": lambda c: db.chart("orders_by_state", _ds(c), state=["nation_0", "nation_3"]),
+    "chart_late_rate_two_filters": lambda c: db.chart("late_rate", _ds(c), category=["Promo", "Small", "uncategorized"],
+                                                      date_range=("1995-01-01", "1997-01-01")),
+    "chart_top_categories_category": lambda c: db.chart("top_categories", _ds(c), category=["Promo", "Economy"]),
+    "chart_payment_mix_status": lambda c: db.chart("payment_mix", _ds(c), status=["delivered"]),
+    "chart_kpi_orders_time": lambda c: db.chart("kpi_orders", _kpi(c), date_range=("1996-01-01", "1997-01-01")),
+    "chart_order_status_time": lambda c: db.chart("order_status", c.src["orders"], date_range=("1996-01-01", "1997-01-01"), state=["x"]),
+    "chart_payment_mix_state": lambda c: db.chart("payment_mix", _ds(c), state=["x"]),
     # data quality
-    "dq_unique_grain": lambda c: dq.dq_unique_grain(c.m["stg_order_items"], ["order_id", "item_sequence"]),
+    "dq_unique_grain": _dq_unique_grain,
     "dq_not_null": _dq_not_null,
     "dq_accepted_values": _dq_accepted,
-    "dq_range": lambda c: dq.dq_range(c.m["stg_order_reviews"], "score", 1, 5, ["review_id"]),
-    "dq_relationship": lambda c: dq.dq_relationship(c.m["stg_order_items"], c.m["stg_products"], "product_id",
-                                                    keep=["order_id", "item_sequence"]),
+    "dq_range": _dq_range,
+    "dq_relationship": _dq_relationship,
     # reusable operators on bound tables
     "top_row_per_key": lambda c: gr.top_row_per_key(
         c.m["stg_order_payments"].select("order_id", "payment_seq", "payment_type", "payment_amount"),
@@ -258,10 +319,7 @@ QUERIES: dict[str, Callable[[Ctx], DataFrame]] = {
     "cohort_retention": lambda c: gr.cohort_retention(
         c.m["int_orders_enriched"].where(F.col("purchased_at").isNotNull()), "customer_unique_id", "purchased_at",
         (1, 2, 3, 6, 12)),
-    "segment_by_recency": lambda c: c.m["int_customer_metrics"].select(
-        "customer_unique_id", gr.segment_by_recency(
-            "total_orders", F.datediff(F.lit("2001-09-01").cast("date"), F.col("last_order_at").cast("date")))
-        .alias("segment")),
+    "segment_by_recency": _segments_by_recency,
     "filter_sum": lambda c: c.m["stg_order_payments"].groupBy("installments").agg(*gr.filter_sum(
         "payment_amount", "payment_type",
         {"credit_card": "credit_card", "boleto": "boleto", "other": ["credit_card", "boleto"]})),
@@ -271,6 +329,11 @@ QUERIES: dict[str, Callable[[Ctx], DataFrame]] = {
     "global_window": lambda c: global_window(
         _items_revenue_by_product(c), [Key("items", True)], ["product_id"], rank="rank", row_number="row_number",
         ntile=("quartile", 4), running={"revenue": "running_revenue"}),
+    "global_window_nulls": _global_window_nulls,
+    "sub_cent_shares": lambda c: pareto(_sub_cent(c), "installments", "amount"),
+    "sub_cent_changes": lambda c: period_over_period(_sub_cent(c), ["installments"], ["amount"]),
+    "sub_cent_safe_pct": lambda c: c.m["stg_order_payments"].select(
+        "order_id", "payment_seq", safe_pct(F.col("payment_amount") * F.lit(Decimal("0.00001")), F.lit(Decimal("0.004")), 2).alias("pct")),
     "pg_initcap": lambda c: c.src["customers"].select(
         "customer_id", pg_initcap(F.concat_ws(" ", "customer_city", "customer_state")).alias("city_state")),
 }

@@ -14,7 +14,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import elapsed_days, interval_days, money, ratio
+from ..functions.exprs import elapsed_days, exact, interval_days, ratio, times
 from ..operators.grouping import segment_by_recency, top_k
 from ..operators.windows import Key, period_over_period
 from ..session import cut_lineage
@@ -50,12 +50,12 @@ def ds_order_enriched(o: DataFrame, c: DataFrame, i: DataFrame, pr: DataFrame, t
     keys = ["order_id", "order_status", "order_month", "ordered_at", "delivered_at", "estimated_at",
             "customer_unique_id", "customer_state", "customer_city", "category", "is_late", "delay_days"]
     g = j.groupBy(*keys).agg(
-        F.sum(F.col("_price") * (wp * wr)).alias("items_revenue"),
-        F.sum(F.col("_freight") * (wp * wr)).alias("freight_revenue"),
-        F.sum(F.col("_paid") * (n * wr)).alias("total_payment"),
-        F.sum(F.col("_cc") * (n * wr)).alias("credit_card_payment"),
-        F.sum(F.col("_boleto") * (n * wr)).alias("boleto_payment"),
-        F.sum(F.col("_other") * (n * wr)).alias("other_payment"),
+        F.round(F.sum(times("_price", wp * wr)), 2).alias("items_revenue"),
+        F.round(F.sum(times("_freight", wp * wr)), 2).alias("freight_revenue"),
+        F.round(F.sum(times("_paid", n * wr)), 2).alias("total_payment"),
+        F.round(F.sum(times("_cc", n * wr)), 2).alias("credit_card_payment"),
+        F.round(F.sum(times("_boleto", n * wr)), 2).alias("boleto_payment"),
+        F.round(F.sum(times("_other", n * wr)), 2).alias("other_payment"),
         F.round(F.sum(F.col("_score_sum") * (n * wp)) / F.nullif(F.sum(F.col("_score_n") * (n * wp)), F.lit(0)), 1)
          .alias("avg_review_score"))
     return g.select(*keys[:10], "items_revenue", "freight_revenue", "total_payment", "credit_card_payment",
@@ -66,7 +66,7 @@ def ds_customer_segments(o: DataFrame, c: DataFrame, p: DataFrame, recent: int =
                          excluded=("canceled",)) -> DataFrame:
     """Per (person, state): orders, spend, last order, recency segment with
     'churned' as the catch-all. Only orders with at least one payment row count."""
-    pay = p.groupBy("order_id").agg(F.sum(money("payment_value")).alias("_paid"))
+    pay = p.groupBy("order_id").agg(F.sum(exact("payment_value")).alias("_paid"))
     base = (_open(o, excluded).select("order_id", "customer_id", "order_purchase_timestamp")
             .join(pay, "order_id").join(c.select("customer_id", "customer_unique_id", "customer_state"),
                                         "customer_id"))
@@ -180,3 +180,26 @@ def dashboard_filters(df: DataFrame, date_range=DEFAULT_DATE_RANGE, category=Non
         if values is not None and col in cols:
             out = out.where(F.col(col).isin(list(values)))
     return out
+
+
+# Each chart's number, time column and function; the charts that a filter affects (time: all).
+CHARTS = {
+    "kpi_revenue": (1, "month", chart_kpi_revenue), "kpi_orders": (1, "month", chart_kpi_orders), "kpi_aov": (1, "month", chart_kpi_aov),
+    "revenue_trend": (2, "ordered_at", chart_revenue_trend), "top_categories": (3, "ordered_at", chart_top_categories),
+    "order_status": (4, "order_purchase_timestamp", chart_order_status), "payment_mix": (5, "ordered_at", chart_payment_mix),
+    "late_rate": (6, "ordered_at", chart_late_rate), "orders_by_state": (7, "ordered_at", chart_orders_by_state),
+    "segment_mix": (8, "last_order_at", chart_segment_mix),
+}
+FILTER_SCOPES = {"category": {3, 5, 6, 8}, "status": {1, 2, 3, 4, 5}, "state": {1, 7, 8}}
+
+
+def chart(name: str, dataset: DataFrame, date_range=None, **filters) -> DataFrame:
+    """A chart over its dataset under the filter bar: ``category``, ``status`` and ``state``
+    are lists of values or None, and reach the charts of their scope only; the time
+    range reaches all, by the time column of the chart's dataset. A filter in scope
+    whose column the dataset lacks does nothing."""
+    if unknown := filters.keys() - FILTER_SCOPES.keys():
+        raise ValueError(f"no such filter: {sorted(unknown)}")
+    number, time_column, function = CHARTS[name]
+    own = {f: v if number in FILTER_SCOPES[f] else None for f, v in filters.items()}
+    return function(dashboard_filters(dataset, date_range, time_column=time_column, **own))

@@ -31,8 +31,9 @@ def order_item_totals(items: DataFrame) -> DataFrame:
 
 def order_payment_totals(payments: DataFrame) -> DataFrame:
     """Per order: total paid, most installments and the dominant payment type
-    (largest amount; ties → lowest payment_seq)."""
-    dominant = F.max_by("payment_type", F.struct(F.col("payment_amount"), -F.col("payment_seq")))
+    (largest amount; ties → lowest payment_seq, then type). The choice is a minimum
+    of (amount, seq, type) structs, which combines map-side."""
+    dominant = F.min(F.struct((-F.col("payment_amount")).alias("a"), F.col("payment_seq").alias("s"), F.col("payment_type").alias("t")))["t"]
     return payments.groupBy("order_id").agg(
         F.round(F.sum("payment_amount"), 2).alias("total_payment"),
         F.max("installments").alias("max_installments"),

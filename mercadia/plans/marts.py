@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import avg_exact, interval_days, month_start, ratio
 from ..operators.grouping import segment_by_recency
+from ..session import cut_lineage
 from ..operators.windows import Key, global_window, period_over_period, running_total
 from .intermediate import _items_of_open_orders, _not_excluded
 
@@ -57,7 +58,7 @@ def mart_monthly_revenue(oe: DataFrame, excluded=("canceled", "unavailable")) ->
 VALUE_TIERS = {1: "high_value", 2: "mid_value", 3: "low_value", 4: "at_risk_value"}  # fixed labels
 
 
-def mart_customer_segments(customer_metrics: DataFrame, oe: DataFrame, recent: int = 180, lapsed: int = 365,
+def mart_customer_segments(customer_metrics: DataFrame, recent: int = 180, lapsed: int = 365,
                            tiles: int = 4) -> DataFrame:
     """Recency segment per person against the latest non-canceled purchase, and
     spend quartile (NTILE over the whole customer base, distributed; ties in
@@ -100,15 +101,17 @@ def mart_product_performance(stg_order_items: DataFrame, stg_products: DataFrame
         F.count(F.when(F.col("is_late_delivery"), 1)).alias("late_delivery_count"))
     ps = (ps.withColumn("low_score_rate_pct", ratio("low_score_order_count", "total_orders", 1, factor=100))
             .withColumn("late_delivery_rate_pct", ratio("late_delivery_count", "total_orders", 1, factor=100)))
-    ps = ps.withColumn("_quality", F.col("avg_review_score") * F.col("total_revenue"))
-    ps = global_window(ps, [Key("total_revenue", True, True)], ["product_id"], rank="revenue_rank")
+    # the three ranks see ids and sort columns only; the wide rows are written once and meet them in one join
+    ps = cut_lineage(ps, "product_sales")
+    keys = ps.select("product_id", "category", "total_revenue", (F.col("avg_review_score") * F.col("total_revenue")).alias("_quality"))
+    ranks = global_window(keys, [Key("total_revenue", True, True)], ["product_id"], rank="revenue_rank")
     # per-category rank and the category's total revenue in the same distributed
     # pass (no separate category aggregate joined back, no single-task window)
-    ps = global_window(ps, [Key("total_revenue", True, True)], ["product_id"], partition_by=["category"],
-                       rank="category_revenue_rank", group_sum={"total_revenue": "category_total_revenue"})
-    ps = ps.withColumn("category_revenue_share_pct",
-                       ratio("total_revenue", "category_total_revenue", 2, factor=100))
-    ps = global_window(ps, [Key("_quality", True, False)], ["product_id"], rank="quality_adjusted_rank")
+    ranks = global_window(ranks, [Key("total_revenue", True, True)], ["product_id"], partition_by=["category"],
+                          rank="category_revenue_rank", group_sum={"total_revenue": "category_total_revenue"})
+    ranks = global_window(ranks, [Key("_quality", True, False)], ["product_id"], rank="quality_adjusted_rank")
+    ps = (ps.join(ranks.drop("category", "total_revenue", "_quality"), "product_id")
+          .withColumn("category_revenue_share_pct", ratio("total_revenue", "category_total_revenue", 2, factor=100)))
     return ps.select("product_id", "category", "total_orders", "units_sold", "total_revenue", "avg_unit_price",
                      "total_freight", "avg_review_score", "low_score_order_count", "low_score_rate_pct",
                      "late_delivery_count", "late_delivery_rate_pct", "category_revenue_share_pct",

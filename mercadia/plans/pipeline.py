@@ -32,7 +32,7 @@ MODEL_GRAPH = [
     ("int_customer_metrics", "intermediate", "view", ["int_orders_enriched"]),
     ("int_seller_metrics", "intermediate", "view", ["stg_order_items", "stg_products", "int_orders_enriched"]),
     ("mart_monthly_revenue", "mart", "table", ["int_orders_enriched"]),
-    ("mart_customer_segments", "mart", "table", ["int_customer_metrics", "int_orders_enriched"]),
+    ("mart_customer_segments", "mart", "table", ["int_customer_metrics"]),
     ("mart_product_performance", "mart", "table", ["stg_order_items", "stg_products", "int_orders_enriched"]),
 ]
 
@@ -76,8 +76,7 @@ def build_models(src: dict[str, DataFrame], enriched: DataFrame | None = None) -
         "int_seller_metrics": lambda m: im.int_seller_metrics(m["stg_order_items"], m["stg_products"],
                                                               m["int_orders_enriched"]),
         "mart_monthly_revenue": lambda m: mt.mart_monthly_revenue(m["int_orders_enriched"]),
-        "mart_customer_segments": lambda m: mt.mart_customer_segments(m["int_customer_metrics"],
-                                                                      m["int_orders_enriched"]),
+        "mart_customer_segments": lambda m: mt.mart_customer_segments(m["int_customer_metrics"]),
         "mart_product_performance": lambda m: mt.mart_product_performance(m["stg_order_items"], m["stg_products"],
                                                                           m["int_orders_enriched"]),
     })

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import elapsed_days, money, ratio
+from ..functions.exprs import elapsed_days, exact, ratio, times
 from ..operators.grouping import cohort_retention, top_k
 from ..operators.windows import Key, pareto, period_over_period
 
@@ -24,7 +24,7 @@ def _open(o: DataFrame, excluded) -> DataFrame:
 
 
 def _payments_per_order(p: DataFrame) -> DataFrame:
-    v = money("payment_value")
+    v = exact("payment_value")
     t = F.col("payment_type")
     return p.groupBy("order_id").agg(
         F.count(F.lit(1)).alias("_n_pay"),
@@ -56,7 +56,7 @@ def _per_order_category(items: DataFrame) -> DataFrame:
     """
     return items.groupBy("order_id", "category").agg(
         F.count(F.lit(1)).alias("_n_items"), F.count("order_item_id").alias("_n_ids"),
-        F.sum(money("price")).alias("_price"), F.sum(money("freight_value")).alias("_freight"))
+        F.sum(exact("price")).alias("_price"), F.sum(exact("freight_value")).alias("_freight"))
 
 
 # ---------------------------------------------------------------- A1
@@ -68,7 +68,7 @@ def a1_monthly_revenue(o: DataFrame, p: DataFrame, excluded=("canceled",)) -> Da
     ts = F.col("order_purchase_timestamp")
     orders = _open(o, excluded).where(ts.isNotNull()).select(
         "order_id", F.year(ts).alias("year"), F.month(ts).alias("month"))
-    pay = p.groupBy("order_id").agg(F.sum(money("payment_value")).alias("_paid"))
+    pay = p.groupBy("order_id").agg(F.sum(exact("payment_value")).alias("_paid"))
     m = orders.join(pay, "order_id").groupBy("year", "month").agg(F.round(F.sum("_paid"), 2).alias("total_revenue"))
     m = period_over_period(m, ["year", "month"], ["total_revenue"],
                            prev_names={"total_revenue": "prev_month_revenue"},
@@ -100,7 +100,7 @@ def a2_top_categories(o: DataFrame, i: DataFrame, p: DataFrame, pr: DataFrame, t
     # no exchange — which keeps the counts exact even if an order row repeats
     per_order = j.groupBy("category", "order_id").agg(
         F.sum(F.col("_n_ids") * F.col("_n_pay")).alias("_items_sold"),
-        F.sum(F.col("_paid") * F.col("_n_items")).alias("_rev"))
+        F.sum(times("_paid", "_n_items")).alias("_rev"))
     agg = per_order.groupBy("category").agg(
         F.count(F.lit(1)).alias("distinct_orders"),
         F.sum("_items_sold").alias("total_items_sold"),
@@ -179,9 +179,9 @@ def b_category_analytics(o: DataFrame, i: DataFrame, p: DataFrame, pr: DataFrame
     # per (category, order) on the join's own order_id partitioning (no exchange);
     # exact even if an order row repeats
     per_order = j.groupBy("category", "order_id").agg(
-        F.sum(F.col("_price") * F.col("_n_pay")).alias("_rev"),
-        F.sum(F.col("_cc") * F.col("_n_items")).alias("_cc"),
-        F.sum(F.col("_boleto") * F.col("_n_items")).alias("_boleto"),
+        F.sum(times("_price", "_n_pay")).alias("_rev"),
+        F.sum(times("_cc", "_n_items")).alias("_cc"),
+        F.sum(times("_boleto", "_n_items")).alias("_boleto"),
         F.max("_late").alias("_late"),
         F.sum(F.col("_late_days") * late_rows).alias("_late_day_rows"),
         F.sum(late_rows).alias("_late_rows"))
@@ -199,16 +199,21 @@ def b_category_analytics_original(o: DataFrame, i: DataFrame, p: DataFrame, pr:
     category. Revenue and the late metrics come from items × orders without
     payments, so on orders with several payments it differs from the optimised
     form (which multiplies prices by payments)."""
-    items = _items_with_category(i, pr, t, translated_only=False)
-    delivered = items.join(_delivered_orders(o), "order_id")
-    b = delivered.groupBy("category").agg(F.count_distinct("order_id").alias("total_orders"),
-                                          F.sum(money("price")).alias("_rev"))
-    ps = delivered.join(_payments_per_order(p), "order_id").groupBy("category").agg(
-        F.sum("_cc").alias("_cc"), F.sum("_boleto").alias("_boleto"))
-    ls = delivered.groupBy("category").agg(
-        F.count_distinct(F.when(F.col("_late"), F.col("order_id"))).alias("late_count"),
-        F.round(F.avg(F.col("_late_days")), 1).alias("avg_days_late"))
-    return _b_finish(b.join(ps, "category").join(ls, "category"))
+    per_oc = _per_order_category(_items_with_category(i, pr, t, translated_only=False))
+    # two two-way joins on order_id, each of which splits where an order is hot
+    delivered = per_oc.join(_delivered_orders(o), "order_id")
+    per_order = delivered.groupBy("category", "order_id").agg(
+        F.sum("_price").alias("_rev"), F.max("_late").alias("_late"),
+        F.sum(F.col("_late_days") * F.col("_n_items")).alias("_late_day_rows"),
+        F.sum(F.when(F.col("_late"), F.col("_n_items"))).alias("_late_rows"),
+        F.sum("_n_items").alias("_n_items"))
+    b = per_order.groupBy("category").agg(
+        F.count(F.lit(1)).alias("total_orders"), F.sum("_rev").alias("_rev"),
+        F.count(F.when(F.col("_late"), 1)).alias("late_count"),
+        F.round(F.sum("_late_day_rows") / F.nullif(F.sum("_late_rows"), F.lit(0)), 1).alias("avg_days_late"))
+    ps = (per_order.select("category", "order_id", "_n_items").join(_payments_per_order(p), "order_id").groupBy("category")
+          .agg(F.sum(times("_cc", "_n_items")).alias("_cc"), F.sum(times("_boleto", "_n_items")).alias("_boleto")))
+    return _b_finish(b.join(ps, "category"))
 
 
 def b_top20_late(analytics: DataFrame, k: int = 20, by: str = "late_rate_pct") -> DataFrame:

@@ -71,8 +71,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return conf_dir
 
 
-def recommended_conf(input_bytes: int, target_partition_bytes: int = 256 << 20, min_partitions: int = 200,
-                     max_partitions: int = 100_000) -> dict[str, str]:
+def recommended_conf(input_bytes: int, target_partition_bytes: int = 256 << 20, min_partitions: int = 200) -> dict[str, str]:
     """Sizing for a cluster run over ``input_bytes`` of compressed input.
 
     Shuffle partitions start at about one per ``target_partition_bytes`` of
@@ -80,7 +79,7 @@ def recommended_conf(input_bytes: int, target_partition_bytes: int = 256 << 20,
     size use the same target, so a task's share of any stage stays bounded as
     the data grows; skewed partitions above the target are split by AQE.
     """
-    n = max(min_partitions, min(max_partitions, -(-int(input_bytes) // target_partition_bytes)))
+    n = max(min_partitions, -(-int(input_bytes) // target_partition_bytes))
     size = str(target_partition_bytes)
     return {
         "spark.sql.shuffle.partitions": str(n),

@@ -6,7 +6,7 @@ source table is derived from it by a fixed, deterministic rule. Every rule is a
 row-local projection or a bounded explode, except the customer/nation lookups,
 so binding adds no shuffle beyond one join of orders with customers.
 
-The same rules exist once more as DuckDB SQL in ``oracle.binding``; integer
+The same rules exist once more as DuckDB SQL in ``oracle.sql``; integer
 arithmetic only, so both engines produce identical values.
 """
 

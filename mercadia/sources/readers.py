@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -9,12 +11,15 @@ from .schemas import SOURCE_SCHEMAS, SOURCE_TABLES
 
 
 def read_csv_table(spark: SparkSession, path: str, schema: T.StructType | str,
-                   multiline: bool = True) -> DataFrame:
+                   multiline: bool | None = None) -> DataFrame:
     """One CSV file (or folder of parts) per table, header row, declared schema.
 
     ``schema`` may be a source table name. Timestamps parse as zone-less
-    instants; review texts may hold quoted line breaks, hence ``multiLine``.
+    instants. With ``multiline`` fields may hold quoted line breaks, but a file is
+    then read by one task; it is on by default for reviews only, whose texts do.
     """
+    if multiline is None:
+        multiline = schema == "order_reviews"
     if isinstance(schema, str):
         schema = SOURCE_SCHEMAS[schema]
     return (spark.read.schema(schema)
@@ -26,13 +31,16 @@ def read_csv_table(spark: SparkSession, path: str, schema: T.StructType | str,
             .csv(path))
 
 
-def read_jdbc_table(spark: SparkSession, table: str, options: dict) -> DataFrame:
+def read_jdbc_table(spark: SparkSession, table: str, options: dict, single_task: bool = False) -> DataFrame:
     """Table or ``(query) AS t`` from a JDBC database.
 
     ``options`` carries url/user/password/driver from configuration (never from
-    code) and, for a parallel read, ``partitionColumn``/``lowerBound``/
-    ``upperBound``/``numPartitions``; ``fetchsize`` defaults to 10,000 rows.
+    code) and ``partitionColumn``/``lowerBound``/``upperBound``/``numPartitions``
+    for a parallel read; without these, ``single_task`` must say that one task may
+    read the whole table. ``fetchsize`` defaults to 10,000 rows.
     """
+    if not single_task and (missing := {"partitionColumn", "lowerBound", "upperBound", "numPartitions"} - options.keys()):
+        raise ValueError(f"a parallel read needs {sorted(missing)}; or ask for single_task")
     opts = {"fetchsize": "10000", **options, "dbtable": table}
     return spark.read.format("jdbc").options(**opts).load()
 
@@ -47,26 +55,38 @@ def load_tables(spark: SparkSession, root: str, fmt: str = "parquet",
     out = {}
     for name in names or SOURCE_TABLES:
         path = f"{root.rstrip('/')}/{name}.{fmt}"
-        out[name] = read_csv_table(spark, path, name) if fmt == "csv" else spark.read.parquet(path)
+        out[name] = read_csv_table(spark, path, name) if fmt == "csv" else read_parquet_table(spark, path)
     return out
 
 
 def write_replace(df: DataFrame, target: str, fmt: str = "parquet",
                   partition_by: list[str] | None = None,
                   bucket_by: tuple[int, str] | None = None) -> None:
-    """Drop-and-recreate load of ``target``: a path, or a table name when bucketing.
+    """Replace ``target``: a path, or a table name (always a table when bucketing).
 
-    Overwrite is atomic per job (the committer replaces the folder), so a
-    re-run after a lost executor rewrites the whole target.
+    A path is first written in full beside the target; only then the old folder is
+    dropped and the new one renamed to it, so a load that fails leaves the old
+    data, and ``df`` may read it. Between the two steps there is a moment without
+    the target; a store without folder renames copies. A table is overwritten by Spark, which
+    drops it first.
     """
+    path = not bucket_by and ("/" in target or target.startswith("file:"))
     w = df.write.mode("overwrite").format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
+    if path:
+        fresh = f"{target.rstrip('/')}.new-{uuid.uuid4().hex}"
+        w.save(fresh)
+        jvm = df.sparkSession.sparkContext._jvm
+        old, new = jvm.org.apache.hadoop.fs.Path(target), jvm.org.apache.hadoop.fs.Path(fresh)
+        fs = new.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration())
+        fs.delete(old, True)
+        if not fs.rename(new, old):
+            raise OSError(f"{fresh} holds the new data; it could not be renamed to {target}")
+        return
     if bucket_by:
         n, col = bucket_by
         w.bucketBy(n, col).sortBy(col).saveAsTable(target)
-    elif "/" in target or target.startswith("file:"):
-        w.save(target)
     else:
         w.saveAsTable(target)
 

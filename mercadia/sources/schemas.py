@@ -25,7 +25,7 @@ SOURCE_SCHEMAS: dict[str, T.StructType] = {
         ("shipping_limit_date", TS), ("price", D), ("freight_value", D)),
     "order_payments": _schema(
         ("order_id", S), ("payment_sequential", I), ("payment_type", S),
-        ("payment_installments", I), ("payment_value", T.DecimalType(18, 2))),
+        ("payment_installments", I), ("payment_value", D)),
     "order_reviews": _schema(
         ("review_id", S), ("order_id", S), ("review_score", I), ("review_comment_title", S),
         ("review_comment_message", S), ("review_creation_date", TS), ("review_answer_timestamp", TS)),

@@ -1,6 +1,7 @@
 import os
 import sys
 import tempfile
+from decimal import Decimal
 
 import pytest
 
@@ -31,5 +32,5 @@ def make(spark, table, rows):
     """Source table from partial dict rows (missing columns → NULL)."""
     from mercadia.sources.schemas import SOURCE_SCHEMAS
     schema = SOURCE_SCHEMAS[table]
-    data = [tuple(r.get(f.name) for f in schema.fields) for r in rows]
+    data = [tuple(float(v) if isinstance(v := r.get(f.name), Decimal) else v for f in schema.fields) for r in rows]
     return spark.createDataFrame(data, schema)

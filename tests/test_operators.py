@@ -50,14 +50,16 @@ def test_global_window_moves_only_the_range_summary_through_one_task(spark, skew
     assert singles and all("key=[_pid" in lines[i + 1] for i in singles)
 
 
-def test_top_row_per_key_aggregate_and_window_paths_agree(spark):
+def test_top_row_per_key_limits_each_task(spark):
     df = spark.createDataFrame([("a", 3, "x"), ("a", 3, "w"), ("a", 1, "z"), ("b", None, "q"), ("b", 2, "r")],
                                "k string, n int, s string")
-    agg = gr.top_row_per_key(df, ["k"], [Key("n", True), Key("s")])        # numeric desc → aggregate path
-    win = gr.top_row_per_key(df, ["k"], [Key("s", True)])                   # string desc → window path
+    agg = gr.top_row_per_key(df, ["k"], [Key("n", True), Key("s")])
+    win = gr.top_row_per_key(df, ["k"], [Key("s", True)])
     assert sorted(map(tuple, agg.collect())) == [("a", 3, "w"), ("b", 2, "r")]
     assert sorted(map(tuple, win.collect())) == [("a", 1, "z"), ("b", 2, "r")]
-    assert "Window" not in agg._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in agg._jdf.queryExecution().executedPlan().toString()
+    least = spark.createDataFrame([("a", -(1 << 31), "x"), ("a", 5, "y")], "k string, n int, s string")
+    assert [tuple(r) for r in gr.top_row_per_key(least, ["k"], [Key("n", True)]).collect()] == [("a", 5, "y")]
 
 
 def test_cohort_retention_counts_exact_months(spark):
@@ -98,7 +100,7 @@ def test_quality_checks(spark):
 def test_recommended_conf_scales_with_input():
     from mercadia.session import recommended_conf
     assert recommended_conf(10 << 30)["spark.sql.shuffle.partitions"] == "200"          # floor
-    assert recommended_conf(100 << 40)["spark.sql.shuffle.partitions"] == "100000"      # 100 TB → capped
+    assert recommended_conf(100 << 40)["spark.sql.shuffle.partitions"] == str(100 << 12)  # 100 TiB / 256 MiB, no cap
     assert recommended_conf(1 << 40)["spark.sql.shuffle.partitions"] == "4096"          # 1 TB / 256 MB
 
 
@@ -106,7 +108,7 @@ from hypothesis import HealthCheck, given, settings  # noqa: E402
 from hypothesis import strategies as st  # noqa: E402
 
 _rows = st.lists(st.tuples(st.sampled_from(["a", "b", "c", None]), st.one_of(st.none(), st.integers(-3, 3)),
-                           st.integers(-5, 5)), min_size=0, max_size=120)
+                           st.one_of(st.none(), st.integers(-5, 5))), min_size=0, max_size=120)
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
@@ -149,3 +151,28 @@ def test_top_row_per_key_property(spark, rows, desc, nf):
     w = Window.partitionBy("k").orderBy(*[x.sort() for x in order])
     exp = sorted(tuple(r) for r in df.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r").collect())
     assert got == exp
+
+
+def test_global_window_with_null_measures(spark):
+    from mercadia.operators.windows import global_window
+    rows = [(i, "ab"[i % 2], None if i % 5 == 0 or i < 6 else i % 7) for i in range(40)]
+    df = spark.createDataFrame(rows, "id long, g string, m long")
+    got = global_window(df, [Key("m", False, True)], ["id"], partition_by=["g"], running={"m": "run"}, group_sum={"m": "whole"}, num_partitions=4)
+    w = Window.partitionBy("g").orderBy(F.col("m").asc_nulls_first(), "id").rowsBetween(Window.unboundedPreceding, 0)
+    want = df.withColumn("run", F.sum("m").over(w)).withColumn("whole", F.sum("m").over(Window.partitionBy("g")))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    none = global_window(df.withColumn("m", F.lit(None).cast("long")), [Key("id")], [], group_sum={"m": "whole"}, num_partitions=3)
+    assert {r.whole for r in none.collect()} == {None}
+
+
+def test_small_measures_keep_their_digits(spark):
+    from mercadia.functions.exprs import exact, ratio, safe_pct, times
+    r = spark.range(1).select(safe_pct(F.lit(0.001), F.lit(0.004)).alias("a"), safe_pct(F.lit(0.0049), F.lit(0.01)).alias("b"),
+                              ratio(F.lit(1), F.lit(0), 2).alias("c"), times(exact(F.lit(1.004)), F.lit(1000)).alias("d")).first()
+    assert (float(r.a), float(r.b), r.c, float(r.d)) == (25.0, 49.0, None, 1004.0)
+
+
+def test_cohorts_leave_out_null_people(spark):
+    from datetime import datetime as dt
+    df = spark.createDataFrame([(None, dt(2017, 1, 5)), (None, dt(2017, 2, 5)), ("p", dt(2017, 1, 30))], "p string, ts timestamp_ntz")
+    assert [tuple(r)[1:] for r in gr.cohort_retention(df, "p", "ts").collect()] == [(1, 0, 0, 0)]

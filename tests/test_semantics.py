@@ -187,7 +187,7 @@ def test_recency_edges_and_ntile_with_fewer_rows_than_tiles(spark):
     customers.append({"customer_id": "cref", "customer_unique_id": "uref"})
     oe = im.int_orders_enriched(*_stg(spark, orders, customers, pays=[_pay(o["order_id"], "1.00")
                                                                       for o in orders]))
-    seg = mt.mart_customer_segments(im.int_customer_metrics(oe), oe)
+    seg = mt.mart_customer_segments(im.int_customer_metrics(oe))
     got = dict(rows(seg, "customer_unique_id", "customer_segment"))
     assert got == {"u0": "returning", "u1": "at_risk", "u2": "at_risk", "u3": "churned", "uref": "new"}
     # 5 people, 4 tiles: first tile gets 2

@@ -142,3 +142,52 @@ def test_cut_lineage_writes_into_the_checkpoint_folder(spark):
     files = [urlparse(f).path for f in out.inputFiles()]
     assert files and all(f.startswith(root + "/mercadia-tables/") for f in files)
     assert out.exceptAll(df).count() == 0 and df.exceptAll(out).count() == 0
+
+
+def test_entries_see_rewritten_files(spark, tmp_dir):
+    """Nothing is kept between two calls of a query in one session."""
+    import shutil
+
+    from mercadia.plans.catalog import queries
+    folder = f"{tmp_dir}/live"
+    shutil.copytree(SF, folder)
+    q = queries()
+    before = q["int_orders_enriched"](spark, folder).count(), q["mart_monthly_revenue"](spark, folder).agg({"total_orders": "sum"}).first()[0]
+    some = spark.read.parquet(f"{SF}/orders.parquet").where("o_orderkey % 5 = 0")
+    write_replace(some, f"{folder}/orders.parquet")
+    after = q["int_orders_enriched"](spark, folder).count(), q["mart_monthly_revenue"](spark, folder).agg({"total_orders": "sum"}).first()[0]
+    assert after[0] == some.count() < before[0] and after[1] < before[1]
+
+
+def test_write_replace_may_read_its_target_and_survives_a_failed_load(spark, tmp_dir):
+    import pytest
+    from pyspark.sql import functions as F
+    path = f"{tmp_dir}/t"
+    write_replace(spark.range(10), path)
+    write_replace(spark.read.parquet(path).where("id < 4"), path)
+    assert spark.read.parquet(path).count() == 4
+    with pytest.raises(Exception):  # noqa: B017
+        write_replace(spark.range(5).select(F.raise_error(F.lit("broken")).alias("id")), path)
+    assert spark.read.parquet(path).count() == 4
+
+
+def test_jdbc_asks_for_a_parallel_read(spark):
+    import pytest
+
+    from mercadia.sources.readers import read_jdbc_table
+    with pytest.raises(ValueError, match="numPartitions"):
+        read_jdbc_table(spark, "t", {"url": "jdbc:x"})
+
+
+def test_filters_reach_the_charts_of_their_scope(spark):
+    import pytest
+
+    from mercadia.plans import dashboards as db
+    ds = spark.createDataFrame([("o1", "2017-01-01", "a", "delivered", "SP", 5), ("o2", "2017-02-01", "b", "shipped", "RJ", 7)],
+                               "order_id string, order_month string, category string, order_status string, customer_state string, total_payment long")
+    trend = lambda **f: sorted(tuple(r) for r in db.chart("revenue_trend", ds, **f).collect())
+    assert trend(category=["a"], state=["SP"]) == [("2017-01-01", 5), ("2017-02-01", 7)]  # out of scope
+    assert trend(status=["shipped"]) == [("2017-02-01", 7)]
+    assert [tuple(r) for r in db.chart("orders_by_state", ds, status=["shipped"], state=["SP"]).collect()] == [("SP", 1)]
+    with pytest.raises(ValueError):
+        db.chart("revenue_trend", ds, city=["x"])
