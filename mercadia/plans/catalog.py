@@ -207,9 +207,9 @@ def _sub_cent(c):
 def _segments_by_recency(c):
     """Against the latest order of all people."""
     people = c.m["int_customer_metrics"]
-    latest = people.agg(F.max("last_order_at").cast("date").alias("_latest"))
-    return people.crossJoin(F.broadcast(latest)).select("customer_unique_id", gr.segment_by_recency(
-        "total_orders", F.datediff("_latest", F.col("last_order_at").cast("date"))).alias("segment"))
+    latest = people.agg(F.max("last_order_at").cast("date")).scalar()
+    return people.select("customer_unique_id", gr.segment_by_recency(
+        "total_orders", F.datediff(latest, F.col("last_order_at").cast("date"))).alias("segment"))
 
 
 def _global_window_nulls(c):

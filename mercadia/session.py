@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -55,8 +56,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Checkpoint directory from ``spark.checkpoint.dir``.
 
     On a cluster this must name a shared, durable folder; the library never
-    invents one there. Only a local-mode session without the setting (tests)
-    gets a fresh temporary folder.
+    invents one there. Only a session in one process (``local``, as in tests; not
+    ``local-cluster``) without the setting gets a fresh temporary folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
@@ -64,7 +65,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder for distributed windows")
         conf_dir = tempfile.mkdtemp(prefix="mercadia-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(conf_dir)
@@ -89,6 +90,16 @@ def recommended_conf(input_bytes: int, target_partition_bytes: int = 256 << 20,
     }
 
 
+def drop_intermediates(spark: SparkSession) -> None:
+    """Delete the intermediate tables that this library has written to the shared
+    folder. Frames built on them are invalid afterwards: call it once a run's results
+    are written."""
+    jvm = spark.sparkContext._jvm
+    for name in ("mercadia-tables", "mercadia-io"):
+        path = jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}")
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def shared_table_path(spark: SparkSession, name: str) -> str:
     """A fresh folder for an intermediate table inside the shared checkpoint folder."""
     import uuid
