@@ -39,7 +39,7 @@ from mercadia.session import cut_lineage
 
 #: Shingles that come late in the common order, by frequency: those that stand first in more
 #: documents than COMMON_OVER; COMMON_KEPT of them at most (the most frequent), which bounds the broadcast.
-COMMON_OVER, COMMON_KEPT = 3, 1_000_000
+COMMON_OVER, COMMON_KEPT = 3, 2_000_000
 #: Members of one part of a region that stands under a very frequent shingle.
 PART_MEMBERS = 200_000
 #: Rows of document ids that may be broadcast to pick the documents to compare; more are shuffled.
@@ -49,7 +49,7 @@ BUNDLE = 32
 #: Rows of members of open regions, and shingles of their sets, that are joined in place, as a
 #: broadcast; more are shuffled to their cells.
 LEAF_ROWS, LEAF_SHINGLES = 400_000, 2_500_000
-CHUNK_BYTES, BATCH_ENTRIES = 1 << 20, 300_000
+CHUNK_BYTES, BATCH_ENTRIES = 1 << 20, 600_000
 
 _WORD_TABLE = np.random.default_rng(20_240_615).integers(0, 1 << 64, 256, np.uint64)
 _WORD_BASE, _SHINGLE_BASE = 0xD1342543DE82EF95, 0x9E3779B97F4A7C15
@@ -445,7 +445,8 @@ def jaccard_components(docs: DataFrame, words: int, percent: int, id_col: str =
     steps = [COMMON_OVER, *(1 << i for i in range(2, 60))]
     sizes = common.agg(*[F.count(F.when(F.col("n") > s, 1)).alias(f"s{s}") for s in steps]).first()
     common = common.where(F.col("n") > next(s for s in steps if sizes[f"s{s}"] <= COMMON_KEPT)).toArrow().sort_by("key")
-    held = spark.sparkContext.broadcast((common["key"].to_numpy().astype(np.uint64), common["n"].to_numpy()))
+    held = spark.sparkContext.broadcast((common["key"].to_numpy().astype(np.uint64), common["n"].to_numpy().clip(max=(1 << 31) - 1).astype(np.int32)))
+    del common
 
     described = cut_lineage(texts.mapInArrow(_describe(words, percent, buckets, held),
                                              "_doc long, _class long, n long, first array<long>"), "described")
@@ -460,18 +461,10 @@ def jaccard_components(docs: DataFrame, words: int, percent: int, id_col: str =
         """Whether both tails hold the overlap that two sets need to be linked."""
         return F.least(to_col(tail_a), to_col(tail_b)) * (100 + percent) >= (to_col(n_a) + to_col(n_b)) * percent
 
-    # members against the pivots of their regions; the pivot that is most alike decides first.
-    # A pair is (member, pivot): the member's set moves to its pivot's.
+    # members against the pivots of their regions, as pairs (member, pivot): the member's set moves to its pivot's
     stars = (regions.where("cls <> pivot").where(fit("n", "tail", "pivot_n", "pivot_tail"))
              .select(F.col("cls").alias("a"), F.col("pivot").alias("b")).distinct())
-    stars = cut_lineage(compare.possible(stars), "stars")
-    best = cut_lineage(stars.groupBy("a").agg(F.max_by("b", F.struct("alike", "b")).alias("b")), "best")
-    near = cut_lineage(compare.similar(best), "distances")
-    label = connected_components(linked(near))
-
-    # the other pivots, where the components differ so far
-    rest = labelled(label, stars.select("a", "b").join(best, ["a", "b"], "left_anti"), "a", "b").where("of_a <> of_b")
-    near = near.unionByName(cut_lineage(compare.similar(rest), "distances"))
+    near = cut_lineage(compare.similar(compare.possible(stars)), "distances")
     label = connected_components(linked(near))
 
     # what the pivots left open: members of regions of several components (regions of two are decided),
