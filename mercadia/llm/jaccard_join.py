@@ -48,7 +48,7 @@ BROADCAST_IDS = 500_000
 BUNDLE = 32
 #: Rows of members of open regions, and shingles of their sets, that are joined in place, as a
 #: broadcast; more are shuffled to their cells.
-LEAF_ROWS, LEAF_SHINGLES = 400_000, 2_500_000
+LEAF_ROWS, LEAF_SHINGLES = 400_000, 1_000_000
 CHUNK_BYTES, BATCH_ENTRIES = 1 << 20, 600_000
 
 _WORD_TABLE = np.random.default_rng(20_240_615).integers(0, 1 << 64, 256, np.uint64)
