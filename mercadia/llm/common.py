@@ -25,7 +25,9 @@ def small_batches(spark: SparkSession, size: int = 16 << 20) -> None:
 
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id long, text string) of a document table; a null text is empty.
-    Other columns are left behind, so none can clash with an operator's own."""
+    Other columns are left behind, so none can clash with an operator's own. Arrow
+    batches of the session are kept small."""
+    small_batches(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
