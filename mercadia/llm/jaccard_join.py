@@ -46,9 +46,10 @@ PART_MEMBERS = 200_000
 BROADCAST_IDS = 500_000
 #: Sets that others are compared with go around in bundles of about so many.
 BUNDLE = 32
-#: Rows of members of open regions, and shingles of their sets, that are joined in place, as a
-#: broadcast; more are shuffled to their cells.
-LEAF_ROWS, LEAF_SHINGLES = 400_000, 1_000_000
+#: Open regions are dense where members by cells, over all regions, are more than so many. Then
+#: they are joined in place, by a broadcast of so many rows and shingles of their sets at most;
+#: sparse or larger ones are shuffled to their cells.
+DENSE_MEETINGS, LEAF_ROWS, LEAF_SHINGLES = 5_000_000, 400_000, 4_000_000
 CHUNK_BYTES, BATCH_ENTRIES = 1 << 20, 600_000
 
 _WORD_TABLE = np.random.default_rng(20_240_615).integers(0, 1 << 64, 256, np.uint64)
@@ -511,12 +512,13 @@ def labelled(label: DataFrame, df: DataFrame, *cols: str) -> DataFrame:
 
 def _leaf_join(compare: _Compare, own: DataFrame, percent: int) -> DataFrame | None:
     """Links (a, b) between components of the open regions, enough to join all that are linked;
-    None where the members and their sets are too large to be broadcast.
+    None where the regions are sparse, or the members and their sets too large to be broadcast.
 
     Every task has all open members and takes some of them as ``a``: each meets the
     members of its regions in other components whose sizes and tails fit, by arrays."""
-    n_rows = own.count()
-    if n_rows > LEAF_ROWS:
+    by_region = own.groupBy("region").agg(F.count(F.lit(1)).alias("m"), F.count_distinct("centre").alias("c"))
+    sizes = by_region.agg(F.coalesce(F.sum("m"), F.lit(0)).alias("rows"), F.coalesce(F.sum(F.col("m") * F.col("c")), F.lit(0)).alias("meetings")).first()
+    if sizes["meetings"] < DENSE_MEETINGS or sizes["rows"] > LEAF_ROWS:
         return None
     classes = own.select("cls", "n").distinct()
     if classes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] > LEAF_SHINGLES:

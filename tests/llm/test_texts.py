@@ -148,11 +148,12 @@ def test_jaccard_against_brute_force(docs_of, odd_texts, words, percent):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == brute_components(own, words, percent)
 
 
-def test_jaccard_recursion(docs_of, monkeypatch):
+@pytest.mark.parametrize("dense", [0, 1 << 60])
+def test_jaccard_recursion(docs_of, monkeypatch, dense):
     """Many members to a region, few to a leaf: pivots, cells and windows decide."""
     monkeypatch.setattr(jaccard_join, "BUNDLE", 2)
     monkeypatch.setattr(jaccard_join, "BROADCAST_IDS", 0)
-    monkeypatch.setattr(jaccard_join, "LEAF_ROWS", 0)
+    monkeypatch.setattr(jaccard_join, "DENSE_MEETINGS", dense)
     rnd = random.Random(8)
     base = [f"w{i}" for i in range(40)]
     own = {}
