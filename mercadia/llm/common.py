@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -32,9 +34,20 @@ def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
+def give_back() -> None:
+    """Return what earlier tasks of this worker have freed to the system: workers are reused,
+    and their heaps would keep the peak of each stage."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
 def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches in short zero-copy slices, so that a task holds few rows as Python
     objects; a slice has one row at least, however long."""
+    give_back()
     for batch in batches:
         at = 0
         while at < batch.num_rows:
