@@ -18,11 +18,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def give_back() -> None:
+    """Return what this process has freed to the system: workers are reused, and their
+    heaps, as the driver's, would keep the peak of each step."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
 def small_batches(spark: SparkSession, size: int = 16 << 20) -> None:
     """Lower the session's bound on the bytes of an Arrow batch to ``size``: several copies
     of a batch are in a task's memory at once, and rows here can be long."""
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    spark.conf.set(key, str(size))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
+    give_back()
 
 
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -34,16 +44,6 @@ def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
-def give_back() -> None:
-    """Return what earlier tasks of this worker have freed to the system: workers are reused,
-    and their heaps would keep the peak of each stage."""
-    gc.collect()
-    pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
-    if trim is not None:
-        trim(0)
-
-
 def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches in short zero-copy slices, so that a task holds few rows as Python
     objects; a slice has one row at least, however long."""

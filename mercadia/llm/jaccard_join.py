@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mercadia.llm.common import slices, small_batches
+from mercadia.llm.common import give_back, slices, small_batches
 from mercadia.llm.suffix_dedup import StretchHash
 from mercadia.session import cut_lineage
 
@@ -448,6 +448,7 @@ def jaccard_components(docs: DataFrame, words: int, percent: int, id_col: str =
     common = common.where(F.col("n") > next(s for s in steps if sizes[f"s{s}"] <= COMMON_KEPT)).toArrow().sort_by("key")
     held = spark.sparkContext.broadcast((common["key"].to_numpy().astype(np.uint64), common["n"].to_numpy().clip(max=(1 << 31) - 1).astype(np.int32)))
     del common
+    give_back()
 
     described = cut_lineage(texts.mapInArrow(_describe(words, percent, buckets, held),
                                              "_doc long, _class long, n long, first array<long>"), "described")
