@@ -35,7 +35,8 @@ LENGTH, GRAM = 100, 32
 #: Bytes of text hashed at a time; entries a task gathers before it deals them out.
 CHUNK_BYTES, BATCH_ENTRIES = 1 << 20, 400_000
 #: A gram with more stretches than this in one batch is frequent: its bucket hears of it by two
-#: of them, and their windows are asked at once.
+#: of them, and the windows of the others are asked at once. Those that the bucket has of such a
+#: gram, from any batch, are asked for their windows too, as their contexts meet only a part.
 FREQUENT_GRAM = 64
 #: Bytes between the places, before and after a gram, up to which its contexts are told apart.
 CONTEXT_STEP = 12
@@ -196,9 +197,10 @@ class IndexFamily:
 
 
 _DEALT = "bucket int, data binary"
-# What a dealt row holds, by the bucket's number: entries of a bucket; from here on repeats and
-# windows to ask that are known already and only pass through, spread by document.
-_REPEATS, _ASKED = 1 << 28, 1 << 29
+# What a dealt row holds, by the bucket's number: entries of a bucket; with this bit, entries of
+# it whose grams are frequent; from here on repeats and windows to ask that are known already
+# and only pass through, spread by document.
+_OFTEN, _REPEATS, _ASKED = 1 << 27, 1 << 28, 1 << 29
 
 
 def _dealt(parts: list[tuple[int, np.ndarray, object]]) -> pa.RecordBatch:
@@ -224,8 +226,9 @@ def _deal(entries: Entries, repeats: list[Entries], buckets: int, frequent: int
         first = np.flatnonzero(np.concatenate([[True], entries["gram"][1:] != entries["gram"][:-1]]))
         size = np.diff(np.concatenate([first, [entries.size]]))
         at_once = (np.arange(entries.size) - np.repeat(first, size) >= 2) & np.repeat(size > frequent, size)
-        asked, entries = entries.take(at_once), entries.take(~at_once)
-        parts.append((_ASKED, number(asked, "doc"), asked))
+        often = np.repeat(size > frequent, size) & ~at_once
+        asked, told, entries = entries.take(at_once), entries.take(often), entries.take(~at_once & ~often)
+        parts += [(_ASKED, number(asked, "doc"), asked), (_OFTEN, number(told, "gram"), told)]
     yield _dealt([*parts, (0, number(entries, "gram"), entries)])
 
 
@@ -421,8 +424,14 @@ def _index_windows(length: int, buckets: int):
 _FOUND, _REPEAT, _ASK_CONTEXT, _ASK_WINDOWS = "_doc long, _tag long, start long, more long, kind int", 0, 1, 2
 
 
+def _to_buckets(dealt: DataFrame, buckets: int) -> DataFrame:
+    """All rows of a bucket, those of frequent grams among them, in one partition."""
+    return dealt.repartition(buckets, F.col("bucket").bitwiseAND(F.lit(~_OFTEN)))
+
+
 def _merge_scan(batches):
-    """Buckets of entries to repeats and, where stretches share only a gram, stretches to ask."""
+    """Buckets of entries to repeats and, where stretches share only a gram, stretches to ask:
+    for their windows if some of the gram's were asked at once, for their contexts if none was."""
     def told(e: Entries, kind: int) -> Iterator[pa.RecordBatch]:
         for at in range(0, e.size, 100_000):
             p = e.take(slice(at, at + 100_000))
@@ -430,18 +439,24 @@ def _merge_scan(batches):
                                              + [pa.array(np.full(p.size, kind, np.int32))], ["_doc", "_tag", "start", "more", "kind"])
 
     families: dict[int, IndexFamily] = {}
+    frequent: dict[int, list[np.ndarray]] = {}
     for bucket, data in _rows(batches, ("bucket", "data")):
         entries = Entries.unpacked(data)
         if bucket >= _REPEATS:
             yield from told(entries, _ASK_WINDOWS if bucket >= _ASKED else _REPEAT)
         else:
+            if bucket & _OFTEN:
+                bucket &= ~_OFTEN
+                frequent.setdefault(bucket, []).append(np.unique(entries["gram"]))
             yield from told(families.setdefault(bucket, IndexFamily()).add(entries), _REPEAT)
     for bucket in list(families):
         e = families.pop(bucket).all()
         e = e.take(np.argsort(e["gram"], kind="stable"))
         same = e["gram"][1:] == e["gram"][:-1]
         if e.size:
-            yield from told(e.take(np.concatenate([same, [False]]) | np.concatenate([[False], same])), _ASK_CONTEXT)
+            often = np.isin(e["gram"], np.concatenate(frequent.pop(bucket, [np.zeros(0, "<u8")])))
+            yield from told(e.take(often), _ASK_WINDOWS)
+            yield from told(e.take((np.concatenate([same, [False]]) | np.concatenate([[False], same])) & ~often), _ASK_CONTEXT)
 
 
 def _identified(docs: DataFrame, id_col: str, text_col: str, *more: str) -> DataFrame:
@@ -469,7 +484,7 @@ def _repeats(texts: DataFrame, length: int, gram: int) -> DataFrame:
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     slim = texts.select("_doc", "_tag", "_bytes")
     dealt = slim.where(F.length("_bytes") >= length).mapInArrow(_index_texts(length, gram, buckets), _DEALT)
-    found = cut_lineage(dealt.repartition(buckets, "bucket").mapInArrow(_merge_scan, _FOUND), "stretches")
+    found = cut_lineage(_to_buckets(dealt, buckets).mapInArrow(_merge_scan, _FOUND), "stretches")
     kind = lambda df, k: df.where(F.col("kind") == k)
     asking = lambda df: slim.join(_by_text(df, "asked"), ["_doc", "_tag"])
     narrowed = (asking(kind(found, _ASK_CONTEXT)).mapInArrow(_index_contexts(length, gram, buckets), _DEALT)

@@ -1,5 +1,6 @@
 """Suffix-array dedup, Jaccard join, personal data and quality rules against brute force."""
 
+import functools
 import hashlib
 import itertools
 import math
@@ -9,6 +10,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mercadia.llm import jaccard_join, pii_crf
@@ -79,6 +81,18 @@ def test_dedup_of_a_frequent_gram(docs_of):
     check_dedup(dedup_digests(docs_of(list(enumerate(texts)))).collect(), [(i, t.encode()) for i, t in enumerate(texts)])
 
 
+def test_dedup_of_a_gram_that_is_frequent_in_one_partition(docs_of):
+    rnd = random.Random(12)
+    line = "Licensed to nobody in particular, version 2.0, all of it"
+    texts = ["".join(rnd.choices("abcdefgh ", k=150)) + line + "".join(rnd.choices("abcdefgh ", k=150)) for _ in range(300)]
+    cuts = [(rnd.randint(60, 150), rnd.randint(100, 160)) for _ in range(60)]
+    copies = [t[a:a + n] for t, (a, n) in zip(texts, cuts, strict=False)]
+    rows = list(enumerate(texts + copies))
+    parts = [rows[:300], *(rows[at:at + 20] for at in range(300, 360, 20))]  # the gram is frequent in the first alone
+    docs = functools.reduce(DataFrame.unionByName, [docs_of(p).coalesce(1) for p in parts])
+    check_dedup(dedup_digests(docs).collect(), [(i, t.encode()) for i, t in rows])
+
+
 def test_dedup_of_small_table(small_docs):
     df, texts = small_docs
     check_dedup(dedup_digests(df).collect(), sorted((k, t.encode()) for k, t in texts.items()))
