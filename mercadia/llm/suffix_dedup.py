@@ -284,15 +284,18 @@ def _listed(part: pa.RecordBatch, name: str) -> list[np.ndarray]:
     return np.split(values, ends[:-1]) if len(ends) else []
 
 
-def _asked(batches) -> Iterator[tuple[int, int, bytes, np.ndarray]]:
-    """Document, tag, text and asked stretches (start, further windows) of each text."""
+def _asked(batches, length: int) -> Iterator[tuple[int, int, bytes, np.ndarray]]:
+    """Document, tag, text and asked stretches (start, further windows) of each text, in
+    chunks of stretches of CHUNK_BYTES together, or of one more than that."""
     for batch in batches:
         for at in range(0, batch.num_rows, 64):
             part = batch.slice(at, 64)
             for doc, tag, text, asked in zip(*(part.column(n).to_pylist() for n in ("_doc", "_tag", "_bytes")), _listed(part, "asked"), strict=True):
-                for chunk in np.array_split(asked, max(1, len(asked) // 4096)):
+                ask = np.stack([asked >> _MORE_BITS, asked & ((1 << _MORE_BITS) - 1)], axis=1)
+                before = np.cumsum(ask[:, 1] + length) - (ask[:, 1] + length)
+                for chunk in np.split(ask, np.flatnonzero(np.diff(before // CHUNK_BYTES)) + 1):
                     if len(chunk):
-                        yield doc, tag, text, np.stack([chunk >> _MORE_BITS, chunk & ((1 << _MORE_BITS) - 1)], axis=1)
+                        yield doc, tag, text, chunk
 
 
 class Contexts(dict):
@@ -331,13 +334,14 @@ def _index_contexts(length: int, gram: int, buckets: int):
 
     def index(batches):
         held, size = [], 0
-        for doc, tag, text, ask in _asked(batches):
+        for doc, tag, text, ask in _asked(batches, length):
             start, more = ask.T
             span = more + length
             flat = np.frombuffer(b"".join(text[s:s + n] for s, n in zip(start.tolist(), span.tolist(), strict=True)), np.uint8)
             lead = np.cumsum(span) - span
             # the anchor is in every window: the least gram of those that all of them hold
             h = gram_hashes(flat, gram)
+            assert len(h) <= _PLACES
             first, count = lead + more, length - gram + 1 - more
             within = np.repeat(first - (np.cumsum(count) - count), count) + np.arange(count.sum())
             least = (h[within] & ~np.uint64(_PLACES - 1)) | within.astype(np.uint64)
@@ -402,7 +406,7 @@ def _index_windows(length: int, buckets: int):
 
     def index(batches):
         family, repeats, new = IndexFamily(), [], 0
-        for doc, tag, text, ask in _asked(batches):
+        for doc, tag, text, ask in _asked(batches, length):
             n = ask[:, 1] + 1
             flat = np.frombuffer(b"".join(text[s:s + m + length] for s, m in ask.tolist()), np.uint8)
             lead = np.cumsum(ask[:, 1] + length) - (ask[:, 1] + length)

@@ -9,11 +9,12 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercadia.llm import jaccard_join, pii_crf
+from mercadia.llm import jaccard_join, pii_crf, suffix_dedup
 from mercadia.llm.jaccard_join import connected_components, jaccard_components, shingle_sets
 from mercadia.llm.perplexity import GramCounts, base_counts, perplexity_quality
 from mercadia.llm.pii_crf import KINDS, OTHER, Field, base_spans, edges, find_spans, label_counts, luhn, mentions, personal_data, redact
@@ -93,6 +94,23 @@ def test_dedup_of_a_gram_that_is_frequent_in_one_partition(docs_of):
     check_dedup(dedup_digests(docs).collect(), [(i, t.encode()) for i, t in rows])
 
 
+def test_dedup_asks_long_windows_in_chunks():
+    rnd = random.Random(13)
+    text = rnd.randbytes(8_000_000)
+    ask = np.arange(8000) * 900 << 16 | 400  # 8000 stretches of 1400 bytes, more than the places of one chunk
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([2]), pa.array([text], pa.binary()), pa.array([ask.tolist()])],
+                                       ["_doc", "_tag", "_bytes", "asked"])
+    grams, starts = [], []
+    for row in suffix_dedup._index_contexts(1000, 32, 1)([batch]):
+        for data in row.column("data").to_pylist():
+            c = suffix_dedup.Contexts.unpacked(data, 2 * len(suffix_dedup._context_widths(1000, 32)))
+            grams += c["gram"].tolist()
+            starts += (c["place"]["start"] + c["ahead"]).tolist()
+    assert len(grams) == len(ask)
+    h = suffix_dedup.gram_hashes(np.frombuffer(text, np.uint8), 32)
+    assert h[starts].tolist() == grams
+
+
 def test_dedup_of_small_table(small_docs):
     df, texts = small_docs
     check_dedup(dedup_digests(df).collect(), sorted((k, t.encode()) for k, t in texts.items()))
