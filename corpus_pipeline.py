@@ -10,10 +10,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercadia.llm.jaccard_join import jaccard_components
+from mercadia.llm.jaccard_join import jaccard_rows, text_hash
 from mercadia.llm.packing import pack_documents
 from mercadia.llm.perplexity import perplexity_quality
 from mercadia.llm.pii_crf import redact
@@ -47,20 +47,24 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of similar ones: that with the least doc_id. Shingles
-    of five words, similarity 0.8. Documents without words link with nothing and stay,
-    as do those without an id whose component has no other. Of rows that share a
-    doc_id one stays: the first by a hash of its text."""
-    found = cut_lineage(jaccard_components(docs, words=5, percent=80), "components")
-    gone = _small(found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct())
-    kept = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
-    repeated = _small(found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("doc_id"))
+    """One row of each component of similar documents: that with the least doc_id, ids
+    before none, and by a hash of its text then. Shingles of five words, similarity 0.8.
+    Documents without words link with nothing and stay. Rows are told apart by id and
+    text, so that rows which share an id, or have none, go only with their own component."""
+    found = cut_lineage(jaccard_rows(docs, words=5, percent=80), "components").where("component IS NOT NULL")
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))
+    many = found.groupBy("component").agg(F.min(row).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("component", "first")
+    stays = F.col("doc_id").eqNullSafe(F.col("first.id")) & (F.col("text_hash") == F.col("first.hash"))
+    decided = _small(found.join(many, "component").groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+                     .agg(F.max(stays).alias("_stays"), F.count(F.lit(1)).alias("_n")).where("NOT _stays OR _n > 1"))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (text_hash() == F.col("_hash"))
+    kept = docs.join(decided, same, "left_anti")
+    repeated = decided.where("_stays")
     if repeated.isEmpty():
         return kept
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    one = (kept.join(repeated, "doc_id", "left_semi").withColumn("_row", F.row_number().over(first))
-           .where("_row = 1").select(*docs.columns))
-    return kept.join(repeated, "doc_id", "left_anti").unionByName(one)
+    one = (docs.join(repeated, same, "left_semi").groupBy("doc_id", text_hash().alias("_hash"))
+           .agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("_row")).select("_row.*"))
+    return kept.unionByName(one)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -200,7 +200,7 @@ def _count_first(batches):
 
 
 def _describe(words: int, percent: int, buckets: int, held_common):
-    """(_doc, _class, n, first) of each text: its class, the size of its set, the keys of its first shingles."""
+    """(_doc, _hash, _class, n, first) of each text: its class, the size of its set, the keys of its first shingles."""
     def describe(batches):
         common, often = held_common.value
         for part, texts in _texts(batches):
@@ -208,8 +208,8 @@ def _describe(words: int, percent: int, buckets: int, held_common):
             first = [first_shingles(s, percent, common, often, buckets).astype(np.int64) for s in sets]
             ends = np.concatenate([[0], np.cumsum([len(f) for f in first])]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [part.column("_doc"), pa.array([set_class(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(first), pa.int64()))], ["_doc", "_class", "n", "first"])
+                [part.column("_doc"), part.column("_hash"), pa.array([set_class(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(first), pa.int64()))], ["_doc", "_hash", "_class", "n", "first"])
     return describe
 
 
@@ -434,6 +434,30 @@ def jaccard_components(docs: DataFrame, words: int, percent: int, id_col: str =
     table gives none; other columns are left behind. Shingles are told apart by 64-bit
     hashes. Runs jobs; intermediate tables are written to the shared folder.
     """
+    groups = _groups(docs, words, percent, id_col, text_col)
+    known = lambda c: F.when(F.col(c) != _NO_ID, F.col(c))
+    least = groups.where("n > 0").groupBy("_group").agg(F.min("_doc").alias("_least"))
+    return (groups.join(least, "_group", "left")
+            .select(known("_doc").alias("doc_id"), F.col("n").alias("n_shingles"),
+                    F.when(F.col("n") > 0, known("_least")).otherwise(known("_doc")).alias("component_id")))
+
+
+def jaccard_rows(docs: DataFrame, words: int, percent: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: doc_id, text_hash (as of ``text_hash``), component: a number that
+    equals that of the documents which links reach, as in jaccard_components, whatever
+    their ids; null for an empty set. Ids and texts together tell rows apart."""
+    return (_groups(docs, words, percent, id_col, text_col)
+            .select(F.when(F.col("_doc") != _NO_ID, F.col("_doc")).alias("doc_id"), F.col("_hash").alias("text_hash"),
+                    F.when(F.col("n") > 0, F.col("_group")).alias("component")))
+
+
+def text_hash(text_col: str = "text") -> Column:
+    """A 64-bit hash of a text's bytes; a null text is empty."""
+    return F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary"))
+
+
+def _groups(docs: DataFrame, words: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """One row per document: _doc, _hash, _class, n, _group: its component's number."""
     spark = docs.sparkSession
     small_batches(spark)
     buckets = max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -450,8 +474,8 @@ def jaccard_components(docs: DataFrame, words: int, percent: int, id_col: str =
     del common
     give_back()
 
-    described = cut_lineage(texts.mapInArrow(_describe(words, percent, buckets, held),
-                                             "_doc long, _class long, n long, first array<long>"), "described")
+    described = cut_lineage(texts.withColumn("_hash", text_hash()).mapInArrow(_describe(words, percent, buckets, held),
+                                             "_doc long, _hash long, _class long, n long, first array<long>"), "described")
     dealt = described.where("n > 0").select("_class", "n", "first").mapInArrow(_deal_regions(buckets, held), "bucket long, data binary")
     regions = cut_lineage(dealt.repartition(buckets, "bucket").mapInArrow(_form_regions(percent), _MEMBERS), "regions")
 
@@ -494,13 +518,8 @@ def jaccard_components(docs: DataFrame, words: int, percent: int, id_col: str =
     else:
         label = _window_join(compare, own, near, linked, fit, percent)
 
-    groups = (described.select("_doc", "_class", "n").join(label.select(F.col("node").alias("_class"), "label"), "_class", "left")
-              .withColumn("_group", F.coalesce("label", "_class")))
-    known = lambda c: F.when(F.col(c) != _NO_ID, F.col(c))
-    least = groups.where("n > 0").groupBy("_group").agg(F.min("_doc").alias("_least"))
-    return (groups.join(least, "_group", "left")
-            .select(known("_doc").alias("doc_id"), F.col("n").alias("n_shingles"),
-                    F.when(F.col("n") > 0, known("_least")).otherwise(known("_doc")).alias("component_id")))
+    return (described.select("_doc", "_hash", "_class", "n").join(label.select(F.col("node").alias("_class"), "label"), "_class", "left")
+            .withColumn("_group", F.coalesce("label", "_class")))
 
 
 def labelled(label: DataFrame, df: DataFrame, *cols: str) -> DataFrame:

@@ -83,3 +83,13 @@ def test_odd_rows(spark, corpus):
     for _, stage in pipeline.STAGES:
         empty = stage(spark, empty, folder)
     assert empty.collect() == []
+
+
+def test_near_duplicates_of_shared_and_missing_ids(spark, docs_of):
+    rnd = random.Random(14)
+    text = lambda: " ".join("".join(rnd.choices(SYLLABLES, k=3)) for _ in range(80))
+    a, b, c, d, e = (text() for _ in range(5))
+    rows = [(1, a), (None, a), (None, b), (None, None), (None, ""), (3, c), (7, c + " more"), (7, d), (7, d), (None, e), (None, e + " more"), (None, e)]
+    got = sorted(((r.doc_id or 0, r.text) for r in pipeline.near_duplicates(spark, docs_of(rows), "").collect()), key=str)
+    assert [r for r in got if not (r[1] or "").startswith(e)] == sorted([(1, a), (0, b), (0, None), (0, ""), (3, c), (7, d)], key=str)
+    assert len([r for r in got if (r[1] or "").startswith(e)]) == 1
