@@ -38,7 +38,8 @@ CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 
 OTHER = len(KINDS)  # label of what is no personal data
-#: Least digits of a look-alike; most of one that is not looked into by its parts.
+#: Least digits of a look-alike; most of one that is not looked into by its parts: by words,
+#: and by groups of digits that other mentions of the document have too.
 LEAST_DIGITS, MOST_DIGITS = 7, 19
 #: Pull of the rules' refusal on a look-alike. Bounds of the weights: shape and two neighbours
 #: alone make up for the refusal at most, a skip edge does more.
@@ -49,6 +50,7 @@ ROUNDS, DAMPING, SETTLED = 40, 0.3, 1e-4
 
 _AT_WORD = re.compile(r"[^\s@]+@[^\s@]+")
 _NUMBER_RUN = re.compile(r"[+(]?[0-9][0-9 ().+-]*[0-9]")
+_GROUP = re.compile(r"[0-9]+")
 _NUMBER_WORD = re.compile(r"[0-9][0-9().+-]*[0-9]")
 _HINT = re.compile(r"[0-9@]")
 
@@ -108,6 +110,48 @@ def _shape(text: str) -> str:
     return f"{n if n < 20 else 20}|{text.count('.') if text.count('.') < 4 else 4}|{'+' in text:d}{'(' in text:d}{' ' in text:d}{'-' in text:d}"
 
 
+def _parts(text: str, start: int, end: int, known: set[str], ends: set[str]) -> list[tuple[int, int]]:
+    """Consecutive groups of digits of a number run that equal a known number or end as one
+    does (``ends``: their last digits, LEAST_DIGITS or more), apart from each other: equal
+    ones first, then those that agree longest. A group counts if most of its digits agree.
+    As known numbers are short, linear in the run but for the sorting of what is found."""
+    groups = [m.span() for m in _GROUP.finditer(text, start, end)]
+    digits = "".join(text[a:b] for a, b in groups)
+    first, at = [], 0  # of each group, its first digit's place
+    for a, b in groups:
+        first.append(at)
+        at += b - a
+    found = []
+    for i, stop in enumerate([*first[1:], at] if groups else []):
+        n = LEAST_DIGITS
+        if stop < n or digits[stop - n:stop] not in ends:
+            continue
+        while n < stop and digits[stop - n - 1:stop] in ends:
+            n += 1
+        j = bisect_right(first, stop - n) - 1
+        if 2 * (first[j] + groups[j][1] - groups[j][0] - (stop - n)) <= groups[j][1] - groups[j][0]:
+            j += 1
+        if j <= i and stop - first[j] >= LEAST_DIGITS:
+            found.append((digits[first[j]:stop] not in known, -n, groups[j][0], groups[i][1]))
+    return _apart([(a, b) for _, _, a, b in sorted(found)], [], among=True)
+
+
+def _apart(spans: list[tuple[int, int]], others: list[tuple[int, int]], inside: bool = False, among: bool = False) -> list[tuple[int, int]]:
+    """The spans that overlap none of ``others``, which lie apart themselves; ``inside``: that lie
+    in none of them; ``among``: that overlap no span chosen before either."""
+    taken = sorted(others)
+    out = []
+    for a, b in spans:
+        i = bisect_right(taken, a, key=lambda t: t[0])
+        before, after = taken[i - 1] if i else (0, 0), taken[i] if i < len(taken) else (b, b)
+        if before[1] >= b if inside else before[1] > a or after[0] < b:
+            continue
+        out.append((a, b))
+        if among:
+            taken.insert(i, (a, b))
+    return out
+
+
 def mentions(text: str, base: list[list[tuple[int, int]]]) -> list[Mention]:
     """Rule spans and look-alikes in the order of their start; look-alikes overlap no rule span."""
     key = lambda s: s.lower() if "@" in s else _digits(s)
@@ -127,14 +171,24 @@ def mentions(text: str, base: list[list[tuple[int, int]]]) -> list[Mention]:
         return not (i and taken[i - 1][1] > a) and not (i < len(taken) and taken[i][0] < b)
 
     found = [m.span() for m in _AT_WORD.finditer(text)] if "@" in text else []
+    known = {m.key for m in out if m.kind is not None and KINDS[m.kind] in ("card", "phone")}
+    runs: list[tuple[int, int, list[tuple[int, int]]]] = []
     for m in _NUMBER_RUN.finditer(text):
         n = len(_digits(m[0]))
         if n < LEAST_DIGITS:
             continue
         if n <= MOST_DIGITS and free(*m.span()):
             found.append(m.span())
+            known.add(_digits(m[0]))
         else:
-            found += [w.span() for w in _NUMBER_WORD.finditer(text, m.start(), m.end()) if LEAST_DIGITS <= len(_digits(w[0])) <= MOST_DIGITS]
+            words = [w.span() for w in _NUMBER_WORD.finditer(text, m.start(), m.end()) if LEAST_DIGITS <= len(_digits(w[0])) <= MOST_DIGITS]
+            known.update(_digits(text[a:b]) for a, b in words if free(a, b))
+            runs.append((*m.span(), words))
+    ends = {k[-n:] for k in known for n in range(LEAST_DIGITS, len(k) + 1)} if runs else set()
+    for a, b, words in runs:
+        parts = [p for p in _parts(text, a, b, known, ends) if free(*p)] if ends else []
+        parts = _apart(parts, [w for w in words if free(*w)], inside=True)
+        found += _apart(words, parts) + parts
     out += [Mention(a, b, None, _shape(text[a:b]), key(text[a:b])) for a, b in found if free(a, b)]
     return sorted(out, key=lambda m: (m.start, m.end, -1 if m.kind is None else m.kind))
 

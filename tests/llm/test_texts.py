@@ -257,6 +257,17 @@ def test_field_labels_repeated_mentions(field):
     assert ("phone", "(443) 555-5793") in {(KINDS[k], far[a:b]) for k, a, b in find_spans(far, field)[1]}
 
 
+def test_field_finds_mentions_inside_long_runs(field):
+    card, phone = "4111 1111 1111 1111", "+1 (443) 555-5793"
+    for t, want in ((f"card {card}, then 1234 {card}", ("card", card)), (f"card {card}, then 98 7654 {card} 2025 12 31", ("card", card)),
+                    (f"call {phone}, or 443 555 5793 212 555 0199 now", ("phone", "443 555 5793"))):
+        base, added = find_spans(t, field)
+        assert want in {(KINDS[k], t[a:b]) for k, a, b in added}, t
+    clean = "table 10 20 30 40 50 60 70 80 90 100 110 120"
+    assert find_spans(f"card {card} {clean}", field)[1] == []
+    find_spans(card + " x " + "4111 1111 1111 1111 " * 20_000, Field({}))
+
+
 def test_field_leaves_clean_texts_alone(field):
     for t in ("order 4111111111111112 of 2020-01-02 12:30", "version 2.0.1.300 and 1234567", "x@ y@z @home", "sha 186661156f3f9905942d708"):
         assert find_spans(t, field)[1] == [], t
