@@ -12,10 +12,13 @@ from mercadia.llm.bpe import encoding_digests
 from mercadia.llm.chat import ROTATE_SQL, rotate_perspectives
 from mercadia.llm.common import table
 from mercadia.llm.jaccard_join import jaccard_components
+from mercadia.llm.language import identify_languages
+from mercadia.llm.merkle import MANIFEST_SQL, merkle_manifest
 from mercadia.llm.packing import pack_documents
 from mercadia.llm.perplexity import perplexity_quality
 from mercadia.llm.pii_crf import personal_data
 from mercadia.llm.rendezvous import shard_records
+from mercadia.llm.spelling import VARIANTS_SQL, spelling_variants
 from mercadia.llm.suffix_dedup import dedup_digests
 from mercadia.llm.token_counts import count_tokens
 from mercadia.llm.topk import TOP_K_SQL, top_k_inner_product
@@ -70,6 +73,22 @@ def op10_perplexity_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "log_perplexity")
 
 
+def op11_hashed_ngram_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learnt from four fifths of them."""
+    return identify_languages(table(spark, sf_dir, "documents"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle manifest of all documents; a third of the ids is tampered with before the fold."""
+    id_crc = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    return merkle_manifest(table(spark, sf_dir, "documents"), tampered=id_crc % 3 == 0)
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants among the words of all documents."""
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_top_k": op1_exact_top_k,
     "op2_skip_chain_pii": op2_skip_chain_pii,
@@ -81,6 +100,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_rendezvous_sharding": op9_rendezvous_sharding,
     "op10_perplexity_quality": op10_perplexity_quality,
+    "op11_hashed_ngram_language": op11_hashed_ngram_language,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
-ORACLES: dict[str, str] = {"op1_exact_top_k": TOP_K_SQL, "op7_chat_rotation": ROTATE_SQL}
+ORACLES: dict[str, str] = {"op1_exact_top_k": TOP_K_SQL, "op7_chat_rotation": ROTATE_SQL, "op12_merkle_manifest": MANIFEST_SQL,
+                           "op13_spelling_variants": VARIANTS_SQL}

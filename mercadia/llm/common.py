@@ -80,3 +80,10 @@ def numbered(df: DataFrame, keys: list[str], salt: list[Column], order: list[Col
     return (blocked.join(starts, [*keys, "_block"])
             .withColumn(out, (F.col("_start") + F.row_number().over(inside) - 1).cast("long"))
             .drop("_start", "_block"))
+
+
+def crc32_sql(text: str) -> str:
+    """Unsigned CRC-32 of a string's UTF-8 bytes, bit by bit (polynomial of zlib)."""
+    bits = "list_reduce(range(8), lambda y, i: if(y % 2 = 1, xor(y // 2, 3988292384), y // 2), {0})"
+    start = bits.format("xor(x, CAST(('0x' || substr(hex(encode(" + text + ")), CAST(2 * b + 1 AS INT), 2)) AS BIGINT))")
+    return f"xor(list_reduce(range(octet_length(encode({text}))), lambda x, b: {start}, CAST(4294967295 AS BIGINT)), 4294967295)"
