@@ -47,7 +47,7 @@ _GRAM_BYTES, _TEXT_BYTES, _TEXT_BYTES_2 = (_RNG.integers(0, 1 << 64, 256, np.uin
 _GRAM_BASE, _TEXT_BASE, _TEXT_BASE_2 = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95, 0xAF251AF3B0F025B5
 _WORD = 1 << 64
 # Order of columns of an entry: two fingerprints; place (document, its text's tag, start); further windows after start.
-_FIELDS = (("gram", "<u8"), ("stretch", "<u8"), ("doc", "<i8"), ("tag", "<u4"), ("start", "<u4"), ("more", "<u2"))
+_FIELDS = (("gram", "<u8"), ("stretch", "<u8"), ("doc", "<i8"), ("tag", "<i8"), ("start", "<u4"), ("more", "<u2"))
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -312,7 +312,7 @@ class Contexts(dict):
 
     @classmethod
     def unpacked(cls, data: bytes, width: int) -> Contexts:
-        n = len(data) // (8 + 20 + 2 + 4 * width)
+        n = len(data) // (8 + _PLACE.itemsize + 2 + 4 * width)
         at, out = 0, []
         for t, shape in (("<u8", (n,)), (_PLACE, (n,)), ("<u2", (n,)), ("<u4", (n, width))):
             size = int(np.prod(shape))
@@ -321,7 +321,7 @@ class Contexts(dict):
         return cls(*out)
 
 
-_PLACE = np.dtype([("doc", "<i8"), ("tag", "<u4"), ("start", "<u4"), ("more", "<u4")])
+_PLACE = np.dtype([("doc", "<i8"), ("tag", "<i8"), ("start", "<u4"), ("more", "<u4")])
 
 
 def _context_widths(length: int, gram: int) -> np.ndarray:
@@ -467,7 +467,7 @@ def _identified(docs: DataFrame, id_col: str, text_col: str, *more: str) -> Data
     """_doc (a null id comes first), _tag (tells texts of one id apart), _bytes, and the columns asked for."""
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).cast("binary")
     return docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(-(1 << 63))).alias("_doc"),
-                       F.crc32(text).alias("_tag"), text.alias("_bytes"), *[F.col(f"`{c}`") for c in more])
+                       F.xxhash64(text).alias("_tag"), text.alias("_bytes"), *[F.col(f"`{c}`") for c in more])
 
 
 _MORE_BITS = 16
@@ -526,7 +526,7 @@ def dedup_digests(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_co
     the input and never cross documents. ``gram`` is a power of two below ``length``.
     Cases: a null or empty text, or one shorter than ``length``, loses nothing; a null
     doc_id comes first; different texts under one id are told apart (the one with the
-    smaller CRC-32 comes first), equal rows get equal results; texts of any length are
+    smaller 64-bit hash comes first), equal rows get equal results; texts of any length are
     read in pieces; an empty table gives no rows; other columns are left behind.
     """
     texts = _identified(docs, id_col, text_col)
