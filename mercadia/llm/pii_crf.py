@@ -46,6 +46,8 @@ LEAST_DIGITS, MOST_DIGITS = 7, 19
 REFUSED, MOST = -6.0, {"node": 4.0, "chain": 0.5, "same": 6.0, "similar": 6.0}
 #: Counts before any are seen: of a label, and of equal and unequal labels at a skip's ends.
 PRIOR, PRIOR_SAME, PRIOR_OTHER = 0.5, 20.0, 0.005
+#: Messages run until they settle; a field that never does is stopped after as many rounds as it
+#: has nodes (a message has crossed it by then), ROUNDS at least.
 ROUNDS, DAMPING, SETTLED = 40, 0.3, 1e-4
 
 _AT_WORD = re.compile(r"[^\s@]+@[^\s@]+")
@@ -97,7 +99,7 @@ def base_spans(text: str) -> list[list[tuple[int, int]]]:
     if not _HINT.search(text):
         return [[] for _ in KINDS]
     emails = _emails(text)
-    ips = [m.span() for m in IP.finditer(text) if all(len(p.lstrip("0")) < 4 and int(p) <= 255 for p in m[0].split("."))]
+    ips = [m.span() for m in IP.finditer(text) if all(len(p) < 4 and int(p or "0") <= 255 for p in (x.lstrip("0") for x in m[0].split(".")))]
     cards = [m.span() for m in CARD.finditer(text) if 13 <= len(d := _digits(m[0])) <= 19 and luhn(d)]
     phones = [m.span() for m in PHONE.finditer(text) if 9 <= len(_digits(m[0])) <= 15] if "+" in text else []
     return [emails, ips, cards, phones]
@@ -196,26 +198,37 @@ def mentions(text: str, base: list[list[tuple[int, int]]]) -> list[Mention]:
 def edges(nodes: list[Mention]) -> dict[str, list[tuple[int, int]]]:
     """Pairs of nodes by kind of edge. chain: neighbours. same: one key; similar: numbers
     with one last LEAST_DIGITS digits, addresses with one local part. Mentions of one
-    group are joined one to the next, so that edges grow with the mentions."""
+    group are joined one to the next, and each to the group's first rule span of each kind,
+    wherever that stands: edges grow with the mentions, and what the rules know is one
+    step away from all of them."""
     out: dict[str, list[tuple[int, int]]] = {"chain": [(i, i + 1) for i in range(len(nodes) - 1)], "same": [], "similar": []}
+    parts = [("similar", "@" in m.key, m.key.split("@")[0] if "@" in m.key else m.key[-LEAST_DIGITS:]) for m in nodes]
+    known: dict[tuple, dict[int, int]] = {}
+    for i, (m, part) in enumerate(zip(nodes, parts, strict=True)):
+        if m.kind is not None:
+            known.setdefault(part, {}).setdefault(m.kind, i)
     last: dict[tuple, int] = {}
-    for i, m in enumerate(nodes):
+    for i, (m, part) in enumerate(zip(nodes, parts, strict=True)):
         whole = "same", m.key
-        part = "similar", "@" in m.key, m.key.split("@")[0] if "@" in m.key else m.key[-LEAST_DIGITS:]
         if whole in last:
             out["same"].append((last[whole], i))
         elif part in last:
             out["similar"].append((last[part], i))
+        joined = last.get(whole, last.get(part))
+        for j in known.get(part, {}).values():
+            if j != i and j != joined and m.kind is None:
+                out["same" if nodes[j].key == m.key else "similar"].append((j, i))
         last[whole] = last[part] = i
     return out
 
 
 def label_counts(nodes: list[Mention]) -> Counter:
-    """Counts of (factor, feature, label[, label]) of a document under the rules' labels."""
+    """Counts of (factor, feature, label[, label]) of a document under the rules' labels. Of a
+    look-alike the rules say nothing: skip edges count between rule spans only."""
     y = [OTHER if m.kind is None else m.kind for m in nodes]
     n = Counter(("node", m.shape, k, -1) for m, k in zip(nodes, y, strict=True))
     for kind, pairs in edges(nodes).items():
-        n.update(("edge", kind, y[i], y[j]) for i, j in pairs)
+        n.update(("edge", kind, y[i], y[j]) for i, j in pairs if kind == "chain" or OTHER not in (y[i], y[j]))
     return n
 
 
@@ -264,7 +277,7 @@ class Field:
         table = np.concatenate([table, table.transpose(0, 2, 1)])  # source label by target label
         back = np.concatenate([np.arange(len(pairs)) + len(pairs), np.arange(len(pairs))])
         message = np.zeros((len(source), OTHER + 1))
-        for _ in range(ROUNDS):
+        for _ in range(max(ROUNDS, len(nodes))):
             total = unary.copy()
             np.add.at(total, target, message)
             out = (total[source] - message[back])[:, :, None] + table
