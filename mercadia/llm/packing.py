@@ -22,6 +22,7 @@ from collections.abc import Callable
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +32,10 @@ from mercadia.llm.common import id_text, numbered, slices
 from mercadia.llm.vocabulary import vocabulary
 from mercadia.session import cut_lineage
 
+#: Runs of more white space than this go round tiktoken's pattern.
+LONG_GAP = 100_000
+_GAP = regex.compile(r"\s+")
+
 
 class SequencePlan:
     """runs: (length, first rank, end rank, pieces per sequence, first sequence, offset)."""
@@ -117,6 +122,28 @@ def plan_sequences(counts: dict[int, int], capacity: int) -> SequencePlan:
     return plan
 
 
+def _around_long_gaps(text: str, specials: dict[str, int]) -> list[tuple[str, bool]]:
+    """The parts of a text and whether each is one pre-token, a run of more than LONG_GAP spaces:
+    tiktoken's pattern engine gives up on runs of about a million.
+
+    The pattern takes a run whole at the end of the text and before a special token, and else
+    without its last character, which goes with what follows or stands alone. Neither
+    side of such a cut looks across it."""
+    out, done = [], 0
+    for m in _GAP.finditer(text):
+        a, b = m.span()
+        if b - a <= LONG_GAP:
+            continue
+        end = b if b == len(text) or any(text.startswith(s, b) for s in specials) else b - 1
+        if a > done:
+            out.append((text[done:a], False))
+        out.append((text[a:end], True))
+        done = end
+    if done < len(text) or not out:
+        out.append((text[done:], False))
+    return out
+
+
 @functools.lru_cache(maxsize=2)
 def text_ids(path: str) -> Callable[[str], np.ndarray]:
     """Ids of a text, special tokens' texts in it included, as the tokenizers library gives them.
@@ -128,7 +155,12 @@ def text_ids(path: str) -> Callable[[str], np.ndarray]:
     if all(a < b for a, b in zip(made, made[1:], strict=False)) and max(voc.byte_ids) < min(made):
         ranks = {b: i for b, i in voc.ids.items()}
         encoding = tiktoken.Encoding("ranks", pat_str=voc.PATTERN, mergeable_ranks=ranks, special_tokens=voc.specials)
-        return lambda text: encoding.encode_to_numpy(text, allowed_special="all")
+
+        def ids(text: str) -> np.ndarray:
+            parts = _around_long_gaps(text, voc.specials) if len(text) > LONG_GAP else [(text, False)]
+            got = [np.array(encoding._encode_single_piece(p.encode()), "<u4") if gap else encoding.encode_to_numpy(p, allowed_special="all") for p, gap in parts]
+            return got[0] if len(got) == 1 else np.concatenate([np.zeros(0, "<u4"), *got])
+        return ids
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     library = Tokenizer.from_file(path)
     library.no_truncation()
@@ -191,7 +223,7 @@ def pack_pieces(pieces: DataFrame, capacity: int) -> DataFrame:
 
     counts = pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n"))
     runs = counts.coalesce(1).mapInPandas(plan, "length long, rank_from long, rank_to long, each long, sequence_from long, offset_from long")
-    ranked = numbered(pieces, ["length"], [F.col("doc_id"), F.col("piece")], [F.col("doc_id"), F.col("piece"), F.col("start")], "_rank").alias("p")
+    ranked = numbered(pieces, ["length"], [F.xxhash64(*pieces.columns)], [F.col("doc_id"), F.col("piece"), F.col("start")], "_rank").alias("p")
     run = F.broadcast(runs).alias("r")
     inside = F.col("_rank") - F.col("r.rank_from")
     return (ranked.join(run, (F.col("p.length") == F.col("r.length")) & (F.col("_rank") >= F.col("r.rank_from"))

@@ -43,11 +43,12 @@ def shard_records(df: DataFrame, key_col: str, weights: list[float], grown_weigh
     Rows of one key, repeats and null keys included, share a shard and each has a
     slot of its own. An empty table gives none. Columns of ``df`` named like the
     new ones are replaced. The hash is computed row by row without a shuffle; only
-    numbering the slots moves rows, in blocks of about ``rows_per_block`` keys.
+    numbering the slots moves rows, in blocks of about ``rows_per_block`` by a hash of the whole
+    row, so that the rows of one key are split too.
     """
     grown = [*weights, sum(weights) / len(weights) if grown_weight is None else grown_weight]
     rest = [F.col(f"`{c}`") for c in df.columns if c not in ("shard", "slot", "grown_shard", key_col)]
     key = F.col(f"`{key_col}`")
     sharded = df.select(key, *rest, rendezvous_shard(key, weights, seed).alias("shard"),
                         rendezvous_shard(key, grown, seed).alias("grown_shard"))
-    return numbered(sharded, ["shard"], [key], [key], "slot", rows_per_block)
+    return numbered(sharded, ["shard"], [F.xxhash64(key, *rest)], [key], "slot", rows_per_block)
