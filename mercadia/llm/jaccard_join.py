@@ -357,7 +357,10 @@ class _Compare:
 
     def __init__(self, texts: DataFrame, described: DataFrame, words: int, percent: int):
         self.texts, self.described, self.words, self.percent = texts, described, words, percent
-        self.reps = cut_lineage(described.where("n > 0").groupBy(F.col("_class").alias("cls")).agg(F.min("_doc").alias("_doc")), "representatives")
+        rep = F.min(F.struct("_doc", "_hash")).alias("m")
+        self.reps = cut_lineage(described.where("n > 0").groupBy(F.col("_class").alias("cls")).agg(rep).select("cls", "m._doc", "m._hash"), "representatives")
+        #: whether some rows share id and text, so that a representative may be several rows
+        self.repeated = not described.groupBy("_doc", "_hash").count().where("count > 1").isEmpty()
 
     @staticmethod
     def _picked(big: DataFrame, few: DataFrame, on: list[str]) -> DataFrame:
@@ -374,7 +377,7 @@ class _Compare:
         pairs = cut_lineage(pairs, "pairs")
         needed = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
         first = cut_lineage(self._picked(self.described.select("_doc", F.col("_class").alias("cls"), "n", "first"),
-                                         self.reps.join(needed, "cls"), ["_doc", "cls"]).dropDuplicates(["cls"]), "first_shingles")
+                                         self.reps.join(needed, "cls").drop("_hash"), ["_doc", "cls"]).dropDuplicates(["cls"]), "first_shingles")
         side = lambda c: first.select(F.col("cls").alias(c), F.col("n").alias(f"n_{c}"), F.col("first").alias(f"first_{c}"))
         both = pairs.join(side("a"), "a").join(side("b"), "b").where(
             F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * self.percent)
@@ -394,9 +397,10 @@ class _Compare:
                 values = pa.array(np.concatenate(sets).astype(np.int64), pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array([set_class(s) for s in sets], pa.int64()), pa.ListArray.from_arrays(pa.array(ends), values),
                                                   part.column("cls")], ["own", "shingles", "cls"])
-        return (self._picked(self.texts, self.reps.join(few, "cls"), ["_doc"]).select("text", "cls")
+        sets = (self._picked(self.texts, self.reps.join(few, "cls"), ["_doc", "_hash"]).select("text", "cls")
                 .mapInArrow(gather, "own long, shingles array<long>, cls long")
-                .where("own = cls").drop("own"))  # another text of the same id is no member of the class
+                .where("own = cls").drop("own"))  # another text of the same hash is no member of the class
+        return sets.dropDuplicates(["cls"]) if self.repeated else sets
 
     def similar(self, pairs: DataFrame) -> DataFrame:
         """(a, b, shared, total) of pairs of classes (a, b): sizes of intersection and union.
@@ -480,7 +484,7 @@ def _groups(docs: DataFrame, words: int, percent: int, id_col: str, text_col: st
     regions = cut_lineage(dealt.repartition(buckets, "bucket").mapInArrow(_form_regions(percent), _MEMBERS), "regions")
 
     to_col = lambda c: F.col(c) if isinstance(c, str) else c
-    compare = _Compare(texts, described, words, percent)
+    compare = _Compare(texts.withColumn("_hash", text_hash()), described, words, percent)
     linked = lambda df: df.where(F.col("shared") * 100 >= F.col("total") * percent).select("a", "b")
 
     def fit(n_a, tail_a, n_b, tail_b) -> Column:
