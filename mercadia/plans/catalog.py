@@ -16,16 +16,24 @@ from pyspark.sql import types as T
 
 from ..operators import grouping as gr
 from ..operators import quality as dq
+from ..operators.distinct import dense_numbers, distinct_bitmaps, distinct_counts, roll_up
+from ..operators.gate import Gate, RuleBroken, in_range, not_null, publish_gated
+from ..operators.ranking import ntile_by_cuts, rank_by_bins
+from ..operators.skew import heavy_keys, skew_chain
 from ..operators.windows import Key, global_window, pareto, period_over_period, running_total
 from ..functions.exprs import pg_initcap, safe_pct
 from ..session import configure, ensure_checkpoint_dir
-from ..sources.readers import write_replace
-from ..sources.binding import load_bound_tables
+from ..session import cut_lineage
+from ..sources.binding import BINDINGS, load_bound_tables
+from ..sources.readers import (footer_row_counts, publish, publish_bucketed, read_csv_quarantine, read_csv_table, read_parquet_table,
+                               write_replace)
+from ..sources.versions import read_current, replace_version
 from . import dashboards as db
 from . import intermediate as im
+from . import refresh as rf
 from . import reports as rp
-from ..sources.readers import publish, read_csv_table, read_parquet_table
-from .pipeline import build_models, run_pipeline, table_row_counts
+from .cube import ChartCube
+from .pipeline import MODEL_GATES, SEGMENTS, build_models, run_pipeline, table_row_counts
 
 
 def canonical(df: DataFrame) -> DataFrame:
@@ -107,7 +115,6 @@ def _dq_not_null(c):
 # fixed accepted values
 ORDER_STATUSES = ["delivered", "shipped", "processing", "invoiced", "approved", "created", "unavailable", "canceled"]
 PAYMENT_TYPES = ["credit_card", "boleto", "voucher", "debit_card", "not_defined"]
-SEGMENTS = ["new", "returning", "at_risk", "churned"]
 # fixed grains of the models
 GRAINS = {"int_orders_enriched": ["order_id"], "int_customer_metrics": ["customer_unique_id"], "int_seller_metrics": ["seller_id"],
           "mart_monthly_revenue": ["month"], "mart_customer_segments": ["customer_unique_id"], "mart_product_performance": ["product_id"],
@@ -198,6 +205,137 @@ def _parquet_round_trip(c):
     return read_parquet_table(c.spark, f"{path}/order_payments.parquet")
 
 
+def _csv_quarantine(c):
+    """Orders as CSV in which a known part has no time where one should be → ``kind, order_id``."""
+    path = _scratch(c, "orders_with_errors.csv")
+    time = F.col("order_purchase_timestamp").cast("string")
+    (c.src["orders"].withColumn("order_purchase_timestamp", F.when(F.col("order_id").endswith("77"), "not a time").otherwise(time))
+     .write.option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path))
+    good, bad = read_csv_quarantine(c.spark, path, "orders", quarantine=_scratch(c, "quarantine"))
+    return good.select(F.lit("good").alias("kind"), "order_id").unionByName(
+        bad.select(F.lit("bad").alias("kind"), F.split("line", ",")[0].alias("order_id")))
+
+
+def _version_round_trip(c):
+    root = _scratch(c, "order_payments")
+    replace_version(c.src["order_items"], root)
+    replace_version(c.src["order_payments"], root)
+    return read_current(c.spark, root)
+
+
+def _footer_counts(c):
+    names = sorted({t for _, tables in BINDINGS.values() for t in tables})
+    return footer_row_counts(c.spark, {n: f"{c.sf_dir.rstrip('/')}/{n}.parquet" for n in names})
+
+
+def _gated_marts(c):
+    """Two marts of a run whose tables are published only if they keep their rules."""
+    built = run_pipeline(c.src, _scratch(c, "gated"), select=["mart_monthly_revenue", "mart_customer_segments"], gates=MODEL_GATES)
+    return _union([built[mart].select(F.lit(mart).alias("mart"), F.col(key).cast("string").alias("key"), F.col("total_orders").alias("orders"))
+                   for mart, key in (("mart_monthly_revenue", "month"), ("mart_customer_segments", "customer_unique_id"))])
+
+
+def _broken_gate(c):
+    """What a gate counts in the pass that writes payments of which some break its rules → ``rule, rows``."""
+    payments = c.m["stg_order_payments"].withColumn("payment_amount", F.col("payment_amount") - 1000)
+    gate = Gate((not_null("order_id"), in_range("payment_amount", 0), in_range("installments", 1, 10)))
+    try:
+        _, counts = publish_gated(payments, _scratch(c, "broken"), gate)
+        counts.pop("rows")
+    except RuleBroken as e:
+        counts = {r.name: 0 for r in gate.rules} | e.counts
+    return c.spark.createDataFrame(sorted(counts.items()), "rule string, rows long")
+
+
+def _refreshed(c, root: str) -> None:
+    """A refresh over older sources (one month's payments are missing), then one over these."""
+    old = dict(c.src)
+    month = c.src["orders"].where(F.date_format("order_purchase_timestamp", "yyyy-MM") == "1996-03").select("order_id")
+    old["order_payments"] = old["order_payments"].join(month, "order_id", "left_anti")
+    rf.refresh_models(old, root)
+    rf.refresh_models(c.src, root)
+
+
+def _refresh_orders(c):
+    root = _scratch(c, "refreshed")
+    _refreshed(c, root)
+    return rf.read_orders(c.spark, root)
+
+
+def _refresh_monthly(c):
+    root = _scratch(c, "refreshed")
+    _refreshed(c, root)
+    return rf.read_monthly_mart(c.spark, root)
+
+
+def _bucketed_sellers(c):
+    """Seller metrics from tables bucketed by order: the item-order join has no exchange."""
+    run, buckets = uuid.uuid4().hex[:12], int(c.spark.conf.get("spark.sql.shuffle.partitions"))
+    items, orders = (publish_bucketed(c.m[m], f"{m}_{run}", "order_id", buckets, _scratch(c, m)) for m in ("stg_order_items", "int_orders_enriched"))
+    return im.int_seller_metrics(items, c.m["stg_products"], orders)
+
+
+def _items_of_a_heavy_order(c):
+    """Item rows of which a third is given to one order."""
+    moved = F.when(F.col("order_id").cast("bigint") % 3 == 0, F.lit("7")).otherwise(F.col("order_id"))
+    return c.src["order_items"].select(moved.alias("order_id"), F.col("order_id").alias("sold_in"), "order_item_id", "product_id", "price")
+
+
+def _skew_chain(c):
+    orders = c.src["orders"].select("order_id", "order_status")
+    payments = c.src["order_payments"].select("order_id", "payment_sequential", "payment_value")
+    return skew_chain(_items_of_a_heavy_order(c), [(orders, "inner"), (payments, "left")], "order_id")
+
+
+def _heavy(c):
+    """Orders and sellers with at least a hundredth of the item rows."""
+    items = c.src["order_items"]
+    return _union([heavy_keys(df, key, 0.01).select(F.lit(key).alias("key"), F.col(key).alias("value"), "rows")
+                   for df, key in ((_items_of_a_heavy_order(c), "order_id"), (items, "seller_id"))])
+
+
+def _product_items(c):
+    items = c.m["stg_order_items"].groupBy("product_id").agg(F.count(F.lit(1)).alias("items"))
+    return cut_lineage(items.join(c.m["stg_products"].select("product_id", F.col("category_name_en").alias("category")), "product_id"), "product_items")
+
+
+def _distinct_rollup(c):
+    """Distinct orders by month and category, and by year, category and in all from the same bitmaps."""
+    orders = c.src["orders"].where("order_purchase_timestamp IS NOT NULL").select("order_id", F.date_format("order_purchase_timestamp", "yyyy-MM").alias("month"))
+    items = c.src["order_items"].select("order_id", "product_id").join(
+        c.m["stg_products"].select("product_id", F.col("category_name_en").alias("category")), "product_id")
+    rows = items.join(orders, "order_id").join(dense_numbers(orders, "order_id"), "order_id")
+    fine = cut_lineage(distinct_bitmaps(rows.select("month", "category", "_number"), ["month", "category"]), "distinct_bitmaps")
+    levels = [(fine, ["month", "category"]), (roll_up(fine.withColumn("year", F.left("month", F.lit(4))), ["year", "category"]), ["year"]),
+              (fine, ["category"]), (fine, [])]
+    return _union([distinct_counts(b, dims, "orders").select(F.lit(" ".join(dims)).alias("level"), F.concat_ws("|", *dims).alias("key"), "orders")
+                   for b, dims in levels])
+
+
+# fixed filter bars, under which every chart of the dataset is asked for
+FILTER_BARS = {
+    "all": {},
+    "two categories in 1995": {"category": ["Promo", "Small"], "date_range": ("1995-01-01", "1996-01-01")},
+    "delivered, two states": {"status": ["delivered"], "state": ["nation_0", "nation_3"]},
+    "categories, status and a quarter": {"category": ["uncategorized", "Economy"], "status": ["delivered", "shipped"], "date_range": ("1996-04-01", "1996-07-01")},
+}
+CUBE_CHARTS = {"revenue_trend": ("order_month", ["total_payment"]), "top_categories": ("category", ["total_payment"]),
+               "payment_mix": ("order_month", ["credit_card_payment", "boleto_payment", "other_payment"]),
+               "late_rate": ("category", ["late_rate_pct"]), "orders_by_state": ("customer_state", ["order_count"])}
+
+
+def _chart_cube(c):
+    """All charts of the dataset under several filter bars, from one summary → ``bar, chart, key, measure, value``."""
+    cube = ChartCube.build(_ds(c))
+    out = []
+    for bar, filters in FILTER_BARS.items():
+        for name, (key, measures) in CUBE_CHARTS.items():
+            stacked = F.explode(F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).cast("double").alias("value")) for m in measures])).alias("m")
+            out.append(cube.chart(name, **filters).select(F.lit(bar).alias("bar"), F.lit(name).alias("chart"), F.col(key).cast("string").alias("key"), stacked)
+                       .select("bar", "chart", "key", "m.measure", "m.value"))
+    return _union(out)
+
+
 def _sub_cent(c):
     """Payments per installments in thousandths of the amount: sub-cent measures."""
     return (c.m["stg_order_payments"].where("installments IS NOT NULL").groupBy("installments")
@@ -236,6 +374,14 @@ QUERIES: dict[str, Callable[[Ctx], DataFrame]] = {
     "materialise_table": lambda c: publish(c.m["mart_monthly_revenue"], "mart_monthly_revenue", "table",
                                            path=_scratch(c, "mart_monthly_revenue")),
     "model_graph": _pipeline_marts,
+    "replace_version": _version_round_trip,
+    "read_csv_quarantine": _csv_quarantine,
+    "footer_row_counts": _footer_counts,
+    "model_graph_gated": _gated_marts,
+    "dq_gate_counts": _broken_gate,
+    "refresh_orders": _refresh_orders,
+    "refresh_monthly_revenue": _refresh_monthly,
+    "int_seller_metrics_bucketed": _bucketed_sellers,
     # reports
     "a1_monthly_revenue": _a1,
     "a1_peak_month": lambda c: rp.a1_peak_month(_a1(c)),
@@ -296,6 +442,7 @@ QUERIES: dict[str, Callable[[Ctx], DataFrame]] = {
     "chart_kpi_orders_time": lambda c: db.chart("kpi_orders", _kpi(c), date_range=("1996-01-01", "1997-01-01")),
     "chart_order_status_time": lambda c: db.chart("order_status", c.src["orders"], date_range=("1996-01-01", "1997-01-01"), state=["x"]),
     "chart_payment_mix_state": lambda c: db.chart("payment_mix", _ds(c), state=["x"]),
+    "chart_cube": _chart_cube,
     # data quality
     "dq_unique_grain": _dq_unique_grain,
     "dq_not_null": _dq_not_null,
@@ -330,6 +477,11 @@ QUERIES: dict[str, Callable[[Ctx], DataFrame]] = {
         _items_revenue_by_product(c), [Key("items", True)], ["product_id"], rank="rank", row_number="row_number",
         ntile=("quartile", 4), running={"revenue": "running_revenue"}),
     "global_window_nulls": _global_window_nulls,
+    "heavy_keys": _heavy,
+    "skew_chain": _skew_chain,
+    "ntile_by_cuts": lambda c: ntile_by_cuts(_product_items(c), Key("items", True), "product_id", 10, "decile"),
+    "rank_by_bins": lambda c: rank_by_bins(_product_items(c), Key("items", True), {"rank": [], "category_rank": ["category"]}, "product_id"),
+    "distinct_rollup": _distinct_rollup,
     "sub_cent_shares": lambda c: pareto(_sub_cent(c), "installments", "amount"),
     "sub_cent_changes": lambda c: period_over_period(_sub_cent(c), ["installments"], ["amount"]),
     "sub_cent_safe_pct": lambda c: c.m["stg_order_payments"].select(

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ..functions.exprs import avg_exact, interval_days, month_start, ratio
 from ..operators.grouping import segment_by_recency
 from ..session import cut_lineage
-from ..operators.windows import Key, global_window, period_over_period, running_total
+from ..operators.ranking import ntile_by_cuts, rank_by_bins
+from ..operators.windows import Key, period_over_period, running_total
 from .intermediate import _items_of_open_orders, _not_excluded
 
 
@@ -16,6 +17,11 @@ def mart_monthly_revenue(oe: DataFrame, excluded=("canceled", "unavailable")) ->
     """One row per calendar month present; MoM against the previous present
     month; YTD running sums restart each year. Month grain is bounded by the
     calendar, so its windows run in a single small task."""
+    return monthly_windows(monthly_base(oe, excluded))
+
+
+def monthly_base(oe: DataFrame, excluded=("canceled", "unavailable")) -> DataFrame:
+    """The mart's measures of each month on its own."""
     base = (oe.where(_not_excluded("order_status", excluded) & F.col("purchased_at").isNotNull())
               .withColumn("month", month_start("purchased_at")))
     # One grouping-sets pass: (month, order) rows carry the order's partial sums,
@@ -42,7 +48,11 @@ def mart_monthly_revenue(oe: DataFrame, excluded=("canceled", "unavailable")) ->
         F.round(s_("_freight"), 2).alias("total_freight_revenue"),
         s_("_late").alias("late_delivery_count"),
         F.round(s_("_rev") / F.nullif(s_("_nrev"), F.lit(0)), 2).alias("avg_review_score"))
-    m = m.withColumn("late_delivery_rate_pct", ratio("late_delivery_count", "total_orders", 1, factor=100))
+    return m.withColumn("late_delivery_rate_pct", ratio("late_delivery_count", "total_orders", 1, factor=100))
+
+
+def monthly_windows(m: DataFrame) -> DataFrame:
+    """The mart from its base: the measures that look at other months."""
     m = period_over_period(m, ["month"], ["total_revenue", "total_orders"],
                            prev_names={"total_revenue": "prev_month_revenue", "total_orders": "prev_month_orders"},
                            pct_names={"total_revenue": "mom_revenue_growth_pct",
@@ -61,16 +71,15 @@ VALUE_TIERS = {1: "high_value", 2: "mid_value", 3: "low_value", 4: "at_risk_valu
 def mart_customer_segments(customer_metrics: DataFrame, recent: int = 180, lapsed: int = 365,
                            tiles: int = 4) -> DataFrame:
     """Recency segment per person against the latest non-canceled purchase, and
-    spend quartile (NTILE over the whole customer base, distributed; ties in
-    spend → customer id).
+    spend quartile (NTILE over the whole customer base; ties in spend → customer id).
 
-    The reference instant is the latest non-canceled purchase; every such
-    purchase is some person's ``last_order_at`` in ``customer_metrics`` (same
-    filter), so it is read from the already checkpointed quartile output instead
-    of re-evaluating the order model.
+    The metrics are written once. The quartiles come from exact cut points, found by
+    histograms of the spend column; rows don't move for them. The reference instant is
+    the latest non-canceled purchase; every such purchase is some person's
+    ``last_order_at`` (same filter), so it is read from the written metrics too.
     """
-    cm = global_window(customer_metrics, [Key("total_spend", True, True)], ["customer_unique_id"],
-                       ntile=("spend_quartile", tiles))
+    cm = ntile_by_cuts(cut_lineage(customer_metrics, "customer_metrics"), Key("total_spend", True, True),
+                       "customer_unique_id", tiles, "spend_quartile")
     ref = cm.agg(F.max("last_order_at")).scalar()
     cm = (cm.withColumn("reference_date_used", ref)
           .withColumn("days_since_last_order", interval_days(F.col("reference_date_used"), F.col("last_order_at"))))
@@ -101,16 +110,13 @@ def mart_product_performance(stg_order_items: DataFrame, stg_products: DataFrame
         F.count(F.when(F.col("is_late_delivery"), 1)).alias("late_delivery_count"))
     ps = (ps.withColumn("low_score_rate_pct", ratio("low_score_order_count", "total_orders", 1, factor=100))
             .withColumn("late_delivery_rate_pct", ratio("late_delivery_count", "total_orders", 1, factor=100)))
-    # the three ranks see ids and sort columns only; the wide rows are written once and meet them in one join
-    ps = cut_lineage(ps, "product_sales")
-    keys = ps.select("product_id", "category", "total_revenue", (F.col("avg_review_score") * F.col("total_revenue")).alias("_quality"))
-    ranks = global_window(keys, [Key("total_revenue", True, True)], ["product_id"], rank="revenue_rank")
-    # per-category rank and the category's total revenue in the same distributed
-    # pass (no separate category aggregate joined back, no single-task window)
-    ranks = global_window(ranks, [Key("total_revenue", True, True)], ["product_id"], partition_by=["category"],
-                          rank="category_revenue_rank", group_sum={"total_revenue": "category_total_revenue"})
-    ranks = global_window(ranks, [Key("_quality", True, False)], ["product_id"], rank="quality_adjusted_rank")
-    ps = (ps.join(ranks.drop("category", "total_revenue", "_quality"), "product_id")
+    # Written once; histograms of the sort columns give the bins, so a rank costs one
+    # exchange by bin, and the two by revenue share theirs.
+    ps = cut_lineage(ps.withColumn("_quality", F.col("avg_review_score") * F.col("total_revenue")), "product_sales")
+    totals = ps.groupBy(F.col("category").alias("_category")).agg(F.sum("total_revenue").alias("category_total_revenue"))
+    ps = rank_by_bins(ps, Key("total_revenue", True, True), {"revenue_rank": [], "category_revenue_rank": ["category"]}, "product_id")
+    ps = rank_by_bins(ps, Key("_quality", True, False), {"quality_adjusted_rank": []}, "product_id")
+    ps = (ps.join(totals, F.col("category").eqNullSafe(F.col("_category")))
           .withColumn("category_revenue_share_pct", ratio("total_revenue", "category_total_revenue", 2, factor=100)))
     return ps.select("product_id", "category", "total_orders", "units_sold", "total_revenue", "avg_unit_price",
                      "total_freight", "avg_review_score", "low_score_order_count", "low_score_rate_pct",

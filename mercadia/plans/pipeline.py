@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.gate import Gate, accepted, in_range, not_null, publish_gated
 from ..sources.readers import publish
 from ..sources.schemas import SOURCE_TABLES
 from . import intermediate as im
@@ -37,6 +38,18 @@ MODEL_GRAPH = [
 ]
 
 
+# fixed rules of the published models: codes, ranges, keys
+SEGMENTS = ["new", "returning", "at_risk", "churned"]
+MODEL_GATES = {
+    "int_orders_enriched": Gate((not_null("order_id"), not_null("customer_unique_id"), in_range("total_payment", 0), in_range("avg_review_score", 1, 5)),
+                                ("order_id",), 1),
+    "mart_monthly_revenue": Gate((not_null("month"), in_range("total_orders", 1), in_range("late_delivery_rate_pct", 0, 100)), ("month",), 1),
+    "mart_customer_segments": Gate((not_null("customer_unique_id"), accepted("customer_segment", SEGMENTS), in_range("spend_quartile", 1, 4)),
+                                   ("customer_unique_id",), 1),
+    "mart_product_performance": Gate((not_null("product_id"), not_null("category"), in_range("revenue_rank", 1)), ("product_id",), 1),
+}
+
+
 class _LazyModels(dict):
     """Model name → DataFrame, each built on first access (building a mart with
     a distributed window runs a checkpoint job, so only what is used is built)."""
@@ -84,12 +97,17 @@ def build_models(src: dict[str, DataFrame], enriched: DataFrame | None = None) -
 
 
 def run_pipeline(src: dict[str, DataFrame], materialise_root: str | None = None,
-                 select: list[str] | None = None) -> dict[str, DataFrame]:
+                 select: list[str] | None = None, gates: dict[str, Gate] | None = None) -> dict[str, DataFrame]:
     """Run the graph in order, publishing each model as its layer says.
 
     Tables go to ``materialise_root/<name>`` when given, else to the session's
-    warehouse. ``select`` limits the run to these models and their upstreams.
+    warehouse. ``select`` limits the run to these models and their upstreams. With
+    ``gates`` (``MODEL_GATES``, for the stated rules) tables are versioned folders under
+    ``materialise_root``; a model that breaks a rule is not published and ends
+    the run (``RuleBroken``), so nothing downstream of it is built.
     """
+    if gates and not materialise_root:
+        raise ValueError("gated tables are versioned folders: they need a materialise_root")
     wanted = _closure(select) if select else {n for n, *_ in MODEL_GRAPH}
     built: dict[str, DataFrame] = {}
     models = build_models(src)
@@ -98,7 +116,11 @@ def run_pipeline(src: dict[str, DataFrame], materialise_root: str | None = None,
             continue
         df = models[name]
         path = f"{materialise_root.rstrip('/')}/{name}" if (materialise_root and kind == "table") else None
-        built[name] = publish(df, name, kind, path)
+        if gates and kind == "table":
+            built[name], _ = publish_gated(df, path, gates.get(name, Gate()), name)
+            built[name].createOrReplaceTempView(name)
+        else:
+            built[name] = publish(df, name, kind, path)
         if name == "int_orders_enriched":
             models = build_models(src, built[name])
     return built

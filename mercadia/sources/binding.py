@@ -12,6 +12,8 @@ arithmetic only, so both engines produce identical values.
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable, Mapping
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -183,25 +185,48 @@ def bind_geolocation(customer: DataFrame) -> DataFrame:
     ), "geolocation")
 
 
-def bind_sources(spark: SparkSession, t: dict[str, DataFrame]) -> dict[str, DataFrame]:
+# Each source table and the test tables it is bound from.
+BINDINGS = {
+    "orders": (bind_orders, ["orders"]),
+    "order_items": (bind_order_items, ["lineitem"]),
+    "order_payments": (bind_order_payments, ["orders"]),
+    "order_reviews": (bind_order_reviews, ["orders"]),
+    "customers": (bind_customers, ["orders", "customer", "nation"]),
+    "products": (bind_products, ["part"]),
+    "sellers": (bind_sellers, ["supplier"]),
+    "geolocation": (bind_geolocation, ["customer"]),
+}
+
+
+class BoundTables(Mapping):
+    """The marketplace source tables over test tables, each bound when it is first asked for;
+    test tables are opened once, and only those that a query needs."""
+
+    def __init__(self, spark: SparkSession, open_table: Callable[[str], DataFrame]):
+        self._spark, self._open = spark, functools.cache(open_table)
+        self._bound: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._bound:
+            if name == "product_category_name_translation":
+                self._bound[name] = bind_translation(self._spark)
+            else:
+                bind, tables = BINDINGS[name]
+                self._bound[name] = bind(*map(self._open, tables))
+        return self._bound[name]
+
+    def __iter__(self):
+        return iter([*BINDINGS, "product_category_name_translation"])
+
+    def __len__(self) -> int:
+        return len(BINDINGS) + 1
+
+
+def bind_sources(spark: SparkSession, t: dict[str, DataFrame]) -> Mapping[str, DataFrame]:
     """Marketplace source tables from the test tables (keys as in ``SOURCE_TABLES``)."""
-    return {
-        "orders": bind_orders(t["orders"]),
-        "order_items": bind_order_items(t["lineitem"]),
-        "order_payments": bind_order_payments(t["orders"]),
-        "order_reviews": bind_order_reviews(t["orders"]),
-        "customers": bind_customers(t["orders"], t["customer"], t["nation"]),
-        "products": bind_products(t["part"]),
-        "sellers": bind_sellers(t["supplier"]),
-        "geolocation": bind_geolocation(t["customer"]),
-        "product_category_name_translation": bind_translation(spark),
-    }
-
-
-TEST_TABLES = ["orders", "lineitem", "customer", "nation", "part", "supplier"]
-
-
-def load_bound_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Read the test parquet tables under ``sf_dir`` and bind them."""
-    raw = {n: spark.read.parquet(f"{sf_dir.rstrip('/')}/{n}.parquet") for n in TEST_TABLES}
-    return bind_sources(spark, raw)
+    return BoundTables(spark, t.__getitem__)
+
+
+def load_bound_tables(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
+    """The marketplace source tables over the test parquet tables under ``sf_dir``."""
+    return BoundTables(spark, lambda name: spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import cut_lineage
 from .schemas import SOURCE_SCHEMAS, SOURCE_TABLES
 
 
@@ -31,6 +34,34 @@ def read_csv_table(spark: SparkSession, path: str, schema: T.StructType | str,
             .csv(path))
 
 
+def read_csv_quarantine(spark: SparkSession, path: str, schema: T.StructType | str, quarantine: str | None = None,
+                        multiline: bool | None = None) -> tuple[DataFrame, DataFrame]:
+    """As ``read_csv_table``, but lines that don't fit the schema do not end the load.
+
+    Returns the good rows and the bad ones (``table, file, line``: the text as it stands
+    in the file). Too few or too many fields, or a field that its type cannot hold,
+    make a line bad. All columns are parsed once, into a written table, so a query of few
+    columns sees the same good rows as one of all. With ``quarantine`` (a folder) the bad
+    lines of this load are added to a Parquet table there, with the time of the load.
+    """
+    name = schema if isinstance(schema, str) else ""
+    fields = SOURCE_SCHEMAS[schema] if isinstance(schema, str) else schema
+    if multiline is None:
+        multiline = schema == "order_reviews"
+    with_line = T.StructType([*fields.fields, T.StructField("_line", T.StringType())])
+    parsed = (spark.read.schema(with_line)
+              .option("header", True).option("multiLine", multiline).option("escape", '"')
+              .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_line").option("columnPruning", False)
+              .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
+              .csv(path).select("*", F.col("_metadata.file_path").alias("_file")))
+    loaded = cut_lineage(parsed, "csv_load")
+    good = loaded.where("_line IS NULL").select(*fields.names)
+    bad = loaded.where("_line IS NOT NULL").select(F.lit(name).alias("table"), F.col("_file").alias("file"), F.col("_line").alias("line"))
+    if quarantine:
+        bad.withColumn("loaded_at", F.current_timestamp()).write.mode("append").parquet(quarantine)
+    return good, bad
+
+
 def read_jdbc_table(spark: SparkSession, table: str, options: dict, single_task: bool = False) -> DataFrame:
     """Table or ``(query) AS t`` from a JDBC database.
 
@@ -59,6 +90,29 @@ def load_tables(spark: SparkSession, root: str, fmt: str = "parquet",
     return out
 
 
+def footer_row_counts(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """``table, row_count`` of Parquet tables from their footers: the aggregate is pushed down
+    into the (DSv2) reader, and no column is read. In a session of its own, whose
+    settings leave the caller's alone."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    counts = [own.read.parquet(path).agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table"), "row_count")
+              for name, path in paths.items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def publish_bucketed(df: DataFrame, name: str, key: str, buckets: int, path: str) -> DataFrame:
+    """Publish a table bucketed and sorted by ``key`` under ``path``, as ``name`` in the session's
+    catalog. Joins and groupings by ``key`` of tables with the same number of buckets need no
+    exchange of either; rows of one key are in one bucket, so a heavy key makes a large one."""
+    spark = df.sparkSession
+    spark.sql(f"DROP TABLE IF EXISTS `{name}`")
+    # one task a bucket writes one file a bucket
+    df.repartition(buckets, key).write.mode("overwrite").option("path", path).bucketBy(buckets, key).sortBy(key).saveAsTable(name)
+    return spark.table(name)
+
+
 def write_replace(df: DataFrame, target: str, fmt: str = "parquet",
                   partition_by: list[str] | None = None,
                   bucket_by: tuple[int, str] | None = None) -> None:
