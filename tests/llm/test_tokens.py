@@ -130,3 +130,26 @@ def test_repeated_pieces_each_have_a_place(spark):
     pieces = spark.createDataFrame([(1, 0, 0, 3)] * 5 + [(None, 0, 0, 3)] * 2, "doc_id long, piece int, start long, length long")
     rows = pack_pieces(pieces, 7).collect()
     assert len({(r.sequence_id, r.offset) for r in rows}) == 7 and len({r.sequence_id for r in rows}) == 4
+
+
+def test_long_white_space_and_long_words():
+    """tiktoken's pattern ends at about a million spaces; a word's memory grows with its tokens alone."""
+    import tracemalloc
+
+    from mercadia.llm.bpe import Encoder
+    from mercadia.llm.packing import LONG_GAP, text_ids
+    from mercadia.llm.vocabulary import vocabulary
+    library = Tokenizer.from_file(PATH)
+    ids = text_ids(PATH)
+    want = lambda t: library.encode(t, add_special_tokens=False).ids
+    special = next(iter(vocabulary(PATH).specials))
+    for n in (LONG_GAP, LONG_GAP + 1, 1_000_000):
+        for t in ("x" + " " * n + "word", " " * n, "\n" * n + "a", " " * n + special + "\n" * n, "a" + " \t" * (n // 2) + "c's " + "\n" * n):
+            assert ids(t).tolist() == want(t), (n, t[:4])
+    encoder = Encoder(vocabulary(PATH))
+    word = "theingqux" * 100_000
+    tracemalloc.start()
+    got = encoder.encode_bytes(word.encode())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got == want(word) and peak < 20 * len(word)
