@@ -42,10 +42,12 @@ OTHER = len(KINDS)  # label of what is no personal data
 #: and by groups of digits that other mentions of the document have too.
 LEAST_DIGITS, MOST_DIGITS = 7, 19
 #: Pull of the rules' refusal on a look-alike. Bounds of the weights: shape and two neighbours
-#: alone make up for the refusal at most, a skip edge does more.
-REFUSED, MOST = -6.0, {"node": 4.0, "chain": 0.5, "same": 6.0, "similar": 6.0}
+#: alone make up for the refusal at most; a skip edge to a rule span makes up for both.
+REFUSED, MOST = -6.0, {"node": 4.0, "chain": 0.5, "same": 12.0, "similar": 12.0}
 #: Counts before any are seen: of a label, and of equal and unequal labels at a skip's ends.
-PRIOR, PRIOR_SAME, PRIOR_OTHER = 0.5, 20.0, 0.005
+PRIOR, PRIOR_SAME, PRIOR_OTHER = 0.5, 20.0, 0.0002
+#: Weight of what cannot be, whatever the neighbours say, however many.
+NEVER = -1e9
 #: Messages run until they settle; a field that never does is stopped after as many rounds as it
 #: has nodes (a message has crossed it by then), ROUNDS at least.
 ROUNDS, DAMPING, SETTLED = 40, 0.3, 1e-4
@@ -250,19 +252,24 @@ class Field:
             self.node[shape] = w + np.where(np.arange(labels) == OTHER, 0.0, REFUSED)
         self.edge = {}
         for kind, n in tables.items():
-            n = n + (PRIOR if kind == "chain" else PRIOR_OTHER + PRIOR_SAME * np.eye(labels))
-            joint, one = n / n.sum(), n.sum(axis=1) / n.sum()
-            self.edge[kind] = np.clip(np.log(joint / np.outer(one, one)), -MOST[kind], MOST[kind])
+            if kind == "chain":
+                n = n + PRIOR
+                joint, one = n / n.sum(), n.sum(axis=1) / n.sum()
+                w = np.log(joint / np.outer(one, one))
+            else:  # how much more often both ends agree than not; the same for all labels, so that frequent ones don't pull less
+                agree = np.trace(n)
+                w = np.log((agree + PRIOR_SAME) / (n.sum() - agree + PRIOR_OTHER)) * np.eye(labels)
+            self.edge[kind] = np.clip(w, -MOST[kind], MOST[kind])
 
     def _node(self, m: Mention) -> np.ndarray:
         if m.kind is not None:  # a rule span keeps its label
-            w = np.full(OTHER + 1, -50.0)
+            w = np.full(OTHER + 1, NEVER)
             w[m.kind] = 0.0
             return w
         w = self.node.get(m.shape, np.where(np.arange(OTHER + 1) == OTHER, 0.0, REFUSED)).copy()
         for k, name in enumerate(KINDS):
             if (name == "email") != ("@" in m.key):
-                w[k] = -50.0
+                w[k] = NEVER
         return w
 
     def beliefs(self, nodes: list[Mention]) -> np.ndarray:
