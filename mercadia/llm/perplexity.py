@@ -25,10 +25,14 @@ from mercadia.llm.common import give_back, slices, small_batches
 from mercadia.session import cut_lineage
 
 ORDER = 5
-#: Entries of a model at most: beyond, n-grams of order 3 and more below a count are left to back off.
-MODEL_ENTRIES = 2_000_000
-#: Distinct words that a counting task gathers, and words that a scoring worker remembers.
-COUNT_WORDS, MEMO_WORDS = 150_000, 250_000
+#: Entries of a part of the model that is broadcast at a time (12 bytes each); a larger model is scored in
+#: several passes, one for each part.
+PART_ENTRIES = 2_000_000
+#: Distinct words that a counting task gathers, symbols of words that it looks at together, n-grams
+#: that it holds before it gives them out; words that a scoring worker remembers.
+COUNT_WORDS, COUNT_SYMBOLS, HELD_GRAMS, MEMO_WORDS = 150_000, 1 << 20, 3_000_000, 250_000
+#: Languages whose few figures are broadcast; more are shuffled.
+FEW_LANGUAGES = 10_000
 #: A bound lies this many times as far from a language's median log-perplexity as its
 #: quartile on that side.
 LOWER_SPREAD, UPPER_SPREAD = 8.0, 8.0
@@ -110,7 +114,27 @@ class GramCounts:
         self.lang, self.order = lang, order
         self.held = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, k), np.uint32)) for k in range(1, order + 1)]
 
-    def add(self, words: Counter) -> None:
+    @property
+    def size(self) -> int:
+        return sum(len(keys) for keys, _, _ in self.held)
+
+    def add(self, words: Counter):
+        """Count words, and give out the n-grams held whenever they are too many."""
+        own: Counter = Counter()
+        size = 0
+        for w, n in words.items():
+            own[w] = n
+            size += len(w)
+            if size >= COUNT_SYMBOLS:
+                self._add(own)
+                own, size = Counter(), 0
+                if self.size >= HELD_GRAMS:
+                    yield from self.rows()
+                    self.__init__(self.lang, self.order)
+        if own:
+            self._add(own)
+
+    def _add(self, words: Counter) -> None:
         grams = WordGrams(list(words), self.lang, 1)
         raw = grams.raw[1]
         weight = np.fromiter(words.values(), np.int64, len(words))
@@ -145,10 +169,10 @@ def count_grams(docs: DataFrame, order: int) -> DataFrame:
                 own = words.setdefault(lang, Counter())
                 own.update(text.encode().split())
                 if len(own) >= COUNT_WORDS:
-                    grams.setdefault(lang, GramCounts(lang, order)).add(words.pop(lang))
+                    yield from grams.setdefault(lang, GramCounts(lang, order)).add(words.pop(lang))
         for lang, own in words.items():
             if own:
-                grams.setdefault(lang, GramCounts(lang, order)).add(own)
+                yield from grams.setdefault(lang, GramCounts(lang, order)).add(own)
         for g in grams.values():
             yield from g.rows()
 
@@ -156,21 +180,21 @@ def count_grams(docs: DataFrame, order: int) -> DataFrame:
             .groupBy("lang", "gram").agg(F.sum("raw").alias("raw")))
 
 
-def kneser_ney(grams: DataFrame, order: int, max_entries: int = MODEL_ENTRIES) -> DataFrame:
+def _few(by_language: DataFrame, name: str) -> DataFrame:
+    """Some rows for each language, written once; for broadcast if the languages are few, as they should be."""
+    by_language = cut_lineage(by_language, name)
+    return F.broadcast(by_language) if by_language.count() <= FEW_LANGUAGES * 5 else by_language
+
+
+def kneser_ney(grams: DataFrame, order: int) -> DataFrame:
     """(lang, gram, back, value): natural logarithm of each n-gram's probability and, with
     ``back``, of its back-off weight as a context.
 
     Orders below the highest count in how many ways an n-gram continues (what stands
     before it), except those that open a word. Discounts come from the counts of
-    counts of each language and order. Where there are more than ``max_entries``
-    n-grams, those of order 3 and more with the lowest counts are left out, and
-    their mass goes to the back-off.
+    counts of each language and order. All n-grams stay, however many.
     """
     grams = grams.select("lang", "gram", "raw", F.char_length("gram").alias("n"))
-    steps = [1 << i for i in range(40)]
-    sizes = grams.agg(*[F.count(F.when((F.col("n") < 3) | (F.col("raw") >= s), 1)).alias(f"s{s}") for s in steps]).first()
-    least = next((s for s in steps if sizes[f"s{s}"] <= max_entries), steps[-1])
-
     tail = lambda c: F.substring(c, 2, order)
     ways = grams.where("n > 1").groupBy("lang", tail("gram").alias("gram")).agg(F.count(F.lit(1)).alias("ways"))
     opens = F.col("gram").startswith(MARKS[0])
@@ -182,9 +206,9 @@ def kneser_ney(grams: DataFrame, order: int, max_entries: int = MODEL_ENTRIES) -
     y = F.coalesce(F.col("n1") / F.nullif(F.col("n1") + 2 * F.col("n2"), F.lit(0.0)), F.lit(0.0))
     discount = lambda k: F.least(F.lit(0.95 * k), F.greatest(F.lit(0.05), F.coalesce(
         k - (k + 1) * y * F.col(f"n{k + 1}") / F.nullif(F.col(f"n{k}"), F.lit(0.0)), F.lit(0.5 * k)))).alias(f"d{k}")
-    d = n.select("lang", "n", *[discount(k) for k in (1, 2, 3)])
+    d = _few(n.select("lang", "n", *[discount(k) for k in (1, 2, 3)]), "discounts")
     total = c.groupBy("lang", "n", "context").agg(F.sum("c").alias("total"))
-    kept = (c.where((F.col("n") < 3) | (F.col("raw") >= least)).join(total, ["lang", "n", "context"])
+    kept = (c.join(total, ["lang", "n", "context"])
             .join(d, ["lang", "n"])
             .withColumn("own", (F.col("c") - F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2"))
                                 .otherwise(F.col("d3"))) / F.col("total")))
@@ -208,11 +232,44 @@ def kneser_ney(grams: DataFrame, order: int, max_entries: int = MODEL_ENTRIES) -
     return reduce(DataFrame.unionByName, out)
 
 
+def _before() -> F.Column:
+    """The symbol before the predicted one that an entry is looked up for: the second last of an n-gram,
+    the last of a context; none ('') of single symbols and of the empty context."""
+    n = F.char_length("gram")
+    return F.when(F.col("back"), F.substring("gram", -1, 1)).otherwise(F.when(n > 1, F.expr("substring(gram, -2, 1)")).otherwise(F.lit("")))
+
+
+def model_parts(model: DataFrame, entries: int) -> list[dict[tuple[str, str], int]]:
+    """The parts of a model: (language, symbol) pairs whose entries are looked up after that symbol,
+    with ``entries`` of them together at most, or one pair with more. All that predicts one
+    symbol of a text depends on the symbol before it, so a text's loss is the sum of
+    what the parts make of it. The pairs are bounded by the letters of the languages."""
+    sizes = {(r["lang"], r["before"]): r["count"] for r in model.groupBy("lang", _before().alias("before")).count().collect()}
+    parts: list[dict[tuple[str, str], int]] = [{}]
+    room = entries
+    for pair, n in sorted(sizes.items()):
+        if pair[1] == "":
+            continue
+        if n > room and parts[-1]:
+            parts.append({})
+            room = entries
+        parts[-1][pair] = n
+        room -= n
+    return parts
+
+
 class HashModel:
-    """The model's keys, sorted, and their values."""
+    """The model's keys, sorted, and their values; with ``pairs``, a part of it, which scores only
+    what follows these (language, symbol) pairs."""
 
-    def __init__(self, model: pa.Table, order: int):
+    def __init__(self, model: pa.Table, order: int, pairs: dict[tuple[str, str], int] | None = None):
         """Of the rows of ``kneser_ney``. A context's key is the complement of its hash."""
+        self.after: dict[str, np.ndarray] | None = None
+        if pairs is not None:
+            own: dict[str, list[int]] = {}
+            for lang, symbol in pairs:
+                own.setdefault(lang, []).append(ord(symbol))
+            self.after = {lang: np.array(codes, np.uint32) for lang, codes in own.items()}
         keys, values = [np.zeros(0, np.int64)], [np.zeros(0)]
         size = pc.utf8_length(model["gram"])
         for lang in pc.unique(model["lang"]).to_pylist():
@@ -237,6 +294,8 @@ class HashModel:
         """Log-probability of each word, its closing mark included."""
         grams = WordGrams(words, lang, self.order)
         open_at = grams.ends(1)
+        if self.after is not None:
+            open_at = open_at[np.isin(grams.symbols[open_at - 1], self.after.get(lang, np.zeros(0, np.uint32)))]
         total = np.zeros(len(grams.place))
         for k in range(self.order, 0, -1):
             now = open_at if k == 1 else open_at[grams.place[open_at] >= k - 1]
@@ -271,7 +330,7 @@ def base_counts(text: str) -> tuple[int, int, int, int, int]:
 
 def perplexity_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
                        order: int = ORDER, lower_spread: float = LOWER_SPREAD, upper_spread: float = UPPER_SPREAD,
-                       max_entries: int = MODEL_ENTRIES) -> DataFrame:
+                       part_entries: int = PART_ENTRIES) -> DataFrame:
     """One row per document: doc_id, lang, text_crc32, n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, base_failed, log_perplexity (double, null without words), lower,
     upper (its language's bounds), kept.
@@ -284,53 +343,71 @@ def perplexity_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     Cases: a null or empty text has no words and fails; a null language is a
     language of its own; very long texts are scored whole; repeated rows each count
     and each get a row; an empty table gives none; other columns are left behind.
-    Two passes over the texts; runs jobs for the counts and the scores, whose tables
-    are written to the shared folder. The model, ``max_entries`` entries at most, is
-    all that is broadcast.
+    The model grows with the corpus and is a table in the shared folder. Of it, parts of about
+    ``part_entries`` entries are broadcast, one after the other: one pass over the texts
+    counts, and one scores for each part. Parts add up exactly; with one part, which does for
+    most alphabets, there are two passes.
     """
     spark = docs.sparkSession
     small_batches(spark)
     d = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"),
                     F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
                     F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).isNull().alias("no_lang"))
-    d = d.withColumn("text_crc32", F.crc32(F.col("text").cast("binary")))
+    d = d.withColumn("text_crc32", F.crc32(F.col("text").cast("binary"))).withColumn("_hash", F.xxhash64(F.col("text").cast("binary")))
     grams = cut_lineage(count_grams(d, order), "gram_counts")
-    held = spark.sparkContext.broadcast(HashModel(kneser_ney(grams, order, max_entries).toArrow(), order))
-
-    give_back()
-    own = ["doc_id", "lang", "no_lang", "text_crc32"]
-
-    def score(batches):
-        lm, memo = held.value, {}
-        for part in slices(batches):
-            langs, texts = part.column(0).to_pylist(), part.column(1).to_pylist()
-            words = [t.encode().split() for t in texts]
-            by_lang: dict[str, set] = {}
-            for lang, w in zip(langs, words, strict=True):
-                by_lang.setdefault(lang, set()).update(w)
-            if sum(map(len, memo.values())) > MEMO_WORDS:
-                memo = {}
-            for lang, seen in by_lang.items():
-                known = memo.setdefault(lang, {})
-                unseen = [w for w in seen if w not in known]
-                if unseen:
-                    known.update(zip(unseen, lm.score(unseen, lang).tolist(), strict=True))
-            rows = [base_counts(t) for t in texts]
-            loss = [-sum(map(memo[lang].__getitem__, w)) / (r[1] + r[0]) if w else None
-                    for lang, w, r in zip(langs, words, rows, strict=True)]
-            base = np.array(rows, np.int64).reshape(-1, 5).T
-            yield pa.RecordBatch.from_arrays(
-                [*(part.column(c) for c in own), *map(pa.array, base), pa.array(loss, pa.float64())], [*own, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "log_perplexity"])
-
-    scored = d.mapInArrow(score, "doc_id long, lang string, no_lang boolean, text_crc32 long, n_words long, word_chars long, n_symbols long, "
-                                 "n_dup_lines long, n_repeat_words long, log_perplexity double")
+    model = cut_lineage(kneser_ney(grams, order), "model")
+    parts = model_parts(model, part_entries)
+    own = ["doc_id", "lang", "no_lang", "text_crc32", "_hash"]
+    text_key = ["lang", "text_crc32", "_hash"]
+
+    def scorer(part: dict[tuple[str, str], int] | None, with_counts: bool):
+        rows = model
+        if part is not None:
+            pairs = spark.createDataFrame(list(part), "lang string, _before string")
+            rows = model.withColumn("_before", _before())
+            rows = rows.where("_before = ''").unionByName(rows.join(F.broadcast(pairs), ["lang", "_before"]).select(*rows.columns)).drop("_before")
+        held = spark.sparkContext.broadcast(HashModel(rows.toArrow(), order, part))
+        give_back()
+
+        def score(batches):
+            lm, memo = held.value, {}
+            for part in slices(batches):
+                langs, texts = part.column("lang").to_pylist(), part.column("text").to_pylist()
+                words = [t.encode().split() for t in texts]
+                by_lang: dict[str, set] = {}
+                for lang, w in zip(langs, words, strict=True):
+                    by_lang.setdefault(lang, set()).update(w)
+                if sum(map(len, memo.values())) > MEMO_WORDS:
+                    memo = {}
+                for lang, seen in by_lang.items():
+                    known = memo.setdefault(lang, {})
+                    unseen = [w for w in seen if w not in known]
+                    if unseen:
+                        known.update(zip(unseen, lm.score(unseen, lang).tolist(), strict=True))
+                loss = pa.array([-sum(map(memo[lang].__getitem__, w)) for lang, w in zip(langs, words, strict=True)], pa.float64())
+                if with_counts:
+                    base = np.array([base_counts(t) for t in texts], np.int64).reshape(-1, 5).T
+                    yield pa.RecordBatch.from_arrays([*(part.column(c) for c in own), *map(pa.array, base), loss],
+                                                     [*own, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "_loss"])
+                else:
+                    yield pa.RecordBatch.from_arrays([*(part.column(c) for c in text_key), loss], [*text_key, "_loss"])
+        return score
+
+    scored = d.mapInArrow(scorer(parts[0] if len(parts) > 1 else None, True), "doc_id long, lang string, no_lang boolean, text_crc32 long, _hash long, "
+                          "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, _loss double")
+    for part in parts[1:]:
+        # rows of one text and language have one loss
+        loss = (d.mapInArrow(scorer(part, False), "lang string, text_crc32 long, _hash long, _loss double")
+                .groupBy(*text_key).agg(F.first("_loss").alias("_more")))
+        scored = cut_lineage(scored, "losses").join(cut_lineage(loss, "losses"), text_key).withColumn("_loss", F.col("_loss") + F.col("_more")).drop("_more")
+    scored = scored.withColumn("log_perplexity", F.when(F.col("n_words") > 0, F.col("_loss") / (F.col("word_chars") + F.col("n_words")))).drop("_loss", "_hash")
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words"))
     scored = cut_lineage(scored.withColumn("base_failed", failed), "perplexity")
     q = (scored.where(~F.col("base_failed")).groupBy("lang")
          .agg(F.percentile_approx("log_perplexity", [0.25, 0.5, 0.75], 10_000).alias("q")))
     median, off = F.col("q")[1], lambda side: F.abs(F.col("q")[1] - F.col("q")[side])
-    bands = q.select("lang", (median - F.greatest(F.lit(LOWER_WIDTH), lower_spread * off(0))).alias("lower"),
-                     (median + F.greatest(F.lit(UPPER_WIDTH), upper_spread * off(2))).alias("upper"))
+    bands = _few(q.select("lang", (median - F.greatest(F.lit(LOWER_WIDTH), lower_spread * off(0))).alias("lower"),
+                     (median + F.greatest(F.lit(UPPER_WIDTH), upper_spread * off(2))).alias("upper")), "bands")
     within = F.col("log_perplexity").between(F.col("lower"), F.col("upper"))
     return (scored.join(bands, "lang", "left")
             .select("doc_id", F.when(~F.col("no_lang"), F.col("lang")).alias("lang"), "text_crc32", "n_words", "word_chars", "n_symbols",

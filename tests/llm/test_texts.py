@@ -403,12 +403,37 @@ def test_quality_rejects_noise_and_keeps_text(docs_of):
 
 def test_counts_of_marked_and_odd_characters():
     g = GramCounts("en", 3)
-    g.add(Counter({b"ab": 2, "é\x00\x02".encode(): 1}))
-    g.add(Counter({b"ab": 1, b"b": 4}))
+    assert list(g.add(Counter({b"ab": 2, "é\x00\x02".encode(): 1}))) == list(g.add(Counter({b"ab": 1, b"b": 4}))) == []
     rows = {r["gram"]: r["raw"] for b in g.rows() for r in b.to_pylist()}
     assert rows["\x02ab"] == 3 and rows["b\x03"] == 7 and rows["\x02é�"] == 1 and rows["\x03"] == 8
 
 
+def test_counts_are_held_to_a_bound(monkeypatch):
+    """A long text without spaces is one word; its n-grams are given out in parts that add up."""
+    from mercadia.llm import perplexity
+    rnd = random.Random(11)
+    words = Counter({"".join(chr(rnd.randint(0x4e00, 0x5000)) for _ in range(rnd.randint(1, 300))).encode(): rnd.randint(1, 3) for _ in range(60)})
+    totals = []
+    for symbols, held in ((1 << 20, 3_000_000), (500, 2000)):
+        monkeypatch.setattr(perplexity, "COUNT_SYMBOLS", symbols)
+        monkeypatch.setattr(perplexity, "HELD_GRAMS", held)
+        g, total = GramCounts("zh", 4), Counter()
+        batches = [*g.add(words), *g.rows()]
+        for b in batches:
+            total.update({r["gram"]: r["raw"] for r in b.to_pylist()})
+        totals.append(total)
+        assert len(batches) > 4 or held > 2000
+    assert totals[0] == totals[1]
+
+
+def test_parts_of_a_model_score_as_the_whole(small_docs):
+    df, _ = small_docs
+    df = df.union(df.where("doc_id % 7 = 0")).withColumn("lang", F.when(F.col("doc_id") % 11 != 0, F.col("lang")))
+    rows = lambda **k: sorted((tuple(r) for r in perplexity_quality(df, **k).select(
+        "doc_id", "lang", "text_crc32", "n_words", "n_repeat_words", "base_failed", F.round("log_perplexity", 4), "kept").collect()), key=str)
+    assert rows(part_entries=15_000) == rows()
+
+
 def test_kinds_are_in_order():
     assert pii_crf.KINDS == ("email", "ip", "card", "phone")
 
