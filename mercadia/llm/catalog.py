@@ -27,39 +27,48 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def op1_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best inner products of every twentieth vector with all others."""
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return top_k_inner_product(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
 
 
 def op2_skip_chain_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: rule spans and those that the random field adds."""
     return personal_data(table(spark, sf_dir, "documents"))
 
 
 def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that a 100-byte string with an earlier place covers."""
     return dedup_digests(table(spark, sf_dir, "documents"), length=100)
 
 
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token pieces of all documents in sequences of 2048."""
     return pack_documents(table(spark, sf_dir, "documents"), BYTE_BPE, capacity=2048)
 
 
 def op5_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's ids, and of the text decoded from them."""
     return encoding_digests(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, and whether they are more than 512."""
     return count_tokens(table(spark, sf_dir, "documents"), BYTE_BPE, limit=512)
 
 
 def op7_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation as each of its speakers sees it."""
     return rotate_perspectives(table(spark, sf_dir, "conversations"))
 
 
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of 4-word shingles have a Jaccard similarity of 0.85 or more."""
     return jaccard_components(table(spark, sf_dir, "documents"), words=4, percent=85)
 
 
 def op9_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards 0 to 15 of all documents by key, and with one shard more."""
     text = F.col("text").cast("binary")
     docs = table(spark, sf_dir, "documents").select(
         "doc_id", (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"),
@@ -69,6 +78,7 @@ def op9_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_perplexity_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and the perplexity verdict of every document."""
     return perplexity_quality(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "log_perplexity")
 
