@@ -1,7 +1,7 @@
 """BPE encoding by backtracking over longest matches, decoding by an offset table.
 
-An Aho-Corasick automaton over the reversed tokens gives, in one scan, the
-tokens that start at each position, longest first. The encoder appends the
+An Aho-Corasick automaton gives the longest token that starts at a position, and a
+table the next shorter one that the same bytes start with. The encoder appends the
 longest token that is compatible with the one before, falls back to the next
 shorter token, and steps back where none fits; positions known to lead nowhere
 are marked, so each is tried once. Two tokens are compatible if merging their
@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
-import itertools
+from array import array
 from collections.abc import Iterator
 
 import ahocorasick
@@ -22,10 +22,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from mercadia.llm.common import id_text, slices
-from mercadia.llm.vocabulary import Memo, Vocabulary, memo_of_units, vocabulary
+from mercadia.llm.vocabulary import Memo, Vocabulary, vocabulary
 
-#: Pre-tokens, and units of text, whose ids a worker keeps, and pairs whose compatibility it keeps.
-MEMO_ENTRIES, PAIR_ENTRIES = 200_000, 1_000_000
+#: Units of text, and pre-tokens of units with several, whose ids a worker keeps, and pairs whose answer it keeps.
+MEMO_ENTRIES, PAIR_ENTRIES = 300_000, 1_000_000
+#: Characters that the automaton scans to the end; of longer texts it gets what a token can reach.
+SHORT = 64
 
 
 class Encoder:
@@ -38,11 +40,20 @@ class Encoder:
             self.rank[a, b] = r
             if c not in self.made:
                 self.made[c], self.halves[c] = r, (a, b)
-        self.compatible: dict[tuple[int, int], bool] = {}
+        self.compatible: dict[int, bool] = {}  # of two ids in one number
+        # left id -> {id: the longest token, of it and the shorter ones, that fits after left}
+        self.fitting: dict[int, dict[int, int]] = {}
+        self.answers = 0
+        self.known: dict[str, tuple[int, ...]] = {}
+        self.decimal = [f"{i}," for i in range(len(voc.token_bytes))]
+        self.size = [len(b) for b in voc.token_bytes]
+        self.most = max(map(len, voc.ids), default=1)
+        self.shorter = [-1] * len(self.size)  # id -> the longest token that the id's bytes start with, but for itself
         self.automaton = ahocorasick.Automaton()
         for b, i in voc.ids.items():
             if b:
-                self.automaton.add_word(b[::-1].decode("latin-1"), (len(b), i))
+                self.automaton.add_word(b.decode("latin-1"), i)
+                self.shorter[i] = next((voc.ids[b[:k]] for k in range(len(b) - 1, 0, -1) if b[:k] in voc.ids), -1)
         self.automaton.make_automaton()
 
     def pair_fits(self, left: int, right: int) -> bool:
@@ -53,10 +64,6 @@ class Encoder:
         undone would have come first and removed the boundary. Of two merges of one
         rank (equal tokens on both sides), the left one is applied first.
         """
-        known = self.compatible.get((left, right))
-        if known is not None:
-            return known
-        key = left, right
         # merges across the boundary that come before this moment (rank, side) break it
         limit, fits = (len(self.voc.merges), 0), None
         while fits is None:
@@ -71,39 +78,98 @@ class Encoder:
                 limit, left = (undo_left, 0), self.halves[left][1]
             else:
                 limit, right = (undo_right, 1), self.halves[right][0]
-        if len(self.compatible) >= PAIR_ENTRIES:
-            self.compatible.clear()
-        self.compatible[key] = fits
         return fits
 
+    def _fitting(self, left: int, token: int) -> int:
+        """Of a token and the shorter ones it starts with, the longest that fits after ``left``; -1 if none."""
+        first = token
+        compatible, base = self.compatible, left << 32
+        while token >= 0:
+            fits = compatible.get(base + token)
+            if fits is None:
+                fits = compatible[base + token] = self.pair_fits(left, token)
+            if fits:
+                break
+            token = self.shorter[token]
+        if self.answers >= PAIR_ENTRIES or len(compatible) >= PAIR_ENTRIES:
+            self.fitting.clear()
+            compatible.clear()
+            self.answers = 0
+        self.answers += 1
+        self.fitting.setdefault(left, {})[first] = token
+        return token
+
+    def _longest(self, text: str, at: int, ahead: dict[int, int]) -> int:
+        """The longest token that starts at a place. ``ahead`` keeps those that follow one another
+        from there on, which the automaton finds in the same scan, of short texts."""
+        size = self.size
+        if len(text) > SHORT:
+            last, token = next(self.automaton.iter_long(text[at:at + self.most]), (-1, 0))
+            if last + 1 != size[token]:
+                raise ValueError("no encoding: the vocabulary lacks a byte")
+            return token
+        for last, token in self.automaton.iter_long(text, at):
+            place = last + 1 - size[token]
+            if place in ahead:
+                break
+            ahead[place] = token
+        if at not in ahead:
+            raise ValueError("no encoding: the vocabulary lacks a byte")
+        return ahead[at]
+
     def encode_bytes(self, data: bytes) -> list[int]:
-        n = len(data)
-        starts: list[list[tuple[int, int]]] = [[] for _ in range(n)]
-        for end, (size, token) in self.automaton.iter(data[::-1].decode("latin-1")):
-            starts[n - 1 - end].append((size, token))  # longest first
-        at, out, tried, dead = 0, [], [0] * n, bytearray(n + 1)
+        """Ids of a pre-token's bytes."""
+        whole = self.voc.ids.get(data)
+        if whole is not None:
+            return [whole]
+        text, n = data.decode("latin-1"), len(data)
+        fitting, size, shorter, longest = self.fitting, self.size, self.shorter, self._longest
+        out: list[int] = []
+        dead = bytearray(n + 1)
+        at, left, ahead = 0, -1, {}
+        token = longest(text, 0, ahead) if n else -1
         while at < n:
-            choices, i = starts[at], tried[at]
-            while i < len(choices):
-                size, token = choices[i]
-                i += 1
-                if not dead[at + size] and (not out or self.pair_fits(out[-1][1], token)):
-                    tried[at] = i
-                    out.append((size, token))
-                    at += size
-                    if at < n:
-                        tried[at] = 0
+            while token >= 0:
+                if left >= 0:
+                    fit = fitting[left].get(token) if left in fitting else None
+                    token = self._fitting(left, token) if fit is None else fit
+                    if token < 0:
+                        break
+                if not dead[at + size[token]]:
                     break
-            else:
+                token = shorter[token]
+            if token < 0:
                 dead[at] = 1
                 if not out:
-                    raise ValueError("no encoding: the vocabulary lacks a byte")
-                at -= out.pop()[0]
-        return [token for _, token in out]
-
-    def encode_pretokens(self, pretokens: list[str]) -> Iterator[tuple[int, ...]]:
-        for p in pretokens:
-            yield (self.voc.specials[p],) if p in self.voc.specials else tuple(self.encode_bytes(p.encode()))
+                    raise ValueError("no encoding")
+                last = out.pop()
+                at, left, token = at - size[last], out[-1] if out else -1, shorter[last]
+                continue
+            out.append(token)
+            at, left = at + size[token], token
+            if at < n:
+                token = ahead.get(at, -1)
+                if token < 0:
+                    token = longest(text, at, ahead)
+        return out
+
+    def encode_units(self, units: list) -> Iterator[tuple[bytes, str]]:
+        """Of each unit of a text (as ``Vocabulary.units`` cuts it): its ids as packed 32-bit
+        numbers, and as decimals with a comma after each."""
+        voc, known = self.voc, self.known
+        for unit in units:
+            if isinstance(unit, str) and unit.isascii() and unit.isalpha():  # a word, one pre-token
+                ids = self.encode_bytes(b" " + unit.encode())
+            else:
+                ids = []
+                for p in voc.unit_pretokens(unit):
+                    own = known.get(p)
+                    if own is None:
+                        if len(known) >= MEMO_ENTRIES:
+                            known.clear()
+                        own = known[p] = (voc.specials[p],) if p in voc.specials else tuple(self.encode_bytes(p.encode()))
+                    ids += own
+            yield array("i", ids).tobytes(), "".join(map(self.decimal.__getitem__, ids))
 
 
 class Decoder:
@@ -128,8 +194,7 @@ class Decoder:
 def coder(path: str) -> tuple[Vocabulary, Memo, Decoder]:
     """Automaton, tables and memo of a vocabulary, built once in each Python worker."""
     voc = vocabulary(path)
-    of_pretokens = Memo(Encoder(voc).encode_pretokens, MEMO_ENTRIES)
-    return voc, memo_of_units(voc, of_pretokens, lambda ids: tuple(itertools.chain.from_iterable(ids)), MEMO_ENTRIES), Decoder(voc)
+    return voc, Memo(Encoder(voc).encode_units, MEMO_ENTRIES), Decoder(voc)
 
 
 def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -146,7 +211,7 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
         for part in slices(batches):
             split = [voc.units(t) for t in part.column(1).to_pylist()]
             memo.cover(split)
-            ids = [np.fromiter(itertools.chain.from_iterable(map(memo.__getitem__, s)), np.int32) for s in split]
+            ids = [np.frombuffer(b"".join([memo[u][0] for u in s]), "i4") for s in split]
             offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
             values = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32), pa.int32())
             yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(pa.array(offsets), values)], ["doc_id", "ids"])
@@ -168,16 +233,16 @@ def encoding_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
     again in one pass; ids as decimals joined by commas. Cases as in encode_documents."""
     def digest(batches):
         voc, memo, dec = coder(path)
-        decimal = [str(i) for i in range(len(voc.token_bytes))]
         for part in slices(batches):
             split = [voc.units(t) for t in part.column(1).to_pylist()]
             memo.cover(split)
             n, ids_hex, text_hex = [], [], []
             for s in split:
-                ids = list(itertools.chain.from_iterable(map(memo.__getitem__, s)))
+                coded = [memo[u] for u in s]
+                ids = np.frombuffer(b"".join([c[0] for c in coded]), "i4")
                 n.append(len(ids))
-                ids_hex.append(hashlib.sha256(",".join(map(decimal.__getitem__, ids)).encode()).hexdigest())
-                text_hex.append(hashlib.sha256(dec.decode(np.array(ids, np.int64)).encode()).hexdigest())
+                ids_hex.append(hashlib.sha256("".join([c[1] for c in coded])[:-1].encode()).hexdigest())
+                text_hex.append(hashlib.sha256(dec.decode(ids).encode()).hexdigest())
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(ids_hex, pa.string()),
                                               pa.array(text_hex, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
     return id_text(docs, id_col, text_col).mapInArrow(digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -111,6 +111,8 @@ class Vocabulary:
 
     def unit_pretokens(self, unit: str | tuple[str]) -> list[str]:
         text = self.unit_text(unit)
+        if text[1:].isalpha() and text[0] == " " and text.isascii():  # the common case: one word
+            return [text]
         return [text] if text in self.specials else self._splitter(text)(text)
 
 
@@ -121,20 +123,25 @@ def vocabulary(path: str) -> Vocabulary:
 
 
 class Memo(dict):
-    """Results by unit or pre-token, of bounded size: what the last slice used is kept when it is full."""
+    """Results by unit or pre-token, of bounded size: when it is full, it becomes the older half, and
+    what is used again comes back from there; twice ``entries`` are held at most."""
 
     def __init__(self, fill: Callable[[list], Iterable], entries: int):
         super().__init__()
-        self.fill, self.entries = fill, entries
+        self.fill, self.entries, self.older = fill, entries, {}
 
     def cover(self, texts: Iterable[list]) -> None:
         """Make sure that everything in a slice of cut texts has its result."""
         seen = set().union(*texts)
         unseen = [p for p in seen if p not in self]
         if len(self) + len(unseen) > self.entries:
-            kept = {p: self[p] for p in seen if p in self}
+            self.older = dict(self)
             self.clear()
-            self.update(kept)
+            unseen = list(seen)
+        if self.older:
+            older = self.older
+            self.update([(p, older[p]) for p in unseen if p in older])
+            unseen = [p for p in unseen if p not in older]
         if unseen:
             self.update(zip(unseen, self.fill(unseen), strict=True))
 
