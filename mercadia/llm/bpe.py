@@ -26,6 +26,8 @@ from mercadia.llm.vocabulary import Memo, Vocabulary, vocabulary
 
 #: Units of text, and pre-tokens of units with several, whose ids a worker keeps, and pairs whose answer it keeps.
 MEMO_ENTRIES, PAIR_ENTRIES = 300_000, 1_000_000
+#: Letters below this are letters in every version of Unicode that matters.
+LATIN_END = "\u0250"
 #: Characters that the automaton scans to the end; of longer texts it gets what a token can reach.
 SHORT = 64
 
@@ -46,6 +48,7 @@ class Encoder:
         self.answers = 0
         self.known: dict[str, tuple[int, ...]] = {}
         self.decimal = [f"{i}," for i in range(len(voc.token_bytes))]
+        self.marks = {c: voc.ids[c.encode()] for c in ",.;:!?"}
         self.size = [len(b) for b in voc.token_bytes]
         self.most = max(map(len, voc.ids), default=1)
         self.shorter = [-1] * len(self.size)  # id -> the longest token that the id's bytes start with, but for itself
@@ -158,8 +161,13 @@ class Encoder:
         numbers, and as decimals with a comma after each."""
         voc, known = self.voc, self.known
         for unit in units:
-            if isinstance(unit, str) and unit.isascii() and unit.isalpha():  # a word, one pre-token
-                ids = self.encode_bytes(b" " + unit.encode())
+            word, mark = unit, None
+            if isinstance(unit, str) and unit[-1:] in self.marks:  # a pre-token of its own after a word
+                word, mark = unit[:-1], self.marks[unit[-1]]
+            if isinstance(word, str) and word.isalpha() and (word.isascii() or max(word) < LATIN_END):  # a word, one pre-token
+                ids = self.encode_bytes(b" " + word.encode())
+                if mark is not None:
+                    ids.append(mark)
             else:
                 ids = []
                 for p in voc.unit_pretokens(unit):
