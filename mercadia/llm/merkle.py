@@ -200,7 +200,8 @@ def merkle_manifest(docs: DataFrame, columns: tuple[str, ...] = COLUMNS, id_col:
     group = F.coalesce(F.concat(F.lit("="), F.col(group_col).cast("string")), F.lit(""))
     leaves = docs.select(group.alias("key"), F.col(id_col).alias("id"), leaf(text).alias("digest"),
                          F.when(changed, leaf(F.translate(text, upper, upper.lower()))).alias("other"))
-    nodes = cut_lineage(_in_order(leaves, ["id", "digest"], "merkle_leaves"), "merkle_nodes")
+    # written before they are sorted: a sort by ranges reads its input twice, and that would be all texts
+    nodes = cut_lineage(_in_order(cut_lineage(leaves, "merkle_digests"), ["id", "digest"], "merkle_leaves"), "merkle_nodes")
     trees = _paths(cut_lineage(_roots(nodes), "merkle_roots"))
     subroots = trees.where("pos = 0").select(F.lit("").alias("key"), F.col("key").alias("group"), F.col("top").alias("digest"))
     ranked = cut_lineage(_in_order(subroots, ["group"], "merkle_groups"), "merkle_subroots")
