@@ -131,3 +131,35 @@ def test_hot_order_join_is_split_by_adaptive_execution(spark, tmp_dir):
             spark.conf.set(k, v)
     assert "SortMergeJoin(skew=true)" in plan
     assert got == expected
+
+
+def test_order_dataset_groups_orders_before_they_meet_categories(spark):
+    """After the join with categories nothing is grouped by all columns of the orders: rows of
+    (order, category) are too many for one task's hash map."""
+    plan = E.queries()["ds_order_enriched"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    keys = [ln.split("Aggregate [", 1)[1].split("]", 1)[0] for ln in plan.splitlines() if "Aggregate [" in ln]
+    assert any("customer_city" in k for k in keys)
+    assert not any("customer_city" in k and "category" in k for k in keys)
+
+
+def test_partitions_after_a_shuffle_are_small(spark):
+    from mercadia.session import configure
+    assert configure(spark).conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16MB"
+
+
+def test_repeated_order_rows_count_each(spark):
+    from datetime import datetime as dt
+
+    from mercadia.plans import dashboards as db
+    from tests.conftest import make
+    o = make(spark, "orders", [{"order_id": "1", "customer_id": "c", "order_status": "delivered", "order_purchase_timestamp": dt(2017, 1, 1)}] * 2)
+    c = make(spark, "customers", [{"customer_id": "c", "customer_unique_id": "u"}])
+    i = make(spark, "order_items", [{"order_id": "1", "order_item_id": j, "product_id": "p", "price": 1.5, "freight_value": 0.25} for j in (1, 2)])
+    pr = make(spark, "products", [{"product_id": "p", "product_category_name": "cama"}])
+    t = make(spark, "product_category_name_translation", [{"product_category_name": "cama", "product_category_name_english": "bed"}])
+    p = make(spark, "order_payments", [{"order_id": "1", "payment_sequential": j, "payment_type": "boleto", "payment_value": 2.0} for j in (1, 2, 3)])
+    r = make(spark, "order_reviews", [{"order_id": "1", "review_id": f"r{s}", "review_score": s} for s in (2, 3)])
+    row = db.ds_order_enriched(o, c, i, pr, t, p, r).collect()
+    assert len(row) == 1  # 2 order rows, 2 items, 3 payments, 2 reviews
+    assert [float(row[0][k]) for k in ("items_revenue", "freight_revenue", "total_payment", "boleto_payment", "avg_review_score")] == [36, 6, 48, 48, 2.5]
+    assert row[0].credit_card_payment is None
