@@ -13,6 +13,7 @@ refresh that was cut short leaves months without a mark, and the next one does t
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +27,8 @@ from .marts import monthly_base, monthly_windows
 #: The partition of orders without a purchase time.
 NO_MONTH = "none"
 MONTH = "purchase_month"
+#: Input rows of the changed months up to which the ids of their orders are broadcast; more are shuffled.
+BROADCAST_ROWS = 4_000_000
 
 
 def _month_of(ts) -> F.Column:
@@ -33,8 +36,16 @@ def _month_of(ts) -> F.Column:
 
 
 def _hashed(df: DataFrame, source: str, order: F.Column) -> DataFrame:
-    """``order_id, h``: each row's hash, as a number that adds up without overflow."""
-    return df.select(order.alias("order_id"), F.xxhash64(F.lit(source), *df.columns).cast("decimal(38,0)").alias("h"))
+    """``order_id, high, low``: each row's hash, in two halves that add up as longs without overflow."""
+    return (df.select(order.alias("order_id"), F.xxhash64(F.lit(source), *df.columns).alias("h"))
+            .select("order_id", F.shiftright("h", 32).alias("high"), F.col("h").bitwiseAND(0xFFFFFFFF).alias("low")))
+
+
+def _added_up(hashed: DataFrame, key: str, out: str, n: str) -> DataFrame:
+    """``key, out, n``: the sum of the hashes of each key's rows (a key has less than 2**31), and their number."""
+    sums = hashed.groupBy(key).agg(F.sum("high").alias("high"), F.sum("low").alias("low"), F.count(F.lit(1)).alias(n))
+    whole = F.col("high").cast("decimal(19,0)") * F.lit(Decimal(1 << 32)) + F.col("low").cast("decimal(19,0)")
+    return sums.select(key, whole.cast("decimal(38,0)").alias(out), n)
 
 
 def fingerprints(src: dict[str, DataFrame]) -> DataFrame:
@@ -43,18 +54,23 @@ def fingerprints(src: dict[str, DataFrame]) -> DataFrame:
     months = o.where("order_id IS NOT NULL").select("order_id", "customer_id", _month_of("order_purchase_timestamp").alias(MONTH))
     by_customer = _hashed(c, "customers", F.col("customer_id")).withColumnRenamed("order_id", "customer_id")
     rows = [_hashed(src[t], t, F.col("order_id")) for t in ("orders", "order_items", "order_payments", "order_reviews")]
-    per_order = reduce(DataFrame.unionByName, rows).groupBy("order_id").agg(F.sum("h").alias("h"), F.count(F.lit(1)).alias("n"))
-    per_customer = by_customer.groupBy("customer_id").agg(F.sum("h").alias("hc"), F.count(F.lit(1)).alias("nc"))
+    per_order = _added_up(reduce(DataFrame.unionByName, rows), "order_id", "h", "n")
+    per_customer = _added_up(by_customer, "customer_id", "hc", "nc")
     joined = months.join(per_order, "order_id").join(per_customer, "customer_id", "left")
     total = F.sum(F.col("h") + F.coalesce("hc", F.lit(0)))
     return joined.groupBy(MONTH).agg(F.sum(F.col("n") + F.coalesce("nc", F.lit(0))).alias("input_rows"), total.cast("string").alias("fingerprint"))
 
 
-def _models_of(src: dict[str, DataFrame], months: list[str]) -> DataFrame:
-    """``int_orders_enriched`` of the orders of some months, with their month."""
+def _models_of(src: dict[str, DataFrame], months: list[str], now: dict[str, tuple[int, str]]) -> DataFrame:
+    """``int_orders_enriched`` of the orders of some months, with their month. ``now`` has the
+    input rows of each month: an order has one at least, so they bound the orders."""
     orders = src["orders"].where(_month_of("order_purchase_timestamp").isin(months))
-    ids = orders.select("order_id").distinct()
-    of = lambda t: src[t].join(ids, "order_id", "left_semi")
+    rows = sum(now[m][0] for m in months)
+    if 2 * rows > sum(n for n, _ in now.values()):
+        of = src.__getitem__  # most of the rows are needed: sums by order are joined to the orders anyway
+    else:
+        ids = orders.select("order_id").distinct()
+        of = lambda t: src[t].join(F.broadcast(ids) if rows <= BROADCAST_ROWS else ids, "order_id", "left_semi")
     oe = int_orders_enriched(stg.stg_orders(orders), stg.stg_customers(src["customers"]), stg.stg_order_items(of("order_items")),
                              stg.stg_order_payments(of("order_payments")), stg.stg_order_reviews(of("order_reviews")))
     return oe.withColumn(MONTH, _month_of("purchased_at"))
@@ -89,7 +105,7 @@ def refresh_models(src: dict[str, DataFrame], root: str) -> list[str]:
         _drop_months(spark, orders_path, changed)
         _drop_months(spark, base_path, changed)
         files = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // len(changed))  # of each month
-        _overwrite_months(_models_of(src, changed).repartition(MONTH, F.pmod(F.xxhash64("order_id"), F.lit(files))), orders_path)
+        _overwrite_months(_models_of(src, changed, now).repartition(MONTH, F.pmod(F.xxhash64("order_id"), F.lit(files))), orders_path)
         built = read_orders(spark, root).where(F.col(MONTH).isin(changed))
         _overwrite_months(monthly_base(built).withColumn(MONTH, _month_of("month")), base_path)
     _drop_months(spark, orders_path, gone)

@@ -198,3 +198,20 @@ def test_bucketed_tables_join_without_an_exchange(spark, tmp_dir):
     assert same(mart_product_performance(items, c.m["stg_products"], orders), c.m["mart_product_performance"])
     publish_bucketed(c.m["stg_order_items"].limit(10), "bucketed_items", "order_id", 8, f"{tmp_dir}/items2")
     assert spark.table("bucketed_items").count() == 10
+
+
+def test_refresh_of_most_months_filters_no_source_and_of_few_shuffles_no_ids(spark):
+    src = dict(Ctx(spark, SF).src)
+    now = {r[rf.MONTH]: (r["input_rows"], r["fingerprint"]) for r in rf.fingerprints(src).collect()}
+    plan = lambda months: rf._models_of(src, months, now)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" not in plan(list(now))
+    one = plan(["1996-03"])
+    assert one.count("LeftSemi") == 3 and one.count("rightHint=(strategy=broadcast)") == 3
+
+
+def test_fingerprints_add_up_whole_hashes(spark):
+    from decimal import Decimal
+    df = spark.createDataFrame([("a", i) for i in range(-50, 50)] + [(None, 1)], "order_id string, x int")
+    hashed = [(r.order_id, r.h) for r in df.select("order_id", F.xxhash64(F.lit("s"), "order_id", "x").alias("h")).collect()]
+    got = {r.order_id: (r.h, r.n) for r in rf._added_up(rf._hashed(df, "s", F.col("order_id")), "order_id", "h", "n").collect()}
+    assert got == {k: (Decimal(sum(h for o, h in hashed if o == k)), sum(o == k for o, _ in hashed)) for k in ("a", None)}
