@@ -28,12 +28,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercadia.llm.common import slices, small_batches
+from mercadia.llm.common import give_back, slices, small_batches
 from mercadia.session import cut_lineage
 
 LENGTH, GRAM = 100, 32
 #: Bytes of text hashed at a time; entries a task gathers before it deals them out.
-CHUNK_BYTES, BATCH_ENTRIES = 1 << 20, 400_000
+CHUNK_BYTES, BATCH_ENTRIES = 1 << 18, 100_000
 #: A gram with more stretches than this in one batch is frequent: its bucket hears of it by two
 #: of them, and the windows of the others are asked at once. Those that the bucket has of such a
 #: gram, from any batch, are asked for their windows too, as their contexts meet only a part.
@@ -250,6 +250,7 @@ def _chunks(texts: Iterator[tuple[int, int, bytes]], length: int) -> Iterator[li
 
 
 def _rows(batches, names: tuple[str, ...]) -> Iterator[tuple]:
+    give_back()
     for batch in batches:
         for at in range(0, batch.num_rows, 64):
             part = batch.slice(at, 64)
@@ -287,6 +288,7 @@ def _listed(part: pa.RecordBatch, name: str) -> list[np.ndarray]:
 def _asked(batches, length: int) -> Iterator[tuple[int, int, bytes, np.ndarray]]:
     """Document, tag, text and asked stretches (start, further windows) of each text, in
     chunks of stretches of CHUNK_BYTES together, or of one more than that."""
+    give_back()
     for batch in batches:
         for at in range(0, batch.num_rows, 64):
             part = batch.slice(at, 64)

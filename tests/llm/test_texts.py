@@ -488,3 +488,10 @@ def test_all_repeats_of_a_look_alike_get_its_label(n):
         assert [text[a:b] for k, a, b in sorted(added, key=lambda s: s[1])] == [alike] * n and {KINDS[k] for k, _, _ in added} == {"phone"}
     # without a rule span the field adds nothing
     assert find_spans(" then ".join([alike] * n), field) == ([], [])
+
+
+def test_an_indexing_task_deals_out_bounded_batches():
+    text = random.Random(21).randbytes(8_000_000)  # some 230,000 entries
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([2]), pa.array([text], pa.binary())], ["_doc", "_tag", "_bytes"])
+    sizes = [sum(suffix_dedup.Entries.unpacked(d).size for d in b.column("data").to_pylist()) for b in suffix_dedup._index_texts(100, 32, 4)([batch])]
+    assert sum(sizes) > 200_000 and max(sizes) < 150_000
