@@ -495,3 +495,17 @@ def test_an_indexing_task_deals_out_bounded_batches():
     batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([2]), pa.array([text], pa.binary())], ["_doc", "_tag", "_bytes"])
     sizes = [sum(suffix_dedup.Entries.unpacked(d).size for d in b.column("data").to_pylist()) for b in suffix_dedup._index_texts(100, 32, 4)([batch])]
     assert sum(sizes) > 200_000 and max(sizes) < 150_000
+
+
+def test_model_keys_are_asked_in_order(monkeypatch):
+    from mercadia.llm import perplexity
+    model = perplexity.HashModel.__new__(perplexity.HashModel)
+    model.keys, model.values = np.arange(0, 2000, 2), np.arange(1000.0)
+    asked = np.random.default_rng(1).integers(-10, 2010, 500)
+    search, seen = np.searchsorted, []
+    with monkeypatch.context() as m:
+        m.setattr(perplexity.np, "searchsorted", lambda a, v: seen.append(np.array(v)) or search(a, v))
+        found, value = model._value(asked)
+    assert (np.diff(seen[0]) >= 0).all()
+    assert found.tolist() == [0 <= k < 2000 and k % 2 == 0 for k in asked.tolist()]
+    assert value[found].tolist() == [k / 2 for k in asked[found].tolist()]
