@@ -32,6 +32,12 @@ LATIN_END = "\u0250"
 SHORT = 64
 
 
+class Ids(array):
+    """The ids of a unit, and ``decimal``, the same as decimals with a comma after each."""
+
+    __slots__ = ("decimal",)
+
+
 class Encoder:
     def __init__(self, voc: Vocabulary):
         self.voc = voc
@@ -177,7 +183,9 @@ class Encoder:
                             known.clear()
                         own = known[p] = (voc.specials[p],) if p in voc.specials else tuple(self.encode_bytes(p.encode()))
                     ids += own
-            yield array("i", ids).tobytes(), "".join(map(self.decimal.__getitem__, ids))
+            out = Ids("i", ids)
+            out.decimal = "".join(map(self.decimal.__getitem__, ids))
+            yield out
 
 
 class Decoder:
@@ -219,7 +227,7 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
         for part in slices(batches):
             split = [voc.units(t) for t in part.column(1).to_pylist()]
             memo.cover(split)
-            ids = [np.frombuffer(b"".join([memo[u][0] for u in s]), "i4") for s in split]
+            ids = [np.frombuffer(b"".join([memo[u] for u in s]), "i4") for s in split]
             offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
             values = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32), pa.int32())
             yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(pa.array(offsets), values)], ["doc_id", "ids"])
@@ -247,9 +255,9 @@ def encoding_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
             n, ids_hex, text_hex = [], [], []
             for s in split:
                 coded = [memo[u] for u in s]
-                ids = np.frombuffer(b"".join([c[0] for c in coded]), "i4")
+                ids = np.frombuffer(b"".join(coded), "i4")
                 n.append(len(ids))
-                ids_hex.append(hashlib.sha256("".join([c[1] for c in coded])[:-1].encode()).hexdigest())
+                ids_hex.append(hashlib.sha256("".join([c.decimal for c in coded])[:-1].encode()).hexdigest())
                 text_hex.append(hashlib.sha256(dec.decode(ids).encode()).hexdigest())
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(ids_hex, pa.string()),
                                               pa.array(text_hex, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
