@@ -144,6 +144,25 @@ def test_cut_lineage_writes_into_the_checkpoint_folder(spark):
     assert out.exceptAll(df).count() == 0 and df.exceptAll(out).count() == 0
 
 
+def test_cut_lineage_leaves_no_shuffle_files(spark):
+    import time
+
+    from mercadia.session import SHUFFLE_CLEANUP, cut_lineage
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffle_files():
+        return {n for n in (str(b) for b in disk.getAllBlocks().mkString(" ").split()) if n.startswith("shuffle_")}
+    before, setting = shuffle_files(), spark.conf.get(SHUFFLE_CLEANUP)
+    df = spark.range(1000).groupBy((F.col("id") % 100).alias("k")).count()
+    out = cut_lineage(df, "probe")
+    for _ in range(50):  # they are deleted in the background
+        if not (left := shuffle_files() - before):
+            break
+        time.sleep(0.1)
+    assert not left and spark.conf.get(SHUFFLE_CLEANUP) == setting
+    assert out.count() == df.count() == 100
+
+
 def test_entries_see_rewritten_files(spark, tmp_dir):
     """Nothing is kept between two calls of a query in one session."""
     import os
