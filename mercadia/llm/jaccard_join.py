@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mercadia.llm.common import give_back, slices, small_batches
-from mercadia.llm.suffix_dedup import StretchHash
+from mercadia.llm.suffix_dedup import ARROW_BYTES, StretchHash
 from mercadia.session import cut_lineage
 
 #: Shingles that come late in the common order, by frequency: those that stand first in more
@@ -50,7 +50,7 @@ BUNDLE = 32
 #: they are joined in place, by a broadcast of so many rows and shingles of their sets at most;
 #: sparse or larger ones are shuffled to their cells.
 DENSE_MEETINGS, LEAF_ROWS, LEAF_SHINGLES = 5_000_000, 400_000, 4_000_000
-CHUNK_BYTES, BATCH_ENTRIES = 1 << 20, 400_000
+CHUNK_BYTES, BATCH_ENTRIES = 1 << 18, 400_000
 
 _WORD_TABLE = np.random.default_rng(20_240_615).integers(0, 1 << 64, 256, np.uint64)
 _WORD_BASE, _SHINGLE_BASE = 0xD1342543DE82EF95, 0x9E3779B97F4A7C15
@@ -463,7 +463,7 @@ def text_hash(text_col: str = "text") -> Column:
 def _groups(docs: DataFrame, words: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     """One row per document: _doc, _hash, _class, n, _group: its component's number."""
     spark = docs.sparkSession
-    small_batches(spark)
+    small_batches(spark, ARROW_BYTES)
     buckets = max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
     texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias("_doc"), text.alias("text"))

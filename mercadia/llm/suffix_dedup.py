@@ -34,6 +34,8 @@ from mercadia.session import cut_lineage
 LENGTH, GRAM = 100, 32
 #: Bytes of text hashed at a time; entries a task gathers before it deals them out.
 CHUNK_BYTES, BATCH_ENTRIES = 1 << 18, 100_000
+#: Bytes of an Arrow batch, of which a task's JVM and its Python process hold several at once.
+ARROW_BYTES = 4 << 20
 #: A gram with more stretches than this in one batch is frequent: its bucket hears of it by two
 #: of them, and the windows of the others are asked at once. Those that the bucket has of such a
 #: gram, from any batch, are asked for their windows too, as their contexts meet only a part.
@@ -431,8 +433,9 @@ _FOUND, _REPEAT, _ASK_CONTEXT, _ASK_WINDOWS = "_doc long, _tag long, start long,
 
 
 def _to_buckets(dealt: DataFrame, buckets: int) -> DataFrame:
-    """All rows of a bucket, those of frequent grams among them, in one partition."""
-    return dealt.repartition(buckets, F.col("bucket").bitwiseAND(F.lit(~_OFTEN)))
+    """All rows of a bucket, those of frequent grams among them, in one partition, which has no
+    other bucket (by a hash of its number, up to four would meet in one task's memory)."""
+    return dealt.repartitionById(buckets, F.pmod(F.col("bucket").bitwiseAND(F.lit(~_OFTEN)), F.lit(buckets)).cast("int"))
 
 
 def _merge_scan(batches):
@@ -486,17 +489,17 @@ def _repeats(texts: DataFrame, length: int, gram: int) -> DataFrame:
     if not gram < length <= 1 << _MORE_BITS or gram & (gram - 1):
         raise ValueError("gram: a power of two below length; length: 65536 at most")
     spark = texts.sparkSession
-    small_batches(spark)
+    small_batches(spark, ARROW_BYTES)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     slim = texts.select("_doc", "_tag", "_bytes")
     dealt = slim.where(F.length("_bytes") >= length).mapInArrow(_index_texts(length, gram, buckets), _DEALT)
     found = cut_lineage(_to_buckets(dealt, buckets).mapInArrow(_merge_scan, _FOUND), "stretches")
     kind = lambda df, k: df.where(F.col("kind") == k)
     asking = lambda df: slim.join(_by_text(df, "asked"), ["_doc", "_tag"])
-    narrowed = (asking(kind(found, _ASK_CONTEXT)).mapInArrow(_index_contexts(length, gram, buckets), _DEALT)
-                .repartition(buckets, "bucket").mapInArrow(_bound_contexts(length, gram), _FOUND))
-    asked = (asking(kind(found, _ASK_WINDOWS).unionByName(narrowed)).mapInArrow(_index_windows(length, buckets), _DEALT)
-             .repartition(buckets, "bucket").mapInArrow(_merge_scan, _FOUND))
+    contexts = asking(kind(found, _ASK_CONTEXT)).mapInArrow(_index_contexts(length, gram, buckets), _DEALT)
+    narrowed = _to_buckets(contexts, buckets).mapInArrow(_bound_contexts(length, gram), _FOUND)
+    windows = asking(kind(found, _ASK_WINDOWS).unionByName(narrowed)).mapInArrow(_index_windows(length, buckets), _DEALT)
+    asked = _to_buckets(windows, buckets).mapInArrow(_merge_scan, _FOUND)
     return _by_text(kind(found.unionByName(asked), _REPEAT), "removed")
 
 

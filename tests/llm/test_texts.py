@@ -509,3 +509,12 @@ def test_model_keys_are_asked_in_order(monkeypatch):
     assert (np.diff(seen[0]) >= 0).all()
     assert found.tolist() == [0 <= k < 2000 and k % 2 == 0 for k in asked.tolist()]
     assert value[found].tolist() == [k / 2 for k in asked[found].tolist()]
+
+
+def test_a_task_gets_one_bucket(spark):
+    """By a hash of their numbers, several buckets met in one task while others had none."""
+    numbers = [b | f for b in range(51) for f in (0, suffix_dedup._OFTEN)]
+    dealt = spark.createDataFrame([(n, b"") for n in numbers], suffix_dedup._DEALT)
+    placed = suffix_dedup._to_buckets(dealt, 51).select(F.spark_partition_id().alias("p"), F.col("bucket").bitwiseAND(F.lit(~suffix_dedup._OFTEN)).alias("b"))
+    pairs = {tuple(r) for r in placed.collect()}
+    assert len(pairs) == len({p for p, _ in pairs}) == 51
