@@ -14,7 +14,7 @@ from __future__ import annotations
 import functools
 import hashlib
 from array import array
-from collections.abc import Iterator
+from collections import defaultdict
 
 import ahocorasick
 import numpy as np
@@ -41,21 +41,22 @@ class Ids(array):
 class Encoder:
     def __init__(self, voc: Vocabulary):
         self.voc = voc
-        self.rank = {}      # (left, right) -> rank of the merge
-        self.made = {}      # id -> rank of the merge that makes it; bytes: before all merges
-        self.halves = {}    # id -> (left, right)
+        self.size = [len(b) for b in voc.token_bytes]
+        # Moments: a merge of rank r comes at 2 r on the left side of a boundary, at 2 r + 2 on its right, and at
+        # 2 r + 1 across it, so after the left side's of that rank and before the right side's.
+        self.across = {}                     # (left, right) -> moment of the merge across
+        self.made = [-1] * len(self.size)    # id -> 2 r of the merge that makes it; bytes: before all merges
+        self.halves = {}                     # id -> (left, right)
         for r, (a, b, c) in enumerate(voc.merges):
-            self.rank[a, b] = r
-            if c not in self.made:
-                self.made[c], self.halves[c] = r, (a, b)
-        self.compatible: dict[int, bool] = {}  # of two ids in one number
-        # left id -> {id: the longest token, of it and the shorter ones, that fits after left}
-        self.fitting: dict[int, dict[int, int]] = {}
+            self.across[a, b] = 2 * r + 1
+            if self.made[c] < 0:
+                self.made[c], self.halves[c] = 2 * r, (a, b)
+        # left id -> {id: the longest token, of it and the shorter ones, that fits after left; -1 if none}
+        self.fitting: defaultdict[int, dict[int, int]] = defaultdict(dict)
         self.answers = 0
         self.known: dict[str, tuple[int, ...]] = {}
         self.decimal = [f"{i}," for i in range(len(voc.token_bytes))]
         self.marks = {c: voc.ids[c.encode()] for c in ",.;:!?"}
-        self.size = [len(b) for b in voc.token_bytes]
         self.most = max(map(len, voc.ids), default=1)
         self.shorter = [-1] * len(self.size)  # id -> the longest token that the id's bytes start with, but for itself
         self.automaton = ahocorasick.Automaton()
@@ -73,40 +74,37 @@ class Encoder:
         undone would have come first and removed the boundary. Of two merges of one
         rank (equal tokens on both sides), the left one is applied first.
         """
-        # merges across the boundary that come before this moment (rank, side) break it
-        limit, fits = (len(self.voc.merges), 0), None
-        while fits is None:
-            across = self.rank.get((left, right))
-            if across is not None and (across, 0.5) < limit:
-                fits = False
-                break
-            undo_left, undo_right = self.made.get(left), self.made.get(right)
-            if undo_left is None and undo_right is None:
-                fits = True
-            elif undo_right is None or (undo_left is not None and undo_left > undo_right):
-                limit, left = (undo_left, 0), self.halves[left][1]
+        # merges across the boundary that come before this moment break it
+        across, made, halves = self.across, self.made, self.halves
+        limit = 2 * len(self.voc.merges)
+        while across.get((left, right), limit) >= limit:
+            undo_left, undo_right = made[left], made[right]
+            if undo_left > undo_right:
+                limit, left = undo_left, halves[left][1]
+            elif undo_right >= 0:
+                limit, right = undo_right + 2, halves[right][0]
             else:
-                limit, right = (undo_right, 1), self.halves[right][0]
-        return fits
+                return True
+        return False
 
     def _fitting(self, left: int, token: int) -> int:
         """Of a token and the shorter ones it starts with, the longest that fits after ``left``; -1 if none."""
-        first = token
-        compatible, base = self.compatible, left << 32
+        if self.answers >= PAIR_ENTRIES:
+            self.fitting.clear()
+            self.answers = 0
+        of_left, tried, answer = self.fitting[left], [], -1
         while token >= 0:
-            fits = compatible.get(base + token)
-            if fits is None:
-                fits = compatible[base + token] = self.pair_fits(left, token)
-            if fits:
+            answer = of_left.get(token, -2)
+            if answer != -2:
+                break
+            tried.append(token)
+            answer = token if self.pair_fits(left, token) else -1
+            if answer >= 0:
                 break
             token = self.shorter[token]
-        if self.answers >= PAIR_ENTRIES or len(compatible) >= PAIR_ENTRIES:
-            self.fitting.clear()
-            compatible.clear()
-            self.answers = 0
-        self.answers += 1
-        self.fitting.setdefault(left, {})[first] = token
-        return token
+        of_left.update(dict.fromkeys(tried, answer))
+        self.answers += len(tried)
+        return answer
 
     def _longest(self, text: str, at: int, ahead: dict[int, int]) -> int:
         """The longest token that starts at a place. ``ahead`` keeps those that follow one another
@@ -137,55 +135,85 @@ class Encoder:
         dead = bytearray(n + 1)
         at, left, ahead = 0, -1, {}
         token = longest(text, 0, ahead) if n else -1
+        of_left: dict[int, int] = {}  # answers for the token before
         while at < n:
             while token >= 0:
                 if left >= 0:
-                    fit = fitting[left].get(token) if left in fitting else None
-                    token = self._fitting(left, token) if fit is None else fit
+                    fit = of_left.get(token, -2)
+                    token = self._fitting(left, token) if fit == -2 else fit
                     if token < 0:
                         break
-                if not dead[at + size[token]]:
+                end = at + size[token]
+                if not dead[end]:
                     break
                 token = shorter[token]
             if token < 0:
                 dead[at] = 1
                 if not out:
                     raise ValueError("no encoding")
-                last = out.pop()
-                at, left, token = at - size[last], out[-1] if out else -1, shorter[last]
+                token = out.pop()
+                at -= size[token]
+                token = shorter[token]
+                left = out[-1] if out else -1
+                of_left = fitting[left]
                 continue
             out.append(token)
-            at, left = at + size[token], token
+            at, left = end, token
             if at < n:
+                of_left = fitting[token]
                 token = ahead.get(at, -1)
                 if token < 0:
                     token = longest(text, at, ahead)
         return out
 
-    def encode_units(self, units: list) -> Iterator[tuple[bytes, str]]:
-        """Of each unit of a text (as ``Vocabulary.units`` cuts it): its ids as packed 32-bit
-        numbers, and as decimals with a comma after each."""
+    def encode_unit(self, unit: str | tuple[str], memo: dict) -> Ids:
+        """Ids of a unit of a text (as ``Vocabulary.units`` cuts it). ``memo`` has those of units seen
+        before: a word with a mark after it is the word's ids and the mark's."""
         voc, known = self.voc, self.known
-        for unit in units:
-            word, mark = unit, None
-            if isinstance(unit, str) and unit[-1:] in self.marks:  # a pre-token of its own after a word
-                word, mark = unit[:-1], self.marks[unit[-1]]
-            if isinstance(word, str) and word.isalpha() and (word.isascii() or max(word) < LATIN_END):  # a word, one pre-token
-                ids = self.encode_bytes(b" " + word.encode())
-                if mark is not None:
-                    ids.append(mark)
-            else:
-                ids = []
-                for p in voc.unit_pretokens(unit):
-                    own = known.get(p)
-                    if own is None:
-                        if len(known) >= MEMO_ENTRIES:
-                            known.clear()
-                        own = known[p] = (voc.specials[p],) if p in voc.specials else tuple(self.encode_bytes(p.encode()))
-                    ids += own
-            out = Ids("i", ids)
-            out.decimal = "".join(map(self.decimal.__getitem__, ids))
-            yield out
+        if isinstance(unit, str):
+            mark = self.marks.get(unit[-1:])
+            if mark is not None and _is_word(unit[:-1]):  # the mark is a pre-token of its own
+                word = memo[unit[:-1]]
+                out = Ids("i", word)
+                out.append(mark)
+                out.decimal = word.decimal + self.decimal[mark]
+                return out
+        if isinstance(unit, str) and _is_word(unit):  # one pre-token
+            ids = self.encode_bytes(b" " + unit.encode())
+        else:
+            ids = []
+            for p in voc.unit_pretokens(unit):
+                own = known.get(p)
+                if own is None:
+                    if len(known) >= MEMO_ENTRIES:
+                        known.clear()
+                    own = known[p] = (voc.specials[p],) if p in voc.specials else tuple(self.encode_bytes(p.encode()))
+                ids += own
+        out = Ids("i", ids)
+        out.decimal = "".join(map(self.decimal.__getitem__, ids))
+        return out
+
+
+def _is_word(unit: str) -> bool:
+    return unit.isalpha() and (unit.isascii() or max(unit) < LATIN_END)
+
+
+class UnitMemo(Memo):
+    """``Ids`` by unit, each found when it is first asked for."""
+
+    def __init__(self, encoder: Encoder, entries: int):
+        super().__init__(lambda units: [self[u] for u in units], entries)
+        self.encoder = encoder
+
+    def __missing__(self, unit: str | tuple[str]) -> Ids:
+        ids = self.older.get(unit)
+        if ids is None:
+            ids = self.encoder.encode_unit(unit, self)
+        if len(self) >= self.entries:
+            self.older = dict(self)
+            self.clear()
+        self[unit] = ids
+        return ids
 
 
 class Decoder:
@@ -210,7 +238,7 @@ class Decoder:
 def coder(path: str) -> tuple[Vocabulary, Memo, Decoder]:
     """Automaton, tables and memo of a vocabulary, built once in each Python worker."""
     voc = vocabulary(path)
-    return voc, Memo(Encoder(voc).encode_units, MEMO_ENTRIES), Decoder(voc)
+    return voc, UnitMemo(Encoder(voc), MEMO_ENTRIES), Decoder(voc)
 
 
 def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -226,7 +254,6 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
         voc, memo, _ = coder(path)
         for part in slices(batches):
             split = [voc.units(t) for t in part.column(1).to_pylist()]
-            memo.cover(split)
             ids = [np.frombuffer(b"".join([memo[u] for u in s]), "i4") for s in split]
             offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
             values = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32), pa.int32())
@@ -251,7 +278,6 @@ def encoding_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
         voc, memo, dec = coder(path)
         for part in slices(batches):
             split = [voc.units(t) for t in part.column(1).to_pylist()]
-            memo.cover(split)
             n, ids_hex, text_hex = [], [], []
             for s in split:
                 coded = [memo[u] for u in s]

@@ -44,6 +44,29 @@ def test_random_texts_equal_the_library():
         assert decoder.decode(np.array(mine, np.int64)) == LIBRARY.decode(mine, skip_special_tokens=False)
 
 
+def test_a_word_is_encoded_once_whatever_mark_follows(monkeypatch):
+    from mercadia.llm import bpe
+    voc, memo, _ = coder(PATH)
+    encoded, encode = [], Encoder.encode_bytes
+    monkeypatch.setattr(bpe.Encoder, "encode_bytes", lambda self, data: encoded.append(data) or encode(self, data))
+    text = "so ghqwertzuiopé ghqwertzuiopé, ghqwertzuiopé. ghqwertzuiopé: ghqwertzuiopé!? ghqwertzuiopé"
+    units = voc.units(text)
+    memo.cover([units])
+    assert [i for u in units for i in memo[u]] == ids_of(text)
+    assert "".join(memo[u].decimal for u in units) == "".join(f"{i}," for i in ids_of(text))
+    # once on its own, once in the unit with two marks, which is split as a whole
+    assert encoded.count(" ghqwertzuiopé".encode()) <= 2
+
+
+def test_a_full_memo_of_units_keeps_giving_ids():
+    from mercadia.llm.bpe import UnitMemo
+    memo = UnitMemo(Encoder(vocabulary(PATH)), 5)
+    text = " ".join(f"wörd{i % 13}, thing{i % 7}. the{i % 3}xq" for i in range(100))
+    for _ in range(2):
+        assert [i for u in vocabulary(PATH).units(text) for i in memo[u]] == ids_of(text)
+        assert len(memo) <= 5 and len(memo.older) <= 5
+
+
 def test_digests_and_counts_of_odd_texts(docs_of, odd_texts):
     docs = docs_of([*enumerate(odd_texts), (None, "no id"), (3, "repeated id")])
     want = sorted((i if i is None else int(i), t or "") for i, t in [*enumerate(odd_texts), (None, "no id"), (3, "repeated id")] if i is not None)
