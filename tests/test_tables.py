@@ -215,3 +215,24 @@ def test_fingerprints_add_up_whole_hashes(spark):
     hashed = [(r.order_id, r.h) for r in df.select("order_id", F.xxhash64(F.lit("s"), "order_id", "x").alias("h")).collect()]
     got = {r.order_id: (r.h, r.n) for r in rf._added_up(rf._hashed(df, "s", F.col("order_id")), "order_id", "h", "n").collect()}
     assert got == {k: (Decimal(sum(h for o, h in hashed if o == k)), sum(o == k for o, _ in hashed)) for k in ("a", None)}
+
+
+def test_seller_rows_are_added_up_by_hash_before_a_category_is_chosen(spark):
+    """What chooses the category sorts its input: that is one row per seller and category, not one per order."""
+    from mercadia.plans.intermediate import int_seller_metrics
+    items = spark.sql("SELECT string(id) AS order_id, string(id % 3) AS seller_id, string(id % 5) AS product_id, int(1) AS item_sequence, "
+                      "CAST(id AS decimal(18,2)) AS item_price, CAST(1 AS decimal(18,2)) AS freight_cost FROM range(60)")
+    products = spark.sql("SELECT string(id) AS product_id, IF(id < 2, 'a', 'b') AS category_name_en FROM range(4)")
+    orders = spark.sql("SELECT string(id) AS order_id, IF(id % 10 = 0, 'canceled', 'delivered') AS order_status, "
+                       "CAST(id % 5 AS decimal(10,1)) AS avg_review_score, id % 2 = 0 AS is_late_delivery, "
+                       "CAST(id AS decimal(10,1)) AS delivery_delay_days, id % 4 = 0 AS has_low_score FROM range(60)")
+    out = int_seller_metrics(items, products, orders)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    sorting = plan[plan.index("SortAggregate"):]
+    first = next(line for line in sorting.splitlines() if "HashAggregate" in line)
+    assert "keys=[seller_id" in first and "order_id" not in first and "_gid" in first and "_cat" in first
+    rows = {r.seller_id: r for r in out.collect()}
+    mine = [i for i in range(60) if i % 10 and i % 3 == 1]
+    assert rows["1"].total_orders == rows["1"].total_items_sold == len(mine) and rows["1"].total_revenue == sum(mine)
+    revenue = {c: sum(i for i in mine if i % 5 in ps) for c, ps in (("a", (0, 1)), ("b", (2, 3)))}
+    assert rows["1"].top_category == max(revenue, key=revenue.get) and rows["1"].low_score_orders == sum(i % 4 == 0 for i in mine)
