@@ -366,7 +366,13 @@ class _Compare:
     def _picked(big: DataFrame, few: DataFrame, on: list[str]) -> DataFrame:
         """Inner join of documents with some of them: few of a checked size are broadcast, more are shuffled."""
         few = cut_lineage(few, "picked")
-        return big.join(F.broadcast(few) if few.count() <= BROADCAST_IDS else few, on)
+        rows = few.count()
+        if "places" in few.columns and rows <= BROADCAST_IDS:  # a class has several, with the classes asked for there
+            ids = F.size("places")
+            if "others" in few.schema["places"].dataType.elementType.names:
+                ids += F.aggregate("places.others", F.lit(0), lambda n, o: n + F.size(o))
+            rows = few.agg(F.coalesce(F.sum(ids), F.lit(0))).first()[0]
+        return big.join(F.broadcast(few) if rows <= BROADCAST_IDS else few, on)
 
     def possible(self, pairs: DataFrame) -> DataFrame:
         """(a, b, alike) of those distinct pairs (a, b) that can be linked by what their first shingles share.
@@ -387,8 +393,9 @@ class _Compare:
         return both.select("a", "b", alike.alias("alike"), least.alias("least")).where("alike >= least").select("a", "b", "alike")
 
     def _gathered(self, few: DataFrame) -> DataFrame:
-        """(cls, shingles): the sets of the classes in ``few``, from a text of each."""
-        words = self.words
+        """(cls, shingles, what else ``few`` has): the sets of the classes in ``few`` (a row each), from a text of each."""
+        words, more = self.words, [f for f in few.schema.fields if f.name != "cls"]
+        names, typed = [f.name for f in more], "".join(f", {f.name} {f.dataType.simpleString()}" for f in more)
 
         def gather(batches):
             for part, own in _texts(batches):
@@ -396,9 +403,9 @@ class _Compare:
                 ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
                 values = pa.array(np.concatenate(sets).astype(np.int64), pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array([set_class(s) for s in sets], pa.int64()), pa.ListArray.from_arrays(pa.array(ends), values),
-                                                  part.column("cls")], ["own", "shingles", "cls"])
-        sets = (self._picked(self.texts, self.reps.join(few, "cls"), ["_doc", "_hash"]).select("text", "cls")
-                .mapInArrow(gather, "own long, shingles array<long>, cls long")
+                                                  *[part.column(c) for c in ("cls", *names)]], ["own", "shingles", "cls", *names])
+        sets = (self._picked(self.texts, self.reps.join(few, "cls"), ["_doc", "_hash"]).select("text", "cls", *names)
+                .mapInArrow(gather, f"own long, shingles array<long>, cls long{typed}")
                 .where("own = cls").drop("own"))  # another text of the same hash is no member of the class
         return sets.dropDuplicates(["cls"]) if self.repeated else sets
 
@@ -416,7 +423,9 @@ class _Compare:
             "a", "b", "k", F.pmod(F.xxhash64("b"), F.ceil(F.col("n") / F.lit(BUNDLE))).alias("part")), "pairs")
         asked = pairs.groupBy(F.col("a").alias("cls"), "k", "part").agg(F.collect_set("b").alias("others"))
         asking = pairs.select(F.col("b").alias("cls"), "k", "part").distinct()
-        x, y = (self._gathered(side.select("cls").distinct()).join(side, "cls") for side in (asked, asking))
+        # a class goes to its text with all its bundles, so that a set is shuffled to these only
+        x, y = (self._gathered(side.groupBy("cls").agg(F.collect_list(F.struct(*[c for c in side.columns if c != "cls"])).alias("places")))
+                .select("cls", "shingles", F.explode("places").alias("p")).select("cls", "shingles", "p.*") for side in (asked, asking))
         bundles = (y.groupBy("k", "part").agg(F.collect_list(F.struct(F.col("cls").alias("b"), F.col("shingles").alias("y"))).alias("bundle")))
         found = F.transform(F.filter("bundle", lambda o: F.array_contains("others", o["b"])), lambda o: F.struct(
             o["b"].alias("b"), (F.size("shingles") + F.size(o["y"])).alias("both"), F.size(F.array_intersect("shingles", o["y"])).alias("shared")))

@@ -199,6 +199,21 @@ def test_jaccard_recursion(docs_of, monkeypatch, dense):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == want and 2 < len({c for _, c in want.values()}) < 90
 
 
+def test_sets_are_shuffled_to_their_bundles_only(docs_of, monkeypatch):
+    plans, similar = [], jaccard_join._Compare.similar
+
+    def seen(self, pairs):
+        out = similar(self, pairs)
+        plans.append(out._jdf.queryExecution().optimizedPlan().toString())
+        return out
+    monkeypatch.setattr(jaccard_join._Compare, "similar", seen)
+    base = [f"w{i}" for i in range(60)]
+    docs = docs_of([(k, " ".join(base[:50 + k % 3] + [f"x{k}"])) for k in range(9)] + [(9, "of its own it is")])
+    rows = sorted((r.doc_id, r.component_id) for r in jaccard_components(docs, 2, 80).collect())
+    assert rows == [(k, 0) for k in range(9)] + [(9, 9)]
+    assert plans and not any("(cls#" in line for plan in plans for line in plan.splitlines() if "Join " in line)
+
+
 def test_jaccard_of_odd_ids(docs_of):
     docs = docs_of([(None, "a b c d e f"), (4, "A b c d e f"), (4, "other words than those here"), (9, "a  b c d e f"), (None, ""), (2, None)])
     rows = sorted((str(r.doc_id), r.n_shingles, r.component_id) for r in jaccard_components(docs, 4, 85).collect())
