@@ -46,6 +46,9 @@ PART_MEMBERS = 200_000
 BROADCAST_IDS = 500_000
 #: Sets that others are compared with go around in bundles of about so many.
 BUNDLE = 32
+#: Members of an open region meet its cells in blocks of about so many of either; a task
+#: looks at so many meetings at a time.
+BLOCK, MEETINGS = 2048, 1 << 20
 #: Open regions are dense where members by cells, over all regions, are more than so many. Then
 #: they are joined in place, by a broadcast of so many rows and shingles of their sets at most;
 #: sparse or larger ones are shuffled to their cells.
@@ -366,13 +369,17 @@ class _Compare:
     def _picked(big: DataFrame, few: DataFrame, on: list[str]) -> DataFrame:
         """Inner join of documents with some of them: few of a checked size are broadcast, more are shuffled."""
         few = cut_lineage(few, "picked")
-        rows = few.count()
+        ids = rows = few.count()
         if "places" in few.columns and rows <= BROADCAST_IDS:  # a class has several, with the classes asked for there
-            ids = F.size("places")
+            asked = F.size("places")
             if "others" in few.schema["places"].dataType.elementType.names:
-                ids += F.aggregate("places.others", F.lit(0), lambda n, o: n + F.size(o))
-            rows = few.agg(F.coalesce(F.sum(ids), F.lit(0))).first()[0]
-        return big.join(F.broadcast(few) if rows <= BROADCAST_IDS else few, on)
+                asked += F.aggregate("places.others", F.lit(0), lambda n, o: n + F.size(o))
+            rows = few.agg(F.coalesce(F.sum(asked), F.lit(0))).first()[0]
+        if rows <= BROADCAST_IDS:
+            return big.join(F.broadcast(few), on)
+        if ids <= BROADCAST_IDS:  # many places, but only the documents asked for are shuffled to them
+            big = big.join(F.broadcast(few.select(*on)), on, "left_semi")
+        return big.join(few, on)
 
     def possible(self, pairs: DataFrame) -> DataFrame:
         """(a, b, alike) of those distinct pairs (a, b) that can be linked by what their first shingles share.
@@ -390,7 +397,8 @@ class _Compare:
         overlap = F.ceil((F.col("n_a") + F.col("n_b")) * self.percent / F.lit(100 + self.percent))
         least = F.least(*[overlap - F.col(f"n_{c}") + F.size(f"first_{c}") for c in "ab"])
         alike = F.size(F.array_intersect("first_a", "first_b"))
-        return both.select("a", "b", alike.alias("alike"), least.alias("least")).where("alike >= least").select("a", "b", "alike")
+        able = both.select("a", "b", alike.alias("alike"), least.alias("least")).where("alike >= least").select("a", "b", "alike")
+        return cut_lineage(able, "possible")  # it is read more than once
 
     def _gathered(self, few: DataFrame) -> DataFrame:
         """(cls, shingles, what else ``few`` has): the sets of the classes in ``few`` (a row each), from a text of each."""
@@ -633,18 +641,73 @@ class _Leaf:
         return a, b
 
 
+_MEETING = ("region", "part", "head", "key", "alone", "of_cls", "size", "tail", "n")
+
+
+def _dealt_blocks(own: DataFrame) -> DataFrame:
+    """Rows as in _MEETING, all longs, of the members of open regions and of the cells there
+    (heads: the centre, with the most that a member's tail and size allow), sorted by part. A region
+    of many members is cut into blocks of members and of cells, a part for each pair of them."""
+    heads = (own.groupBy("region", "centre", "alone", "of_cls", "size", "members").agg(F.max("tail").alias("tail"), F.min("n").alias("n"))
+             .select("region", "members", F.lit(1).alias("head"), F.col("centre").alias("key"), "alone", "of_cls", "size", "tail", "n"))
+    rows = own.select("region", "members", F.lit(0).alias("head"), F.col("cls").alias("key"), "alone", "of_cls", "size", "tail", "n").unionByName(heads)
+    blocks = F.ceil(F.col("members") / F.lit(BLOCK)).cast("long")
+    rows = (rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")))
+            .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+            .withColumn("part", F.when(F.col("head") == 0, F.col("block") * F.col("blocks") + F.col("other"))
+                        .otherwise(F.col("other") * F.col("blocks") + F.col("block"))))
+    buckets = max(64, int(own.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return (rows.select(*[F.col(c).cast("long").alias(c) for c in _MEETING])
+            .repartition(buckets, "region", "part").sortWithinPartitions("region", "part", "head"))
+
+
+def _meet(percent: int):
+    """(a, alone, met) of rows as in _MEETING sorted by part: which centres, those alone in their
+    cells or others, of larger components a member meets in a part, if sizes and tails leave room for a link."""
+    def of_parts(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+        part = np.cumsum(np.concatenate([[False], (rows[:2, 1:] != rows[:2, :-1]).any(axis=0)]))
+        head = rows[2] == 1
+        own, heads = rows[:, ~head], rows[:, head]
+        first, last = (np.searchsorted(part[head], part[~head], side) for side in ("left", "right"))
+        ends, at = np.cumsum(last - first), 0
+        while at < len(ends):
+            before = ends[at - 1] if at else 0
+            upto = max(at + 1, int(np.searchsorted(ends, before + MEETINGS, "right")))
+            n = (last - first)[at:upto]
+            x = np.repeat(np.arange(at, upto), n)
+            y = np.arange(len(x)) + np.repeat(first[at:upto] - (ends[at:upto] - n - before), n)
+            (_, _, _, cls, _, of, size, tail, count), (_, _, _, centre, alone, of_y, size_y, tail_y, count_y) = own, heads
+            larger = (size_y[y] > size[x]) | ((size_y[y] == size[x]) & (of_y[y] > of[x]))
+            fits = np.minimum(tail[x], tail_y[y]) * (100 + percent) >= (count[x] + count_y[y]) * percent
+            x, y = x[larger & fits], y[larger & fits]
+            for kind in (False, True):
+                mine = (alone[y] == 1) == kind
+                who, cuts = np.unique(x[mine], return_index=True)
+                if len(who):
+                    lists = pa.ListArray.from_arrays(pa.array(np.append(cuts, mine.sum()).astype(np.int32)), pa.array(centre[y[mine]]))
+                    yield pa.RecordBatch.from_arrays([pa.array(cls[who]), pa.array(np.full(len(who), kind)), lists], ["a", "alone", "met"])
+            at = upto
+
+    def meet(batches):
+        rest = np.zeros((len(_MEETING), 0), np.int64)
+        for batch in batches:
+            if batch.num_rows:
+                rows = np.concatenate([rest, np.stack([c.to_numpy() for c in batch.columns])], axis=1)
+                last = int(np.flatnonzero(np.concatenate([[True], (rows[:2, 1:] != rows[:2, :-1]).any(axis=0)]))[-1])
+                rest = rows[:, last:]  # the last part may go on in the next batch
+                if last:
+                    yield from of_parts(rows[:, :last])
+        if rest.shape[1]:
+            yield from of_parts(rest)
+    return meet
+
+
 def _window_join(compare: _Compare, own: DataFrame, near: DataFrame, linked, fit, percent: int) -> DataFrame:
     """Components after joining the open regions by Voronoi cells and windows, shuffled."""
-    # a member against the centres of the larger components in its regions. A region's centres
-    # come in bundles, so that a member meets each centre once whatever regions they share.
-    heads = (own.groupBy("region", "centre", "alone", "of_cls", "size", "members").agg(F.max("tail").alias("tail"), F.min("n").alias("n"))
-             .groupBy("region", F.pmod(F.xxhash64("centre"), F.ceil(F.col("members") / F.lit(BUNDLE))).alias("part"))
-             .agg(F.collect_list(F.struct("centre", "alone", "of_cls", "size", "tail", "n")).alias("heads")))
-    met = F.transform(F.filter("heads", lambda o: (F.struct(o["size"], o["of_cls"]) > F.struct(F.col("size"), F.col("of_cls")))
-                               & fit("n", "tail", o["n"], o["tail"])), lambda o: F.struct(o["centre"].alias("centre"), o["alone"].alias("alone")))
-    met = (own.join(heads, "region").select("cls", met.alias("met")).where(F.size("met") > 0)
-           .groupBy("cls").agg(F.array_distinct(F.flatten(F.collect_list("met"))).alias("met"))
-           .select("cls", F.explode("met").alias("m")).select(F.col("cls").alias("a"), F.col("m.centre").alias("b"), "m.alone"))
+    # a member against the centres of the larger components in its regions, each centre once whatever regions they share
+    met = (_dealt_blocks(own).mapInArrow(_meet(percent), "a long, alone boolean, met array<long>")
+           .groupBy("a", "alone").agg(F.array_distinct(F.flatten(F.collect_list("met"))).alias("met"))
+           .select("a", F.explode("met").alias("b"), "alone"))
     met = cut_lineage(met, "met")
     found = cut_lineage(compare.similar(met.where(~F.col("alone"))), "distances")
     near = near.unionByName(found)

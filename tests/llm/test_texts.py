@@ -214,6 +214,62 @@ def test_sets_are_shuffled_to_their_bundles_only(docs_of, monkeypatch):
     assert plans and not any("(cls#" in line for plan in plans for line in plan.splitlines() if "Join " in line)
 
 
+def test_members_meet_cells_by_blocks_of_numbers(docs_of, monkeypatch):
+    """A member's meetings come as arrays of longs, whose distinct ones Spark finds by hash (of
+    structs, by comparing each with all others), and are the same however regions are cut into blocks."""
+    plans, written = [], jaccard_join.cut_lineage
+
+    def seen(df, name):
+        if name == "met":
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+            out = written(df, name)
+            rows = [tuple(r) for r in out.select("a", "b", "alone").collect()]
+            assert len(rows) == len(set(rows))
+            met.append(set(rows))
+            return out
+        return written(df, name)
+    monkeypatch.setattr(jaccard_join, "cut_lineage", seen)
+    rnd = random.Random(3)
+    base = [f"w{i}" for i in range(60)]
+    own = {}
+    for i in range(120):
+        words = list(base)
+        for _ in range(rnd.randint(0, 9)):
+            words[rnd.randrange(60)] = f"x{rnd.randrange(400)}"
+        own[i] = " ".join(words)
+    met, want = [], brute_components(own, 2, 80)
+    for block in (1 << 30, 3):
+        monkeypatch.setattr(jaccard_join, "BLOCK", block, raising=False)
+        rows = jaccard_components(docs_of(list(own.items())), 2, 80).collect()
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == want
+    assert 2 < len({c for _, c in want.values()}) < 120 and met[0] == met[1] and len(met[0]) > 100
+    assert len(plans) == 2 and not any("lambda" in plan for plan in plans)
+
+
+@pytest.mark.parametrize(("size", "meetings"), [(1, 1), (5, 7), (1000, 1 << 20)])
+def test_meetings_of_parts_in_any_batches(monkeypatch, size, meetings):
+    monkeypatch.setattr(jaccard_join, "MEETINGS", meetings)
+    rnd = random.Random(size)
+    rows = [(region, part, head, rnd.randrange(1 << 62), rnd.randint(0, 1), rnd.randrange(5), rnd.randint(1, 3), rnd.randint(80, 100), rnd.randint(95, 105))
+            for region in range(12) for part in range(rnd.randint(1, 3)) for head in (0, 1) for _ in range(rnd.randint(0, 8))]
+    want = sorted((a[3], h[3], bool(h[4])) for a in rows for h in rows if a[:2] == h[:2] and not a[2] and h[2]
+                  and h[6:4:-1] > a[6:4:-1] and 185 * min(a[7], h[7]) >= 85 * (a[8] + h[8]))
+    batches = [pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows[k:k + size], strict=True)], list(jaccard_join._MEETING))
+               for k in range(0, len(rows), size)]
+    got = sorted((a, m, alone) for out in jaccard_join._meet(85)(batches)
+                 for a, alone, met in zip(*(c.to_pylist() for c in out.columns), strict=True) for m in met)
+    assert got == want and len(want) > 5
+
+
+def test_few_texts_with_many_places_are_shuffled_alone(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BROADCAST_IDS", 3)
+    texts = spark.createDataFrame([(i, i * 7, f"text {i}") for i in range(50)], "_doc long, _hash long, text string")
+    few = spark.createDataFrame([(i, i * 7, [(k, 0) for k in range(9)]) for i in (4, 30)], "_doc long, _hash long, places array<struct<k:long,part:long>>")
+    found = jaccard_join._Compare._picked(texts, few, ["_doc", "_hash"])
+    assert sorted((r._doc, r.text, len(r.places)) for r in found.collect()) == [(4, "text 4", 9), (30, "text 30", 9)]
+    assert "LeftSemi" in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_jaccard_of_odd_ids(docs_of):
     docs = docs_of([(None, "a b c d e f"), (4, "A b c d e f"), (4, "other words than those here"), (9, "a  b c d e f"), (None, ""), (2, None)])
     rows = sorted((str(r.doc_id), r.n_shingles, r.component_id) for r in jaccard_components(docs, 4, 85).collect())
