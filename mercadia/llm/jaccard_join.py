@@ -40,6 +40,8 @@ from mercadia.session import cut_lineage
 #: Shingles that come late in the common order, by frequency: those that stand first in more
 #: documents than COMMON_OVER; COMMON_KEPT of them at most (the most frequent), which bounds the broadcast.
 COMMON_OVER, COMMON_KEPT = 3, 2_000_000
+#: Low bits of a key by which one that is not common is mostly told without a search.
+MARK_BITS = 23
 #: Members of one part of a region that stands under a very frequent shingle.
 PART_MEMBERS = 200_000
 #: Rows of document ids that may be broadcast to pick the documents to compare; more are shuffled.
@@ -129,18 +131,26 @@ def _keys(shingles: np.ndarray, buckets: int) -> np.ndarray:
     return ((shingles >> np.uint64(32)) % np.uint64(buckets) << np.uint64(32)) | (shingles & _LOW)
 
 
-def first_shingles(shingles: np.ndarray, percent: int, common: np.ndarray, often: np.ndarray, buckets: int) -> np.ndarray:
+def _marks(common: np.ndarray) -> np.ndarray:
+    """Whether some common key ends in these MARK_BITS bits: most keys are told by that not to be common."""
+    marks = np.zeros(1 << MARK_BITS, bool)
+    marks[common & np.uint64(len(marks) - 1)] = True
+    return marks
+
+
+def first_shingles(shingles: np.ndarray, percent: int, common: np.ndarray, often: np.ndarray, buckets: int, marks: np.ndarray | None = None) -> np.ndarray:
     """Keys of the shingles one of which any set linked to this one has: its first
     n - ceil(n * percent / 100) + 1 in the order of (frequency among the ``common`` keys
-    of which ``often`` has the counts, hash)."""
+    of which ``often`` has the counts, hash). ``marks``: as of ``_marks``, to look up few keys."""
     need = len(shingles) - _least_shared(len(shingles), percent) + 1 if len(shingles) else 0
     upto = min(2 * need, len(shingles))
     while True:
         keys = _keys(shingles[:upto], buckets)
         count = np.zeros(upto, np.int64)
         if len(common):
-            at = np.minimum(np.searchsorted(common, keys), len(common) - 1)
-            count = np.where(common[at] == keys, often[at], 0)
+            able = slice(None) if marks is None else np.flatnonzero(marks[keys & np.uint64(len(marks) - 1)])
+            at = np.minimum(np.searchsorted(common, keys[able]), len(common) - 1)
+            count[able] = np.where(common[at] == keys[able], often[at], 0)
         if upto == len(shingles) or (count == 0).sum() >= need:
             first = keys[np.argsort(count, kind="stable")][:need]
             _, once = np.unique(first, return_index=True)
@@ -206,9 +216,10 @@ def _describe(words: int, percent: int, buckets: int, held_common):
     """(_doc, _hash, _class, n, first) of each text: its class, the size of its set, the keys of its first shingles."""
     def describe(batches):
         common, often = held_common.value
+        marks = _marks(common)
         for part, texts in _texts(batches):
             sets = shingle_sets(texts, words)
-            first = [first_shingles(s, percent, common, often, buckets).astype(np.int64) for s in sets]
+            first = [first_shingles(s, percent, common, often, buckets, marks).astype(np.int64) for s in sets]
             ends = np.concatenate([[0], np.cumsum([len(f) for f in first])]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [part.column("_doc"), part.column("_hash"), pa.array([set_class(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()),

@@ -214,6 +214,19 @@ def test_sets_are_shuffled_to_their_bundles_only(docs_of, monkeypatch):
     assert plans and not any("(cls#" in line for plan in plans for line in plan.splitlines() if "Join " in line)
 
 
+def test_marked_keys_are_looked_up_alone(monkeypatch):
+    rnd = np.random.default_rng(5)
+    sets = [np.unique(rnd.integers(0, 1 << 64, n, np.uint64)) for n in (1, 2, 7, 40, 900)]
+    common = np.unique(np.concatenate([jaccard_join._keys(s, 64)[::3] for s in sets]))
+    often = np.arange(len(common), dtype=np.int32) % 9 + 4
+    for bits in (2, 12, 23):
+        monkeypatch.setattr(jaccard_join, "MARK_BITS", bits, raising=False)
+        for held in ((common, often), (common[:0], often[:0])):
+            marks = jaccard_join._marks(held[0])
+            for s in sets:
+                assert np.array_equal(jaccard_join.first_shingles(s, 80, *held, 64, marks), jaccard_join.first_shingles(s, 80, *held, 64))
+
+
 def test_members_meet_cells_by_blocks_of_numbers(docs_of, monkeypatch):
     """A member's meetings come as arrays of longs, whose distinct ones Spark finds by hash (of
     structs, by comparing each with all others), and are the same however regions are cut into blocks."""
